@@ -23,6 +23,9 @@ from tillwork.operators.hot import MIN_HOT_ROWS, hot_keys
 
 # A block of 2^20 unique ids holds at most 2^20 rows.
 BLOCK_BITS = 20
+# Blocks of blocks, for an order by id alone: 2^14 ids each, 2^14 blocks each, and
+# for 10^12 ids about four thousand of those.
+ID_LEVEL_BITS = (28, 14)
 
 _HEAD, _ROW, _TAIL = 0, 1, 2
 
@@ -32,6 +35,11 @@ def id_block(key: str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(key).cast("bigint"), bits)
 
 
+def id_levels(key: str) -> list[Column]:
+    """Levels for an order by one unique whole-number id."""
+    return [id_block(key, bits) for bits in ID_LEVEL_BITS]
+
+
 @dataclass(frozen=True)
 class _Scan:
     """How groups are reduced and what a group receives from the others."""
@@ -189,16 +197,22 @@ def row_numbers_split(
     out: str,
     *,
     order_by: list[str | Column],
-    block: Column,
+    levels: list[Column],
     finer: list[Column],
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Like :func:`row_numbers`, where a block may be hot: only hot blocks use ``finer`` levels."""
-    blocked = df.withColumn("_block", block)
+    """Like :func:`row_numbers`, for rows whose last level has no bound.
+
+    Only groups of that level found hot are cut further, by ``finer``. Each group
+    belongs to one group of the levels before it.
+    """
+    blocked = df.withColumn("_block", levels[-1])
     hot = hot_keys(blocked, ["_block"], min_rows).withColumn("_hot", F.lit(True))
     marked = blocked.join(F.broadcast(hot), "_block", "left")
-    levels = [F.col("_block"), *[F.when(F.col("_hot"), c) for c in finer]]
-    return row_numbers(marked, out, order_by=order_by, levels=levels).drop("_block", "_hot")
+    cut = [F.when(F.col("_hot"), c) for c in finer]
+    return row_numbers(marked, out, order_by=order_by, levels=[*levels, *cut]).drop(
+        "_block", "_hot"
+    )
 
 
 def rank_by_amount(

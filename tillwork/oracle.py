@@ -211,45 +211,47 @@ def _draw(key: str, salt: str) -> str:
     return f"CAST(concat('0x', left(md5(concat('{salt}:', CAST({key} AS VARCHAR))), 8)) AS BIGINT)"
 
 
-def _roll(key: str, salt: str) -> str:
-    return f"({_draw(key, '42' + salt)} % 10000)"
+def _roll(key: str, field: int) -> str:
+    """The number in the four hex digits a field owns, as a share of 65536."""
+    digest = f"md5(concat('42:', CAST({key} AS VARCHAR)))"
+    return f"CAST(concat('0x', substr({digest}, {4 * field + 1}, 4)) AS BIGINT)"
 
 
 _TABLES |= _cleaning("customers_raw", "products_raw", "orders_raw", "ok_")
 _TABLES |= {
     "gen_customers": f"""
         SELECT CAST(c.customer_id AS VARCHAR) AS customer_id,
-               CASE WHEN {_roll("c.customer_id", "name")} < 500 THEN '' ELSE c.full_name END
+               CASE WHEN {_roll("c.customer_id", 0)} < 3277 THEN '' ELSE c.full_name END
                    AS full_name,
-               CASE WHEN roll < 500 THEN '' WHEN roll < 1000 THEN replace(c.email, '@', '')
-                    WHEN roll < 1500 THEN coalesce(l.email, c.email) ELSE c.email END AS email,
-               CASE WHEN {_roll("c.customer_id", "city")} < 500 THEN '' ELSE c.city END AS city,
-               CASE WHEN {_roll("c.customer_id", "signup")} < 500 THEN 'not-a-date'
+               CASE WHEN roll < 3277 THEN '' WHEN roll < 6554 THEN replace(c.email, '@', '')
+                    WHEN roll < 9830 THEN coalesce(l.email, c.email) ELSE c.email END AS email,
+               CASE WHEN {_roll("c.customer_id", 2)} < 3277 THEN '' ELSE c.city END AS city,
+               CASE WHEN {_roll("c.customer_id", 3)} < 3277 THEN 'not-a-date'
                     ELSE CAST(c.signup_date AS VARCHAR) END AS signup_date
-        FROM (SELECT *, {_roll("customer_id", "email")} AS roll FROM customers_v) c
+        FROM (SELECT *, {_roll("customer_id", 1)} AS roll FROM customers_v) c
         LEFT JOIN customers_v l
              ON l.customer_id = {_draw("c.customer_id", "42lender")} % nullif(c.customer_id, 0)""",
     "gen_products": f"""
         SELECT CAST(product_id AS VARCHAR) AS product_id,
-               CASE WHEN {_roll("product_id", "title")} < 500 THEN '' ELSE title END AS title,
-               CASE WHEN {_roll("product_id", "category")} < 500 THEN '' ELSE category END
+               CASE WHEN {_roll("product_id", 0)} < 3277 THEN '' ELSE title END AS title,
+               CASE WHEN {_roll("product_id", 1)} < 3277 THEN '' ELSE category END
                    AS category,
-               CASE WHEN roll < 400 THEN 'N/A' WHEN roll < 700 THEN CAST(-price AS VARCHAR)
-                    WHEN roll < 900 THEN '0' ELSE CAST(price AS VARCHAR) END AS price
-        FROM (SELECT *, {_roll("product_id", "price")} AS roll FROM products_v)""",
+               CASE WHEN roll < 2621 THEN 'N/A' WHEN roll < 4588 THEN CAST(-price AS VARCHAR)
+                    WHEN roll < 5898 THEN '0' ELSE CAST(price AS VARCHAR) END AS price
+        FROM (SELECT *, {_roll("product_id", 2)} AS roll FROM products_v)""",
     "gen_orders": f"""
         SELECT CAST(order_id AS VARCHAR) AS order_id,
-               CASE WHEN {_roll("order_id", "customer")} < 400 THEN '99999'
+               CASE WHEN {_roll("order_id", 0)} < 2621 THEN '99999'
                     ELSE CAST(customer_id AS VARCHAR) END AS customer_id,
-               CASE WHEN {_roll("order_id", "product")} < 400 THEN '88888'
+               CASE WHEN {_roll("order_id", 1)} < 2621 THEN '88888'
                     ELSE CAST(product_id AS VARCHAR) END AS product_id,
-               CASE WHEN roll < 300 THEN '0' WHEN roll < 500 THEN '-2' WHEN roll < 700 THEN 'two'
+               CASE WHEN roll < 1966 THEN '0' WHEN roll < 3277 THEN '-2' WHEN roll < 4588 THEN 'two'
                     ELSE CAST(quantity AS VARCHAR) END AS quantity,
-               CASE WHEN {_roll("order_id", "date")} < 300 THEN '2025-13-40'
+               CASE WHEN {_roll("order_id", 3)} < 1966 THEN '2025-13-40'
                     ELSE CAST(order_date AS VARCHAR) END AS order_date,
-               CASE WHEN {_roll("order_id", "status")} < 500 THEN 'shipped' ELSE status END
+               CASE WHEN {_roll("order_id", 4)} < 3277 THEN 'shipped' ELSE status END
                    AS status
-        FROM (SELECT *, {_roll("order_id", "quantity")} AS roll FROM orders_u)""",
+        FROM (SELECT *, {_roll("order_id", 2)} AS roll FROM orders_u)""",
 }
 _TABLES |= _cleaning("gen_customers", "gen_products", "gen_orders", "found_")
 _TABLES |= {

@@ -71,16 +71,22 @@ BAD_SIGNUP = "not-a-date"
 
 def draw(key: Column, salt: str) -> Column:
     """A whole number from 0 to 2^32 - 1, fixed by the key and the salt."""
-    digest = F.md5(F.concat_ws(":", F.lit(salt), key.cast("string")).cast("binary"))
-    return F.conv(F.left(digest, F.lit(8)), 16, 10).cast("bigint")
+    return F.conv(F.left(_digest(key, salt), F.lit(8)), 16, 10).cast("bigint")
 
 
-def _share(key: Column, salt: str) -> Column:
-    return draw(key, salt) % 10_000
+def _digest(key: Column, salt: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(salt), key.cast("string")).cast("binary"))
+
+
+def _roll(field: int) -> Column:
+    """Four hex digits of the row's digest; each field of a row has its own four."""
+    return F.substring("_digest", 4 * field + 1, 4)
 
 
 def _below(roll: Column, *rates: float) -> Column:
-    return roll < round(sum(rates) * 10_000)
+    # Hex texts of one length compare like the numbers they stand for.
+    limit = min(round(sum(rates) * 65_536), 65_536)
+    return roll < (f"{limit:04x}" if limit < 65_536 else "g")
 
 
 def _pick(key: Column, salt: str, values: tuple[str, ...]) -> Column:
@@ -96,33 +102,32 @@ def dirty_customers(
     A used email is the one of another customer with a lower id, chosen by hash.
     """
     key = F.col("customer_id")
-    email_roll = _share(key, f"{seed}email")
-    no_email = _below(email_roll, rates.no_email)
-    bad_email = _below(email_roll, rates.no_email, rates.bad_email)
+    no_email = _below(_roll(1), rates.no_email)
+    bad_email = _below(_roll(1), rates.no_email, rates.bad_email)
     takes_email = ~bad_email & _below(
-        email_roll, rates.no_email, rates.bad_email, rates.used_email
+        _roll(1), rates.no_email, rates.bad_email, rates.used_email
     )
     lender = F.when(takes_email & (key > 0), draw(key, f"{seed}lender") % key)
     lenders = customers.select(
         F.col("customer_id").alias("_lender"), F.col("email").alias("_lent")
     )
     # Rows that take no email look for none: they are kept out of the join.
-    rows = customers.withColumn("_lender", lender)
+    rows = customers.withColumn("_digest", _digest(key, seed)).withColumn("_lender", lender)
     takers = rows.filter(F.col("_lender").isNotNull()).join(lenders, "_lender", "left")
     others = rows.filter(F.col("_lender").isNull()).withColumn("_lent", F.lit(None).cast("string"))
     return takers.unionByName(others).select(
         key.cast("string").alias("customer_id"),
-        F.when(_below(_share(key, f"{seed}name"), rates.no_name), "")
+        F.when(_below(_roll(0), rates.no_name), "")
         .otherwise(F.col("full_name"))
         .alias("full_name"),
         F.when(no_email, "")
         .when(bad_email, F.replace(F.col("email"), F.lit("@"), F.lit("")))
         .otherwise(F.coalesce("_lent", "email"))
         .alias("email"),
-        F.when(_below(_share(key, f"{seed}city"), rates.no_city), "")
+        F.when(_below(_roll(2), rates.no_city), "")
         .otherwise(F.col("city"))
         .alias("city"),
-        F.when(_below(_share(key, f"{seed}signup"), rates.bad_signup), BAD_SIGNUP)
+        F.when(_below(_roll(3), rates.bad_signup), BAD_SIGNUP)
         .otherwise(F.col("signup_date").cast("string"))
         .alias("signup_date"),
     )
@@ -133,14 +138,14 @@ def dirty_products(
 ) -> DataFrame:
     """Text rows of ``products`` with faults planted."""
     key = F.col("product_id")
-    roll = _share(key, f"{seed}price")
+    roll = _roll(2)
     amount = F.col("price").cast(PRICE)
-    return products.select(
+    return products.withColumn("_digest", _digest(key, seed)).select(
         key.cast("string").alias("product_id"),
-        F.when(_below(_share(key, f"{seed}title"), rates.no_title), "")
+        F.when(_below(_roll(0), rates.no_title), "")
         .otherwise(F.col("title"))
         .alias("title"),
-        F.when(_below(_share(key, f"{seed}category"), rates.no_category), "")
+        F.when(_below(_roll(1), rates.no_category), "")
         .otherwise(F.col("category"))
         .alias("category"),
         F.when(_below(roll, rates.price_text), "N/A")
@@ -156,14 +161,14 @@ def dirty_orders(
 ) -> DataFrame:
     """Text rows of ``orders`` with faults planted."""
     key = F.col("order_id")
-    roll = _share(key, f"{seed}quantity")
+    roll = _roll(2)
     zero, negative = rates.quantity_zero, rates.quantity_negative
-    return orders.select(
+    return orders.withColumn("_digest", _digest(key, seed)).select(
         key.cast("string").alias("order_id"),
-        F.when(_below(_share(key, f"{seed}customer"), rates.unknown_customer), UNKNOWN_CUSTOMER)
+        F.when(_below(_roll(0), rates.unknown_customer), UNKNOWN_CUSTOMER)
         .otherwise(F.col("customer_id").cast("string"))
         .alias("customer_id"),
-        F.when(_below(_share(key, f"{seed}product"), rates.unknown_product), UNKNOWN_PRODUCT)
+        F.when(_below(_roll(1), rates.unknown_product), UNKNOWN_PRODUCT)
         .otherwise(F.col("product_id").cast("string"))
         .alias("product_id"),
         F.when(_below(roll, zero), "0")
@@ -171,10 +176,10 @@ def dirty_orders(
         .when(_below(roll, zero, negative, rates.quantity_text), "two")
         .otherwise(F.col("quantity").cast("string"))
         .alias("quantity"),
-        F.when(_below(_share(key, f"{seed}date"), rates.bad_date), BAD_DATE)
+        F.when(_below(_roll(3), rates.bad_date), BAD_DATE)
         .otherwise(F.col("order_date").cast("string"))
         .alias("order_date"),
-        F.when(_below(_share(key, f"{seed}status"), rates.bad_status), BAD_STATUS)
+        F.when(_below(_roll(4), rates.bad_status), BAD_STATUS)
         .otherwise(F.col("status"))
         .alias("status"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.calendar import calendar_parts, date_key
 from tillwork.model import LINE_AMOUNT, PRICE, STATUSES, Star
-from tillwork.operators.ordered import id_block, row_numbers
+from tillwork.operators.ordered import id_levels, row_numbers
 
 
 class IntegrityError(Exception):
@@ -55,7 +55,7 @@ def fact_orders(orders: DataFrame, products: DataFrame, *, dense_keys: bool = Fa
     if dense_keys:
         # Numbered before the join: the numbers depend on the order id alone.
         keyed = row_numbers(
-            orders, "order_key", order_by=["order_id"], levels=[id_block("order_id")]
+            orders, "order_key", order_by=["order_id"], levels=id_levels("order_id")
         )
     else:
         keyed = orders.withColumn("order_key", F.col("order_id"))
@@ -103,13 +103,17 @@ def unresolved_keys(star: Star) -> DataFrame:
 
 
 def check_star(star: Star) -> None:
-    """Raises unless every key resolves, the fact has rows, and each status is known."""
-    if star.fact_orders.isEmpty():
+    """Raises unless the fact has rows, every key resolves and each status is known."""
+    statuses = star.fact_orders.agg(
+        F.lit("status").alias("key"),
+        F.count_if(F.col("status").isNull() | ~F.col("status").isin(*STATUSES)).alias("rows"),
+    )
+    rows = star.fact_orders.agg(F.lit("fact").alias("key"), F.count(F.lit(1)).alias("rows"))
+    # Five rows, one per rule.
+    found = unresolved_keys(star).unionByName(statuses).unionByName(rows).collect()
+    counts = {r["key"]: r["rows"] for r in found}
+    if not counts.pop("fact"):
         raise IntegrityError("there are no orders")
-    problems = {r["key"]: r["rows"] for r in unresolved_keys(star).collect() if r["rows"]}
-    unknown = ~F.col("status").isin(*STATUSES)
-    bad_status = star.fact_orders.agg(F.count_if(unknown).alias("n")).first()["n"]
-    if bad_status:
-        problems["status"] = bad_status
+    problems = {key: n for key, n in counts.items() if n}
     if problems:
         raise IntegrityError(f"fact rows that match no dimension row or rule: {problems}")

@@ -117,17 +117,12 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def single_product_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One row per product ordered, each with an order id of its own: 1, 2, 3 ..."""
     # Numbers are given to the lines before the join, which they do not depend on.
-    # 2^18 orders of a few lines each make a block of about a million rows.
     lines = row_numbers_split(
         _table(spark, folder, "lineitem"),
         "order_id",
         order_by=_LINE_ORDER,
-        block=F.shiftright("l_orderkey", 18),
-        finer=[
-            F.col("l_orderkey"),
-            F.col("l_linenumber"),
-            F.shiftright("l_partkey", 10),
-        ],
+        levels=[F.shiftright("l_orderkey", 24), F.shiftright("l_orderkey", 12)],
+        finer=[F.col("l_orderkey"), F.col("l_linenumber"), F.shiftright("l_partkey", 10)],
     )
     heads = _table(spark, folder, "orders")
     return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
