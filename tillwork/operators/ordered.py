@@ -198,7 +198,7 @@ def row_numbers_split(
     *,
     order_by: list[str | Column],
     levels: list[Column],
-    finer: list[Column],
+    finer: Column,
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Like :func:`row_numbers`, for rows whose last level has no bound.
@@ -209,8 +209,8 @@ def row_numbers_split(
     blocked = df.withColumn("_block", levels[-1])
     hot = hot_keys(blocked, ["_block"], min_rows).withColumn("_hot", F.lit(True))
     marked = blocked.join(F.broadcast(hot), "_block", "left")
-    cut = [F.when(F.col("_hot"), c) for c in finer]
-    return row_numbers(marked, out, order_by=order_by, levels=[*levels, *cut]).drop(
+    cut = F.when(F.col("_hot"), finer)
+    return row_numbers(marked, out, order_by=order_by, levels=[*levels, cut]).drop(
         "_block", "_hot"
     )
 

@@ -122,7 +122,7 @@ def single_product_orders(spark: SparkSession, folder: str) -> DataFrame:
         "order_id",
         order_by=_LINE_ORDER,
         levels=[F.shiftright("l_orderkey", 24), F.shiftright("l_orderkey", 12)],
-        finer=[F.col("l_orderkey"), F.col("l_linenumber"), F.shiftright("l_partkey", 10)],
+        finer=F.struct("l_orderkey", "l_linenumber", F.shiftright("l_partkey", 14).alias("parts")),
     )
     heads = _table(spark, folder, "orders")
     return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
