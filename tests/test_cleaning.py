@@ -171,8 +171,8 @@ def test_ids_from_file_order_across_splits(spark, setting, tmp_path):
 def test_dead_letter_columns_counts_and_invariant(spark):
     customers = _feed(spark, RAW_CUSTOMERS, [("1", "", "", "C", None), ("2", "N", "n@x.y", "C", "")])
     products = _feed(spark, RAW_PRODUCTS, [("1", "", "c", "1")])
-    good_customers, bad_customers = cleaning.clean_customers(customers)
-    good_products, bad_products = cleaning.clean_products(products)
+    _, bad_customers = cleaning.clean_customers(customers)
+    _, bad_products = cleaning.clean_products(products)
     dead = cleaning.dead_letter(bad_customers, bad_products)
     assert dead.columns == [*RAW_CUSTOMERS, "source_table", "rejection_reason"] + [
         "product_id",
@@ -185,6 +185,11 @@ def test_dead_letter_columns_counts_and_invariant(spark):
         ("customers", "missing full_name", 1),
         ("products", "missing title", 1),
     ]
-    counts = cleaning.load_counts({"customers": good_customers, "products": good_products}, dead)
+    counts = cleaning.load_counts(
+        {
+            "customers": cleaning.annotate_customers(customers),
+            "products": cleaning.annotate_products(products),
+        }
+    )
     assert dict(tuples(counts)) == {"customers": 1, "products": 0, "rejected": 2}
     assert dead.filter(F.col("rejection_reason") == "").count() == 0

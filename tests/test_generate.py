@@ -9,8 +9,12 @@ from tillwork.plans import cleaning, generate
 TODAY = date(2025, 6, 30)
 
 
+def _ids(spark, n):
+    return spark.range(1, n + 1)
+
+
 def test_same_rows_however_partitioned(spark):
-    customers = generate.make_customers(spark, 200, today=TODAY)
+    customers = generate.make_customers(_ids(spark, 200), today=TODAY)
     once = sorted(tuples(generate.dirty_customers(customers)), key=repr)
     again = sorted(tuples(generate.dirty_customers(customers.repartition(13))), key=repr)
     assert once == again
@@ -19,10 +23,10 @@ def test_same_rows_however_partitioned(spark):
 
 
 def test_values_stay_in_their_ranges(spark):
-    products = generate.make_products(spark, 300)
+    products = generate.make_products(_ids(spark, 300))
     low, high = products.agg(F.min("price"), F.max("price")).first()
     assert 5 <= low and high <= 500
-    orders = generate.make_orders(spark, 400, today=TODAY)
+    orders = generate.make_orders(_ids(spark, 400), today=TODAY)
     assert {r[0] for r in tuples(orders.select("status").distinct())} == set(STATUSES)
     first, last = orders.agg(F.min("order_date"), F.max("order_date")).first()
     assert (TODAY - first).days <= 180 and last <= TODAY
@@ -31,9 +35,9 @@ def test_values_stay_in_their_ranges(spark):
 
 def test_faults_come_at_about_their_rates(spark):
     n = 20_000
-    customers = generate.make_customers(spark, n, today=TODAY)
-    products = generate.make_products(spark, n)
-    orders = generate.make_orders(spark, n, customers=n, products=n, today=TODAY)
+    customers = generate.make_customers(_ids(spark, n), today=TODAY)
+    products = generate.make_products(_ids(spark, n))
+    orders = generate.make_orders(_ids(spark, n), customers=n, products=n, today=TODAY)
     good_c, bad_c = cleaning.clean_customers(generate.dirty_customers(customers))
     good_p, bad_p = cleaning.clean_products(generate.dirty_products(products))
     # Against the untouched parents, so that only planted faults count.
@@ -67,6 +71,6 @@ def test_faults_come_at_about_their_rates(spark):
 
 def test_no_faults_at_rate_zero(spark):
     none = generate.FaultRates(**{f: 0.0 for f in generate.FaultRates.__dataclass_fields__})
-    customers = generate.make_customers(spark, 50, today=TODAY)
+    customers = generate.make_customers(_ids(spark, 50), today=TODAY)
     good, bad = cleaning.clean_customers(generate.dirty_customers(customers, none))
     assert (good.count(), bad.count()) == (50, 0)

@@ -14,11 +14,15 @@ from tillwork.plans.constraints import ConstraintError
 TODAY = date(2025, 6, 30)
 
 
+def _ids(spark, n):
+    return spark.range(1, n + 1)
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
-    customers = generate.make_customers(spark, 60, today=TODAY)
-    products = generate.make_products(spark, 12)
-    orders = generate.make_orders(spark, 500, customers=60, products=12, today=TODAY)
+    customers = generate.make_customers(_ids(spark, 60), today=TODAY)
+    products = generate.make_products(_ids(spark, 12))
+    orders = generate.make_orders(_ids(spark, 500), customers=60, products=12, today=TODAY)
     return customers.cache(), products.cache(), orders.cache()
 
 

@@ -73,12 +73,12 @@ def _dead_letter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _load_counts(spark: SparkSession, d: str) -> DataFrame:
-    tables = {
-        "customers": _customers_clean(spark, d)[0],
-        "products": _products_clean(spark, d)[0],
-        "orders": _orders_clean(spark, d)[0],
-    }
-    return cleaning.load_counts(tables, _dead_letter(spark, d))
+    customers = cleaning.annotate_customers(fx.customers_raw(spark, d))
+    products = cleaning.annotate_products(fx.products_raw(spark, d))
+    orders = cleaning.annotate_orders(
+        fx.orders_raw(spark, d), cleaning.accepted(customers), cleaning.accepted(products)
+    )
+    return cleaning.load_counts({"customers": customers, "products": products, "orders": orders})
 
 
 # The dirty feeds with types but before any rule: what constraint checks are for.
@@ -335,6 +335,34 @@ def _dense_order_keys(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _views_in_sql(spark: SparkSession, d: str) -> DataFrame:
+    """Big spenders by city, asked of the views in SQL."""
+    metrics.create_views(fixture_star(spark, d), AS_OF)
+    return spark.sql(
+        """
+        SELECT s.city, count(*) AS customers, sum(s.order_count) AS orders,
+               count(r.customer_id) AS repeaters, max(s.days_since_last_order) AS longest_pause
+        FROM vw_customer_summary s LEFT JOIN vw_repeat_customers r USING (customer_id)
+        GROUP BY s.city
+        """
+    )
+
+
+def _ids(df: DataFrame, name: str) -> DataFrame:
+    return df.select(F.col(name).alias("id"))
+
+
+def _made_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Made orders for the keys of the orders table, over as many customers and products."""
+    customers, products = fx.customers(spark, d), fx.products(spark, d)
+    return generate.make_orders(
+        _ids(fx.order_headers(spark, d), "order_id"),
+        customers=customers.agg(F.count(F.lit(1))).scalar(),
+        products=products.agg(F.count(F.lit(1))).scalar(),
+        today=AS_OF,
+    )
+
+
 def _generated_orders_clean(spark: SparkSession, d: str) -> DataFrame:
     """Planted faults found again: generated dirt through the cleaning rules."""
     customers = cleaning.clean_customers(generate.dirty_customers(fx.customers(spark, d)))
@@ -412,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "chart_monthly": lambda s, d: metrics.chart_series(fixture_star(s, d))["monthly_revenue"],
     "chart_category": lambda s, d: metrics.chart_series(fixture_star(s, d))["category_revenue"],
     "chart_top10": lambda s, d: metrics.chart_series(fixture_star(s, d))["top_customers"],
+    "views_in_sql": _views_in_sql,
     "daily_sales_stored": _stored_daily_sales,
     "daily_sales_incremental": _incremental_daily_sales,
     "dq_customers_clean": lambda s, d: _customers_clean(s, d)[0],
@@ -442,6 +471,11 @@ QUERIES: dict[str, Query] = {
     "sink_dead_letter_csv": _dead_letter_csv,
     "sink_report": _report_files,
     "sink_kpi_json": _kpi_file,
+    "gen_customers": lambda s, d: generate.make_customers(
+        _ids(fx.customers(s, d), "customer_id"), today=AS_OF
+    ),
+    "gen_products": lambda s, d: generate.make_products(_ids(fx.products(s, d), "product_id")),
+    "gen_orders": _made_orders,
     "gen_dirty_customers": lambda s, d: generate.dirty_customers(fx.customers(s, d)),
     "gen_dirty_products": lambda s, d: generate.dirty_products(fx.products(s, d)),
     "gen_dirty_orders": lambda s, d: generate.dirty_orders(fx.single_product_orders(s, d)),

@@ -207,10 +207,27 @@ def _cleaning(customers: str, products: str, orders: str, prefix: str) -> dict[s
     }
 
 
+_FIRST = "Amna Bilal Daniyal Farah Hina Junaid Kiran Omar Rabia"
+_LAST = "Akram Dar Ghani Jamil Kazmi Lodhi Nadeem Rana Tariq"
+_THINGS = "Lamp Kettle Cushion Serum Candle Basket Blanket Teapot"
+_LOOKS = "Plain Bright Folding Woven Light Sturdy Round"
+_CITIES = (
+    "Karachi Lahore Islamabad Rawalpindi Faisalabad Multan Peshawar Quetta Sialkot Sargodha "
+    "Hyderabad Gujranwala"
+)
+
+
 def _draw(key: str, salt: str) -> str:
     return f"CAST(concat('0x', left(md5(concat('{salt}:', CAST({key} AS VARCHAR))), 8)) AS BIGINT)"
 
 
+def _pick(key: str, salt: str, values: str) -> str:
+    """One of the words, by a draw."""
+    words = values.split()
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"(ARRAY[{listed}])[{_draw(key, '42' + salt)} % {len(words)} + 1]"
+
+
 def _roll(key: str, field: int) -> str:
     """The number in the four hex digits a field owns, as a share of 65536."""
     digest = f"md5(concat('42:', CAST({key} AS VARCHAR)))"
@@ -598,6 +615,38 @@ _BODIES: dict[str, str] = {
     "gen_dirty_customers": "SELECT * FROM gen_customers",
     "gen_dirty_products": "SELECT * FROM gen_products",
     "gen_dirty_orders": "SELECT * FROM gen_orders",
+    "gen_customers": f"""
+        SELECT id AS customer_id, concat(first, ' ', last) AS full_name,
+               concat(lower(first), '.', CAST(id AS VARCHAR), '@example.com') AS email, city,
+               CAST(DATE '2002-01-01' - CAST({_draw("id", "42since")} % 366 AS INTEGER) AS DATE)
+                   AS signup_date
+        FROM (SELECT c_custkey AS id, {_pick("c_custkey", "first", _FIRST)} AS first,
+                     {_pick("c_custkey", "last", _LAST)} AS last,
+                     {_pick("c_custkey", "home", _CITIES)} AS city
+              FROM customer) AS made(id, first, last, city)""",
+    "gen_products": f"""
+        SELECT p_partkey AS product_id,
+               concat({_pick("p_partkey", "look", _LOOKS)}, ' ',
+                      {_pick("p_partkey", "thing", _THINGS)}) AS title,
+               {_pick("p_partkey", "kind", "beauty fragrances furniture groceries")} AS category,
+               CAST(CAST(500 + {_draw("p_partkey", "42cents")} % 49501 AS DECIMAL(10,0)) / 100
+                    AS DECIMAL(10,2)) AS price
+        FROM part""",
+    "gen_orders": f"""
+        SELECT o_orderkey AS order_id,
+               {_draw("o_orderkey", "42buyer")} % (SELECT count(*) FROM customer) + 1
+                   AS customer_id,
+               {_draw("o_orderkey", "42item")} % (SELECT count(*) FROM part) + 1 AS product_id,
+               CAST({_draw("o_orderkey", "42units")} % 5 + 1 AS INTEGER) AS quantity,
+               CAST(DATE '2002-01-01' - CAST({_draw("o_orderkey", "42when")} % 181 AS INTEGER)
+                    AS DATE) AS order_date,
+               {_pick("o_orderkey", "state", "completed pending returned cancelled")} AS status
+        FROM orders""",
+    "views_in_sql": """
+        SELECT city, count(*) AS customers, CAST(sum(order_count) AS BIGINT) AS orders,
+               count(*) FILTER (WHERE order_count >= 2) AS repeaters,
+               max(days_since_last_order) AS longest_pause
+        FROM by_customer GROUP BY 1""",
     "gen_reason_counts": """
         SELECT source_table, reason, count(*) AS row_count
         FROM (SELECT source_table, unnest(string_split(rejection_reason, '; ')) AS reason

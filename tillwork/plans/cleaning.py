@@ -204,10 +204,16 @@ def reason_counts(rejects: DataFrame) -> DataFrame:
     )
 
 
-def load_counts(tables: dict[str, DataFrame], rejects: DataFrame) -> DataFrame:
-    """Accepted rows per table, and the rejected rows of all feeds together."""
-    parts = [
-        df.agg(F.lit(name).alias("tbl"), F.count(F.lit(1)).alias("row_count"))
-        for name, df in [*tables.items(), ("rejected", rejects)]
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def load_counts(annotated: dict[str, DataFrame]) -> DataFrame:
+    """Accepted rows per table, and the rejected rows of all feeds together.
+
+    Takes the annotated tables, each of which is read once for both numbers.
+    """
+    good = F.count_if(F.col("reasons") == "").alias("accepted")
+    bad = F.count_if(F.col("reasons") != "").alias("rejected")
+    parts = [df.agg(F.lit(name).alias("tbl"), good, bad) for name, df in annotated.items()]
+    counts = reduce(DataFrame.unionByName, parts).unpivot(
+        ["tbl"], ["accepted", "rejected"], "kind", "n"
+    )
+    label = F.when(F.col("kind") == "rejected", "rejected").otherwise(F.col("tbl"))
+    return counts.groupBy(label.alias("tbl")).agg(F.sum("n").alias("row_count"))

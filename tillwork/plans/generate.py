@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.model import PRICE, STATUSES
@@ -189,17 +189,17 @@ def _day_before(day: date, back: Column) -> Column:
     return F.date_sub(F.lit(day), back.cast("int"))
 
 
-def make_customers(
-    spark: SparkSession, n: int = 300, *, today: date, seed: str = "42"
-) -> DataFrame:
-    """``n`` customers who signed up in the year before ``today``."""
+def make_customers(ids: DataFrame, *, today: date, seed: str = "42") -> DataFrame:
+    """A customer for each ``id``, who signed up in the year before ``today``.
+
+    ``spark.range(1, 301)`` gives the ids of the sample shop.
+    """
     key = F.col("id")
     first = _pick(key, f"{seed}first", _FIRST_NAMES)
     last = _pick(key, f"{seed}last", _LAST_NAMES)
-    name = F.concat_ws(" ", first, last)
-    return spark.range(1, n + 1).select(
+    return ids.select(
         key.alias("customer_id"),
-        name.alias("full_name"),
+        F.concat_ws(" ", first, last).alias("full_name"),
         F.concat(F.lower(first), F.lit("."), key.cast("string"), F.lit("@example.com")).alias(
             "email"
         ),
@@ -208,14 +208,14 @@ def make_customers(
     )
 
 
-def make_products(spark: SparkSession, n: int = 50, *, seed: str = "42") -> DataFrame:
-    """``n`` products priced from 5.00 to 500.00."""
+def make_products(ids: DataFrame, *, seed: str = "42") -> DataFrame:
+    """A product for each ``id``, priced from 5.00 to 500.00."""
     key = F.col("id")
     cents = 500 + draw(key, f"{seed}cents") % 49_501
     title = F.concat_ws(
         " ", _pick(key, f"{seed}look", _LOOKS), _pick(key, f"{seed}thing", _THINGS)
     )
-    return spark.range(1, n + 1).select(
+    return ids.select(
         key.alias("product_id"),
         title.alias("title"),
         _pick(key, f"{seed}kind", CATEGORIES).alias("category"),
@@ -224,17 +224,19 @@ def make_products(spark: SparkSession, n: int = 50, *, seed: str = "42") -> Data
 
 
 def make_orders(
-    spark: SparkSession,
-    n: int = 400,
+    ids: DataFrame,
     *,
-    customers: int = 300,
-    products: int = 50,
+    customers: int | Column = 300,
+    products: int | Column = 50,
     today: date,
     seed: str = "42",
 ) -> DataFrame:
-    """``n`` orders of one product each, from the 180 days before ``today``."""
+    """An order of one product for each ``id``, from the 180 days before ``today``.
+
+    Customer ids are drawn from 1 to ``customers``, product ids from 1 to ``products``.
+    """
     key = F.col("id")
-    return spark.range(1, n + 1).select(
+    return ids.select(
         key.alias("order_id"),
         (draw(key, f"{seed}buyer") % customers + 1).alias("customer_id"),
         (draw(key, f"{seed}item") % products + 1).alias("product_id"),

@@ -163,3 +163,19 @@ def chart_series(star: Star) -> dict[str, DataFrame]:
             "full_name", "total_spend"
         ),
     }
+
+
+def create_views(star: Star, as_of: date | None = None) -> None:
+    """The metrics as session views, for queries in SQL.
+
+    ``mvw_daily_sales`` is created by ``publish.create_daily_sales_view``, as it
+    reads the stored rows.
+    """
+    views = {
+        "vw_monthly_revenue": monthly_revenue(star),
+        "vw_category_performance": category_performance(star),
+        "vw_customer_summary": customer_summary(star, as_of),
+        "vw_repeat_customers": repeat_customers(star),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)

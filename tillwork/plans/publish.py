@@ -242,3 +242,8 @@ def refresh_daily_sales(
 def read_daily_sales(spark: SparkSession, root: str) -> DataFrame:
     """The stored rows; never recomputed on reading."""
     return read_table(spark, root, "daily_sales")
+
+
+def create_daily_sales_view(spark: SparkSession, root: str) -> None:
+    """The stored rows as a session view; create it again after a refresh."""
+    read_daily_sales(spark, root).createOrReplaceTempView("mvw_daily_sales")
