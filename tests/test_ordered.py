@@ -112,12 +112,13 @@ def test_running_revenue_never_sorts_raw_rows_in_one_partition(spark):
     assert "hashpartitioning(_l0" in physical
 
 
-def test_hot_keys_are_those_above_an_average_partition(spark):
+def test_hot_keys_are_few(spark):
     df = spark.createDataFrame([(0,)] * 60 + [(k,) for k in range(1, 41)], "k int")
     assert tuples(hot_keys(df, ["k"], min_rows=10)) == [(0,)]
     assert tuples(hot_keys(df, ["k"], min_rows=60)) == []
-    # With a very low floor the average (100 rows / 8 partitions) still decides.
-    assert tuples(hot_keys(df, ["k"], min_rows=0)) == [(0,)]
+    # However low the floor, fewer than max_keys keys qualify.
+    assert tuples(hot_keys(df, ["k"], min_rows=0, max_keys=100)) == [(0,)]
+    assert hot_keys(df, ["k"], min_rows=0, max_keys=101).count() == 41
 
 
 @pytest.mark.parametrize("min_rows", [20, 10**6])

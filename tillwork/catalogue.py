@@ -8,16 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.model import (
-    NUMBER_LIMITS,
-    RAW_CUSTOMERS,
-    RAW_ORDERS,
-    RAW_PRODUCTS,
-    STATUSES,
-    Star,
-)
 from tillwork.functions.casts import price, strict_date, whole_number
 from tillwork.functions.text import cell
+from tillwork.model import NUMBER_LIMITS, RAW_CUSTOMERS, STATUSES, Star
 from tillwork.operators.ordered import id_block, row_numbers
 from tillwork.plans import (
     cleaning,
@@ -53,6 +46,15 @@ def fixture_star(spark: SparkSession, d: str, *, numbered: bool = False) -> Star
     return star.build_star(fx.customers(spark, d), fx.products(spark, d), orders)
 
 
+def _annotated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    customers = cleaning.annotate_customers(fx.customers_raw(spark, d))
+    products = cleaning.annotate_products(fx.products_raw(spark, d))
+    orders = cleaning.annotate_orders(
+        fx.orders_raw(spark, d), cleaning.accepted(customers), cleaning.accepted(products)
+    )
+    return {"customers": customers, "products": products, "orders": orders}
+
+
 def _customers_clean(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return cleaning.clean_customers(fx.customers_raw(spark, d))
 
@@ -67,18 +69,12 @@ def _orders_clean(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _dead_letter(spark: SparkSession, d: str) -> DataFrame:
-    return cleaning.dead_letter(
-        _customers_clean(spark, d)[1], _products_clean(spark, d)[1], _orders_clean(spark, d)[1]
-    )
+    feeds_ = _annotated(spark, d).items()
+    return cleaning.dead_letter(*[cleaning.rejected(df, name) for name, df in feeds_])
 
 
 def _load_counts(spark: SparkSession, d: str) -> DataFrame:
-    customers = cleaning.annotate_customers(fx.customers_raw(spark, d))
-    products = cleaning.annotate_products(fx.products_raw(spark, d))
-    orders = cleaning.annotate_orders(
-        fx.orders_raw(spark, d), cleaning.accepted(customers), cleaning.accepted(products)
-    )
-    return cleaning.load_counts({"customers": customers, "products": products, "orders": orders})
+    return cleaning.load_counts(_annotated(spark, d))
 
 
 # The dirty feeds with types but before any rule: what constraint checks are for.
@@ -294,12 +290,11 @@ def _file_order_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def _dead_letter_csv(spark: SparkSession, d: str) -> DataFrame:
     path = f"{shared_folder(spark)}/dead_letter"
-    sinks.write_dead_letter(_dead_letter(spark, d), path)
-    columns = [*dict.fromkeys([*RAW_CUSTOMERS, *RAW_PRODUCTS, *RAW_ORDERS]), "rejection_reason"]
-    # CSV columns go by place: those of the written table, less the folder's own.
-    order = [c for c in _dead_letter(spark, d).columns if c != "source_table"]
-    assert sorted(order) == sorted(columns)
-    schema = ", ".join(f"{c} string" for c in [*order, "source_table"])
+    rejects = _dead_letter(spark, d)
+    sinks.write_dead_letter(rejects, path)
+    # CSV columns go by place; the one the folders are named by comes last.
+    columns = [c for c in rejects.columns if c != "source_table"] + ["source_table"]
+    schema = ", ".join(f"{c} string" for c in columns)
     stored = spark.read.schema(schema).option("header", True).csv(path)
     return stored.groupBy("source_table", "rejection_reason").agg(
         F.count(F.lit(1)).alias("row_count")
@@ -325,7 +320,7 @@ def _kpi_file(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def _dense_order_keys(spark: SparkSession, d: str) -> DataFrame:
+def _dense_payment_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Payments numbered 1, 2, 3 ... by date and id, as an identity column would."""
     return row_numbers(
         fx.payments(spark, d).select("payment_id", "payment_date"),
@@ -363,7 +358,7 @@ def _made_orders(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _generated_orders_clean(spark: SparkSession, d: str) -> DataFrame:
+def _planted_faults_found(spark: SparkSession, d: str) -> DataFrame:
     """Planted faults found again: generated dirt through the cleaning rules."""
     customers = cleaning.clean_customers(generate.dirty_customers(fx.customers(spark, d)))
     products = cleaning.clean_products(generate.dirty_products(fx.products(spark, d)))
@@ -465,7 +460,7 @@ QUERIES: dict[str, Query] = {
     "dq_orphan_order_rows": lambda s, d: constraints.foreign_key_violation_rows(
         _orders_typed(s, d), "customer_id", fx.customers(s, d)
     ),
-    "ordered_dense_numbers": _dense_order_keys,
+    "ordered_dense_numbers": _dense_payment_numbers,
     "src_csv_customers": _csv_customers,
     "src_file_order_ids": _file_order_ids,
     "sink_dead_letter_csv": _dead_letter_csv,
@@ -479,5 +474,5 @@ QUERIES: dict[str, Query] = {
     "gen_dirty_customers": lambda s, d: generate.dirty_customers(fx.customers(s, d)),
     "gen_dirty_products": lambda s, d: generate.dirty_products(fx.products(s, d)),
     "gen_dirty_orders": lambda s, d: generate.dirty_orders(fx.single_product_orders(s, d)),
-    "gen_reason_counts": _generated_orders_clean,
+    "gen_reason_counts": _planted_faults_found,
 }

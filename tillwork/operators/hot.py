@@ -11,18 +11,25 @@ from pyspark.sql import functions as F
 
 # Below this many rows a key is cheap to handle in one task.
 MIN_HOT_ROWS = 1_000_000
+# A hot key holds more than one row in this many, so fewer keys than this are hot.
+MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys holding more rows than an average shuffle partition.
+def hot_keys(
+    df: DataFrame,
+    keys: list[str],
+    min_rows: int = MIN_HOT_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """Keys with more than ``min_rows`` rows and more than ``1 / max_keys`` of all rows.
 
-    Fewer keys than shuffle partitions can exceed that average, so the result is
-    small enough to broadcast whatever the size of ``df``.
+    Fewer than ``max_keys`` keys can hold that share each, so the result is small
+    enough to broadcast whatever the size of ``df``.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    average = sizes.agg((F.sum("_rows") / F.lit(partitions)).alias("_average")).scalar()
-    return sizes.filter((F.col("_rows") > min_rows) & (F.col("_rows") > average)).select(*keys)
+    total = sizes.agg(F.sum("_rows")).scalar()
+    is_hot = (F.col("_rows") > min_rows) & (F.col("_rows") * max_keys > total)
+    return sizes.filter(is_hot).select(*keys)
 
 
 def split_hot(

@@ -195,7 +195,7 @@ def order_sequence(
     usual = usual.withColumn("order_number", F.row_number().over(by_date).cast("bigint")).join(
         names, "customer_id"
     )
-    # Hot customers are fewer than the shuffle partitions, so are their names.
+    # Hot customers are few by definition, and so are their names.
     busy = row_numbers(
         busy,
         "order_number",
@@ -227,9 +227,9 @@ def order_sizes(
     )
     labelled = (
         orders.select("order_id", "customer_id", "product_id")
-        .join(payments.select("payment_id", "order_id", "amount"), "order_id")
         .join(products.select("product_id", F.col("title").alias("product")), "product_id")
         .join(customers.select("customer_id", "full_name"), "customer_id")
+        .join(payments.select("payment_id", "order_id", "amount"), "order_id")
         .withColumn("order_size", size)
     )
     return _sorted(
