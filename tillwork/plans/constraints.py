@@ -18,20 +18,50 @@ class ConstraintError(Exception):
     """A table breaks one of its constraints."""
 
 
-def _counted(df: DataFrame, table: str, rule: str, broken: dict[str, Column]) -> DataFrame:
-    # All conditions of one table are counted in one pass.
-    counts = df.agg(*[F.count_if(cond).alias(name) for name, cond in broken.items()])
-    return counts.unpivot([], list(broken), "subject", "violations").select(
-        F.lit(table).alias("tbl"), F.lit(rule).alias("rule"), "subject", "violations"
-    )
+# A rule about single rows: its kind, what it is about, and when a row breaks it.
+Rule = tuple[str, str, Column]
+
+
+def not_null(columns: list[str]) -> list[Rule]:
+    return [("not null", c, F.col(c).isNull()) for c in columns]
+
+
+def checks(conditions: dict[str, Column]) -> list[Rule]:
+    return [("check", name, ~ok) for name, ok in conditions.items()]
+
+
+def widths(
+    text: dict[str, int] | None = None, numbers: dict[str, tuple[int, int]] | None = None
+) -> list[Rule]:
+    """Texts longer than allowed, and numbers that do not fit (precision, scale)."""
+    rules: list[Rule] = [("width", c, F.length(c) > n) for c, n in (text or {}).items()]
+    for c, (precision, scale) in (numbers or {}).items():
+        fits = F.col(c).try_cast(f"decimal({precision},{scale})").isNotNull()
+        rules.append(("width", c, F.col(c).isNotNull() & ~fits))
+    return rules
+
+
+def row_violations(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """Rows breaking each rule; one pass counts them all."""
+    counts = df.agg(*[F.count_if(broken).alias(f"_{n}") for n, (_, _, broken) in enumerate(rules)])
+    found = [
+        F.struct(
+            F.lit(table).alias("tbl"),
+            F.lit(kind).alias("rule"),
+            F.lit(subject).alias("subject"),
+            F.col(f"_{n}").alias("violations"),
+        )
+        for n, (kind, subject, _) in enumerate(rules)
+    ]
+    return counts.select(F.inline(F.array(*found)))
 
 
 def null_violations(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    return _counted(df, table, "not null", {c: F.col(c).isNull() for c in columns})
+    return row_violations(df, table, not_null(columns))
 
 
-def check_violations(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
-    return _counted(df, table, "check", {name: ~ok for name, ok in checks.items()})
+def check_violations(df: DataFrame, table: str, conditions: dict[str, Column]) -> DataFrame:
+    return row_violations(df, table, checks(conditions))
 
 
 def width_violations(
@@ -40,12 +70,7 @@ def width_violations(
     text: dict[str, int] | None = None,
     numbers: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """Texts longer than allowed, and numbers that do not fit (precision, scale)."""
-    broken = {c: F.length(c) > n for c, n in (text or {}).items()}
-    for c, (precision, scale) in (numbers or {}).items():
-        fits = F.col(c).try_cast(f"decimal({precision},{scale})").isNotNull()
-        broken[c] = F.col(c).isNotNull() & ~fits
-    return _counted(df, table, "width", broken)
+    return row_violations(df, table, widths(text, numbers))
 
 
 def _repeated(df: DataFrame, key: list[str]) -> DataFrame:
@@ -112,42 +137,48 @@ def operational_violations(
     payments: DataFrame | None = None,
 ) -> DataFrame:
     """All constraints of the operational tables."""
-    amounts = {
+    order_checks = {
         "quantity > 0": F.col("quantity") > 0,
         "status is known": F.col("status").isin(*STATUSES),
     }
     parts = [
-        null_violations(customers, "customers", ["customer_id", "full_name", "email", "city"]),
-        null_violations(products, "products", ["product_id", "title", "category", "price"]),
-        null_violations(
+        row_violations(
+            customers,
+            "customers",
+            not_null(["customer_id", "full_name", "email", "city"])
+            + widths(TEXT_LIMITS["customers"]),
+        ),
+        row_violations(
+            products,
+            "products",
+            not_null(["product_id", "title", "category", "price"])
+            + widths(TEXT_LIMITS["products"], NUMBER_LIMITS["products"]),
+        ),
+        row_violations(
             orders,
             "orders",
-            ["order_id", "customer_id", "product_id", "quantity", "order_date", "status"],
+            not_null(
+                ["order_id", "customer_id", "product_id", "quantity", "order_date", "status"]
+            )
+            + checks(order_checks)
+            + widths(TEXT_LIMITS["orders"]),
         ),
         unique_violations(customers, "customers", [["customer_id"], ["email"]]),
         unique_violations(products, "products", [["product_id"]]),
         unique_violations(orders, "orders", [["order_id"]]),
-        check_violations(orders, "orders", amounts),
-        width_violations(customers, "customers", TEXT_LIMITS["customers"]),
-        width_violations(
-            products, "products", TEXT_LIMITS["products"], NUMBER_LIMITS["products"]
-        ),
-        width_violations(orders, "orders", TEXT_LIMITS["orders"]),
         foreign_key_violations(orders, "orders", "customer_id", customers),
         foreign_key_violations(orders, "orders", "product_id", products),
     ]
     if payments is not None:
         parts += [
-            null_violations(
+            row_violations(
                 payments,
                 "payments",
-                ["payment_id", "order_id", "payment_date", "amount", "method"],
+                not_null(["payment_id", "order_id", "payment_date", "amount", "method"])
+                + checks({"amount > 0": F.col("amount") > 0})
+                + widths(TEXT_LIMITS["payments"], NUMBER_LIMITS["payments"]),
             ),
             unique_violations(payments, "payments", [["payment_id"]]),
-            check_violations(payments, "payments", {"amount > 0": F.col("amount") > 0}),
-            width_violations(
-                payments, "payments", TEXT_LIMITS["payments"], NUMBER_LIMITS["payments"]
-            ),
             foreign_key_violations(payments, "payments", "order_id", orders),
         ]
     return reduce(DataFrame.unionByName, parts)

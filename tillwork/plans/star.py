@@ -104,13 +104,14 @@ def unresolved_keys(star: Star) -> DataFrame:
 
 def check_star(star: Star) -> None:
     """Raises unless the fact has rows, every key resolves and each status is known."""
-    statuses = star.fact_orders.agg(
-        F.lit("status").alias("key"),
-        F.count_if(F.col("status").isNull() | ~F.col("status").isin(*STATUSES)).alias("rows"),
-    )
-    rows = star.fact_orders.agg(F.lit("fact").alias("key"), F.count(F.lit(1)).alias("rows"))
+    unknown = F.col("status").isNull() | ~F.col("status").isin(*STATUSES)
+    totals = star.fact_orders.agg(F.count(F.lit(1)).alias("fact"), F.count_if(unknown).alias("status"))
     # Five rows, one per rule.
-    found = unresolved_keys(star).unionByName(statuses).unionByName(rows).collect()
+    found = (
+        unresolved_keys(star)
+        .unionByName(totals.unpivot([], ["fact", "status"], "key", "rows"))
+        .collect()
+    )
     counts = {r["key"]: r["rows"] for r in found}
     if not counts.pop("fact"):
         raise IntegrityError("there are no orders")
