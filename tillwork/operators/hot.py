@@ -1,12 +1,13 @@
-"""Finding the keys too big for one task.
+"""Keys with too many rows for one task.
 
 A window over a key puts all its rows into one task, and adaptive execution
-cannot split it. The ordered operators therefore treat such keys apart.
+cannot split it. The ordered operators therefore find such keys and treat them
+apart. A join with a hot key adaptive execution does split, given the chance.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Below this many rows a key is cheap to handle in one task.
@@ -43,3 +44,14 @@ def split_hot(
     usual = df.join(F.broadcast(hot), keys, "left_anti")
     busy = df.join(F.broadcast(hot), keys, "left_semi")
     return usual, busy, hot
+
+
+def spread(*keys: str) -> Column:
+    """A second grouping column, for a table reduced by ``keys`` that is then joined on them.
+
+    Adaptive execution splits the skewed partitions of a join only if both sides
+    come straight from a shuffle. A table grouped by the join keys alone would skip
+    that shuffle, and so rob the other side of the split. Grouped by this column as
+    well, which the keys determine, it has the same rows and is shuffled once more.
+    """
+    return F.xxhash64(*keys).alias("_spread")

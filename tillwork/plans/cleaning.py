@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tillwork.functions.casts import number, price, strict_date, whole_number
 from tillwork.functions.text import cell, email_ok
 from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS, STATUSES
+from tillwork.operators.hot import spread
 from tillwork.sources.feeds import POSITION
 
 # Rows without a usable email take no part in the search for duplicates. They get
@@ -83,7 +84,7 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
     good = ~(no_name | no_city | bad_signup | bad_key)
     firsts = (
         parsed.filter(usable)
-        .groupBy("_email")
+        .groupBy("_email", spread("_email"))
         .agg(F.min(F.when(good, F.col("_pos"))).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
         .select("_email", "_first")
@@ -128,6 +129,12 @@ def annotate_products(raw: DataFrame) -> DataFrame:
     )
 
 
+def _known(parents: DataFrame, key: str, name: str) -> DataFrame:
+    """The ids of ``parents``, each once."""
+    ids = parents.select(F.col(key).alias(name))
+    return ids.withColumn("_spread", spread(name)).distinct().drop("_spread")
+
+
 def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """``customers`` and ``products`` are the accepted rows: rejecting a parent rejects its orders."""
     customer = whole_number(cell(F.col("customer_id")))
@@ -145,8 +152,8 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
         customer.alias("_customer"),
         product.alias("_product"),
     )
-    buyers = customers.select(F.col("customer_id").alias("_customer")).distinct()
-    items = products.select(F.col("product_id").alias("_product")).distinct()
+    buyers = _known(customers, "customer_id", "_customer")
+    items = _known(products, "product_id", "_product")
     known = parsed.join(buyers.withColumn("_buyer", F.lit(True)), "_customer", "left").join(
         items.withColumn("_item", F.lit(True)), "_product", "left"
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.model import NUMBER_LIMITS, STATUSES, TEXT_LIMITS
+from tillwork.operators.hot import spread
 
 
 class ConstraintError(Exception):
@@ -74,8 +75,8 @@ def width_violations(
 
 
 def _repeated(df: DataFrame, key: list[str]) -> DataFrame:
-    present = df.dropna(subset=key)
-    return present.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    groups = df.dropna(subset=key).groupBy(*key, spread(*key))
+    return groups.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
 
 
 def unique_violations(df: DataFrame, table: str, keys: list[list[str]]) -> DataFrame:
@@ -97,22 +98,18 @@ def unique_violation_rows(df: DataFrame, key: list[str]) -> DataFrame:
     return df.join(_repeated(df, key).select(*key), key, "left_semi")
 
 
-def _without_parent(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    # Counted per value first, so a value in very many rows does not skew the join.
-    values = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    keys = parent.select(F.col(parent_key).alias("_value"))
-    return values.join(keys, "_value", "left_anti")
+def _orphans(df: DataFrame, column: str, parent: DataFrame, parent_key: str | None) -> DataFrame:
+    keys = parent.select(F.col(parent_key or column).alias(column))
+    return df.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
 def foreign_key_violations(
     df: DataFrame, table: str, column: str, parent: DataFrame, parent_key: str | None = None
 ) -> DataFrame:
     """The number of rows whose value is no key of ``parent``."""
-    return _without_parent(df, column, parent, parent_key or column).agg(
+    # Counted per value first, so a value in very many rows does not skew the join.
+    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    return _orphans(values, column, parent, parent_key).agg(
         F.lit(table).alias("tbl"),
         F.lit("foreign key").alias("rule"),
         F.lit(column).alias("subject"),
@@ -124,10 +121,7 @@ def foreign_key_violation_rows(
     df: DataFrame, column: str, parent: DataFrame, parent_key: str | None = None
 ) -> DataFrame:
     """The rows whose value is no key of ``parent``."""
-    missing = _without_parent(df, column, parent, parent_key or column).select(
-        F.col("_value").alias(column)
-    )
-    return df.join(missing, column, "left_semi")
+    return _orphans(df, column, parent, parent_key)
 
 
 def operational_violations(
