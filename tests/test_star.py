@@ -62,7 +62,8 @@ def test_metrics_agree_with_each_other(shop_star):
     assert revenue == kinds == days[0] == kpis["total_revenue"]
     assert orders == days[1] == kpis["total_orders"]
     assert kpis["total_customers"] == summary.count()
-    rates = tuples(metrics.repeat_customers(shop_star).select("repeat_purchase_rate_pct").distinct())
+    repeaters = metrics.repeat_customers(shop_star)
+    rates = tuples(repeaters.select("repeat_purchase_rate_pct").distinct())
     assert rates == [(kpis["repeat_customer_rate_pct"],)]
     for r in summary.collect():
         assert r["days_since_last_order"] == (TODAY - r["last_order_date"]).days
@@ -102,7 +103,8 @@ def test_load_is_verified_and_repeatable(spark, tables, tmp_path):
     )
     assert checked["dim_customers"]["completed_revenue"] is None
     months = stored.fact_orders.select("month_key").distinct().count()
-    assert months == metrics.daily_sales(stored).select(F.trunc("sale_date", "MM")).distinct().count()
+    orders = tables[2].select(F.trunc("order_date", "MM"))
+    assert months == orders.distinct().count()
 
 
 @pytest.mark.parametrize("fault", ["customer", "product", "status", "empty", "repeated id"])
@@ -111,10 +113,14 @@ def test_a_bad_load_leaves_the_published_one(spark, tables, tmp_path, fault):
     root = str(tmp_path)
     version = publish.load_star(spark, root, *tables)
     one = F.col("order_id") == 7
+
+    def changed(column, value):
+        return F.when(one, value).otherwise(F.col(column))
+
     bad = {
-        "customer": orders.withColumn("customer_id", F.when(one, -1).otherwise(F.col("customer_id"))),
-        "product": orders.withColumn("product_id", F.when(one, -1).otherwise(F.col("product_id"))),
-        "status": orders.withColumn("status", F.when(one, "lost").otherwise(F.col("status"))),
+        "customer": orders.withColumn("customer_id", changed("customer_id", -1)),
+        "product": orders.withColumn("product_id", changed("product_id", -1)),
+        "status": orders.withColumn("status", changed("status", "lost")),
         "empty": orders.filter("false"),
         "repeated id": orders.unionByName(orders.filter(one)),
     }[fault]
@@ -141,7 +147,8 @@ def test_stored_daily_sales_are_stale_until_refreshed(spark, tables, tmp_path):
     customers, products, orders = tables
     warehouse, daily = str(tmp_path / "w"), str(tmp_path / "d")
     cut = date(2025, 4, 12)
-    publish.load_star(spark, warehouse, customers, products, orders.filter(F.col("order_date") < cut))
+    early = orders.filter(F.col("order_date") < cut)
+    publish.load_star(spark, warehouse, customers, products, early)
     publish.refresh_daily_sales(spark, daily, publish.read_star(spark, warehouse))
     before = publish.read_daily_sales(spark, daily)
     old_rows = sorted(tuples(before))
@@ -157,6 +164,15 @@ def test_stored_daily_sales_are_stale_until_refreshed(spark, tables, tmp_path):
     assert sorted(tuples(before)) == old_rows
 
 
+def test_metrics_read_only_what_they_need(spark, tables, tmp_path):
+    publish.load_star(spark, str(tmp_path), *tables)
+    stored = publish.read_star(spark, str(tmp_path))
+    plan = metrics.monthly_revenue(stored)._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and "total_amount" in x)
+    assert "EqualTo(status,completed)" in scan
+    assert "ReadSchema: struct<date_key:int,total_amount:decimal(12,2),status:string>" in scan
+
+
 def test_incremental_refresh_reads_touched_months_only(spark, tables, tmp_path):
     root = str(tmp_path)
     publish.load_star(spark, root, *tables)
@@ -220,3 +236,17 @@ def test_report_and_kpi_files(spark, shop_star, tmp_path):
     sinks.write_kpis(metrics.kpi_summary(shop_star), str(tmp_path / "k"))
     kpis = spark.read.json(str(tmp_path / "k")).first()
     assert kpis["total_orders"] == metrics.kpi_summary(shop_star).first()["total_orders"]
+
+
+def test_analytics_files(spark, tables, shop_star, tmp_path):
+    out = tmp_path / "out"
+    sinks.write_analytics(shop_star, str(out))
+    kpis = spark.read.json(str(out / "summary_stats")).first()
+    assert kpis["best_category"] == metrics.kpi_summary(shop_star).first()["best_category"]
+    months = spark.read.option("header", True).csv(str(out / "charts" / "report=monthly_revenue"))
+    assert months.count() == metrics.monthly_revenue(shop_star).count()
+    customers, products, orders = tables
+    unsold = star.build_star(customers, products, orders.filter("status != 'completed'"))
+    with pytest.raises(star.IntegrityError):
+        sinks.write_analytics(unsold, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()

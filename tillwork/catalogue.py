@@ -131,7 +131,9 @@ def _unique(spark: SparkSession, d: str) -> DataFrame:
             _customers_typed(spark, d), "customers", [["customer_id"], ["email"]]
         )
         .unionByName(
-            constraints.unique_violations(lines, "lines", [["order_id"], ["order_id", "product_id"]])
+            constraints.unique_violations(
+                lines, "lines", [["order_id"], ["order_id", "product_id"]]
+            )
         )
         .unionByName(
             constraints.unique_violations(fx.payments(spark, d), "payments", [["payment_id"]])
@@ -311,13 +313,13 @@ def _report_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _kpi_file(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/kpis"
-    sinks.write_kpis(metrics.kpi_summary(fixture_star(spark, d)), path)
+    path = shared_folder(spark)
+    sinks.write_analytics(fixture_star(spark, d), path)
     schema = (
         "total_revenue decimal(28,2), total_customers bigint, total_orders bigint, "
         "best_category string, repeat_customer_rate_pct decimal(18,2)"
     )
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(f"{path}/summary_stats")
 
 
 def _dense_payment_numbers(spark: SparkSession, d: str) -> DataFrame:

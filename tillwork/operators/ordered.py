@@ -220,6 +220,7 @@ def rank_by_amount(
 ) -> DataFrame:
     """Adds ``out``: the rank of each row by ``amount``, largest first; equal amounts share a rank.
 
+    Neither the amount nor a partition column may be null.
     Works on the distinct amounts, cut into ranges of ``width``. Amounts have two
     decimal places, so a range holds at most ``100 * width`` of them, however
     many rows the partition or a single amount has.

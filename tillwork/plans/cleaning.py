@@ -136,7 +136,7 @@ def _known(parents: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """``customers`` and ``products`` are the accepted rows: rejecting a parent rejects its orders."""
+    """Rejecting a parent rejects its orders: ``customers`` and ``products`` are accepted rows."""
     customer = whole_number(cell(F.col("customer_id")))
     product = whole_number(cell(F.col("product_id")))
     parsed = raw.select(

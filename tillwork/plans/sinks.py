@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tillwork.model import Star
+from tillwork.plans import metrics
+from tillwork.plans.star import IntegrityError
+
 
 def write_dead_letter(rejects: DataFrame, path: str) -> None:
     """CSV with headers, one folder per source table."""
@@ -24,3 +28,13 @@ def write_report(sections: dict[str, DataFrame], path: str, fmt: str = "csv") ->
 def write_kpis(kpis: DataFrame, path: str) -> None:
     """The one KPI row as JSON."""
     kpis.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_analytics(star: Star, path: str) -> None:
+    """The KPI row as JSON and the chart series as CSV; stops if there is nothing to show."""
+    kpis = metrics.kpi_summary(star)
+    row = kpis.first()
+    if not row["total_orders"]:
+        raise IntegrityError("the star has no completed orders")
+    write_kpis(kpis.sparkSession.createDataFrame([row], kpis.schema), f"{path}/summary_stats")
+    write_report(metrics.chart_series(star), f"{path}/charts")

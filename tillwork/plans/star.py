@@ -105,7 +105,9 @@ def unresolved_keys(star: Star) -> DataFrame:
 def check_star(star: Star) -> None:
     """Raises unless the fact has rows, every key resolves and each status is known."""
     unknown = F.col("status").isNull() | ~F.col("status").isin(*STATUSES)
-    totals = star.fact_orders.agg(F.count(F.lit(1)).alias("fact"), F.count_if(unknown).alias("status"))
+    totals = star.fact_orders.agg(
+        F.count(F.lit(1)).alias("fact"), F.count_if(unknown).alias("status")
+    )
     # Five rows, one per rule.
     found = (
         unresolved_keys(star)
