@@ -18,6 +18,27 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+MB = 2**20
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Task sizes for a cluster job that reads ``input_bytes``.
+
+    Reads come in splits of 128 to 512 MB. Of what is read, less than half is
+    shuffled once columns are pruned, so one shuffle partition for each 512 MB of
+    input stays within a task's memory. More than 40,000 partitions would cost the
+    driver more in bookkeeping than smaller tasks gain; beyond that, tasks spill.
+    """
+    split = min(max(input_bytes // 100_000, 128 * MB), 512 * MB)
+    partitions = min(max(input_bytes // (512 * MB), 200), 40_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        # Merge what turns out small up to this size, instead of filling all cores.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
 
 def build_session(
     app: str, master: str | None = None, settings: dict[str, str] | None = None
