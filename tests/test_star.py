@@ -107,7 +107,9 @@ def test_load_is_verified_and_repeatable(spark, tables, tmp_path):
     assert months == orders.distinct().count()
 
 
-@pytest.mark.parametrize("fault", ["customer", "product", "status", "empty", "repeated id"])
+@pytest.mark.parametrize(
+    "fault", ["customer", "product", "status", "empty", "repeated id", "repeated parent"]
+)
 def test_a_bad_load_leaves_the_published_one(spark, tables, tmp_path, fault):
     customers, products, orders = tables
     root = str(tmp_path)
@@ -123,7 +125,10 @@ def test_a_bad_load_leaves_the_published_one(spark, tables, tmp_path, fault):
         "status": orders.withColumn("status", changed("status", "lost")),
         "empty": orders.filter("false"),
         "repeated id": orders.unionByName(orders.filter(one)),
+        "repeated parent": orders,
     }[fault]
+    if fault == "repeated parent":
+        customers = customers.unionByName(customers.filter("customer_id = 3"))
     with pytest.raises((star.IntegrityError, ConstraintError)):
         publish.load_star(spark, root, customers, products, bad)
     assert publish.current_version(spark, root) == version

@@ -198,6 +198,10 @@ def _operational(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _star_rules(spark: SparkSession, d: str) -> DataFrame:
+    return constraints.star_violations(fixture_star(spark, d), [["order_id"]])
+
+
 def _unresolved(spark: SparkSession, d: str) -> DataFrame:
     # The raw orders: some name customers and products that do not exist.
     return star.unresolved_keys(
@@ -426,6 +430,7 @@ QUERIES: dict[str, Query] = {
         _orders_clean(s, d)[0], _products_clean(s, d)[0], dense_keys=True
     ),
     "star_unresolved_keys": _unresolved,
+    "star_constraints": _star_rules,
     "v01_monthly_revenue": lambda s, d: metrics.monthly_revenue(fixture_star(s, d)),
     "v02_category_performance": lambda s, d: metrics.category_performance(fixture_star(s, d)),
     "v03_customer_summary": lambda s, d: metrics.customer_summary(fixture_star(s, d), AS_OF),

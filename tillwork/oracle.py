@@ -593,6 +593,52 @@ _BODIES: dict[str, str] = {
             _orphans("payments", "payments_v", "order_id", "typed_orders"),
         ]
     ),
+    "star_constraints": _union(
+        [
+            *_nulls_of(
+                "dim_customers",
+                "(SELECT customer_id AS customer_key, * FROM customers_v)",
+                "customer_key customer_id full_name email city",
+            ),
+            *_nulls_of(
+                "dim_products",
+                "(SELECT product_id AS product_key, * FROM products_v)",
+                "product_key product_id title category price",
+            ),
+            *_nulls_of(
+                "dim_date",
+                "dim_date",
+                "date_key full_date year quarter month month_name day day_of_week day_name "
+                "is_weekend",
+            ),
+            *_nulls_of("fact_orders", "orders_v", "order_id quantity status"),
+            *_nulls_of("fact_orders", "fact", "unit_price total_amount"),
+            _broken(
+                "dim_customers", "customers_v", "width", "full_name", "length(full_name) > 100"
+            ),
+            _broken("dim_customers", "customers_v", "width", "email", "length(email) > 100"),
+            _broken("dim_customers", "customers_v", "width", "city", "length(city) > 50"),
+            _broken("dim_products", "products_v", "width", "title", "length(title) > 150"),
+            _broken("dim_products", "products_v", "width", "category", "length(category) > 50"),
+            _broken(
+                "fact_orders",
+                "orders_v",
+                "check",
+                "status is known",
+                f"NOT status IN {_STATUS_LIST}",
+            ),
+            _unique_of("dim_customers", "customers_v", "customer_id").replace(
+                "'customer_id' AS", "'customer_key' AS"
+            ),
+            _unique_of("dim_products", "products_v", "product_id").replace(
+                "'product_id' AS", "'product_key' AS"
+            ),
+            _unique_of("dim_date", "dim_date", "date_key"),
+            _unique_of("dim_date", "dim_date", "full_date"),
+            # Lines keep the id of their order here, so it repeats.
+            _unique_of("fact_orders", "orders_v", "order_id"),
+        ]
+    ),
     "dq_duplicate_email_rows": """
         SELECT * FROM typed_customers WHERE email IN
             (SELECT email FROM typed_customers GROUP BY email HAVING count(*) > 1)""",

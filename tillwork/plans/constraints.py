@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.model import NUMBER_LIMITS, STATUSES, TEXT_LIMITS
+from tillwork.model import NUMBER_LIMITS, STATUSES, TEXT_LIMITS, Star
 from tillwork.operators.hot import spread
 
 
@@ -178,6 +178,38 @@ def operational_violations(
     return reduce(DataFrame.unionByName, parts)
 
 
+def star_violations(star: Star, fact_keys: list[list[str]]) -> DataFrame:
+    """All constraints of the star but its foreign keys, which ``star.unresolved_keys`` counts."""
+    customers, products, days = star.dim_customers, star.dim_products, star.dim_date
+    known = {"status is known": F.col("status").isin(*STATUSES)}
+    parts = [
+        row_violations(
+            customers,
+            "dim_customers",
+            not_null(["customer_key", "customer_id", "full_name", "email", "city"])
+            + widths(TEXT_LIMITS["customers"]),
+        ),
+        row_violations(
+            products,
+            "dim_products",
+            not_null(["product_key", "product_id", "title", "category", "price"])
+            + widths(TEXT_LIMITS["products"]),
+        ),
+        row_violations(days, "dim_date", not_null(days.columns)),
+        row_violations(
+            star.fact_orders,
+            "fact_orders",
+            not_null([c for c in star.fact_orders.columns if not c.endswith("_key")])
+            + checks(known),
+        ),
+        unique_violations(customers, "dim_customers", [["customer_key"]]),
+        unique_violations(products, "dim_products", [["product_key"]]),
+        unique_violations(days, "dim_date", [["date_key"], ["full_date"]]),
+        unique_violations(star.fact_orders, "fact_orders", fact_keys),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def enforce(violations: DataFrame) -> None:
     """Raises if a rule is broken; there is one row per rule, so this collects few."""
     broken = violations.filter(F.col("violations") > 0).collect()

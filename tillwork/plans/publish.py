@@ -19,7 +19,12 @@ from pyspark.sql import functions as F
 
 from tillwork.model import COMPLETED, MONEY_SUM, Star
 from tillwork.plans import cleaning, metrics
-from tillwork.plans.constraints import enforce, operational_violations, unique_violations
+from tillwork.plans.constraints import (
+    enforce,
+    operational_violations,
+    star_violations,
+    unique_violations,
+)
 from tillwork.plans.star import build_star, check_star
 from tillwork.session import shared_folder
 
@@ -161,16 +166,17 @@ def load_star(
     star = build_star(customers, products, orders, dense_keys=dense_keys)
     tables = star.tables() | {"fact_orders": _with_month(star.fact_orders)}
 
+    keys = [["order_id"], ["order_key"]] if dense_keys else [["order_id"]]
+
     def check(t: Tables) -> None:
-        check_star(
-            Star(
-                fact_orders=t["fact_orders"],
-                dim_customers=t["dim_customers"],
-                dim_products=t["dim_products"],
-                dim_date=t["dim_date"],
-            )
+        stored = Star(
+            fact_orders=t["fact_orders"],
+            dim_customers=t["dim_customers"],
+            dim_products=t["dim_products"],
+            dim_date=t["dim_date"],
         )
-        enforce(unique_violations(t["fact_orders"], "fact_orders", [["order_id"]]))
+        check_star(stored)
+        enforce(star_violations(stored, keys))
 
     return publish(
         spark, root, tables, check=check, partition_by={"fact_orders": "month_key"}
