@@ -37,6 +37,7 @@ _THINGS = ("Lamp", "Kettle", "Cushion", "Serum", "Candle", "Basket", "Blanket",
 _LOOKS = ("Plain", "Bright", "Folding", "Woven", "Light", "Sturdy", "Round")
 
 
+# The shares of faulty rows in the sample shop's feeds.
 @dataclass(frozen=True)
 class FaultRates:
     """Shares of rows that get each fault; faults of one field exclude each other."""
