@@ -125,7 +125,7 @@ def _nulls(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _unique(spark: SparkSession, d: str) -> DataFrame:
-    lines = fx.orders(spark, d)
+    lines = fx.order_lines(spark, d)
     return (
         constraints.unique_violations(
             _customers_typed(spark, d), "customers", [["customer_id"], ["email"]]

@@ -114,6 +114,13 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order and product of each line, as they stand in the line table."""
+    return _table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
+    )
+
+
 def single_product_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One row per product ordered, each with an order id of its own: 1, 2, 3 ..."""
     # Numbers are given to the lines before the join, which they do not depend on.
