@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tillwork.catalogue import QUERIES
+from tillwork.oracle import ORACLE
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -24,17 +26,17 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
     assert entry(spark).columns == ["month", "total_revenue", "order_count", "avg_order_value"]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, duck, name):
-    df = queries()[name](spark, FOLDER)
-    cursor = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    cursor = duck.execute(ORACLE[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == sorted(df.columns)
     columns = sorted(names)

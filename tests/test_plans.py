@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from tillwork.catalogue import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # These write tables before they return a frame over what was stored.
 WRITING = {
     name
-    for name in queries()
+    for name in QUERIES
     if name.startswith(("src_", "sink_", "daily_sales_"))
     or name in ("n03_load_verification", "dq_operational_load")
 }
@@ -29,9 +29,9 @@ def full_size(setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_plan(spark, name):
-    lines = _plan(queries()[name](spark, FOLDER)).splitlines()
+    lines = _plan(QUERIES[name](spark, FOLDER)).splitlines()
     text = "\n".join(lines)
     # No pairs of everything with everything, and no rows through Python.
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
@@ -58,12 +58,12 @@ def test_plan(spark, name):
 
 
 def test_a_rank_of_one_is_cut_before_the_shuffle(spark):
-    plan = _plan(queries()["q12_preferred_payment_method"](spark, FOLDER))
+    plan = _plan(QUERIES["q12_preferred_payment_method"](spark, FOLDER))
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")
 
 
 def test_top_lists_are_taken_without_a_full_sort(spark):
     for name in ("q02_top_customers_by_payments", "q04_popular_products", "r02_top_customers"):
-        plan = _plan(queries()[name](spark, FOLDER))
+        plan = _plan(QUERIES[name](spark, FOLDER))
         assert "TakeOrderedAndProject" in plan
         assert "rangepartitioning" not in plan
