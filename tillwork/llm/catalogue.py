@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.llm.decontaminate import contaminated
 from tillwork.llm.mixture import mixture
 from tillwork.llm.near_dups import near_duplicates
+from tillwork.llm.secret_scan import KINDS, as_text, find_secrets
 from tillwork.llm.substrings import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,23 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def op1_secrets(spark: SparkSession, d: str) -> DataFrame:
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+    return find_secrets(_documents(spark, d)).select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(as_text(base), 256).alias("base_sha256"),
+        as_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return contaminated(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+
+
 def op5_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture(_documents(spark, d))
 
@@ -33,6 +52,8 @@ def op10_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets,
+    "op4_decontamination": op4_decontamination,
     "op5_mixture": op5_mixture,
     "op6_near_duplicates": op6_near_duplicates,
     "op10_repeated_passages": op10_repeated_passages,
