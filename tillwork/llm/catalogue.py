@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm.decontaminate import contaminated
+from tillwork.llm.lm import lattice_scores
 from tillwork.llm.mixture import mixture
 from tillwork.llm.near_dups import near_duplicates
 from tillwork.llm.secret_scan import KINDS, as_text, find_secrets
@@ -33,6 +34,10 @@ def op1_secrets(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op3_lattice_scores(spark: SparkSession, d: str) -> DataFrame:
+    return lattice_scores(_documents(spark, d))
+
+
 def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return contaminated(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
 
@@ -53,6 +58,7 @@ def op10_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op3_lattice_scores": op3_lattice_scores,
     "op4_decontamination": op4_decontamination,
     "op5_mixture": op5_mixture,
     "op6_near_duplicates": op6_near_duplicates,
