@@ -13,6 +13,7 @@ from tillwork.llm.mixture import mixture
 from tillwork.llm.near_dups import near_duplicates
 from tillwork.llm.secret_scan import KINDS, as_text, find_secrets
 from tillwork.llm.substrings import remove_repeats
+from tillwork.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,10 @@ def op6_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(_documents(spark, d), shingle=3, percent=85)
 
 
+def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity(_documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+
+
 def op10_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
     return remove_repeats(_documents(spark, d), window=50).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_mixture": op5_mixture,
     "op6_near_duplicates": op6_near_duplicates,
+    "op9_toxicity": op9_toxicity,
     "op10_repeated_passages": op10_repeated_passages,
 }
 
