@@ -246,3 +246,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of ``near_duplicates``, all columns.
+
+    The document with the smallest id stays; of rows that repeat an id, the one with the
+    least text. Rows without an id all stay.
+    """
+    groups = near_duplicates(docs, shingle, percent)
+    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    stay = docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    again = again.select(F.col("doc_id").alias("again"))
+    if again.isEmpty():
+        return stay
+    once = stay.join(again, stay["doc_id"] == F.col("again"), "left_anti")
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    first = (
+        stay.join(again, stay["doc_id"] == F.col("again"), "left_semi")
+        .select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("by"), row.alias("row"))
+        .groupBy("key")
+        .agg(F.min_by("row", "by").alias("row"))
+        .select("row.*")
+    )
+    return once.unionByName(first)

@@ -130,20 +130,11 @@ def _is_random(hit: Column) -> Column:
     return ~allowed & (highest_entropy(hit) > bits)
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
-    """The secrets of each text, as ``doc_id`` and ``spans``.
-
-    ``docs`` has ``doc_id`` and ``text``; other columns are not read. A span has its
-    ``kind``, ``start`` and ``end`` in code points, end exclusive; spans are in order of
-    start, then of ``KINDS``. The first three kinds have fixed shapes. The fourth are
-    strings of ``WINDOW`` or more characters some window of which has a high entropy for
-    its character class, unless they are on the allow-list or overlap a span of the other
-    kinds. One row for each input row; a missing or empty text has no spans. A text of
-    any length is searched as a whole, in one pass for each kind.
-    """
+def _scanned(docs: DataFrame) -> DataFrame:
+    """Each row of ``docs`` as ``row``, with its ``spans``."""
     text = F.coalesce("text", F.lit(""))
     found = docs.select(
-        F.col("doc_id"),
+        F.struct("*").alias("row"),
         F.concat(
             _spans(text, "assign", ASSIGN, LEAST["assign"], 4),
             _spans(text, "access", ACCESS, LEAST["access"], 2),
@@ -157,16 +148,30 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         lambda c: ~F.exists("base", lambda b: (b["at"] < c["end"]) & (c["at"] < b["end"])),
     )
     random = F.filter(apart, lambda c: _is_random(c["hit"]))
-    spans = F.array_sort(F.concat("base", F.when(F.size("candidates") > 0, random).otherwise(F.col("candidates"))))
+    added = F.when(F.size("candidates") > 0, random).otherwise(F.col("candidates"))
     named = F.transform(
-        spans,
+        F.array_sort(F.concat("base", added)),
         lambda s: F.struct(
             F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["rank"] + 1).alias("kind"),
             s["at"].alias("start"),
             s["end"].alias("end"),
         ),
     )
-    return found.select("doc_id", named.alias("spans"))
+    return found.select("row", named.alias("spans"))
+
+
+def find_secrets(docs: DataFrame) -> DataFrame:
+    """The secrets of each text, as ``doc_id`` and ``spans``.
+
+    ``docs`` has ``doc_id`` and ``text``; other columns are not read. A span has its
+    ``kind``, ``start`` and ``end`` in code points, end exclusive; spans are in order of
+    start, then of ``KINDS``. The first three kinds have fixed shapes. The fourth are
+    strings of ``WINDOW`` or more characters some window of which has a high entropy for
+    its character class, unless they are on the allow-list or overlap a span of the other
+    kinds. One row for each input row; a missing or empty text has no spans. A text of
+    any length is searched as a whole, in one pass for each kind.
+    """
+    return _scanned(docs).select("row.doc_id", "spans")
 
 
 def as_text(spans: Column) -> Column:
@@ -177,7 +182,7 @@ def as_text(spans: Column) -> Column:
     )
 
 
-def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+def _redacted(text: Column, spans: Column, mark: str) -> Column:
     """The text with ``mark`` in place of each span; spans that overlap get one mark."""
 
     def step(state: Column, span: Column) -> Column:
@@ -189,7 +194,26 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
         )
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("place"))
-    end = F.length(text)
     return F.aggregate(
-        spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["place"] + 1, end))
+        spans,
+        start,
+        step,
+        lambda s: F.concat(s["out"], F.substring(text, s["place"] + 1, F.length(text))),
+    )
+
+
+def without_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with ``mark`` in place of each secret of ``find_secrets``.
+
+    All rows and columns stay; ``n_chars``, if there, follows the text.
+    """
+    rows = _scanned(docs)
+    text = F.when(F.size("spans") > 0, _redacted(F.col("row.text"), F.col("spans"), mark)).otherwise(
+        F.col("row.text")
     )
+    rows = rows.withColumn("row", F.col("row").withField("text", text))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.size("spans") > 0, F.length("row.text")).otherwise(F.col("row.n_chars"))
+        kind = docs.schema["n_chars"].dataType
+        rows = rows.withColumn("row", F.col("row").withField("n_chars", n_chars.cast(kind)))
+    return rows.select("row.*")
