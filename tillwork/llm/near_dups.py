@@ -17,8 +17,8 @@ from tillwork.operators.hot import spread
 
 # The chance that banding misses a pair just at the threshold.
 MISS = 1e-7
-# Rounds in which every open bucket compares its rows with one of them.
-PIVOT_ROUNDS = 3
+# Buckets up to this size compare all their classes that are still apart.
+SMALL_BUCKET = 32
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -151,10 +151,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     Rows with equal sets are one class and need no comparison. Classes that share a band
     of minima are candidates; the chance to miss a pair at the threshold is below
-    ``MISS``, and smaller above it. A bucket of any size compares its classes with one of
-    them, a few times over, and drops out once all are in one component; only then are
-    classes that are still apart compared with each other. No pair within a component is
-    listed, so a group of thousands of near copies costs a few comparisons for each.
+    ``MISS``, and smaller above it. In a bucket of any size each class is first compared
+    with the most central one alone, which ties a group of near copies together with one
+    comparison for each. Only buckets that then still hold several components go on: small
+    ones with all pairs that are apart, large ones by an exact prefix filter.
 
     A missing or empty text, or one without words, has no shingles and no links. A row
     without an id has no component and is kept. Rows that repeat an id are one node.
@@ -186,58 +186,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
 
     # Rows with one set are linked even if the set is all they share.
-    edges = work.put(
+    copies = (
         signed_rows.select("doc_id", "class")
         .distinct()
         .join(classes.select("class", F.col("doc_id").alias("v"), spread("class")), "class")
         .filter("doc_id <> v")
         .select(F.col("doc_id").alias("u"), "v")
     )
-    links = None
-    tested = None
-    groups = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        placed = members
-        if groups is not None:
-            placed = (
-                members.withColumnRenamed("doc_id", "node")
-                .join(groups, "node", "left")
-                .select("class", "bucket", F.coalesce("component", "node").alias("doc_id"))
-            )
-        by_chance = F.xxhash64("class", F.lit(turn))
-        pivots = (
-            placed.groupBy("bucket", spread("bucket"))
-            .agg(
-                F.min(F.struct(by_chance.alias("draw"), "class", "doc_id")).alias("pivot"),
-                F.min("doc_id").alias("least"),
-                F.max("doc_id").alias("most"),
-            )
-            .filter("least < most")
-        )
-        if turn < PIVOT_ROUNDS:
-            others = pivots.select(
-                "bucket", F.col("pivot.class").alias("other"), F.col("pivot.doc_id").alias("at")
-            )
-        else:
-            open_rows = placed.join(pivots.select("bucket"), "bucket")
-            others = open_rows.select(
-                "bucket", F.col("class").alias("other"), F.col("doc_id").alias("at")
-            )
-        pairs = placed.join(others, "bucket").filter("doc_id <> at")
-        pairs = pairs.select(
-            F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")
-        ).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = work.put(pairs)
-        if pairs.isEmpty():
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = work.put(_linked(pairs, classes, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        groups = components(links, work)
-    if links is not None:
-        edges = edges.unionByName(links)
+    central = work.put(_to_centres(members))
+    links = work.put(_linked(central, classes, sets, percent))
+    groups = components(links, work)
+    apart = work.put(_still_open(members, groups))
+    pairs = _small_bucket_pairs(apart).unionByName(_large_bucket_pairs(apart, sets, percent))
+    pairs = work.put(pairs.distinct().join(central, ["a", "b"], "left_anti"))
+    edges = copies.unionByName(links).unionByName(_linked(pairs, classes, sets, percent))
     groups = components(edges, work)
     component = F.coalesce("component", "doc_id")
     return signed_rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -248,6 +210,106 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
 
 
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _to_centres(members: DataFrame) -> DataFrame:
+    """Pairs of each class with the most central one of each of its buckets.
+
+    The text that near copies were made from shares more bands with them than they do
+    with each other, so its buckets are larger in sum.
+    """
+    sizes = members.groupBy("bucket", spread("bucket")).agg(F.count(F.lit(1)).alias("size"))
+    weights = (
+        members.join(sizes.select("bucket", "size"), "bucket")
+        .groupBy("class", spread("class"))
+        .agg(F.sum("size").alias("weight"))
+    )
+    centres = (
+        members.join(weights.select("class", "weight"), "class")
+        .groupBy("bucket", spread("bucket"))
+        .agg(F.max(F.struct("weight", "class")).alias("centre"))
+        .select("bucket", F.col("centre.class").alias("other"))
+    )
+    pairs = members.join(centres, "bucket").filter("class <> other")
+    return pairs.select(*_ordered("class", "other")).distinct()
+
+
+def _still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with the bucket's size."""
+    placed = (
+        members.withColumnRenamed("doc_id", "node")
+        .join(groups, "node", "left")
+        .select("class", "bucket", F.coalesce("component", "node").alias("group"))
+    )
+    several = (
+        placed.groupBy("bucket", spread("bucket"))
+        .agg(
+            F.min("group").alias("least"),
+            F.max("group").alias("most"),
+            F.count(F.lit(1)).alias("size"),
+        )
+        .filter("least < most")
+        .select("bucket", "size")
+    )
+    return placed.join(several, "bucket")
+
+
+def _small_bucket_pairs(apart: DataFrame) -> DataFrame:
+    """All pairs of classes of different groups in buckets of up to ``SMALL_BUCKET``."""
+    small = apart.filter(F.col("size") <= SMALL_BUCKET)
+    others = small.select("bucket", F.col("class").alias("other"), F.col("group").alias("its"))
+    pairs = small.join(others, "bucket").filter("class < other AND group <> its")
+    return pairs.select(*_ordered("class", "other"))
+
+
+def _large_bucket_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates among the classes of larger buckets, none of the similar ones left out.
+
+    Every set is ordered by how many sets hold an element, rarest first. Two sets that are
+    similar enough share an element among the first few, and what follows their first
+    common one must still be long enough. A near copy with many words of its own begins
+    with those, which it shares with none, and so meets no other; what a group has in
+    common comes too late to count.
+    """
+    large = apart.filter(F.col("size") > SMALL_BUCKET).select("class", "group").distinct()
+    tokens = large.join(sets, "class").select(
+        "class", "group", F.size("hashes").alias("n"), F.explode("hashes").alias("token")
+    )
+    held = tokens.groupBy("token", spread("token")).agg(F.count(F.lit(1)).alias("held"))
+    ranked = (
+        tokens.join(held.select("token", "held"), "token")
+        .groupBy("class", "group", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("tokens"))
+    )
+    # The overlap of two similar sets, over the sum of their sizes, is at least p / (100 + p).
+    p = percent
+    n = F.col("n")
+    at_least = F.ceil(n * p / 100).cast("int")
+    first = ranked.select(
+        "class", "group", "n", F.posexplode(F.slice("tokens", F.lit(1), n - at_least + 1))
+    ).select("class", "group", "n", F.col("col.token").alias("token"), (n - F.col("pos")).alias("left"))
+    # ``left``: elements from here on. In the smaller set of a pair fewer places count.
+    shorter = first.filter((100 + p) * F.col("left") >= 2 * p * n).select(
+        F.col("class").alias("other"),
+        F.col("group").alias("its"),
+        F.col("n").alias("m"),
+        "token",
+        F.col("left").alias("its_left"),
+    )
+    least = shorter.groupBy("token", spread("token")).agg(F.min("m").alias("least"))
+    longer = first.join(least.select("token", "least"), "token").filter(
+        (100 + p) * F.col("left") >= p * (n + F.greatest("least", F.ceil(n * p / 100)))
+    )
+    similar_sizes = (F.col("m") <= n) & (100 * F.col("m") >= p * n)
+    enough = (100 + p) * F.least("left", "its_left") >= p * (n + F.col("m"))
+    pairs = longer.join(shorter, "token").filter(
+        (F.col("class") != F.col("other")) & (F.col("group") != F.col("its")) & similar_sizes & enough
+    )
+    return pairs.select(*_ordered("class", "other"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of ``near_duplicates``, all columns.
 
