@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.llm.ann import nearest
 from tillwork.llm.decontaminate import contaminated
 from tillwork.llm.lm import lattice_scores
+from tillwork.llm.main_text import main_texts
 from tillwork.llm.mixture import mixture
 from tillwork.llm.near_dups import near_duplicates
 from tillwork.llm.secret_scan import KINDS, as_text, find_secrets
 from tillwork.llm.substrings import remove_repeats
 from tillwork.llm.toxicity import toxicity
+from tillwork.llm.url_rules import judge, labelled_urls, mine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +38,11 @@ def op1_secrets(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op2_main_text(spark: SparkSession, d: str) -> DataFrame:
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    return main_texts(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_lattice_scores(spark: SparkSession, d: str) -> DataFrame:
     return lattice_scores(_documents(spark, d))
 
@@ -51,6 +59,17 @@ def op6_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(_documents(spark, d), shingle=3, percent=85)
 
 
+def op7_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return judge(pages, mine(labelled_urls(pages, labels)))
+
+
+def op8_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/embeddings.parquet")
+    return nearest(rows, F.col("vec_id") % 100 == 0)
+
+
 def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity(_documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
 
@@ -63,10 +82,13 @@ def op10_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
+    "op2_main_text": op2_main_text,
     "op3_lattice_scores": op3_lattice_scores,
     "op4_decontamination": op4_decontamination,
     "op5_mixture": op5_mixture,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_url_rules": op7_url_rules,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_repeated_passages": op10_repeated_passages,
 }
