@@ -317,19 +317,17 @@ def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     least text. Rows without an id all stay.
     """
     groups = near_duplicates(docs, shingle, percent)
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    stay = docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
     again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    again = again.select(F.col("doc_id").alias("again"))
+    # Under a name of its own each row stays apart from what it is compared with.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row"))
+    stay = rows.join(gone, "doc_id", "left_anti")
     if again.isEmpty():
-        return stay
-    once = stay.join(again, stay["doc_id"] == F.col("again"), "left_anti")
-    row = F.struct(*[F.col(c) for c in docs.columns])
+        return stay.select("row.*")
     first = (
-        stay.join(again, stay["doc_id"] == F.col("again"), "left_semi")
-        .select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("by"), row.alias("row"))
-        .groupBy("key")
-        .agg(F.min_by("row", "by").alias("row"))
-        .select("row.*")
+        stay.join(again, "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     )
-    return once.unionByName(first)
+    once = stay.join(again, "doc_id", "left_anti")
+    return once.select("row.*").unionByName(first.select("row.*"))
