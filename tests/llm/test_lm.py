@@ -1,0 +1,106 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_fixtures import documents, edges, prose, table, tuples  # noqa: F401
+
+from tillwork.llm import lm
+from tillwork.llm.lattice import Lattice, read_vocabulary
+from tillwork.llm.lm import VOCABULARY, lattice_scores
+from tillwork.llm.words import words
+
+PIECES = [b" ", b" a", b" ab", b"a", b"b", b"ab", b"ba", b"bab", b"\xc3", b"\xa9", "é".encode()]
+
+
+def segmentations(word, pieces):
+    if not word:
+        yield []
+    for n in range(1, len(word) + 1):
+        if word[:n] in pieces:
+            for rest in segmentations(word[n:], pieces):
+                yield [word[:n], *rest]
+
+
+def test_lattice_sums_over_all_segmentations():
+    weights = np.random.default_rng(1).dirichlet(np.ones(len(PIECES)))
+    of = dict(zip(PIECES, weights, strict=True))
+    tokens = [b"a", b"b", b"ab", b"abab", b"babab", "aéb".encode(), b"bbabba", b"ab"]
+    logs = Lattice(PIECES).log_weights(tokens, np.log(weights))
+    uses = Lattice(PIECES).expected(tokens, np.log(weights))
+    want = Counter()
+    for token, log in zip(tokens, logs, strict=True):
+        ways = list(segmentations(b" " + token, of))
+        each = [math.prod(of[p] for p in way) for way in ways]
+        assert math.isclose(log, math.log(sum(each)), rel_tol=1e-12)
+        for way, p in zip(ways, each, strict=True):
+            for piece in way:
+                want[piece] += p / sum(each)
+    assert np.allclose(uses, [want[p] for p in PIECES])
+
+
+def test_vocabulary():
+    pieces, weights = read_vocabulary(VOCABULARY)
+    assert len(set(pieces)) == len(pieces) and abs(weights.sum() - 1) < 1e-9
+    assert {bytes([b]) for b in range(256)} <= set(pieces)
+    assert all(b" " not in p[1:] for p in pieces)
+
+
+def test_expectation_raises_the_likelihood(prose):
+    pieces, weights = read_vocabulary(VOCABULARY)
+    lattice, tokens = Lattice(pieces), words(prose(300))
+    before = lattice.log_weights(tokens, np.log(weights)).sum()
+    uses = lattice.expected(tokens, np.log(weights)) + 1e-12
+    assert lattice.log_weights(tokens, np.log(uses / uses.sum())).sum() > before
+
+
+def base_rows(rows):
+    """Counts and base scores by plain code."""
+    held = [i is None or zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    tokens = [[*words(t, lower=True), None] for _, t in rows]
+    counts = Counter(w for h, ws in zip(held, tokens, strict=True) if not h for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    return [
+        (i, h, len(ws), sum(counts[w] > 0 for w in ws), n, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws))
+        for (i, _), h, ws in zip(rows, held, tokens, strict=True)
+    ]
+
+
+def check(documents, rows):
+    got = sorted(tuples(lattice_scores(documents(rows))), key=repr)
+    want = sorted(base_rows(rows), key=repr)
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5]
+        assert math.isclose(a[5], b[5], rel_tol=1e-9)
+        assert math.isfinite(a[6]) and a[6] < 0
+    return got
+
+
+@pytest.mark.parametrize("frequent", [1, 50, 1_000_000])
+def test_scores(documents, prose, monkeypatch, frequent):
+    """The same whether words are sent to the tasks or joined."""
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    rows = edges(prose) + [(20 + n, prose(prose.draw.randint(0, 80))) for n in range(60)]
+    got = check(documents, rows)
+    monkeypatch.setattr(lm, "FREQUENT", 7)
+    again = sorted(tuples(lattice_scores(documents(rows))), key=repr)
+    for a, b in zip(got, again, strict=True):
+        assert math.isclose(a[6], b[6], rel_tol=1e-9)
+
+
+def test_a_distribution(documents, prose):
+    """One-word texts: probabilities of words and the end add up to 1 at most, nearly all
+    of it on words of the training rows."""
+    rows = [(n, prose(40)) for n in range(100)]
+    vocabulary = sorted({w.decode() for _, t in rows for w in words(t)})
+    single = [(1000 + n, w) for n, w in enumerate(vocabulary)] + [(999, "")]
+    got = {r[0]: r[6] for r in tuples(lattice_scores(documents(rows + single)))}
+    end = got[999]
+    total = sum(10 ** (got[i] - end) for i, _ in single if i != 999) + 10**end
+    assert 0.8 < total <= 1 + 1e-9
+
+
+def test_no_training_rows(documents):
+    check(documents, [(None, "a b"), (None, None)])
+    assert tuples(lattice_scores(documents([]))) == []

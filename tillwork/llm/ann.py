@@ -44,8 +44,13 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.array(column.combine_chunks().flatten()).reshape(len(column), -1)
 
 
-def _route(rows: DataFrame, router: Router, far: float | None) -> DataFrame:
-    """Adds the part of each vector, or the parts of each query."""
+def _route(
+    rows: DataFrame, router: Router, far: float | None = None, least: np.ndarray | None = None
+) -> DataFrame:
+    """Adds the part of each vector, or, given ``far``, the parts of each query.
+
+    ``least`` holds the sizes of the parts over the number of rows that a query should meet.
+    """
 
     def make():
         def convert(columns):
@@ -53,7 +58,10 @@ def _route(rows: DataFrame, router: Router, far: float | None) -> DataFrame:
             if far is None:
                 parts = [np.array([p]) for p in odds.argmax(axis=1)]
             else:
-                parts = [np.flatnonzero(row < far) for row in ahead(odds)]
+                order = np.argsort(-odds, axis=1, kind="stable")
+                met = np.cumsum(least[order], axis=1) - least[order] < 1
+                near = np.take_along_axis(ahead(odds), order, axis=1) < far
+                parts = [o[w] for o, w in zip(order, near | met, strict=True)]
             return {**columns, "parts": lists(parts, pa.int32())}
 
         return convert
@@ -104,7 +112,7 @@ def nearest(rows: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     A neighbour graph of about ``sample`` vectors is cut into balanced parts, and a small
     network learns in which parts a vector's neighbours lie. Every row is put into its most
     probable part; a query goes to its most probable parts, as many as are needed to find
-    ``RECALL`` of the nearest of sample vectors that were kept out. Within a part all rows
+    ``RECALL`` of the nearest of sample vectors that were kept out, and ``k`` others. Within a part all rows
     are compared. Parts are cut into blocks of about ``BLOCK`` rows and ``QUERIES`` queries,
     so a part of any size, or a vector that is there any number of times, is shared out.
 
@@ -124,14 +132,17 @@ def nearest(rows: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
         router = Router(np.zeros((1, len(rows.first()["vector"]))), 1)
 
     index = work.put(
-        _route(rows, router, None).select("vec_id", "vector", F.element_at("parts", 1).alias("part"))
+        _route(rows, router).select("vec_id", "vector", F.element_at("parts", 1).alias("part"))
     )
+    # One row for each part.
+    sizes = np.zeros(router.weights[3].shape)
+    for row in index.groupBy("part").count().collect():
+        sizes[row["part"]] = row["count"]
     queries = work.put(
-        _route(rows.filter(is_query), router, far).select(
+        _route(rows.filter(is_query), router, far, sizes / (k + 1)).select(
             "vec_id", "vector", F.explode("parts").alias("part")
         )
     )
-    # One row for each part.
     blocks = (
         index.groupBy("part")
         .agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("of_rows"))

@@ -55,6 +55,7 @@ ENDS = {
 }
 SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
+_TAG = re.compile(r"<[a-zA-Z/!?]")
 # Standard deviation of the smoothing, in lines, and how far it reaches.
 SIGMA, REACH = 1.0, 2
 # Lines this many standard deviations above none are content.
@@ -174,12 +175,23 @@ def content_lines(lines: list[Line]) -> np.ndarray:
     return (smooth >= THRESHOLD * smooth.std()) & (ratios > 0)
 
 
+def _whole_markup(html: str) -> str:
+    """The page without a comment or tag that its end cuts off."""
+    comment = html.rfind("<!--")
+    if comment >= 0 and html.find("-->", comment) < 0:
+        html = html[:comment]
+    tag = html.rfind("<")
+    if tag > html.rfind(">") and _TAG.match(html, tag):
+        html = html[:tag]
+    return html
+
+
 def main_text(html: str | None) -> str:
     """The text of the article of one page; empty if there is none."""
     if not html:
         return ""
     parser = Lines()
-    parser.feed(html)
+    parser.feed(_whole_markup(html))
     parser.close()
     lines = [line for line in parser.lines if line.text]
     kept = [line for line in lines if not line.inside.dropped]

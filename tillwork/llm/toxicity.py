@@ -30,6 +30,7 @@ FACTORS = 4
 EPOCHS = 4
 BATCHES = 600
 BATCH = 64
+DECAY = 1e-2
 _CACHED_WORDS = 500_000
 
 
@@ -74,7 +75,8 @@ class Model:
         return self.bias + self.linear[places].sum() + 0.5 * pairs.sum()
 
     def score(self, places: np.ndarray) -> float:
-        return 1 / (1 + math.exp(-min(max(self.odds(places), -700.0), 700.0)))
+        odds = self.odds(places)
+        return 1 / (1 + math.exp(-odds)) if odds > -700 else 0.0
 
 
 def learn(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, seed: int = 1) -> Model:
@@ -112,7 +114,7 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, seed: i
             used, back = np.unique(at[real], return_inverse=True)
             pull, of, own = slope[of[real]], of[real], own[real]
             if len(used):
-                step = np.bincount(back, pull, len(used)) + 1e-2 * model.linear[used]
+                step = np.bincount(back, pull, len(used)) + DECAY * model.linear[used]
                 seen_linear[used] += step**2
                 model.linear[used] -= 0.1 * step / np.sqrt(seen_linear[used])
                 grow = pull[:, None] * (total[of] - own)
