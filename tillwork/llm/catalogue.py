@@ -13,7 +13,20 @@ from tillwork.llm.lm import lattice_scores
 from tillwork.llm.main_text import main_texts
 from tillwork.llm.mixture import mixture
 from tillwork.llm.near_dups import near_duplicates
-from tillwork.llm.secret_scan import KINDS, as_text, find_secrets
+from tillwork.llm.secret_scan import (
+    ACCESS,
+    ALLOWED,
+    ASSIGN,
+    CANDIDATE,
+    HEX,
+    HEX_BITS,
+    KINDS,
+    LEAST,
+    MIXED_BITS,
+    WINDOW,
+    as_text,
+    find_secrets,
+)
 from tillwork.llm.substrings import remove_repeats
 from tillwork.llm.toxicity import toxicity
 from tillwork.llm.url_rules import judge, labelled_urls, mine
@@ -93,6 +106,58 @@ QUERIES: dict[str, Query] = {
     "op10_repeated_passages": op10_repeated_passages,
 }
 
+def _spans_sql(kind: str, pattern: str, least: int, value: int) -> str:
+    together = rf"(?s)(.*?)({pattern}|\z)".replace("'", "''")
+    return f"""
+        SELECT rid, doc_id, {KINDS.index(kind)} AS rank, '{kind}' AS kind, hit, value,
+               CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY rid ORDER BY i)
+                    AS BIGINT) AS until
+        FROM (SELECT rid, doc_id, unnest(gaps) AS gap, unnest(hits) AS hit,
+                     unnest(vals) AS value, unnest(range(len(gaps))) AS i
+              FROM (SELECT rid, doc_id, regexp_extract_all(text, '{together}', 1) AS gaps,
+                           regexp_extract_all(text, '{together}', 2) AS hits,
+                           regexp_extract_all(text, '{together}', {value}) AS vals FROM docs))
+        QUALIFY length(value) >= {least}"""
+
+
+def _secrets_sql() -> str:
+    allowed = " OR ".join(
+        "regexp_matches(hit, '{}')".format(p.replace("'", "''")) for p in ALLOWED
+    )
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text
+                      FROM documents),
+        base AS ({_spans_sql("assign", ASSIGN, LEAST["assign"], 4)}
+            UNION ALL {_spans_sql("access", ACCESS, LEAST["access"], 2)}
+            UNION ALL {_spans_sql("hex", HEX, LEAST["hex"], 2)}),
+        candidates AS ({_spans_sql("entropy", CANDIDATE, 1, 2)}),
+        added AS (
+            SELECT * FROM candidates c
+            WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid
+                    AND b.until - length(b.hit) < c.until AND c.until - length(c.hit) < b.until)
+              AND NOT ({allowed})
+              AND list_max(list_transform(range(1, length(hit) - {WINDOW} + 2), lambda i:
+                    list_aggregate(string_split(substr(hit, i, {WINDOW}), ''), 'entropy')))
+                  > CASE WHEN regexp_matches(hit, '^([0-9a-f]+|[0-9A-F]+)$')
+                         THEN {HEX_BITS} ELSE {MIXED_BITS} END),
+        spans AS (
+            SELECT rid, rank, kind, until - length(hit) AS begins,
+                   kind || ':' || (until - length(hit)) || ':' || until AS span
+            FROM (SELECT * FROM base UNION ALL SELECT * FROM added)),
+        listed AS (
+            SELECT rid, count(*) FILTER (WHERE rank = 0) AS n_assign,
+                   count(*) FILTER (WHERE rank = 1) AS n_access,
+                   count(*) FILTER (WHERE rank = 2) AS n_hex,
+                   count(*) FILTER (WHERE rank = 3) AS n_entropy,
+                   string_agg(span, ',' ORDER BY begins, rank) FILTER (WHERE rank < 3) AS base,
+                   string_agg(span, ',' ORDER BY begins, rank) AS spans
+            FROM spans GROUP BY rid)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+               coalesce(n_hex, 0) AS n_hex, coalesce(n_entropy, 0) AS n_entropy,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN listed USING (rid)"""
+
+
 ORACLE: dict[str, str] = {
     "op5_mixture": r"""
         WITH sized AS (
@@ -132,4 +197,53 @@ ORACLE: dict[str, str] = {
                     WHEN until - alike <= need AND until - need < need - (until - alike) THEN 1
                     ELSE 0 END) AS BIGINT) AS taken
         FROM running""",
+    "op1_secrets": _secrets_sql(),
+    # Compares all pairs that share a shingle, and follows all links.
+    "op6_near_duplicates": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i
+                  FROM split WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+        reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION SELECT reach.doc_id, links.v FROM reach JOIN links ON links.u = reach.other),
+        least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id,
+               doc_id = component_id AS kept
+        FROM documents JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)""",
+    "op10_repeated_passages": r"""
+        WITH split AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        windows AS (
+            SELECT rid, doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS s
+            FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM split)),
+        first AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
+        repeated AS (SELECT rid, i FROM windows JOIN first USING (s) WHERE least < doc_id),
+        covered AS (
+            SELECT rid, word, t.i, coalesce(max(CASE WHEN r.i IS NOT NULL THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY rid ORDER BY t.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+                   0) AS gone
+            FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split) t
+            LEFT JOIN repeated r USING (rid, i)),
+        kept AS (
+            SELECT rid, count(*) FILTER (WHERE gone = 1) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS text
+            FROM covered GROUP BY rid)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (rid)""",
 }

@@ -111,9 +111,15 @@ def thresholds(
     # The last bucket is taken if that comes closer to the target.
     closer = F.col("before") + F.col("inside") - F.col("need") < F.col("need") - F.col("before")
     below = done.select("of", (F.col("first") + F.when(closer, F.col("width")).otherwise(0)).alias("below"))
-    return targets.join(below, F.col("source").eqNullSafe(F.col("of")), "left").select(
-        F.col("source").alias("of"), "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below")
+    plan = targets.join(below, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        F.col("source").alias("of"),
+        "source_size",
+        "target",
+        "whole",
+        F.coalesce("below", F.lit(0)).alias("below"),
     )
+    # As a table its size is known, so that Spark can tell whether to broadcast it.
+    return work.put(plan)
 
 
 def _sized(docs: DataFrame) -> DataFrame:

@@ -317,7 +317,8 @@ def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     least text. Rows without an id all stay.
     """
     groups = near_duplicates(docs, shingle, percent)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
+    work = Workspace(docs.sparkSession)
+    gone = work.put(groups.filter(~F.col("kept")).select("doc_id").distinct())
     again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
     # Under a name of its own each row stays apart from what it is compared with.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct("*").alias("row"))
