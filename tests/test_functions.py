@@ -76,3 +76,11 @@ def test_rounding_is_half_away_from_zero_and_zero_divides_to_null(spark):
     # -0.125 % rounds away from zero.
     tie = spark.createDataFrame([(-1, 800)], "p bigint, w bigint")
     assert tie.select(percent_2(F.col("p"), F.col("w"))).first()[0] == Decimal("-0.13")
+
+
+def test_percentages_of_sums_of_any_size(spark):
+    rows = [(10**24, 3 * 10**24), (-(10**20), 10**25), (1, 3), (2, 3), (0, 5), (None, 5)]
+    rows = [tuple(None if x is None else Decimal(x) for x in r) for r in rows]
+    df = spark.createDataFrame(rows, "p decimal(28,2), w decimal(28,2)")
+    got = [r[0] for r in df.select(percent_2(F.col("p"), F.col("w"))).collect()]
+    assert got == [Decimal(x) for x in ("33.33", "0.00", "33.33", "66.67", "0.00")] + [None]

@@ -34,7 +34,7 @@ def test_values_stay_in_their_ranges(spark):
 
 
 def test_faults_come_at_about_their_rates(spark):
-    n = 20_000
+    n = 120_000
     customers = generate.make_customers(_ids(spark, n), today=TODAY)
     products = generate.make_products(_ids(spark, n))
     orders = generate.make_orders(_ids(spark, n), customers=n, products=n, today=TODAY)
@@ -62,13 +62,20 @@ def test_faults_come_at_about_their_rates(spark):
         ("orders", "invalid order_date"): 0.03,
     }
     for key, rate in rates.items():
-        # The id 99999 and 88888 lie above n, so each planted one is unknown.
         assert abs(found[key] - rate) < 0.01, key
     # Some used emails belonged to a row that was itself rejected or changed.
     assert 0.02 < found["customers", "duplicate email"] <= 0.06
     assert good_c.count() + bad_c.count() == good_p.count() + bad_p.count() == n
 
 
+def test_used_emails_come_from_ids_with_gaps(spark):
+    ids = spark.range(1, 4001).selectExpr("id * 1000003 AS id")
+    customers = generate.make_customers(ids, today=TODAY)
+    _, bad = cleaning.clean_customers(generate.dirty_customers(customers))
+    used = bad.filter(F.contains("rejection_reason", F.lit("duplicate email"))).count()
+    assert 0.02 * 4000 < used <= 0.06 * 4000
+
+
 def test_no_faults_at_rate_zero(spark):
     none = generate.FaultRates(**{f: 0.0 for f in generate.FaultRates.__dataclass_fields__})
     customers = generate.make_customers(_ids(spark, 50), today=TODAY)

@@ -72,6 +72,21 @@ def test_metrics_agree_with_each_other(shop_star):
     assert top[-1] == summary.agg(F.max("total_spend")).first()
 
 
+def test_kpis_count_all_sales_even_of_unknown_customers(tables, shop_star):
+    some = shop_star.dim_customers.filter("customer_key > 3")
+    star_ = metrics.Star(
+        fact_orders=shop_star.fact_orders,
+        dim_customers=some,
+        dim_products=shop_star.dim_products,
+        dim_date=shop_star.dim_date,
+    )
+    row = metrics.kpi_summary(star_).first()
+    revenue, orders = metrics.monthly_revenue(star_).agg(
+        F.sum("total_revenue"), F.sum("order_count")
+    ).first()
+    assert (row["total_revenue"], row["total_orders"]) == (revenue, orders)
+
+
 def test_nobody_repeats(tables):
     customers, products, orders = tables
     once = orders.filter(F.col("status") == "completed").dropDuplicates(["customer_id"])

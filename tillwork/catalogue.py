@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillwork.functions.casts import price, strict_date, whole_number
 from tillwork.functions.text import cell
 from tillwork.model import NUMBER_LIMITS, RAW_CUSTOMERS, STATUSES, Star
-from tillwork.operators.ordered import id_block, row_numbers
+from tillwork.operators.ordered import row_numbers, spread_blocks
 from tillwork.plans import (
     cleaning,
     constraints,
@@ -328,11 +328,12 @@ def _kpi_file(spark: SparkSession, d: str) -> DataFrame:
 
 def _dense_payment_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Payments numbered 1, 2, 3 ... by date and id, as an identity column would."""
+    payments = fx.payments(spark, d).select("payment_id", "payment_date")
     return row_numbers(
-        fx.payments(spark, d).select("payment_id", "payment_date"),
+        payments,
         "payment_number",
         order_by=["payment_id"],
-        levels=[F.col("payment_date"), id_block("payment_id")],
+        levels=[F.col("payment_date"), spread_blocks(payments, "payment_id")],
     )
 
 

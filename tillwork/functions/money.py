@@ -24,8 +24,12 @@ def mean_2(total: Column, n: Column) -> Column:
 def percent_2(part: Column, whole: Column) -> Column:
     """``part`` as a percentage of ``whole`` to two places; null when whole is 0.
 
-    Both sides go through decimal(20,2), which leaves the quotient 14 places
-    before it is rounded.
+    Both sides have the type of a sum, and whole numbers are divided, so nothing is
+    rounded twice.
     """
-    part, whole = (c.cast("decimal(20,2)") for c in (part, whole))
-    return F.round(part * F.lit(100) / F.nullif(whole, F.lit(0)), 2).cast("decimal(18,2)")
+    part, whole = (c.cast(MONEY_SUM) for c in (part, whole))
+    size, of = F.abs(part), F.abs(whole)
+    # Hundredths of a percent, half up.
+    doubled = F.call_function("div", size * 20_000 + of, F.nullif(of * 2, F.lit(0)))
+    sign = F.when((part < 0) != (whole < 0), -1).otherwise(1)
+    return (sign * doubled.cast("decimal(18,0)") / 100).cast("decimal(18,2)")

@@ -12,25 +12,19 @@ from pyspark.sql import functions as F
 
 # Below this many rows a key is cheap to handle in one task.
 MIN_HOT_ROWS = 1_000_000
-# A hot key holds more than one row in this many, so fewer keys than this are hot.
-MAX_HOT_KEYS = 10_000
 
 
 def hot_keys(
     df: DataFrame,
     keys: list[str],
     min_rows: int = MIN_HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Keys with more than ``min_rows`` rows and more than ``1 / max_keys`` of all rows.
+    """Keys with more than ``min_rows`` rows, at most one for each ``min_rows`` rows.
 
-    Fewer than ``max_keys`` keys can hold that share each, so the result is small
-    enough to broadcast whatever the size of ``df``.
+    Whether that is few enough to broadcast is for Spark to see at run time.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = sizes.agg(F.sum("_rows")).scalar()
-    is_hot = (F.col("_rows") > min_rows) & (F.col("_rows") * max_keys > total)
-    return sizes.filter(is_hot).select(*keys)
+    sizes = df.groupBy(*keys, spread(*keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.filter(F.col("_rows") > min_rows).select(*keys)
 
 
 def split_hot(
@@ -41,8 +35,8 @@ def split_hot(
     With no hot key the second part is found empty at run time and not computed.
     """
     hot = hot_keys(df, keys, min_rows)
-    usual = df.join(F.broadcast(hot), keys, "left_anti")
-    busy = df.join(F.broadcast(hot), keys, "left_semi")
+    usual = df.join(hot, keys, "left_anti")
+    busy = df.join(hot, keys, "left_semi")
     return usual, busy, hot
 
 

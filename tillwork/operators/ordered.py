@@ -23,9 +23,8 @@ from tillwork.operators.hot import MIN_HOT_ROWS, hot_keys
 
 # A block of 2^20 unique ids holds at most 2^20 rows.
 BLOCK_BITS = 20
-# Blocks of blocks, for an order by id alone: 2^14 ids each, 2^14 blocks each, and
-# for 10^12 ids about four thousand of those.
-ID_LEVEL_BITS = (28, 14)
+# Blocks for each shuffle partition, so that hashing them deals rows out evenly.
+BLOCKS_PER_PARTITION = 8
 
 _HEAD, _ROW, _TAIL = 0, 1, 2
 
@@ -35,9 +34,33 @@ def id_block(key: str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(key).cast("bigint"), bits)
 
 
-def id_levels(key: str) -> list[Column]:
-    """Levels for an order by one unique whole-number id."""
-    return [id_block(key, bits) for bits in ID_LEVEL_BITS]
+def _cut(df: DataFrame, key: str) -> tuple[int, int]:
+    """Low bits of the ids to drop for a block, and for a block of blocks."""
+    low, high, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not n:
+        return BLOCK_BITS, BLOCK_BITS
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(n >> BLOCK_BITS, min(BLOCKS_PER_PARTITION * partitions, n >> 10), 1)
+    fine = min(max(0, ((high - low) // blocks).bit_length()), 63)
+    above = ((high >> fine) - (low >> fine)).bit_length() // 2
+    return fine, min(fine + above, 63)
+
+
+def spread_blocks(df: DataFrame, key: str) -> Column:
+    """Blocks of whole-number ids whose number follows the rows of ``df``, not its ids.
+
+    Ids with gaps, such as hashes or times, leave most blocks of a fixed width with one
+    row or none. The width comes from the number of rows and the range of ids, read in
+    one pass over the id column. Ids spread over their range fill the blocks evenly.
+    """
+    return id_block(key, _cut(df, key)[0])
+
+
+def id_levels(df: DataFrame, key: str) -> list[Column]:
+    """Levels for an order by one unique whole-number id: ``spread_blocks``, and above them
+    about the root of their number."""
+    fine, coarse = _cut(df, key)
+    return [id_block(key, coarse), id_block(key, fine)]
 
 
 @dataclass(frozen=True)
@@ -208,7 +231,7 @@ def row_numbers_split(
     """
     blocked = df.withColumn("_block", levels[-1])
     hot = hot_keys(blocked, ["_block"], min_rows).withColumn("_hot", F.lit(True))
-    marked = blocked.join(F.broadcast(hot), "_block", "left")
+    marked = blocked.join(hot, "_block", "left")
     cut = F.when(F.col("_hot"), finer)
     return row_numbers(marked, out, order_by=order_by, levels=[*levels, cut]).drop(
         "_block", "_hot"
@@ -220,7 +243,7 @@ def rank_by_amount(
 ) -> DataFrame:
     """Adds ``out``: the rank of each row by ``amount``, largest first; equal amounts share a rank.
 
-    Neither the amount nor a partition column may be null.
+    The amount must not be null; a null in a partition column is a value like any other.
     Works on the distinct amounts, cut into ranges of ``width``. Amounts have two
     decimal places, so a range holds at most ``100 * width`` of them, however
     many rows the partition or a single amount has.
@@ -234,5 +257,12 @@ def rank_by_amount(
         order_by=[F.desc(amount)],
         levels=[-F.floor(F.col(amount) / width)],
         partition_by=partition_by,
-    ).select(*partition_by, amount, (F.col("_upto") - F.col("_n") + 1).alias(out))
-    return df.join(ranked, [*partition_by, amount])
+    ).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate([*partition_by, amount])],
+        (F.col("_upto") - F.col("_n") + 1).alias(out),
+    )
+    same = reduce(
+        lambda a, b: a & b,
+        (F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate([*partition_by, amount])),
+    )
+    return df.join(ranked, same).select(*df.columns, out)

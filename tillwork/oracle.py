@@ -124,9 +124,9 @@ _TABLES: dict[str, str] = {
         FROM part""",
     "orders_raw": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
-               CASE WHEN o_orderkey % 25 = 4 THEN '99999999'
+               CASE WHEN o_orderkey % 25 = 4 THEN '-99999999'
                     ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
-               CASE WHEN o_orderkey % 25 = 6 THEN '88888888'
+               CASE WHEN o_orderkey % 25 = 6 THEN '-88888888'
                     ELSE CAST(o_orderkey % (SELECT count(*) FROM part) AS VARCHAR)
                     END AS product_id,
                CASE WHEN o_orderkey % 100 IN (1, 2, 3) THEN '0'
@@ -218,7 +218,7 @@ _CITIES = (
 
 
 def _draw(key: str, salt: str) -> str:
-    return f"CAST(concat('0x', left(md5(concat('{salt}:', CAST({key} AS VARCHAR))), 8)) AS BIGINT)"
+    return f"CAST(concat('0x', left(md5(concat('{salt}:', CAST({key} AS VARCHAR))), 15)) AS BIGINT)"
 
 
 def _pick(key: str, salt: str, values: str) -> str:
@@ -245,9 +245,11 @@ _TABLES |= {
                CASE WHEN {_roll("c.customer_id", 2)} < 3277 THEN '' ELSE c.city END AS city,
                CASE WHEN {_roll("c.customer_id", 3)} < 3277 THEN 'not-a-date'
                     ELSE CAST(c.signup_date AS VARCHAR) END AS signup_date
-        FROM (SELECT *, {_roll("customer_id", 1)} AS roll FROM customers_v) c
-        LEFT JOIN customers_v l
-             ON l.customer_id = {_draw("c.customer_id", "42lender")} % nullif(c.customer_id, 0)""",
+        FROM (SELECT *, row_number() OVER (ORDER BY customer_id) AS nth,
+                     {_roll("customer_id", 1)} AS roll FROM customers_v) c
+        LEFT JOIN (SELECT *, row_number() OVER (ORDER BY customer_id) AS nth
+                   FROM customers_v) l
+             ON l.nth = {_draw("c.customer_id", "42lender")} % nullif(c.nth - 1, 0) + 1""",
     "gen_products": f"""
         SELECT CAST(product_id AS VARCHAR) AS product_id,
                CASE WHEN {_roll("product_id", 0)} < 3277 THEN '' ELSE title END AS title,
@@ -258,9 +260,9 @@ _TABLES |= {
         FROM (SELECT *, {_roll("product_id", 2)} AS roll FROM products_v)""",
     "gen_orders": f"""
         SELECT CAST(order_id AS VARCHAR) AS order_id,
-               CASE WHEN {_roll("order_id", 0)} < 2621 THEN '99999'
+               CASE WHEN {_roll("order_id", 0)} < 2621 THEN '-99999'
                     ELSE CAST(customer_id AS VARCHAR) END AS customer_id,
-               CASE WHEN {_roll("order_id", 1)} < 2621 THEN '88888'
+               CASE WHEN {_roll("order_id", 1)} < 2621 THEN '-88888'
                     ELSE CAST(product_id AS VARCHAR) END AS product_id,
                CASE WHEN roll < 1966 THEN '0' WHEN roll < 3277 THEN '-2' WHEN roll < 4588 THEN 'two'
                     ELSE CAST(quantity AS VARCHAR) END AS quantity,

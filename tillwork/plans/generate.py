@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.model import PRICE, STATUSES
+from tillwork.operators.ordered import id_levels, row_numbers
 
 # The places and categories of the sample shop.
 CITIES = (
@@ -62,17 +63,18 @@ class FaultRates:
     bad_date: float = 0.03
 
 
-# The ids and texts that faulty orders carry.
-UNKNOWN_CUSTOMER = "99999"
-UNKNOWN_PRODUCT = "88888"
+# Ids that no parent has, however many there are: keys count up from 0 or 1.
+UNKNOWN_CUSTOMER = "-99999"
+UNKNOWN_PRODUCT = "-88888"
+# The texts that faulty rows carry.
 BAD_STATUS = "shipped"
 BAD_DATE = "2025-13-40"
 BAD_SIGNUP = "not-a-date"
 
 
 def draw(key: Column, salt: str) -> Column:
-    """A whole number from 0 to 2^32 - 1, fixed by the key and the salt."""
-    return F.conv(F.left(_digest(key, salt), F.lit(8)), 16, 10).cast("bigint")
+    """A whole number from 0 to 2^60 - 1, fixed by the key and the salt."""
+    return F.conv(F.left(_digest(key, salt), F.lit(15)), 16, 10).cast("bigint")
 
 
 def _digest(key: Column, salt: str) -> Column:
@@ -100,7 +102,8 @@ def dirty_customers(
 ) -> DataFrame:
     """Text rows of ``customers`` with faults planted.
 
-    A used email is the one of another customer with a lower id, chosen by hash.
+    A used email is the one of another customer with a lower id, chosen by hash among
+    those that exist, whatever gaps their ids have.
     """
     key = F.col("customer_id")
     no_email = _below(_roll(1), rates.no_email)
@@ -108,12 +111,14 @@ def dirty_customers(
     takes_email = ~bad_email & _below(
         _roll(1), rates.no_email, rates.bad_email, rates.used_email
     )
-    lender = F.when(takes_email & (key > 0), draw(key, f"{seed}lender") % key)
-    lenders = customers.select(
-        F.col("customer_id").alias("_lender"), F.col("email").alias("_lent")
+    numbered = row_numbers(
+        customers, "_nth", order_by=["customer_id"], levels=id_levels(customers, "customer_id")
     )
+    before = F.col("_nth") - 1
+    lender = F.when(takes_email & (before > 0), draw(key, f"{seed}lender") % before + 1)
+    lenders = numbered.select(F.col("_nth").alias("_lender"), F.col("email").alias("_lent"))
     # Rows that take no email look for none: they are kept out of the join.
-    rows = customers.withColumn("_digest", _digest(key, seed)).withColumn("_lender", lender)
+    rows = numbered.withColumn("_digest", _digest(key, seed)).withColumn("_lender", lender)
     takers = rows.filter(F.col("_lender").isNotNull()).join(lenders, "_lender", "left")
     others = rows.filter(F.col("_lender").isNull()).withColumn("_lent", F.lit(None).cast("string"))
     return takers.unionByName(others).select(
@@ -158,18 +163,26 @@ def dirty_products(
 
 
 def dirty_orders(
-    orders: DataFrame, rates: FaultRates = FaultRates(), seed: str = "42"
+    orders: DataFrame,
+    rates: FaultRates = FaultRates(),
+    seed: str = "42",
+    *,
+    unknown_customer: str = UNKNOWN_CUSTOMER,
+    unknown_product: str = UNKNOWN_PRODUCT,
 ) -> DataFrame:
-    """Text rows of ``orders`` with faults planted."""
+    """Text rows of ``orders`` with faults planted.
+
+    The unknown ids must be no key of a parent.
+    """
     key = F.col("order_id")
     roll = _roll(2)
     zero, negative = rates.quantity_zero, rates.quantity_negative
     return orders.withColumn("_digest", _digest(key, seed)).select(
         key.cast("string").alias("order_id"),
-        F.when(_below(_roll(0), rates.unknown_customer), UNKNOWN_CUSTOMER)
+        F.when(_below(_roll(0), rates.unknown_customer), unknown_customer)
         .otherwise(F.col("customer_id").cast("string"))
         .alias("customer_id"),
-        F.when(_below(_roll(1), rates.unknown_product), UNKNOWN_PRODUCT)
+        F.when(_below(_roll(1), rates.unknown_product), unknown_product)
         .otherwise(F.col("product_id").cast("string"))
         .alias("product_id"),
         F.when(_below(roll, zero), "0")

@@ -134,18 +134,18 @@ def daily_sales(star: Star) -> DataFrame:
 def kpi_summary(star: Star) -> DataFrame:
     """One row: revenue, buying customers, orders, best category and repeat rate.
 
-    Taken from the customer and category metrics alone: once every key resolves,
-    the customers' orders are the months' orders, and one pass serves both.
+    Revenue and orders are those of the months, customers those of the customer view.
     """
     best = category_performance(star).limit(1).select("category").scalar()
+    months = monthly_revenue(star)
+    revenue = months.agg(money_sum(F.col("total_revenue"))).scalar()
+    orders = months.agg(F.sum("order_count")).scalar()
     repeaters = F.count_if(F.col("order_count") >= 2)
     no_rate = F.lit(0).cast("decimal(18,2)")
     return customer_summary(star, ordered=False).agg(
-        F.coalesce(money_sum(F.col("total_spend")), F.lit(0).cast(MONEY_SUM)).alias(
-            "total_revenue"
-        ),
+        F.coalesce(revenue, F.lit(0).cast(MONEY_SUM)).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_customers"),
-        F.coalesce(F.sum("order_count"), F.lit(0)).alias("total_orders"),
+        F.coalesce(orders, F.lit(0)).alias("total_orders"),
         best.alias("best_category"),
         F.coalesce(percent_2(repeaters, F.count(F.lit(1))), no_rate).alias(
             "repeat_customer_rate_pct"

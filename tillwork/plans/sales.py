@@ -22,12 +22,12 @@ from tillwork.functions.money import money_sum, percent_2
 from tillwork.model import COMPLETED, MONEY_SUM, RETURNED
 from tillwork.operators.hot import MIN_HOT_ROWS, split_hot
 from tillwork.operators.ordered import (
-    id_block,
     next_value,
     previous_value,
     rank_by_amount,
     row_numbers,
     running_sum,
+    spread_blocks,
 )
 
 
@@ -135,9 +135,9 @@ def customer_rank_in_city(
     )
 
 
-def _payment_levels() -> list[Column]:
+def _payment_levels(payments: DataFrame) -> list[Column]:
     # A day may hold any share of the payments, so it is cut into blocks of ids.
-    return [F.col("payment_date"), id_block("payment_id")]
+    return [F.col("payment_date"), spread_blocks(payments, "payment_id")]
 
 
 def running_revenue(payments: DataFrame, *, ordered: bool = True) -> DataFrame:
@@ -148,7 +148,7 @@ def running_revenue(payments: DataFrame, *, ordered: bool = True) -> DataFrame:
         F.col("amount"),
         MONEY_SUM,
         order_by=["payment_id"],
-        levels=_payment_levels(),
+        levels=_payment_levels(payments),
     )
     return _sorted(running, ordered, "payment_date", "payment_id").select(
         "payment_date", "amount", "running_total"
@@ -162,7 +162,7 @@ def payment_vs_previous(payments: DataFrame, *, ordered: bool = True) -> DataFra
         "previous_payment",
         "amount",
         key="payment_id",
-        levels=_payment_levels(),
+        levels=_payment_levels(payments),
     ).withColumn("difference", F.col("amount") - F.col("previous_payment"))
     return _sorted(paired, ordered, "payment_date", "payment_id")
 
@@ -174,7 +174,7 @@ def payment_vs_next(payments: DataFrame, *, ordered: bool = True) -> DataFrame:
         "next_payment",
         "amount",
         key="payment_id",
-        levels=_payment_levels(),
+        levels=_payment_levels(payments),
     ).withColumn("upcoming_change", F.col("next_payment") - F.col("amount"))
     return _sorted(paired, ordered, "payment_date", "payment_id")
 
@@ -195,14 +195,13 @@ def order_sequence(
     usual = usual.withColumn("order_number", F.row_number().over(by_date).cast("bigint")).join(
         names, "customer_id"
     )
-    # Hot customers are few by definition, and so are their names.
     busy = row_numbers(
         busy,
         "order_number",
         order_by=["order_id"],
-        levels=[F.col("order_date"), id_block("order_id")],
+        levels=[F.col("order_date"), spread_blocks(orders, "order_id")],
         partition_by=["customer_id"],
-    ).join(F.broadcast(names.join(F.broadcast(hot), "customer_id", "left_semi")), "customer_id")
+    ).join(names.join(hot, "customer_id", "left_semi"), "customer_id")
     numbered = usual.unionByName(busy)
     return _sorted(numbered, ordered, "full_name", "order_number", "order_id").select(
         "full_name", "order_id", "order_date", "status", "order_number"

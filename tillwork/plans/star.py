@@ -55,7 +55,7 @@ def fact_orders(orders: DataFrame, products: DataFrame, *, dense_keys: bool = Fa
     if dense_keys:
         # Numbered before the join: the numbers depend on the order id alone.
         keyed = row_numbers(
-            orders, "order_key", order_by=["order_id"], levels=id_levels("order_id")
+            orders, "order_key", order_by=["order_id"], levels=id_levels(orders, "order_id")
         )
     else:
         keyed = orders.withColumn("order_key", F.col("order_id"))

@@ -189,10 +189,10 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
     spot = key % 100
     return _table(spark, folder, "orders").select(
         key.cast("string").alias("order_id"),
-        F.when(key % 25 == 4, "99999999")
+        F.when(key % 25 == 4, "-99999999")
         .otherwise(F.col("o_custkey").cast("string"))
         .alias("customer_id"),
-        F.when(key % 25 == 6, "88888888")
+        F.when(key % 25 == 6, "-88888888")
         .otherwise((key % parts).cast("string"))
         .alias("product_id"),
         F.when(spot.isin(1, 2, 3), "0")
