@@ -148,8 +148,8 @@ def test_csv_feed_uses_file_position(spark, tmp_path):
     rejected = tuples(bad, "customer_id", "full_name", "rejection_reason")
     assert sorted(rejected, key=repr) == [
         ("2", "Ann", "duplicate email"),
-        ("9", 'Doe, "Jo"', "duplicate email"),
-        ("9", None, "missing full_name"),
+        ("9", 'Doe, "Jo"', "duplicate email; duplicate customer_id"),
+        ("9", None, "missing full_name; duplicate customer_id"),
     ]
     assert bad.columns == [*RAW_CUSTOMERS, "source_table", "rejection_reason"]
 
@@ -193,3 +193,53 @@ def test_dead_letter_columns_counts_and_invariant(spark):
     )
     assert dict(tuples(counts)) == {"customers": 1, "products": 0, "rejected": 2}
     assert dead.filter(F.col("rejection_reason") == "").count() == 0
+
+
+def test_repeated_ids_and_long_texts_are_rejected(spark):
+    rows = [
+        ("1", "", "a@x.org", "Rome", None),
+        ("1", "Ann", "a@x.org", "Rome", None),
+        ("1", "Ann", "a@x.org", "Rome", None),
+        ("1", "Eve", "c@x.org", "Rome", None),
+        ("2", "Cat", "c@x.org", "Rome", None),
+        ("3", "N" * 101, "n@x.org", "R" * 51, None),
+        ("4", "N" * 100, "e" * 90 + "@x.org.com.net", "Rome", None),
+    ]
+    good, bad = cleaning.clean_customers(_feed(spark, RAW_CUSTOMERS, rows))
+    assert sorted(tuples(good, "customer_id", "full_name")) == [(1, "Ann"), (2, "Cat")]
+    assert sorted(tuples(bad, "customer_id", "full_name", "rejection_reason")) == [
+        ("1", "", "missing full_name"),
+        ("1", "Ann", "duplicate email; duplicate customer_id"),
+        ("1", "Eve", "duplicate customer_id"),
+        ("3", "N" * 101, "full_name too long; city too long"),
+        ("4", "N" * 100, "email too long"),
+    ]
+    products = [
+        ("1", "Lamp", "home", "0.004"),
+        ("1", "Lamp", "home", "0.005"),
+        ("1", "Cup", "home", "2"),
+        ("2", "T" * 151, "c" * 51, "19.999"),
+        ("3", "Cup", "home", "19.999"),
+    ]
+    good, bad = cleaning.clean_products(_feed(spark, RAW_PRODUCTS, products))
+    assert sorted(tuples(good, "product_id", "price")) == [
+        (1, Decimal("0.01")),
+        (3, Decimal("20.00")),
+    ]
+    assert sorted(tuples(bad, "title", "rejection_reason")) == [
+        ("Cup", "duplicate product_id"),
+        ("Lamp", "price must be positive"),
+        ("T" * 151, "title too long; category too long"),
+    ]
+    orders = [
+        ("7", "1", "1", "0", "2025-01-02", "pending"),
+        ("7", "1", "1", "2", "2025-01-02", "pending"),
+        ("7", "1", "1", "3", "2025-01-02", "pending"),
+    ]
+    parents = spark.createDataFrame([(1, 1)], "customer_id bigint, product_id bigint")
+    good, bad = cleaning.clean_orders(_feed(spark, RAW_ORDERS, orders), parents, parents)
+    assert tuples(good, "quantity") == [(2,)]
+    assert _reasons(bad, "quantity") == {
+        "0": "quantity must be positive",
+        "3": "duplicate order_id",
+    }

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.casts import number, price, strict_date, whole_number
 from tillwork.functions.text import cell, email_ok
-from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS, STATUSES
+from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS, STATUSES, TEXT_LIMITS
 from tillwork.operators.hot import spread
 from tillwork.sources.feeds import POSITION
 
-# Rows without a usable email take no part in the search for duplicates. They get
-# one of these many join keys, none of which can be an email, so that they do not
-# all meet in one task.
+# Rows without a usable key take no part in the search for duplicates. They get one
+# of this many join keys, none of which can be a key.
 _FILLERS = 4096
 
 
@@ -52,11 +51,50 @@ def dead_letter(*rejects: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejects)
 
 
+def _position(raw: DataFrame, key: Column) -> Column:
+    """What orders the rows of a feed: the place ``read_feed`` attached, else the id and then
+    the order in which the rows are read, which is fixed for files."""
+    if POSITION in raw.columns:
+        return F.col(POSITION).alias("_pos")
+    return F.struct(key.alias("id"), F.monotonically_increasing_id().alias("row")).alias("_pos")
+
+
+def _firsts(parsed: DataFrame, key: Column, good: Column) -> DataFrame:
+    """The first good row of each key that several rows have."""
+    return (
+        parsed.filter(key.isNotNull())
+        .select(key.alias("_key"), "_pos", good.alias("_good"))
+        .groupBy("_key", spread("_key"))
+        .agg(F.min(F.when(F.col("_good"), F.col("_pos"))).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select("_key", "_first")
+    )
+
+
+def _mark_later(rows: DataFrame, firsts: DataFrame, key: Column, out: str) -> DataFrame:
+    """Adds ``out``: whether a good row with the same key, which is text, comes earlier."""
+    # Rows without a key get join keys that no key can be, so that they do not all meet.
+    filler = F.concat(F.lit(" "), F.pmod(F.xxhash64("raw"), F.lit(_FILLERS)).cast("string"))
+    keyed = rows.withColumn("_key", F.coalesce(key, filler))
+    later = F.coalesce(F.col("_pos") > F.col("_first"), F.lit(False))
+    return keyed.join(firsts, "_key", "left").withColumn(out, later).drop("_key", "_first")
+
+
+def _too_long(table: str) -> dict[str, Column]:
+    """Whether each text of ``typed`` is longer than its column, by name."""
+    return {c: F.length(f"typed.{c}") > n for c, n in TEXT_LIMITS[table].items()}
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda x, y: x | y, (F.coalesce(c, F.lit(False)) for c in conditions))
+
+
 def annotate_customers(raw: DataFrame) -> DataFrame:
-    """Of several good rows with the same email, whatever its case, the first is accepted.
+    """Of several good rows with the same id, the first is accepted; of those left with the
+    same email, whatever its case, again the first.
 
-    First means by the position ``read_feed`` attached, else by the customer id. A
-    row rejected for another reason does not reserve its email.
+    First means by the position ``read_feed`` attached, else by the customer id and the
+    order of reading. A row rejected for another reason reserves neither.
     """
     key = whole_number(cell(F.col("customer_id")))
     signup_text = cell(F.col("signup_date"))
@@ -69,7 +107,7 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
             cell(F.col("city")).alias("city"),
             strict_date(signup_text).alias("signup_date"),
         ).alias("typed"),
-        (F.col(POSITION) if POSITION in raw.columns else key).alias("_pos"),
+        _position(raw, key),
         signup_text.alias("_signup"),
     )
     email = F.col("typed.email")
@@ -78,53 +116,62 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
     no_city = F.col("typed.city") == ""
     bad_signup = (F.col("_signup") != "") & F.col("typed.signup_date").isNull()
     bad_key = F.col("typed.customer_id").isNull()
-
-    filler = F.concat(F.lit(" "), F.pmod(F.xxhash64("raw"), F.lit(_FILLERS)).cast("string"))
-    parsed = parsed.withColumn("_email", F.when(usable, F.lower(email)).otherwise(filler))
-    good = ~(no_name | no_city | bad_signup | bad_key)
-    firsts = (
-        parsed.filter(usable)
-        .groupBy("_email", spread("_email"))
-        .agg(F.min(F.when(good, F.col("_pos"))).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
-        .select("_email", "_first")
-    )
-    repeated = F.col("_pos") > F.col("_first")
-    return parsed.join(firsts, "_email", "left").select(
+    long = _too_long("customers")
+    good = ~_any([no_name, no_city, bad_signup, bad_key, ~usable, *long.values()])
+    id_text, email_text = F.col("typed.customer_id").cast("string"), F.when(usable, F.lower(email))
+    marked = _mark_later(parsed, _firsts(parsed, id_text, good), id_text, "_again")
+    reserving = _firsts(marked, email_text, good & ~F.col("_again"))
+    marked = _mark_later(marked, reserving, email_text, "_used")
+    return marked.select(
         "raw",
         "typed",
         _joined(
             F.when(no_name, "missing full_name"),
             F.when(email == "", "missing email")
             .when(~usable, "invalid email format")
-            .when(repeated, "duplicate email"),
+            .when(F.col("_used"), "duplicate email"),
             F.when(no_city, "missing city"),
             F.when(bad_signup, "invalid signup_date"),
-            F.when(bad_key, "invalid customer_id"),
+            F.when(bad_key, "invalid customer_id").when(F.col("_again"), "duplicate customer_id"),
+            *[F.when(is_long, f"{c} too long") for c, is_long in long.items()],
         ),
     )
 
 
 def annotate_products(raw: DataFrame) -> DataFrame:
+    """Prices are rounded to cents, half up, and must then be positive. Of several good rows
+    with the same id, the first is accepted, as for customers."""
     price_text = cell(F.col("price"))
-    amount = number(price_text)
-    title, category = cell(F.col("title")), cell(F.col("category"))
     key = whole_number(cell(F.col("product_id")))
-    return raw.select(
+    parsed = raw.select(
         _raw(RAW_PRODUCTS),
         F.struct(
             key.alias("product_id"),
-            title.alias("title"),
-            category.alias("category"),
+            cell(F.col("title")).alias("title"),
+            cell(F.col("category")).alias("category"),
             price(price_text).alias("price"),
         ).alias("typed"),
+        _position(raw, key),
+        number(price_text).alias("_amount"),
+    )
+    amount, cents = F.col("_amount"), F.col("typed.price")
+    no_title, no_category = F.col("typed.title") == "", F.col("typed.category") == ""
+    bad_key = F.col("typed.product_id").isNull()
+    long = _too_long("products")
+    good = ~_any([no_title, no_category, bad_key, cents.isNull(), cents <= 0, *long.values()])
+    id_text = F.col("typed.product_id").cast("string")
+    marked = _mark_later(parsed, _firsts(parsed, id_text, good), id_text, "_again")
+    return marked.select(
+        "raw",
+        "typed",
         _joined(
             F.when(amount.isNull(), "invalid price")
-            .when(amount <= 0, "price must be positive")
-            .when(price(price_text).isNull(), "invalid price"),
-            F.when(title == "", "missing title"),
-            F.when(category == "", "missing category"),
-            F.when(key.isNull(), "invalid product_id"),
+            .when((amount <= 0) | (cents <= 0), "price must be positive")
+            .when(cents.isNull(), "invalid price"),
+            F.when(no_title, "missing title"),
+            F.when(no_category, "missing category"),
+            F.when(bad_key, "invalid product_id").when(F.col("_again"), "duplicate product_id"),
+            *[F.when(is_long, f"{c} too long") for c, is_long in long.items()],
         ),
     )
 
@@ -136,7 +183,11 @@ def _known(parents: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Rejecting a parent rejects its orders: ``customers`` and ``products`` are accepted rows."""
+    """Rejecting a parent rejects its orders: ``customers`` and ``products`` are accepted rows.
+
+    Of several rows with the same id whose own cells are good, the first stands, as for
+    customers, whether or not its parents exist.
+    """
     customer = whole_number(cell(F.col("customer_id")))
     product = whole_number(cell(F.col("product_id")))
     parsed = raw.select(
@@ -149,15 +200,23 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
             strict_date(cell(F.col("order_date"))).alias("order_date"),
             cell(F.col("status")).alias("status"),
         ).alias("typed"),
+        _position(raw, whole_number(cell(F.col("order_id")))),
         customer.alias("_customer"),
         product.alias("_product"),
     )
+    quantity = F.col("typed.quantity")
+    bad_quantity = quantity.isNull() | (quantity <= 0)
+    bad_status = ~F.col("typed.status").isin(*STATUSES)
+    bad_date = F.col("typed.order_date").isNull()
+    good = ~_any([bad_quantity, bad_status, bad_date])
     buyers = _known(customers, "customer_id", "_customer")
     items = _known(products, "product_id", "_product")
     known = parsed.join(buyers.withColumn("_buyer", F.lit(True)), "_customer", "left").join(
         items.withColumn("_item", F.lit(True)), "_product", "left"
     )
-    quantity = F.col("typed.quantity")
+    # Joined last: the joins with the parents, which may be uneven, read the feed itself.
+    id_text = F.col("typed.order_id").cast("string")
+    known = _mark_later(known, _firsts(parsed, id_text, good), id_text, "_again")
     return known.select(
         "raw",
         "typed",
@@ -165,15 +224,17 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
             F.when(quantity.isNull(), "invalid quantity").when(
                 quantity <= 0, "quantity must be positive"
             ),
-            F.when(~F.col("typed.status").isin(*STATUSES), "invalid status"),
-            F.when(F.col("typed.order_date").isNull(), "invalid order_date"),
+            F.when(bad_status, "invalid status"),
+            F.when(bad_date, "invalid order_date"),
             F.when(F.col("_customer").isNull(), "invalid customer_id").when(
                 F.col("_buyer").isNull(), "customer_id not found"
             ),
             F.when(F.col("_product").isNull(), "invalid product_id").when(
                 F.col("_item").isNull(), "product_id not found"
             ),
-            F.when(F.col("typed.order_id").isNull(), "invalid order_id"),
+            F.when(F.col("typed.order_id").isNull(), "invalid order_id").when(
+                F.col("_again"), "duplicate order_id"
+            ),
         ),
     )
 

@@ -47,7 +47,8 @@ def dim_date(orders: DataFrame) -> DataFrame:
 def fact_orders(orders: DataFrame, products: DataFrame, *, dense_keys: bool = False) -> DataFrame:
     """One row per order, priced at the current product price.
 
-    A product that does not exist leaves ``product_key`` and ``unit_price`` null.
+    A product that does not exist leaves ``product_key`` and ``unit_price`` null, and an
+    amount that does not fit leaves ``total_amount`` null; the checks count both.
     The customer key equals the customer id, so no join is needed to find it;
     :func:`unresolved_keys` tells whether the customers exist. ``order_key`` is the
     order id, or with ``dense_keys`` 1, 2, 3 ... in order of the order id.
@@ -68,7 +69,7 @@ def fact_orders(orders: DataFrame, products: DataFrame, *, dense_keys: bool = Fa
         date_key(F.col("order_date")).alias("date_key"),
         "quantity",
         "unit_price",
-        (F.col("quantity") * F.col("unit_price")).cast(LINE_AMOUNT).alias("total_amount"),
+        (F.col("quantity") * F.col("unit_price")).try_cast(LINE_AMOUNT).alias("total_amount"),
         "status",
     )
 
