@@ -73,6 +73,23 @@ def _dead_letter(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.dead_letter(*[cleaning.rejected(df, name) for name, df in feeds_])
 
 
+def _key_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Rejected rows of feeds with repeated or broken ids, long texts and tiny prices."""
+    raw = fx.repeated_raw(spark, d)
+    people = fx.customers(spark, d)
+    parents = people, people.withColumnRenamed("customer_id", "product_id")
+    rejects = {
+        "customers": (cleaning.clean_customers(raw["customers"])[1], "customer_id", "full_name"),
+        "products": (cleaning.clean_products(raw["products"])[1], "product_id", "title"),
+        "orders": (cleaning.clean_orders(raw["orders"], *parents)[1], "order_id", "quantity"),
+    }
+    parts = [
+        df.select("source_table", F.col(key).alias("id"), F.col(text).alias("cell"), "rejection_reason")
+        for df, key, text in rejects.values()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _load_counts(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.load_counts(_annotated(spark, d))
 
@@ -454,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "dq_orders_rejected": lambda s, d: _orders_clean(s, d)[1],
     "dq_dead_letter": _dead_letter,
     "dq_reason_counts": lambda s, d: cleaning.reason_counts(_dead_letter(s, d)),
+    "dq_key_rules": _key_rules,
     "dq_load_counts": _load_counts,
     "dq_operational_load": _operational_load,
     "dq_constraints_nulls": _nulls,

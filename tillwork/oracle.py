@@ -651,6 +651,30 @@ _BODIES: dict[str, str] = {
         SELECT payment_id, payment_date,
                row_number() OVER (ORDER BY payment_date, payment_id) AS payment_number
         FROM payments_v""",
+    "dq_key_rules": """
+        WITH copies(copy) AS (VALUES (0), (1)),
+        rows AS (
+            SELECT 'customers' AS source_table, 'customer_id' AS key_name, c_custkey AS k, copy,
+                   CASE WHEN copy = 1 THEN c_name || ' again' WHEN c_custkey % 100 = 41
+                        THEN repeat(c_name, 6) ELSE c_name END AS cell,
+                   CASE WHEN c_custkey % 100 = 41 THEN 'full_name too long' END AS own
+            FROM customer, copies
+            UNION ALL
+            SELECT 'products', 'product_id', p_partkey, copy,
+                   CASE WHEN copy = 1 THEN p_name || ' again' WHEN p_partkey % 100 = 41
+                        THEN repeat(p_name, 160) ELSE p_name END,
+                   CASE WHEN p_partkey % 100 = 41 THEN 'title too long'
+                        WHEN p_partkey % 100 = 51 THEN 'price must be positive' END
+            FROM part, copies
+            UNION ALL
+            SELECT 'orders', 'order_id', o_orderkey, copy, CASE WHEN copy = 1 THEN '9' ELSE '1' END,
+                   NULL
+            FROM orders, copies)
+        SELECT source_table, CASE WHEN k % 100 = 31 THEN 'x' ELSE '' END || k AS id, cell,
+               CASE WHEN k % 100 = 31 THEN 'invalid ' || key_name
+                    WHEN copy = 1 THEN 'duplicate ' || key_name ELSE own END AS rejection_reason
+        FROM rows
+        WHERE (copy = 0 OR k % 50 = 21) AND (k % 100 = 31 OR copy = 1 OR own IS NOT NULL)""",
     "src_csv_customers": """
         SELECT CAST(customer_id AS BIGINT) AS customer_id, trim(full_name) AS full_name,
                trim(email) AS email, trim(city) AS city, CAST(signup_date AS DATE) AS signup_date
@@ -718,4 +742,7 @@ _BODIES["sink_kpi_json"] = _BODIES["n01_kpi_summary"]
 # DuckDB evaluates only the relations a query refers to.
 _WITH = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _TABLES.items()) + "\n"
 
-ORACLE: dict[str, str] = {name: _WITH + body for name, body in _BODIES.items()}
+ORACLE: dict[str, str] = {
+    name: body if body.lstrip().startswith("WITH") else _WITH + body
+    for name, body in _BODIES.items()
+}

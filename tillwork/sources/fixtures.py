@@ -205,3 +205,47 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
         .alias("order_date"),
         F.when(key % 20 == 9, "shipped").otherwise(_header_status()).alias("status"),
     )
+
+
+def _twice(df: DataFrame, key: str) -> DataFrame:
+    """Rows at fixed remainders of the key come twice, with ``_copy`` 0 and 1."""
+    copies = F.when(F.col(key) % 50 == 21, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_copy", F.explode(copies))
+
+
+def _text_id(key: str) -> Column:
+    """Now and then an id that is no whole number."""
+    text = F.col(key).cast("string")
+    return F.when(F.col(key) % 100 == 31, F.concat(F.lit("x"), text)).otherwise(text)
+
+
+def repeated_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Feeds whose faults are repeated or broken ids, texts that are too long, tiny prices."""
+    again = F.col("_copy") == 1
+    customer, part = (_table(spark, folder, t) for t in ("customer", "part"))
+    c, p, o = F.col("c_custkey"), F.col("p_partkey"), F.col("o_orderkey")
+    long_name = F.when(c % 100 == 41, F.repeat("c_name", F.lit(6))).otherwise(F.col("c_name"))
+    long_title = F.when(p % 100 == 41, F.repeat("p_name", F.lit(160))).otherwise(F.col("p_name"))
+    return {
+        "customers": _twice(customer, "c_custkey").select(
+            _text_id("c_custkey").alias("customer_id"),
+            F.when(again, F.concat("c_name", F.lit(" again"))).otherwise(long_name).alias("full_name"),
+            F.concat(F.lit("c"), c.cast("string"), F.lit("@"), "_copy", F.lit(".org")).alias("email"),
+            F.lit("Town").alias("city"),
+            F.lit(None).cast("string").alias("signup_date"),
+        ),
+        "products": _twice(part, "p_partkey").select(
+            _text_id("p_partkey").alias("product_id"),
+            F.when(again, F.concat("p_name", F.lit(" again"))).otherwise(long_title).alias("title"),
+            F.lit("things").alias("category"),
+            F.when(p % 100 == 51, "0.004").otherwise("1.50").alias("price"),
+        ),
+        "orders": _twice(_table(spark, folder, "orders"), "o_orderkey").select(
+            _text_id("o_orderkey").alias("order_id"),
+            F.col("o_custkey").cast("string").alias("customer_id"),
+            F.col("o_custkey").cast("string").alias("product_id"),
+            F.when(again, "9").otherwise("1").alias("quantity"),
+            _order_date().cast("string").alias("order_date"),
+            F.lit("pending").alias("status"),
+        ),
+    }
