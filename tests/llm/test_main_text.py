@@ -42,6 +42,8 @@ two
         f"<main><article><header>{BODY[: BODY.index('<p>')]}</header>{BODY[BODY.index('<p>') :]}</article></main>",
         f"<div class=content>{BODY}</div>",
         f"<div><div><section id=post>{BODY}</section></div></div>",
+        f"<div class='page has-sidebar'><article class='post'>{BODY}</article></div>",
+        f"<article>{BODY}<article class='comment'><p>Nice!</p></article></article>",
         f"<ARTICLE>{BODY}<aside>See also</aside><div class='share'>Share this</div></ARTICLE>",
     ],
 )

@@ -39,9 +39,13 @@ DROPPED_WORDS = frozenset(
     "gdpr notice notices notification notifications alert alerts popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended "
     "recommendations comment comments commentlist disqus respond reply replies discussion form "
-    "search pagination pager paging toolbar skip hidden copyright legal disclaimer widget widgets "
-    "masthead teaser outbrain taboola".split()
+    "search pagination pager paging toolbar skip hidden copyright legal disclaimer masthead "
+    "outbrain taboola".split()
 )
+# After one of these a word says what stands beside an element, not what it is.
+BESIDE = frozenset("has with without no".split())
+# Only these words drop an article.
+REMARKS = frozenset(("comment", "reply"))
 # An element like this is the article.
 ARTICLE = frozenset(("article", "main"))
 # What ends an open paragraph, list item and so on, although its end tag is left out.
@@ -64,6 +68,21 @@ THRESHOLD = 1.0
 SHARE = 0.8
 
 
+def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """The words of an element's class, id and role."""
+    words = []
+    for key, value in attrs:
+        if key in ("class", "id", "role"):
+            words += _WORD.findall((value or "").lower()) + [""]
+    return {w for before, w in zip([""] + words, words, strict=False) if before not in BESIDE}
+
+
+def _excluding(tag: str) -> frozenset[str]:
+    if tag in ARTICLE:
+        return REMARKS
+    return frozenset() if tag in ("body", "html") else DROPPED_WORDS
+
+
 @dataclass
 class Element:
     tag: str
@@ -121,14 +140,14 @@ class Lines(HTMLParser):
                 if other in BLOCKS:
                     break
         parent = self.open[-1]
-        named = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role")).lower()
-        article = tag in ARTICLE and not parent.dropped
+        named = _names(attrs)
+        article = tag in ARTICLE and not parent.dropped and REMARKS.isdisjoint(named)
         within = parent.article or article
         dropped = (
             parent.dropped
             or tag in DROPPED
             or (tag == "header" and not within)
-            or (tag not in ARTICLE | {"body", "html"} and not DROPPED_WORDS.isdisjoint(_WORD.findall(named)))
+            or not _excluding(tag).isdisjoint(named)
             or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         )
         element = Element(tag, parent, dropped, within, depth=parent.depth + 1)
