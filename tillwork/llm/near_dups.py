@@ -193,11 +193,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         .filter("doc_id <> v")
         .select(F.col("doc_id").alias("u"), "v")
     )
-    central = work.put(_to_centres(members))
+    centres = work.put(_centres(members))
+    central = members.join(centres, "bucket").filter("class <> centre")
+    central = work.put(central.select(*_ordered("class", "centre")).distinct())
     links = work.put(_linked(central, classes, sets, percent))
     groups = components(links, work)
     apart = work.put(_still_open(members, groups))
-    pairs = _small_bucket_pairs(apart).unionByName(_large_bucket_pairs(apart, sets, percent))
+    large = _large_bucket_pairs(apart, centres, sets, percent)
+    pairs = _small_bucket_pairs(apart).unionByName(large)
     pairs = work.put(pairs.distinct().join(central, ["a", "b"], "left_anti"))
     edges = copies.unionByName(links).unionByName(_linked(pairs, classes, sets, percent))
     groups = components(edges, work)
@@ -214,8 +217,8 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _to_centres(members: DataFrame) -> DataFrame:
-    """Pairs of each class with the most central one of each of its buckets.
+def _centres(members: DataFrame) -> DataFrame:
+    """The most central class of each bucket.
 
     The text that near copies were made from shares more bands with them than they do
     with each other, so its buckets are larger in sum.
@@ -226,14 +229,12 @@ def _to_centres(members: DataFrame) -> DataFrame:
         .groupBy("class", spread("class"))
         .agg(F.sum("size").alias("weight"))
     )
-    centres = (
+    return (
         members.join(weights.select("class", "weight"), "class")
         .groupBy("bucket", spread("bucket"))
-        .agg(F.max(F.struct("weight", "class")).alias("centre"))
-        .select("bucket", F.col("centre.class").alias("other"))
+        .agg(F.max(F.struct("weight", "class")).alias("most"))
+        .select("bucket", F.col("most.class").alias("centre"))
     )
-    pairs = members.join(centres, "bucket").filter("class <> other")
-    return pairs.select(*_ordered("class", "other")).distinct()
 
 
 def _still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -264,47 +265,60 @@ def _small_bucket_pairs(apart: DataFrame) -> DataFrame:
     return pairs.select(*_ordered("class", "other"))
 
 
-def _large_bucket_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _large_bucket_pairs(
+    apart: DataFrame, centres: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
     """Candidates among the classes of larger buckets, none of the similar ones left out.
 
-    Every set is ordered by how many sets hold an element, rarest first. Two sets that are
-    similar enough share an element among the first few, and what follows their first
-    common one must still be long enough. A near copy with many words of its own begins
-    with those, which it shares with none, and so meets no other; what a group has in
-    common comes too late to count.
+    Among the classes around one centre, every set is put in the same order: first what the
+    centre lacks, then the rest, each by hash. Two sets that are similar enough share an
+    element among the first few, and what follows their first common one must still be long
+    enough. A near copy with many words of its own begins with those, which it shares with
+    few, and what it has in common with the whole group comes too late to count.
     """
-    large = apart.filter(F.col("size") > SMALL_BUCKET).select("class", "group").distinct()
-    tokens = large.join(sets, "class").select(
-        "class", "group", F.size("hashes").alias("n"), F.explode("hashes").alias("token")
-    )
-    held = tokens.groupBy("token", spread("token")).agg(F.count(F.lit(1)).alias("held"))
-    ranked = (
-        tokens.join(held.select("token", "held"), "token")
-        .groupBy("class", "group", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("tokens"))
+    around = (
+        apart.filter(F.col("size") > SMALL_BUCKET)
+        .join(centres, "bucket")
+        .select("class", "group", "centre")
+        .distinct()
+        .join(sets, "class")
+        .join(sets.select(F.col("class").alias("centre"), F.col("hashes").alias("middle")), "centre")
     )
+    own = F.array_sort(F.array_except("hashes", "middle"))
+    common = F.array_sort(F.array_intersect("hashes", "middle"))
     # The overlap of two similar sets, over the sum of their sizes, is at least p / (100 + p).
-    p = percent
-    n = F.col("n")
-    at_least = F.ceil(n * p / 100).cast("int")
-    first = ranked.select(
-        "class", "group", "n", F.posexplode(F.slice("tokens", F.lit(1), n - at_least + 1))
-    ).select("class", "group", "n", F.col("col.token").alias("token"), (n - F.col("pos")).alias("left"))
+    p, n = percent, F.col("n")
+    at_least = F.ceil(n * p / 100)
+    first = (
+        around.select(
+            "centre", "class", "group", F.size("hashes").alias("n"), F.concat(own, common).alias("order")
+        )
+        .select(
+            "centre",
+            "class",
+            "group",
+            "n",
+            F.posexplode(F.slice("order", F.lit(1), (n - at_least + 1).cast("int"))),
+        )
+        .select("centre", "class", "group", "n", F.col("col").alias("token"), (n - F.col("pos")).alias("left"))
+    )
     # ``left``: elements from here on. In the smaller set of a pair fewer places count.
     shorter = first.filter((100 + p) * F.col("left") >= 2 * p * n).select(
+        "centre",
+        "token",
         F.col("class").alias("other"),
         F.col("group").alias("its"),
         F.col("n").alias("m"),
-        "token",
         F.col("left").alias("its_left"),
     )
-    least = shorter.groupBy("token", spread("token")).agg(F.min("m").alias("least"))
-    longer = first.join(least.select("token", "least"), "token").filter(
-        (100 + p) * F.col("left") >= p * (n + F.greatest("least", F.ceil(n * p / 100)))
+    keys = ["centre", "token"]
+    least = shorter.groupBy(*keys, spread(*keys)).agg(F.min("m").alias("least"))
+    longer = first.join(least.select(*keys, "least"), keys).filter(
+        (100 + p) * F.col("left") >= p * (n + F.greatest("least", at_least))
     )
     similar_sizes = (F.col("m") <= n) & (100 * F.col("m") >= p * n)
     enough = (100 + p) * F.least("left", "its_left") >= p * (n + F.col("m"))
-    pairs = longer.join(shorter, "token").filter(
+    pairs = longer.join(shorter, keys).filter(
         (F.col("class") != F.col("other")) & (F.col("group") != F.col("its")) & similar_sizes & enough
     )
     return pairs.select(*_ordered("class", "other"))
