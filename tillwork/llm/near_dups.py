@@ -271,7 +271,7 @@ def _large_bucket_pairs(
     """Candidates among the classes of larger buckets, none of the similar ones left out.
 
     Among the classes around one centre, every set is put in the same order: first what the
-    centre lacks, then the rest, each by hash. Two sets that are similar enough share an
+    centre lacks, by how many of them hold it, rarest first, then the rest. Two sets that are similar enough share an
     element among the first few, and what follows their first common one must still be long
     enough. A near copy with many words of its own begins with those, which it shares with
     few, and what it has in common with the whole group comes too late to count.
@@ -284,15 +284,29 @@ def _large_bucket_pairs(
         .join(sets, "class")
         .join(sets.select(F.col("class").alias("centre"), F.col("hashes").alias("middle")), "centre")
     )
-    own = F.array_sort(F.array_except("hashes", "middle"))
-    common = F.array_sort(F.array_intersect("hashes", "middle"))
+    around = around.select(
+        "centre",
+        "class",
+        "group",
+        F.size("hashes").alias("n"),
+        F.array_except("hashes", "middle").alias("own"),
+        F.array_sort(F.array_intersect("hashes", "middle")).alias("common"),
+    )
+    owned = around.select("centre", "class", F.explode("own").alias("token"))
+    keys = ["centre", "token"]
+    held = owned.groupBy(*keys, spread(*keys)).agg(F.count(F.lit(1)).alias("held"))
+    ranked = (
+        owned.join(held.select(*keys, "held"), keys)
+        .groupBy("centre", "class")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "token")))["token"].alias("ranked"))
+    )
     # The overlap of two similar sets, over the sum of their sizes, is at least p / (100 + p).
     p, n = percent, F.col("n")
     at_least = F.ceil(n * p / 100)
+    order = F.concat(F.coalesce("ranked", F.array().cast("array<long>")), F.col("common"))
     first = (
-        around.select(
-            "centre", "class", "group", F.size("hashes").alias("n"), F.concat(own, common).alias("order")
-        )
+        around.join(ranked, ["centre", "class"], "left")
+        .select("centre", "class", "group", "n", order.alias("order"))
         .select(
             "centre",
             "class",
@@ -311,7 +325,6 @@ def _large_bucket_pairs(
         F.col("n").alias("m"),
         F.col("left").alias("its_left"),
     )
-    keys = ["centre", "token"]
     least = shorter.groupBy(*keys, spread(*keys)).agg(F.min("m").alias("least"))
     longer = first.join(least.select(*keys, "least"), keys).filter(
         (100 + p) * F.col("left") >= p * (n + F.greatest("least", at_least))
