@@ -35,7 +35,9 @@ def test_shared_folder_is_new_for_each_run():
 def test_only_a_local_session_may_lack_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session(spark_master="yarn"))
-    assert "tillwork-" in shared_folder(Session(spark_master="local[2]"))
+    assert "/_staging/" in shared_folder(Session(spark_master="local[2]"))
+    given = shared_folder(Session(spark_master="yarn"), "s3a://work/")
+    assert given.startswith("s3a://work/")
 
 
 def test_build_session_keeps_the_running_one(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import tuples
 from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
-from tillwork.plans import generate, metrics, publish, sinks, star
+from tillwork.plans import generate, metrics, publish, sinks, star, versions
 from tillwork.plans.constraints import ConstraintError
 
 TODAY = date(2025, 6, 30)
@@ -220,8 +220,7 @@ def test_operational_load(spark, tables, tmp_path):
     publish.load_star(
         spark, f"{root}/star", stored["customers"], stored["products"], stored["orders"]
     )
-    dead = str(tmp_path / "dead")
-    sinks.write_dead_letter(stored["dead_letter"], dead)
+    dead = sinks.write_dead_letter(stored["dead_letter"], str(tmp_path / "dead"))
     assert spark.read.option("header", True).csv(dead).count() == counts["dead_letter"]
     # A row that comes twice goes to the dead letter and stops nothing.
     repeated = raw[1].unionByName(raw[1])
@@ -254,22 +253,83 @@ def test_all_rows_rejected(spark, tmp_path):
 
 def test_report_and_kpi_files(spark, shop_star, tmp_path):
     report = {"a": spark.range(3), "b": spark.range(2).withColumnRenamed("id", "n")}
-    sinks.write_report(report, str(tmp_path / "r"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "r" / "report=b")).columns == ["n"]
-    sinks.write_kpis(metrics.kpi_summary(shop_star), str(tmp_path / "k"))
-    kpis = spark.read.json(str(tmp_path / "k")).first()
+    root = str(tmp_path / "r")
+    first = sinks.write_report(report, root)
+    assert spark.read.option("header", True).csv(f"{first}/report=b").columns == ["n"]
+    broken = {"a": spark.range(3).selectExpr("CAST(raise_error('no') AS int) AS n")}
+    with pytest.raises(Exception, match="no"):
+        sinks.write_report(broken, root)
+    assert versions.current_folder(spark, root) == first
+    kpi = sinks.write_kpis(metrics.kpi_summary(shop_star), str(tmp_path / "k"))
+    kpis = spark.read.json(kpi).first()
     assert kpis["total_orders"] == metrics.kpi_summary(shop_star).first()["total_orders"]
 
 
 def test_analytics_files(spark, tables, shop_star, tmp_path):
-    out = tmp_path / "out"
-    sinks.write_analytics(shop_star, str(out))
-    kpis = spark.read.json(str(out / "summary_stats")).first()
+    out = sinks.write_analytics(shop_star, str(tmp_path / "out"))
+    kpis = spark.read.json(f"{out}/summary_stats").first()
     assert kpis["best_category"] == metrics.kpi_summary(shop_star).first()["best_category"]
-    months = spark.read.option("header", True).csv(str(out / "charts" / "report=monthly_revenue"))
+    months = spark.read.option("header", True).csv(f"{out}/charts/report=monthly_revenue")
     assert months.count() == metrics.monthly_revenue(shop_star).count()
     customers, products, orders = tables
     unsold = star.build_star(customers, products, orders.filter("status != 'completed'"))
     with pytest.raises(star.IntegrityError):
         sinks.write_analytics(unsold, str(tmp_path / "none"))
     assert not (tmp_path / "none").exists()
+
+
+def test_two_writers_and_a_reader_across_a_switch(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+
+    def tables(n):
+        return {"a": spark.range(n), "b": spark.range(n)}
+
+    publish.publish(spark, root, tables(1))
+    pinned = publish.read_tables(spark, root, ["a", "b"])
+    # A second writer sees the numbers that were there before the first one switched.
+    seen = versions._switches(spark, root)
+    publish.publish(spark, root, tables(2))
+    stale = iter([seen])
+    real = versions._switches
+    monkeypatch.setattr(versions, "_switches", lambda s, r: next(stale, None) or real(s, r))
+    last = publish.publish(spark, root, tables(3))
+    monkeypatch.undo()
+    assert [n for n, _ in versions._switches(spark, root)] == [3, 2, 1]
+    assert publish.current_version(spark, root) == last
+    assert pinned["a"].count() == pinned["b"].count() == 1
+    assert publish.read_table(spark, root, "b").count() == 3
+
+
+def test_a_refresh_does_not_undo_another(spark, tables, tmp_path, monkeypatch):
+    warehouse, daily = f"{tmp_path}/w", f"{tmp_path}/d"
+    publish.load_star(spark, warehouse, *tables)
+    full = publish.read_star(spark, warehouse)
+    publish.refresh_daily_sales(spark, daily, full)
+    compute = metrics.daily_sales
+
+    def meanwhile(star_):
+        monkeypatch.undo()
+        publish.refresh_daily_sales(spark, daily, full)
+        return compute(star_)
+
+    monkeypatch.setattr(metrics, "daily_sales", meanwhile)
+    with pytest.raises(versions.ConcurrentUpdate):
+        publish.refresh_daily_sales(spark, daily, full, [date(2025, 4, 1)])
+    assert len(versions._switches(spark, daily)) == 2
+
+
+def test_old_and_failed_versions_are_removed(spark, tmp_path):
+    root = str(tmp_path)
+    kept = [publish.publish(spark, root, {"a": spark.range(n)}) for n in range(5)][-2:]
+
+    def fails(tables):
+        raise ConstraintError("bad")
+
+    with pytest.raises(ConstraintError):
+        publish.publish(spark, root, {"a": spark.range(9)}, check=fails)
+    assert versions.remove_old(spark, root, older_than=3600) == 0
+    assert versions.remove_old(spark, root, older_than=-1) == 4
+    assert {p.name for p in tmp_path.glob("v=*")} == {f"v={v}" for v in kept}
+    assert publish.read_table(spark, root, "a").count() == 4
+    publish.publish(spark, root, {"a": spark.range(7)})
+    assert publish.read_table(spark, root, "a").count() == 7

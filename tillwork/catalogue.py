@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -284,8 +285,8 @@ def _operational_load(spark: SparkSession, d: str) -> DataFrame:
     publish.load_operational(
         spark, root, fx.customers_raw(spark, d), fx.products_raw(spark, d), fx.orders_raw(spark, d)
     )
-    names = ("customers", "products", "orders", "dead_letter")
-    return publish.row_counts({n: publish.read_table(spark, root, n) for n in names})
+    names = ["customers", "products", "orders", "dead_letter"]
+    return publish.row_counts(publish.read_tables(spark, root, names))
 
 
 def _csv_customers(spark: SparkSession, d: str) -> DataFrame:
@@ -314,28 +315,27 @@ def _file_order_ids(spark: SparkSession, d: str) -> DataFrame:
 def _dead_letter_csv(spark: SparkSession, d: str) -> DataFrame:
     path = f"{shared_folder(spark)}/dead_letter"
     rejects = _dead_letter(spark, d)
-    sinks.write_dead_letter(rejects, path)
+    path = sinks.write_dead_letter(rejects, path)
     # CSV columns go by place; the one the folders are named by comes last.
     columns = [c for c in rejects.columns if c != "source_table"] + ["source_table"]
     schema = ", ".join(f"{c} string" for c in columns)
     stored = spark.read.schema(schema).option("header", True).csv(path)
-    return stored.groupBy("source_table", "rejection_reason").agg(
-        F.count(F.lit(1)).alias("row_count")
-    )
+    return stored.select(*rejects.columns)
 
 
-def _report_files(spark: SparkSession, d: str) -> DataFrame:
+def _report_files(spark: SparkSession, d: str, section: str = "mom_revenue") -> DataFrame:
+    """One section of the stored report."""
     path = f"{shared_folder(spark)}/report"
     sections = reports.sales_report(
         fx.customers(spark, d), fx.products(spark, d), fx.orders(spark, d)
     )
-    sinks.write_report(sections, path, "parquet")
-    return spark.read.parquet(f"{path}/report=mom_revenue")
+    path = sinks.write_report(sections, path, "parquet")
+    return spark.read.parquet(f"{path}/report={section}")
 
 
 def _kpi_file(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark)
-    sinks.write_analytics(fixture_star(spark, d), path)
+    path = sinks.write_analytics(fixture_star(spark, d), path)
     schema = (
         "total_revenue decimal(28,2), total_customers bigint, total_orders bigint, "
         "best_category string, repeat_customer_rate_pct decimal(18,2)"
@@ -343,6 +343,14 @@ def _kpi_file(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/summary_stats")
 
 
+def _chart_files(spark: SparkSession, d: str) -> DataFrame:
+    """The monthly series as it was written for the line chart."""
+    path = sinks.write_analytics(fixture_star(spark, d), shared_folder(spark))
+    schema = "month string, total_revenue decimal(28,2)"
+    stored = spark.read.schema(schema).option("header", True)
+    return stored.csv(f"{path}/charts/report=monthly_revenue")
+
+
 def _dense_payment_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Payments numbered 1, 2, 3 ... by date and id, as an identity column would."""
     payments = fx.payments(spark, d).select("payment_id", "payment_date")
@@ -491,6 +499,10 @@ QUERIES: dict[str, Query] = {
     "src_file_order_ids": _file_order_ids,
     "sink_dead_letter_csv": _dead_letter_csv,
     "sink_report": _report_files,
+    "sink_report_revenue_by_category": partial(_report_files, section="revenue_by_category"),
+    "sink_report_top_customers": partial(_report_files, section="top_customers"),
+    "sink_report_orders_by_status": partial(_report_files, section="orders_by_status"),
+    "sink_chart_files": _chart_files,
     "sink_kpi_json": _kpi_file,
     "gen_customers": lambda s, d: generate.make_customers(
         _ids(fx.customers(s, d), "customer_id"), today=AS_OF

@@ -682,8 +682,11 @@ _BODIES: dict[str, str] = {
     "src_file_order_ids": """
         SELECT row_number() OVER (ORDER BY product_id) AS product_id, title, category, price
         FROM products_v""",
+    # CSV tells no empty cell from a missing one.
     "sink_dead_letter_csv": """
-        SELECT source_table, rejection_reason, count(*) AS row_count FROM ok_dead GROUP BY 1, 2""",
+        SELECT * REPLACE (nullif(full_name, '') AS full_name, nullif(email, '') AS email,
+                          nullif(city, '') AS city, nullif(title, '') AS title,
+                          nullif(category, '') AS category) FROM ok_dead""",
     "gen_dirty_customers": "SELECT * FROM gen_customers",
     "gen_dirty_products": "SELECT * FROM gen_products",
     "gen_dirty_orders": "SELECT * FROM gen_orders",
@@ -737,6 +740,10 @@ _BODIES["r04_month_over_month"] = """
                 FROM orders_v JOIN products_v USING (product_id)
                 WHERE status = 'completed' GROUP BY 1))"""
 _BODIES["sink_report"] = _BODIES["r04_month_over_month"]
+_BODIES["sink_report_revenue_by_category"] = _BODIES["r01_category_revenue"]
+_BODIES["sink_report_top_customers"] = _BODIES["r02_top_customers"]
+_BODIES["sink_report_orders_by_status"] = _BODIES["r03_orders_by_status"]
+_BODIES["sink_chart_files"] = _BODIES["chart_monthly"]
 _BODIES["sink_kpi_json"] = _BODIES["n01_kpi_summary"]
 
 # DuckDB evaluates only the relations a query refers to.

@@ -1,9 +1,8 @@
 """Stored tables: staged loads that become visible all at once, and their refresh.
 
 A load writes every table below a folder of its own. Only when its checks have
-passed does one row appended to ``_published`` name that folder, and from then on
-readers use it. A load that fails, or loses executors halfway, leaves no trace for
-readers, and readers are never locked out.
+passed do readers get that folder (``versions``). A load that fails, or loses executors
+halfway, leaves no trace for readers, and readers are never locked out.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,42 +24,34 @@ from tillwork.plans.constraints import (
     unique_violations,
 )
 from tillwork.plans.star import build_star, check_star
+from tillwork.plans.versions import (
+    ANY,
+    current_folder,
+    current_version,
+    remove,
+    switch,
+)
 from tillwork.session import shared_folder
 
-_LOG = "seq bigint, version string"
-
 Tables = dict[str, DataFrame]
 
 
-def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    try:
-        log = spark.read.schema(_LOG).json(f"{root}/_published")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return 0, None
-    row = log.orderBy(F.desc("seq")).first()
-    return (row["seq"], row["version"]) if row else (0, None)
-
-
-def current_version(spark: SparkSession, root: str) -> str:
-    version = _last(spark, root)[1]
-    if version is None:
-        raise FileNotFoundError(f"nothing has been published below {root}")
-    return version
-
-
 def read_table(
     spark: SparkSession, root: str, name: str, columns: list[str] | None = None
 ) -> DataFrame:
     """A table of the last published load."""
-    df = spark.read.parquet(f"{root}/v={current_version(spark, root)}/{name}")
+    df = spark.read.parquet(f"{current_folder(spark, root)}/{name}")
     return df.select(*columns) if columns else df
 
 
+def read_tables(spark: SparkSession, root: str, names: list[str]) -> Tables:
+    """Several tables of one load, the last published, even if another follows meanwhile."""
+    folder = current_folder(spark, root)
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
-    folder = f"{root}/v={current_version(spark, root)}"
-    return _star_at(spark, folder)
+    return _star_at(spark, current_folder(spark, root))
 
 
 def _star_at(spark: SparkSession, folder: str) -> Star:
@@ -80,10 +70,13 @@ def publish(
     *,
     check: Callable[[Tables], None] | None = None,
     partition_by: dict[str, str] | None = None,
+    based_on: object = ANY,
 ) -> str:
     """Writes the tables as a new version, checks what was written, and switches to it.
 
-    The checks see the stored rows, so the work behind the tables is done once.
+    The checks see the stored rows, so the work behind the tables is done once. With
+    ``based_on``, a version that the tables were made from, the switch fails if another
+    one is current by then.
     """
     version = uuid.uuid4().hex
     stored = {}
@@ -99,10 +92,7 @@ def publish(
         stored[name] = spark.read.schema(df.schema).parquet(path)
     if check:
         check(stored)
-    seq = _last(spark, root)[0] + 1
-    spark.createDataFrame([(seq, version)], _LOG).coalesce(1).write.mode("append").json(
-        f"{root}/_published"
-    )
+    switch(spark, root, version, based_on)
     return version
 
 
@@ -142,7 +132,10 @@ def load_operational(
     def check(t: Tables) -> None:
         enforce(operational_violations(t["customers"], t["products"], t["orders"]))
 
-    return publish(spark, root, tables, check=check)
+    try:
+        return publish(spark, root, tables, check=check)
+    finally:
+        remove(spark, work)
 
 
 def _with_month(fact: DataFrame) -> DataFrame:
@@ -158,7 +151,7 @@ def load_star(
     *,
     dense_keys: bool = False,
 ) -> str:
-    """Builds, checks and publishes the star and its stored daily sales.
+    """Builds, checks and publishes the star; ``refresh_daily_sales`` follows it.
 
     The fact is stored by month (``month_key``), which date ranges and the
     incremental refresh prune by.
@@ -211,11 +204,13 @@ def row_counts(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _publish_daily(spark: SparkSession, root: str, daily: DataFrame) -> str:
+def _publish_daily(
+    spark: SparkSession, root: str, daily: DataFrame, based_on: object = ANY
+) -> str:
     def one_row_per_day(t: Tables) -> None:
         enforce(unique_violations(t["daily_sales"], "daily_sales", [["sale_date"]]))
 
-    return publish(spark, root, {"daily_sales": daily}, check=one_row_per_day)
+    return publish(spark, root, {"daily_sales": daily}, check=one_row_per_day, based_on=based_on)
 
 
 def refresh_daily_sales(
@@ -225,7 +220,8 @@ def refresh_daily_sales(
 
     With ``months`` (any day of each) only the days of those months are computed
     again, from the whole fact rows of the month, because distinct customers of
-    two loads cannot be added up. The other days are copied; there is one row a day.
+    two loads cannot be added up. The other days are copied; there is one row a day. If
+    another refresh ends meanwhile, this one raises ``ConcurrentUpdate`` and changes nothing.
     """
     if months is None:
         return _publish_daily(spark, root, metrics.daily_sales(star))
@@ -239,10 +235,12 @@ def refresh_daily_sales(
         dim_products=star.dim_products,
         dim_date=star.dim_date,
     )
-    stored = read_table(spark, root, "daily_sales")
+    version = current_version(spark, root)
+    stored = spark.read.parquet(f"{root}/v={version}/daily_sales")
     month = F.year("sale_date") * 100 + F.month("sale_date")
     kept = stored.filter(~month.isin(keys))
-    return _publish_daily(spark, root, kept.unionByName(metrics.daily_sales(touched)))
+    daily = kept.unionByName(metrics.daily_sales(touched))
+    return _publish_daily(spark, root, daily, based_on=version)
 
 
 def read_daily_sales(spark: SparkSession, root: str) -> DataFrame:

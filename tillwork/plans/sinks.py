@@ -1,4 +1,8 @@
-"""Result files for people and dashboards."""
+"""Result files for people and dashboards.
+
+Each sink publishes a new folder below ``root`` and returns it; readers find the last one
+with ``versions.current_folder``.
+"""
 
 from __future__ import annotations
 
@@ -7,34 +11,52 @@ from pyspark.sql import DataFrame
 from tillwork.model import Star
 from tillwork.plans import metrics
 from tillwork.plans.star import IntegrityError
+from tillwork.plans.versions import publish_files
 
 
-def write_dead_letter(rejects: DataFrame, path: str) -> None:
-    """CSV with headers, one folder per source table."""
-    rejects.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy(
-        "source_table"
-    ).csv(path)
-
-
-def write_report(sections: dict[str, DataFrame], path: str, fmt: str = "csv") -> None:
-    """Each section as a dataset of its own, with its own headers: ``report=<name>``."""
+def _sections(sections: dict[str, DataFrame], folder: str, fmt: str) -> None:
     for name, df in sections.items():
-        target = df.write.mode("overwrite").format(fmt)
+        target = df.write.format(fmt)
         if fmt == "csv":
             target = target.option("header", True)
-        target.save(f"{path}/report={name}")
+        target.save(f"{folder}/report={name}")
+
+
+def write_dead_letter(rejects: DataFrame, root: str) -> str:
+    """CSV with headers, one folder per source table; cells stay as they came, spaces too."""
+
+    def write(folder: str) -> None:
+        options = {"header": True, "escape": '"'} | {
+            f"ignore{side}WhiteSpace": False for side in ("Leading", "Trailing")
+        }
+        rejects.write.options(**options).partitionBy("source_table").csv(folder)
 
+    return publish_files(rejects.sparkSession, root, write)
 
-def write_kpis(kpis: DataFrame, path: str) -> None:
+
+def write_report(sections: dict[str, DataFrame], root: str, fmt: str = "csv") -> str:
+    """Each section as a dataset of its own, with its own headers: ``report=<name>``."""
+    spark = next(iter(sections.values())).sparkSession
+    return publish_files(spark, root, lambda folder: _sections(sections, folder, fmt))
+
+
+def write_kpis(kpis: DataFrame, root: str) -> str:
     """The one KPI row as JSON."""
-    kpis.coalesce(1).write.mode("overwrite").json(path)
+    return publish_files(kpis.sparkSession, root, lambda f: kpis.coalesce(1).write.json(f))
 
 
-def write_analytics(star: Star, path: str) -> None:
-    """The KPI row as JSON and the chart series as CSV; stops if there is nothing to show."""
+def write_analytics(star: Star, root: str) -> str:
+    """The KPI row as JSON and the chart series as CSV, published together; stops if there
+    is nothing to show."""
     kpis = metrics.kpi_summary(star)
     row = kpis.first()
     if not row["total_orders"]:
         raise IntegrityError("the star has no completed orders")
-    write_kpis(kpis.sparkSession.createDataFrame([row], kpis.schema), f"{path}/summary_stats")
-    write_report(metrics.chart_series(star), f"{path}/charts")
+    spark = kpis.sparkSession
+
+    def write(folder: str) -> None:
+        one = spark.createDataFrame([row], kpis.schema).coalesce(1)
+        one.write.json(f"{folder}/summary_stats")
+        _sections(metrics.chart_series(star), f"{folder}/charts", "csv")
+
+    return publish_files(spark, root, write)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -55,15 +54,15 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession, base: str | None = None) -> str:
     """A new folder for one run, below the folder every executor can reach.
 
-    A cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session, where all tasks share one disk, may fall back to a temporary one.
+    That is ``base``, or what the cluster names in ``spark.checkpoint.dir``. Only a local
+    session, where all tasks share one disk, may do without and use its warehouse.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tillwork-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse')}/_staging"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
