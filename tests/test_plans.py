@@ -12,7 +12,7 @@ WRITING = {
     name
     for name in QUERIES
     if name.startswith(("src_", "sink_", "daily_sales_"))
-    or name in ("n03_load_verification", "dq_operational_load")
+    or name in ("n03_load_verification", "dq_operational_load", "dq_payments_load")
 }
 
 

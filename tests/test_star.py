@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import tuples
-from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
+from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PAYMENTS, RAW_PRODUCTS
 from tillwork.plans import generate, metrics, publish, sinks, star, versions
 from tillwork.plans.constraints import ConstraintError
+from tillwork.sources.feeds import read_feed, with_file_ids
 
 TODAY = date(2025, 6, 30)
 
@@ -333,3 +334,25 @@ def test_old_and_failed_versions_are_removed(spark, tmp_path):
     assert publish.read_table(spark, root, "a").count() == 4
     publish.publish(spark, root, {"a": spark.range(7)})
     assert publish.read_table(spark, root, "a").count() == 7
+
+
+def test_payments_are_loaded_and_go_with_their_orders(spark, tables, tmp_path):
+    customers, products, orders = (generate.dirty_customers(tables[0]), generate.dirty_products(tables[1]), generate.dirty_orders(tables[2]))
+    path = tmp_path / "payments.csv"
+    lines = [f"{n % 450},2025-05-0{n % 9 + 1},{n + 1}.50,Card" for n in range(600)]
+    path.write_text("order_id,payment_date,amount,method\n" + "\n".join(lines) + "\n")
+    feed = read_feed(spark, str(path), RAW_PAYMENTS[1:], position=True)
+    raw = with_file_ids(feed, "payment_id")
+    root = str(tmp_path / "r")
+    publish.load_operational(spark, root, customers, products, orders, raw)
+    stored = publish.read_tables(spark, root, ["orders", "payments", "dead_letter"])
+    known = {r["order_id"] for r in stored["orders"].collect()}
+    want = {n + 1 for n in range(600) if n % 450 in known}
+    assert {r["payment_id"] for r in stored["payments"].collect()} == want
+    lost = stored["dead_letter"].filter("source_table = 'payments'")
+    assert lost.count() == 600 - len(want)
+    assert {r[0] for r in tuples(lost, "rejection_reason")} == {"order_id not found"}
+    # A reload without payments leaves none behind that could point nowhere.
+    publish.load_operational(spark, root, customers, products, orders)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        publish.read_table(spark, root, "payments")

@@ -69,6 +69,10 @@ def _orders_clean(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return cleaning.clean_orders(fx.orders_raw(spark, d), customers, products)
 
 
+def _payments_clean(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return cleaning.clean_payments(fx.payments_raw(spark, d), fx.order_headers(spark, d))
+
+
 def _dead_letter(spark: SparkSession, d: str) -> DataFrame:
     feeds_ = _annotated(spark, d).items()
     return cleaning.dead_letter(*[cleaning.rejected(df, name) for name, df in feeds_])
@@ -289,6 +293,13 @@ def _operational_load(spark: SparkSession, d: str) -> DataFrame:
     return publish.row_counts(publish.read_tables(spark, root, names))
 
 
+def _load_with_payments(spark: SparkSession, d: str) -> DataFrame:
+    root = shared_folder(spark)
+    raw = fx.customers_raw(spark, d), fx.products_raw(spark, d), fx.orders_raw(spark, d)
+    publish.load_operational(spark, root, *raw, fx.payments_raw(spark, d))
+    return publish.read_table(spark, root, "payments")
+
+
 def _csv_customers(spark: SparkSession, d: str) -> DataFrame:
     """The customer feed written as CSV files, read back and cleaned by file position."""
     path = f"{shared_folder(spark)}/customers_raw"
@@ -475,12 +486,15 @@ QUERIES: dict[str, Query] = {
     "dq_customers_rejected": lambda s, d: _customers_clean(s, d)[1],
     "dq_products_clean": lambda s, d: _products_clean(s, d)[0],
     "dq_products_rejected": lambda s, d: _products_clean(s, d)[1],
+    "dq_payments_clean": lambda s, d: _payments_clean(s, d)[0],
+    "dq_payments_rejected": lambda s, d: _payments_clean(s, d)[1],
     "dq_orders_clean": lambda s, d: _orders_clean(s, d)[0],
     "dq_orders_rejected": lambda s, d: _orders_clean(s, d)[1],
     "dq_dead_letter": _dead_letter,
     "dq_reason_counts": lambda s, d: cleaning.reason_counts(_dead_letter(s, d)),
     "dq_key_rules": _key_rules,
     "dq_load_counts": _load_counts,
+    "dq_payments_load": _load_with_payments,
     "dq_operational_load": _operational_load,
     "dq_constraints_nulls": _nulls,
     "dq_constraints_unique": _unique,

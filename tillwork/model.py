@@ -21,6 +21,8 @@ MONEY_SUM = "decimal(28,2)"
 RAW_CUSTOMERS = ("customer_id", "full_name", "email", "city", "signup_date")
 RAW_PRODUCTS = ("product_id", "title", "category", "price")
 RAW_ORDERS = ("order_id", "customer_id", "product_id", "quantity", "order_date", "status")
+# Payment files carry no id: ``feeds.with_file_ids`` gives it.
+RAW_PAYMENTS = ("payment_id", "order_id", "payment_date", "amount", "method")
 
 # VARCHAR lengths of the operational tables.
 TEXT_LIMITS = {

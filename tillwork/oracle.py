@@ -291,6 +291,35 @@ _TABLES |= {
         FROM orders_raw""",
 }
 
+_TABLES |= {
+    "payments_raw": """
+        SELECT CAST(k AS VARCHAR) AS payment_id,
+               CASE WHEN k % 25 = 4 THEN '-99999999' WHEN k % 100 = 31 THEN 'x'
+                    ELSE CAST(k AS VARCHAR) END AS order_id,
+               CASE WHEN k % 33 = 10 THEN '2025-13-40' ELSE CAST(payment_date AS VARCHAR) END
+                   AS payment_date,
+               CASE WHEN k % 20 = 3 THEN '0' WHEN k % 20 = 5 THEN 'ten'
+                    WHEN k % 50 = 7 THEN '0.004' ELSE CAST(amount AS VARCHAR) END AS amount,
+               CASE WHEN k % 20 = 9 THEN '' WHEN k % 100 = 41 THEN repeat(method, 20)
+                    ELSE method END AS method
+        FROM (SELECT payment_id AS k, * FROM payments_v)""",
+    "ok_payments": """
+        SELECT *, concat_ws('; ',
+                   CASE WHEN try_cast(amount AS DECIMAL(10,2)) IS NULL THEN 'invalid amount'
+                        WHEN CAST(amount AS DECIMAL(10,2)) <= 0 THEN 'amount must be positive' END,
+                   CASE WHEN method = '' THEN 'missing method' END,
+                   CASE WHEN try_cast(payment_date AS DATE) IS NULL
+                        THEN 'invalid payment_date' END,
+                   CASE WHEN order_id = 'x' THEN 'invalid order_id'
+                        WHEN order_id = '-99999999' THEN 'order_id not found' END,
+                   CASE WHEN length(method) > 20 THEN 'method too long' END) AS why
+        FROM payments_raw""",
+}
+
+_TYPED_PAYMENT = (
+    "CAST(payment_id AS BIGINT) AS payment_id, CAST(order_id AS BIGINT) AS order_id, "
+    "CAST(payment_date AS DATE) AS payment_date, CAST(amount AS DECIMAL(10,2)) AS amount, method"
+)
 _STATUS_LIST = "('completed', 'pending', 'returned', 'cancelled')"
 
 
@@ -511,6 +540,15 @@ _BODIES: dict[str, str] = {
         SELECT product_id, title, category, price, 'products' AS source_table,
                why AS rejection_reason
         FROM ok_products WHERE why <> ''""",
+    "dq_payments_clean": f"""
+        SELECT {_TYPED_PAYMENT} FROM ok_payments WHERE why = ''""",
+    "dq_payments_rejected": """
+        SELECT payment_id, order_id, payment_date, amount, method, 'payments' AS source_table,
+               why AS rejection_reason
+        FROM ok_payments WHERE why <> ''""",
+    "dq_payments_load": f"""
+        SELECT {_TYPED_PAYMENT} FROM ok_payments
+        WHERE why = '' AND order_id IN (SELECT order_id FROM ok_orders WHERE why = '')""",
     "dq_orders_clean": """
         SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS customer_id,
                CAST(product_id AS BIGINT) AS product_id, CAST(quantity AS INTEGER) AS quantity,

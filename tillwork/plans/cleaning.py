@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.casts import number, price, strict_date, whole_number
 from tillwork.functions.text import cell, email_ok
-from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS, STATUSES, TEXT_LIMITS
+from tillwork.model import (
+    RAW_CUSTOMERS,
+    RAW_ORDERS,
+    RAW_PAYMENTS,
+    RAW_PRODUCTS,
+    STATUSES,
+    TEXT_LIMITS,
+)
 from tillwork.operators.hot import spread
 from tillwork.sources.feeds import POSITION
 
@@ -239,6 +246,58 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
     )
 
 
+def annotate_payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
+    """Rejecting an order rejects its payments: ``orders`` are accepted rows.
+
+    Amounts are rounded to cents, half up, and must then be positive. Of several good
+    rows with the same id the first stands.
+    """
+    amount_text = cell(F.col("amount"))
+    key = whole_number(cell(F.col("payment_id").cast("string")))
+    order = whole_number(cell(F.col("order_id")))
+    cells = [F.col(c).cast("string").alias(c) for c in RAW_PAYMENTS]
+    parsed = raw.select(
+        F.struct(*cells).alias("raw"),
+        F.struct(
+            key.alias("payment_id"),
+            order.alias("order_id"),
+            strict_date(cell(F.col("payment_date"))).alias("payment_date"),
+            price(amount_text).alias("amount"),
+            cell(F.col("method")).alias("method"),
+        ).alias("typed"),
+        _position(raw, key),
+        number(amount_text).alias("_amount"),
+        order.alias("_order"),
+    )
+    amount, cents = F.col("_amount"), F.col("typed.amount")
+    bad_date = F.col("typed.payment_date").isNull()
+    no_method = F.col("typed.method") == ""
+    long = _too_long("payments")
+    good = ~_any([cents.isNull(), cents <= 0, bad_date, no_method, *long.values()])
+    paid = _known(orders, "order_id", "_order").withColumn("_found", F.lit(True))
+    known = parsed.join(paid, "_order", "left")
+    id_text = F.col("typed.payment_id").cast("string")
+    known = _mark_later(known, _firsts(parsed, id_text, good), id_text, "_again")
+    return known.select(
+        "raw",
+        "typed",
+        _joined(
+            F.when(amount.isNull(), "invalid amount")
+            .when((amount <= 0) | (cents <= 0), "amount must be positive")
+            .when(cents.isNull(), "invalid amount"),
+            F.when(no_method, "missing method"),
+            F.when(bad_date, "invalid payment_date"),
+            F.when(F.col("_order").isNull(), "invalid order_id").when(
+                F.col("_found").isNull(), "order_id not found"
+            ),
+            F.when(F.col("typed.payment_id").isNull(), "invalid payment_id").when(
+                F.col("_again"), "duplicate payment_id"
+            ),
+            *[F.when(is_long, f"{c} too long") for c, is_long in long.items()],
+        ),
+    )
+
+
 def clean_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected)"""
     annotated = annotate_customers(raw)
@@ -259,6 +318,12 @@ def clean_orders(
     return accepted(annotated), rejected(annotated, "orders")
 
 
+def clean_payments(raw: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected), with the accepted orders as parents."""
+    annotated = annotate_payments(raw, orders)
+    return accepted(annotated), rejected(annotated, "payments")
+
+
 def reason_counts(rejects: DataFrame) -> DataFrame:
     """Rows per source and single reason; a row with two reasons counts under both."""
     # Counted before it is split: there are few different combinations of reasons.

@@ -102,11 +102,13 @@ def load_operational(
     customers_raw: DataFrame,
     products_raw: DataFrame,
     orders_raw: DataFrame,
+    payments_raw: DataFrame | None = None,
 ) -> str:
-    """Cleans the three feeds and publishes the accepted tables and the dead letter.
+    """Cleans the feeds and publishes the accepted tables and the dead letter.
 
-    Payments come from elsewhere and are left alone. A re-run replaces the tables,
-    so it never adds rows twice.
+    Without ``payments_raw`` the new version has no payments: those of an older one may
+    point at orders that are gone. A re-run replaces the tables, so it never adds rows
+    twice.
     """
     work = shared_folder(spark)
 
@@ -118,19 +120,21 @@ def load_operational(
     products = staged("products", cleaning.annotate_products(products_raw))
     good_customers, good_products = cleaning.accepted(customers), cleaning.accepted(products)
     orders = staged("orders", cleaning.annotate_orders(orders_raw, good_customers, good_products))
-    tables = {
-        "customers": good_customers,
-        "products": good_products,
-        "orders": cleaning.accepted(orders),
-        "dead_letter": cleaning.dead_letter(
-            cleaning.rejected(customers, "customers"),
-            cleaning.rejected(products, "products"),
-            cleaning.rejected(orders, "orders"),
-        ),
-    }
+    feeds = {"customers": customers, "products": products, "orders": orders}
+    if payments_raw is not None:
+        good_orders = cleaning.accepted(orders)
+        feeds["payments"] = staged(
+            "payments", cleaning.annotate_payments(payments_raw, good_orders)
+        )
+    tables = {name: cleaning.accepted(df) for name, df in feeds.items()}
+    tables["dead_letter"] = cleaning.dead_letter(
+        *[cleaning.rejected(df, name) for name, df in feeds.items()]
+    )
 
     def check(t: Tables) -> None:
-        enforce(operational_violations(t["customers"], t["products"], t["orders"]))
+        enforce(
+            operational_violations(t["customers"], t["products"], t["orders"], t.get("payments"))
+        )
 
     try:
         return publish(spark, root, tables, check=check)

@@ -207,6 +207,26 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """A payment feed as text, with faults at fixed remainders of the key."""
+    key = F.col("o_orderkey")
+    text, spot = key.cast("string"), key % 20
+    method = F.col("o_orderpriority")
+    return _table(spark, folder, "orders").select(
+        text.alias("payment_id"),
+        F.when(key % 25 == 4, "-99999999").when(key % 100 == 31, "x").otherwise(text).alias("order_id"),
+        F.when(key % 33 == 10, "2025-13-40")
+        .otherwise(_order_date().cast("string"))
+        .alias("payment_date"),
+        F.when(spot == 3, "0")
+        .when(spot == 5, "ten")
+        .when(key % 50 == 7, "0.004")
+        .otherwise(F.col("o_totalprice").cast(PRICE).cast("string"))
+        .alias("amount"),
+        F.when(spot == 9, "").when(key % 100 == 41, F.repeat(method, F.lit(20))).otherwise(method).alias("method"),
+    )
+
+
 def _twice(df: DataFrame, key: str) -> DataFrame:
     """Rows at fixed remainders of the key come twice, with ``_copy`` 0 and 1."""
     copies = F.when(F.col(key) % 50 == 21, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
