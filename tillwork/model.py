@@ -35,6 +35,7 @@ TEXT_LIMITS = {
 NUMBER_LIMITS = {
     "products": {"price": (10, 2)},
     "payments": {"amount": (10, 2)},
+    "fact_orders": {"unit_price": (10, 2), "total_amount": (12, 2)},
 }
 
 

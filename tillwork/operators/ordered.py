@@ -34,33 +34,37 @@ def id_block(key: str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(key).cast("bigint"), bits)
 
 
-def _cut(df: DataFrame, key: str) -> tuple[int, int]:
-    """Low bits of the ids to drop for a block, and for a block of blocks."""
+def _bits(low: int, high: int, blocks: int) -> int:
+    """Low bits of the ids to drop so that their range falls into about so many blocks."""
+    return min(max(0, ((high - low) // max(blocks, 1)).bit_length()), 63)
+
+
+def _range(df: DataFrame, key: str) -> tuple[int, int, int]:
     low, high, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
-    if not n:
-        return BLOCK_BITS, BLOCK_BITS
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(n >> BLOCK_BITS, min(BLOCKS_PER_PARTITION * partitions, n >> 10), 1)
-    fine = min(max(0, ((high - low) // blocks).bit_length()), 63)
-    above = ((high >> fine) - (low >> fine)).bit_length() // 2
-    return fine, min(fine + above, 63)
+    return low or 0, high or 0, n
 
 
 def spread_blocks(df: DataFrame, key: str) -> Column:
-    """Blocks of whole-number ids whose number follows the rows of ``df``, not its ids.
+    """Blocks of whole-number ids, below a level such as a day, that follow the rows of
+    ``df`` and not its ids.
 
     Ids with gaps, such as hashes or times, leave most blocks of a fixed width with one
     row or none. The width comes from the number of rows and the range of ids, read in
-    one pass over the id column. Ids spread over their range fill the blocks evenly.
+    one pass over the id column: one block for each 2^BLOCK_BITS rows, filled evenly by
+    ids spread over their range, however many rows of them lie in one day.
     """
-    return id_block(key, _cut(df, key)[0])
+    low, high, n = _range(df, key)
+    return id_block(key, _bits(low, high, n >> BLOCK_BITS))
 
 
 def id_levels(df: DataFrame, key: str) -> list[Column]:
-    """Levels for an order by one unique whole-number id: ``spread_blocks``, and above them
-    about the root of their number."""
-    fine, coarse = _cut(df, key)
-    return [id_block(key, coarse), id_block(key, fine)]
+    """Levels for an order by one unique whole-number id: blocks as in ``spread_blocks``, but
+    some for each shuffle partition, and above them about the root of their number."""
+    low, high, n = _range(df, key)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fine = _bits(low, high, max(n >> BLOCK_BITS, min(BLOCKS_PER_PARTITION * partitions, n >> 10)))
+    above = ((high >> fine) - (low >> fine)).bit_length() // 2
+    return [id_block(key, min(fine + above, 63)), id_block(key, fine)]
 
 
 @dataclass(frozen=True)

@@ -660,6 +660,10 @@ _BODIES: dict[str, str] = {
             _broken("dim_customers", "customers_v", "width", "city", "length(city) > 50"),
             _broken("dim_products", "products_v", "width", "title", "length(title) > 150"),
             _broken("dim_products", "products_v", "width", "category", "length(category) > 50"),
+            _broken("dim_products", "products_v", "width", "price", _digits("price", 10)),
+            _broken("fact_orders", "orders_v", "width", "status", "length(status) > 20"),
+            _broken("fact_orders", "fact", "width", "unit_price", _digits("unit_price", 10)),
+            _broken("fact_orders", "fact", "width", "total_amount", _digits("total_amount", 12)),
             _broken(
                 "fact_orders",
                 "orders_v",
@@ -673,6 +677,8 @@ _BODIES: dict[str, str] = {
             _unique_of("dim_products", "products_v", "product_id").replace(
                 "'product_id' AS", "'product_key' AS"
             ),
+            _unique_of("dim_customers", "customers_v", "customer_id"),
+            _unique_of("dim_products", "products_v", "product_id"),
             _unique_of("dim_date", "dim_date", "date_key"),
             _unique_of("dim_date", "dim_date", "full_date"),
             # Lines keep the id of their order here, so it repeats.

@@ -193,17 +193,18 @@ def star_violations(star: Star, fact_keys: list[list[str]]) -> DataFrame:
             products,
             "dim_products",
             not_null(["product_key", "product_id", "title", "category", "price"])
-            + widths(TEXT_LIMITS["products"]),
+            + widths(TEXT_LIMITS["products"], NUMBER_LIMITS["products"]),
         ),
         row_violations(days, "dim_date", not_null(days.columns)),
         row_violations(
             star.fact_orders,
             "fact_orders",
             not_null([c for c in star.fact_orders.columns if not c.endswith("_key")])
-            + checks(known),
+            + checks(known)
+            + widths(TEXT_LIMITS["orders"], NUMBER_LIMITS["fact_orders"]),
         ),
-        unique_violations(customers, "dim_customers", [["customer_key"]]),
-        unique_violations(products, "dim_products", [["product_key"]]),
+        unique_violations(customers, "dim_customers", [["customer_key"], ["customer_id"]]),
+        unique_violations(products, "dim_products", [["product_key"], ["product_id"]]),
         unique_violations(days, "dim_date", [["date_key"], ["full_date"]]),
         unique_violations(star.fact_orders, "fact_orders", fact_keys),
     ]
