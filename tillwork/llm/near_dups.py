@@ -16,15 +16,21 @@ from tillwork.llm.workspace import Workspace, lists, map_batches
 from tillwork.operators.hot import spread
 
 # The chance that banding misses a pair just at the threshold.
-MISS = 1e-7
+MISS = 1e-6
 # Buckets up to this size compare all their classes that are still apart.
 SMALL_BUCKET = 32
 
 
 def bands_for(percent: int) -> tuple[int, int]:
-    """Bands and minima in each, for a Jaccard similarity of ``percent`` or more."""
+    """Bands and minima in each, for a Jaccard similarity of ``percent`` or more.
+
+    As many bands as let a pair at the threshold share less than two of them with a chance
+    of ``MISS`` at most.
+    """
     rows = 5 if percent >= 85 else 4 if percent >= 75 else 3
-    bands = math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** rows))
+    share, bands = (percent / 100) ** rows, 2
+    while (1 - share) ** bands + bands * share * (1 - share) ** (bands - 1) > MISS:
+        bands += 1
     return bands, rows
 
 
@@ -198,8 +204,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     central = work.put(central.select(*_ordered("class", "centre")).distinct())
     links = work.put(_linked(central, classes, sets, percent))
     groups = components(links, work)
-    apart = work.put(_still_open(members, groups))
-    large = _large_bucket_pairs(apart, centres, sets, percent)
+    apart = work.put(_in_two_buckets(_still_open(members, groups)))
+    large = _large_bucket_pairs(apart, _references(apart, members, centres), sets, percent)
     pairs = _small_bucket_pairs(apart).unionByName(large)
     pairs = work.put(pairs.distinct().join(central, ["a", "b"], "left_anti"))
     edges = copies.unionByName(links).unionByName(_linked(pairs, classes, sets, percent))
@@ -233,7 +239,7 @@ def _centres(members: DataFrame) -> DataFrame:
         members.join(weights.select("class", "weight"), "class")
         .groupBy("bucket", spread("bucket"))
         .agg(F.max(F.struct("weight", "class")).alias("most"))
-        .select("bucket", F.col("most.class").alias("centre"))
+        .select("bucket", F.col("most.class").alias("centre"), "most.weight")
     )
 
 
@@ -257,6 +263,12 @@ def _still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(several, "bucket")
 
 
+def _in_two_buckets(apart: DataFrame) -> DataFrame:
+    """The rows of classes that lie in two open buckets or more, as both of a similar pair do."""
+    several = apart.groupBy("class", spread("class")).agg(F.count(F.lit(1)).alias("n"))
+    return apart.join(several.filter("n > 1").select("class"), "class")
+
+
 def _small_bucket_pairs(apart: DataFrame) -> DataFrame:
     """All pairs of classes of different groups in buckets of up to ``SMALL_BUCKET``."""
     small = apart.filter(F.col("size") <= SMALL_BUCKET)
@@ -265,20 +277,37 @@ def _small_bucket_pairs(apart: DataFrame) -> DataFrame:
     return pairs.select(*_ordered("class", "other"))
 
 
+def _references(apart: DataFrame, members: DataFrame, centres: DataFrame) -> DataFrame:
+    """For each larger open bucket the most central class that its own centre meets anywhere.
+
+    A group of near copies fills many buckets, not all of which hold the text that they were
+    made from; so nearly all of them get the same reference, named ``centre``.
+    """
+    large = apart.filter(F.col("size") > SMALL_BUCKET).select("bucket").distinct()
+    own = large.join(centres, "bucket").select("bucket", F.col("centre").alias("class"))
+    met = members.join(own.select("class").distinct(), "class").join(centres, "bucket")
+    best = met.groupBy("class", spread("class")).agg(
+        F.max(F.struct("weight", "centre")).alias("best")
+    )
+    return own.join(best.select("class", "best"), "class").select(
+        "bucket", F.col("best.centre").alias("centre")
+    )
+
+
 def _large_bucket_pairs(
-    apart: DataFrame, centres: DataFrame, sets: DataFrame, percent: int
+    apart: DataFrame, references: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
     """Candidates among the classes of larger buckets, none of the similar ones left out.
 
-    Among the classes around one centre, every set is put in the same order: first what the
-    centre lacks, by how many of them hold it, rarest first, then the rest. Two sets that are similar enough share an
+    Among the classes with one reference, every set is put in the same order: first what the
+    reference lacks, by how many of them hold it, rarest first, then the rest. Two sets that are similar enough share an
     element among the first few, and what follows their first common one must still be long
     enough. A near copy with many words of its own begins with those, which it shares with
     few, and what it has in common with the whole group comes too late to count.
     """
     around = (
         apart.filter(F.col("size") > SMALL_BUCKET)
-        .join(centres, "bucket")
+        .join(references, "bucket")
         .select("class", "group", "centre")
         .distinct()
         .join(sets, "class")
