@@ -196,28 +196,45 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .select("term")
     )
     terms = np.sort(np.array([r["term"] for r in selected.collect()], np.int64))
-    learned = _kept(rows, terms).orderBy("toxic", F.size("terms"), "terms").toPandas()
-    return learn(
-        [np.searchsorted(terms, np.array(t, np.int64)) for t in learned["terms"]],
-        learned["toxic"].to_numpy(float),
+    return _trained(rows, terms)
+
+
+def _trained(rows: DataFrame, terms: np.ndarray) -> Model:
+    """Learns in one task, which holds the sample with its selected terms; the driver gets
+    one row for each of those terms."""
+    schema = "term long, linear double, factors array<double>"
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = []
+        for batch in batches:
+            for toxic, found in zip(
+                batch.column("toxic").to_pylist(), batch.column("terms").to_pylist(), strict=True
+            ):
+                own = np.array(found, np.int64)
+                sample.append((toxic, np.searchsorted(terms, own[np.isin(own, terms)]).tolist()))
+        # In an order of their own, so that the model does not depend on how rows arrive.
+        sample.sort()
+        labels = np.array([toxic for toxic, _ in sample], float)
+        model = learn([np.array(at, np.int64) for _, at in sample], labels, terms)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.r_[-1, terms], pa.int64()),
+                pa.array(np.r_[model.bias, model.linear]),
+                lists([np.zeros(FACTORS), *model.factors], pa.float64()),
+            ],
+            ["term", "linear", "factors"],
+        )
+
+    learned = sorted(rows.coalesce(1).mapInArrow(train, schema).collect())
+    weights = learned[1:]
+    return Model(
         terms,
+        learned[0]["linear"],
+        np.array([r["linear"] for r in weights]),
+        np.array([r["factors"] for r in weights]).reshape(len(weights), FACTORS),
     )
 
 
-def _kept(rows: DataFrame, terms: np.ndarray) -> DataFrame:
-    """The rows with the selected terms only."""
-
-    def make():
-        def convert(columns):
-            found = [np.array(t, np.int64) for t in columns["terms"]]
-            found = [t[np.isin(t, terms)] for t in found]
-            return {"toxic": columns["toxic"], "terms": lists(found, pa.int32())}
-
-        return convert
-
-    return map_batches(rows, "toxic int, terms array<int>", make)
-
-
 def scorer(model: Model):
     """A column function from a text to its score."""
 
