@@ -119,3 +119,53 @@ def test_test_table(spark):
     want = brute([tuple(r) for r in rows.select("vec_id", "embedding").collect()], 64, 10, lambda i: i % 100 == 0)
     hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize(("parts", "block"), [(1, 16_384), (1, 40), (4, 40)])
+def test_repeated_near_ids_leave_room(table, monkeypatch, parts, block):
+    """Ids that are there more than k times, as copies or with other vectors, without ties."""
+    monkeypatch.setattr(ann, "_parts", lambda n: parts)
+    monkeypatch.setattr(ann, "RECALL", 1.0)
+    monkeypatch.setattr(ann, "BLOCK", block)
+    monkeypatch.setattr(ann, "QUERIES", block)
+    draw = np.random.default_rng(5)
+    rows = list(enumerate(draw.normal(size=(200, 4)).tolist()))
+    for q in (0, 50):
+        base = np.array(rows[q][1])
+        rows += [(1000 + q, (base + 0.001).tolist())] * 25
+        rows += [(2000 + q + 1, (base + 0.002 + 1e-5 * draw.normal(size=4)).tolist()) for _ in range(25)]
+    rows += [(100, (np.array(rows[100][1]) + 0.01 * n).tolist()) for n in range(60)]
+    df = table([(i, v, 0) for i, v in rows], SCHEMA)
+    query = [0, 50, 100, 1000]
+    got = found(nearest(df, F.col("vec_id").isin(query)))
+    want = brute(rows, 4, 10, lambda i: i in query)
+    for q in query:
+        assert len(got[q]) == 10
+        if parts == 1:
+            assert [i for _, i in got[q]] == [i for _, i in want[q]]
+
+
+def test_copies_of_an_id_are_spread(table, monkeypatch):
+    """One id with most rows is not one block."""
+    monkeypatch.setattr(ann, "_parts", lambda n: 1)
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    sizes = table([], "rows int, queries int").sparkSession.sparkContext.accumulator(0)
+    plain = ann._nearest
+
+    def watched(k):
+        search = plain(k)
+
+        def run(rows, queries):
+            sizes.add(len(rows) > 150)
+            return search(rows, queries)
+
+        return run
+
+    monkeypatch.setattr(ann, "_nearest", watched)
+    draw = np.random.default_rng(6)
+    rows = [(7, v) for v in draw.normal(size=(600, 3)).tolist()]
+    rows += [(100 + n, v) for n, v in enumerate(draw.normal(size=(20, 3)).tolist())]
+    got = found(nearest(table([(i, v, 0) for i, v in rows], SCHEMA), F.col("vec_id") == 100))
+    want = brute(rows, 3, 10, lambda i: i == 100)
+    assert [i for _, i in got[100]] == [i for _, i in want[100]]
+    assert sizes.value == 0

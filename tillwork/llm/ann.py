@@ -49,7 +49,7 @@ def _route(
 ) -> DataFrame:
     """Adds the part of each vector, or, given ``far``, the parts of each query.
 
-    ``least`` holds the sizes of the parts over the number of rows that a query should meet.
+    ``least`` holds the ids in each part over the number of ids that a query should meet.
     """
 
     def make():
@@ -70,13 +70,17 @@ def _route(
 
 
 def _nearest(k: int):
-    """The ``k`` nearest rows of one block to each of its queries, with exact distances."""
+    """The ``k`` nearest ids of one block to each of its queries, with exact distances."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def search(rows: pa.Table, queries: pa.Table) -> pa.Table:
         out = []
         if len(rows) and len(queries):
             ids, vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"))
+            order = np.argsort(ids, kind="stable")
+            ids, vectors = ids[order], vectors[order]
+            # Where the rows of each id begin.
+            starts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
             norms = (vectors**2).sum(axis=1)
             for start in range(0, len(queries), 256):
                 part = queries.slice(start, 256)
@@ -84,7 +88,9 @@ def _nearest(k: int):
                 about = norms[None, :] - 2 * points @ vectors.T + (points**2).sum(axis=1)[:, None]
                 for own, point, row in zip(asked, points, about, strict=True):
                     row[ids == own] = np.inf
-                    last = np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1]
+                    # Copies of an id must not take the places of others.
+                    least = row if len(starts) == len(ids) else np.minimum.reduceat(row, starts)
+                    last = np.partition(least, min(k, len(least)) - 1)[min(k, len(least)) - 1]
                     # Rounding must not decide which of those about as near are kept.
                     slack = 1e-9 * (abs(last) + point @ point) if np.isfinite(last) else 0.0
                     near = np.flatnonzero((row <= last + slack) & (ids != own))
@@ -114,7 +120,8 @@ def nearest(rows: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     probable part; a query goes to its most probable parts, as many as are needed to find
     ``RECALL`` of the nearest of sample vectors that were kept out, and ``k`` others. Within a part all rows
     are compared. Parts are cut into blocks of about ``BLOCK`` rows and ``QUERIES`` queries,
-    so a part of any size, or a vector that is there any number of times, is shared out.
+    so a part of any size, a vector that many ids have, or an id that has many vectors, is
+    shared out. Rows that repeat both id and vector are merged first.
 
     Rows with a missing id, or a vector that is missing, zero, of another length than most
     or that holds a null or a number that is not finite, take no part. With fewer than
@@ -122,8 +129,13 @@ def nearest(rows: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     """
     work = Workspace(rows.sparkSession)
     rows = usable(rows)
-    n = rows.count()
-    draw = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(2**32)) / float(2**32)
+    n, ids = rows.agg(F.count(F.lit(1)), F.count_distinct("vec_id")).first()
+    if ids < n:
+        # Equal rows meet before the shuffle, however many there are.
+        rows = work.put(rows.distinct())
+        n = rows.count()
+    # By id and vector, here and in blocks: an id may have any number of vectors.
+    draw = F.pmod(F.xxhash64("vec_id", "vector", F.lit(1)), F.lit(2**32)) / float(2**32)
     # Bounded by ``sample``, whatever the number of rows; copies of a vector count once.
     chosen = rows.filter(draw < sample / max(n, 1)).select("vector").distinct().orderBy("vector")
     vectors = np.array([r["vector"] for r in chosen.collect()], float)
@@ -134,9 +146,11 @@ def nearest(rows: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     index = work.put(
         _route(rows, router).select("vec_id", "vector", F.element_at("parts", 1).alias("part"))
     )
-    # One row for each part.
+    # One row for each part. An id that is in several counts in one, so that the parts of a
+    # query hold at least as many ids as their counts say.
     sizes = np.zeros(router.weights[3].shape)
-    for row in index.groupBy("part").count().collect():
+    held = index if ids == n else index.groupBy("vec_id").agg(F.min("part").alias("part"))
+    for row in held.groupBy("part").count().collect():
         sizes[row["part"]] = row["count"]
     queries = work.put(
         _route(rows.filter(is_query), router, far, sizes / (k + 1)).select(
@@ -156,7 +170,7 @@ def nearest(rows: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     blocks = F.broadcast(work.put(blocks))
 
     def block(number: str):
-        return F.pmod(F.xxhash64("vec_id"), F.col(number)).cast("int")
+        return F.pmod(F.xxhash64("vec_id", "vector"), F.col(number)).cast("int")
 
     def each(number: str):
         return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
