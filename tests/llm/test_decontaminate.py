@@ -103,3 +103,35 @@ def test_empty_tables(documents, table, prose):
     assert tuples(contaminated(docs, table([], SCHEMA))) == []
     assert without_contaminated(docs, table([], SCHEMA)).count() == 1
     assert tuples(contaminated(documents([]), table([(1, "a b")], SCHEMA))) == []
+
+
+def test_long_items_have_the_same_share(documents, table, prose):
+    """Edits are a share of the length beyond 800 characters too, spread out or in one place."""
+    draw = prose.draw
+    items = [(n, prose(words)[:size]) for n, (words, size) in enumerate([(300, 900), (400, 1700)])]
+    rows = []
+    for n, item in items:
+        for share in (2, 7, 12):
+            text = edit(draw, item, len(item) * share // 100)
+            rows.append((1000 + 100 * n + share, f"{prose(30)} {text} {prose(30)}"))
+        gap = len(item) * 6 // 100
+        rows.append((100 + n, f"{prose(9)} {item[:500]}{item[500 + gap :]} {prose(9)}"))
+        rows.append((200 + n, f"{prose(9)} {item[: len(item) * 4 // 5]} {prose(90)}"))
+        rows.append((300 + n, f"{prose(9)} {item.upper()} {prose(9)}"))
+    docs, benchmark = documents(rows), table(items, SCHEMA)
+    want = expected(rows, items, most=10_000)
+    assert Counter(tuples(contaminated(docs, benchmark))) == want
+    assert max(d for _, _, d in want) > 64
+    kept = {r["doc_id"] for r in without_contaminated(docs, benchmark).collect()}
+    assert kept == {i for i, _ in rows} - {i for i, _, _ in want}
+    assert {1012, 1112, 200, 201} <= kept
+
+
+def test_segments_share_the_edits():
+    for n in (1, 799, 800, 801, 1600, 1601, 12_345):
+        item = "".join(chr(97 + i % 26) for i in range(n))
+        for edits in (0, 1, n // 50, n * 8 // 100):
+            cut = decontaminate.segments(item, edits)
+            assert "".join(part for _, part, _ in cut) == item
+            assert all(item[o : o + len(part)] == part and len(part) <= 800 for o, part, _ in cut)
+            assert sum(allowed + 1 for _, _, allowed in cut) > edits

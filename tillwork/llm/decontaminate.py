@@ -14,6 +14,8 @@ from tillwork.llm.workspace import map_batches
 
 # Characters of benchmark text that one pass over the documents looks for.
 BLOCK_CHARS = 4_000_000
+# Items longer than this are looked for by segments of at most so many characters.
+SEGMENT = 800
 
 
 def normal(text: str | None) -> str:
@@ -21,9 +23,10 @@ def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def budget(length: int, percent: int, most: int) -> int:
-    """Edits allowed in an item of so many characters."""
-    return min(length * percent // 100, most)
+def budget(length: int, percent: int, most: int | None = None) -> int:
+    """Edits allowed in an item of so many characters, ``most`` if that is given and less."""
+    edits = length * percent // 100
+    return edits if most is None else min(edits, most)
 
 
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
@@ -70,37 +73,81 @@ class Pattern:
         return best, end
 
 
-def searcher(items: list[str], percent: int, most: int):
+def segments(item: str, edits: int) -> list[tuple[int, str, int]]:
+    """The item cut into even segments: their offsets, texts and edits.
+
+    Of a text within ``edits`` of the item, some segment's share is within its edits: if
+    each had one more, they would add up to more than ``edits``.
+    """
+    n = max(1, -(-len(item) // SEGMENT))
+    cuts = [len(item) * i // n for i in range(n + 1)]
+    return [(a, item[a:b], edits // n) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _merged(stretches: list[list[int]]) -> list[list[int]]:
+    """Stretches of a text in order, those that meet or overlap as one."""
+    out: list[list[int]] = []
+    for first, until in sorted(stretches):
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], until)
+        else:
+            out.append([first, until])
+    return out
+
+
+def searcher(items: list[str], percent: int, most: int | None = None):
     """A function from a text to the items in it: their positions and least distances."""
     where = defaultdict(list)
     edits = [budget(len(item), percent, most) for item in items]
-    patterns = [Pattern(item) for item in items]
-    for n, item in enumerate(items):
-        for offset, piece in pieces(item, edits[n]):
-            where[piece].append((n, offset))
+    # Each segment: its item, offset, text and edits. A short item is one segment.
+    parts = [(n, *s) for n, item in enumerate(items) for s in segments(item, edits[n])]
+    alone = [len(part) == len(items[n]) for n, _, part, _ in parts]
+    patterns: dict[str, Pattern] = {}
+    for m, (_, _, part, allowed) in enumerate(parts):
+        for offset, piece in pieces(part, allowed):
+            where[piece].append((m, offset))
     search = ahocorasick.Automaton()
     for piece, places in where.items():
         search.add_word(piece, (len(piece), places))
     search.make_automaton()
 
+    def nearest(item: str, text: str) -> int:
+        if item not in patterns:
+            patterns[item] = Pattern(item)
+        return patterns[item].nearest(text)[0]
+
     def found(text: str) -> dict[int, int]:
-        # For each item, the stretches of text in which a hit says that it may lie.
-        stretches = defaultdict(list)
+        # For each segment, the stretches of text in which a hit says that it may lie.
+        hit = defaultdict(list)
         for last, (size, places) in search.iter(text):
-            for n, offset in places:
+            for m, offset in places:
+                _, _, part, allowed = parts[m]
                 begin = last + 1 - size - offset
-                first, until = max(0, begin - edits[n]), begin + len(items[n]) + edits[n]
-                near = stretches[n][-1] if stretches[n] else None
+                first, until = max(0, begin - allowed), begin + len(part) + allowed
+                near = hit[m][-1] if hit[m] else None
                 if near and first <= near[1] and until >= near[0]:
                     near[:] = min(near[0], first), max(near[1], until)
                 else:
-                    stretches[n].append([first, until])
-        best = {}
-        for n, parts in stretches.items():
-            if items[n] in text:
-                best[n] = 0
+                    hit[m].append([first, until])
+        # For each item, the stretches in which it may lie, by the segments that are there.
+        stretches = defaultdict(list)
+        exact = {}
+        for m, places in hit.items():
+            n, offset, part, allowed = parts[m]
+            if n not in exact:
+                exact[n] = items[n] in text
+            if exact[n]:
                 continue
-            least = min(patterns[n].nearest(text[a:b])[0] for a, b in parts)
+            for first, until in places:
+                if alone[m]:
+                    stretches[n].append([first, until])
+                elif nearest(part, text[first:until]) <= allowed:
+                    # The segment begins and ends inside; the item's other edits come on top.
+                    more = len(items[n]) - offset - len(part) + edits[n]
+                    stretches[n].append([max(0, first - offset - edits[n]), until + more])
+        best = {n: 0 for n in exact if exact[n]}
+        for n, places in stretches.items():
+            least = min(nearest(items[n], text[a:b]) for a, b in _merged(places))
             if least <= edits[n]:
                 best[n] = least
         return best
@@ -123,15 +170,15 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, percent: int = 8, most: int = 64
+    docs: DataFrame, benchmark: DataFrame, percent: int = 8, most: int | None = None
 ) -> DataFrame:
     """The documents that contain a benchmark item, up to a few edited characters.
 
     ``docs`` has ``doc_id`` and ``text``, ``benchmark`` has ``item_id`` and ``text``; other
     columns are not read. Both texts are lowered and their white space is made single
     spaces. An item of n characters is in a document if some part of the document is
-    within ``min(n * percent / 100, most)`` edits (one character put in, left out or
-    changed). Returns ``doc_id, item_id, distance`` (the least of any part), one row for
+    within ``n * percent / 100`` edits (one character put in, left out or changed), whatever
+    its length, or ``most`` if that is given and less. Returns ``doc_id, item_id, distance`` (the least of any part), one row for
     each pair of a row of ``docs`` and an item that match. A short item is matched like a
     long one, down to equality.
 
@@ -168,7 +215,7 @@ def contaminated(
 
 
 def without_contaminated(
-    docs: DataFrame, benchmark: DataFrame, percent: int = 8, most: int = 64
+    docs: DataFrame, benchmark: DataFrame, percent: int = 8, most: int | None = None
 ) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item; see ``contaminated``.
 
@@ -179,7 +226,7 @@ def without_contaminated(
     return docs
 
 
-def _is_clean(items: list[str], percent: int, most: int):
+def _is_clean(items: list[str], percent: int, most: int | None):
     @F.pandas_udf("boolean")
     def is_clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         found = searcher(items, percent, most)
