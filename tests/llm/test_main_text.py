@@ -102,3 +102,31 @@ def test_table(table):
     want = [(i, u, main_text(h)) for i, u, h in rows]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert tuples(main_texts(table([], "page_id long, url string, html string"))) == []
+
+
+LINKS = "<ul>" + "<li><a href='/x'>go there</a>" * 9 + "</ul>"
+LONG = "words of a paragraph that goes on " * 30
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div id=content><h1>Title</h1><p>{0}</p><p>short closing</p></div>", "Title|{0}|short closing"),
+        (
+            "<div class=post><h1>Title</h1><p>A lead of a few words.</p><div class=body><p>{0}</p><p>{0}</p></div></div>",
+            "Title|A lead of a few words.|{0}|{0}",
+        ),
+        ("<h1>Title</h1><p>A lead of a few words.</p><div>{0}</div>", "Title|A lead of a few words.|{0}"),
+        ("<div><h2>Quoted</h2><blockquote>{0}</blockquote><p>That was said by her.</p></div>", "Quoted|{0}|That was said by her."),
+        ("<div><ul><li>{0}<li>a short item</ul></div>", "{0}|a short item"),
+        (
+            "<article><h1>One</h1><p>{0}</p></article><article><h1>Two</h1><p>As short as that.</p></article>",
+            "One|{0}|Two|As short as that.",
+        ),
+        ("<main><h1>Title</h1><article><p>{0}</p></article></main>", "Title|{0}"),
+    ],
+)
+def test_titles_leads_and_closing_blocks_stay(page, text):
+    page, text = page.format(LONG), text.format(LONG.strip()).replace("|", "\n")
+    assert main_text(page) == text
+    assert main_text(f"<body>{LINKS}{page}{LINKS}<p>(c) Site</p></body>") == text

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 from html.parser import HTMLParser
@@ -48,6 +49,8 @@ BESIDE = frozenset("has with without no".split())
 REMARKS = frozenset(("comment", "reply"))
 # An element like this is the article.
 ARTICLE = frozenset(("article", "main"))
+# Without one, the main text is in one of these, not in a part of a text.
+CONTAINERS = frozenset("html body center div section td".split())
 # What ends an open paragraph, list item and so on, although its end tag is left out.
 ENDS = {
     "li": frozenset(("li",)),
@@ -66,6 +69,8 @@ SIGMA, REACH = 1.0, 2
 THRESHOLD = 1.0
 # The element that holds the main text has this share of the content lines' text.
 SHARE = 0.8
+# Lines with this many characters for each tag are text, however dense others are.
+PROSE = 20.0
 
 
 def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
@@ -91,6 +96,8 @@ class Element:
     article: bool
     content: int = 0  # characters of content lines inside
     depth: int = 0
+    teaser: bool = False  # an article by its tag, something else by its words
+    link: bool = False
 
 
 @dataclass
@@ -101,6 +108,7 @@ class Line:
     parts: list[str] = field(default_factory=list)
     tags: int = 0
     heading: bool = False
+    linked: int = 0  # characters in links
 
     @property
     def text(self) -> str:
@@ -151,6 +159,8 @@ class Lines(HTMLParser):
             or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         )
         element = Element(tag, parent, dropped, within, depth=parent.depth + 1)
+        element.teaser = article and not DROPPED_WORDS.isdisjoint(named)
+        element.link = parent.link or tag == "a"
         if tag in VOID:
             if tag in BLOCKS:
                 self._break()
@@ -175,6 +185,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.lines[-1].parts.append(data)
+        if self.open[-1].link:
+            self.lines[-1].linked += len(data.strip())
 
 
 def _smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -183,17 +195,79 @@ def _smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel / kernel.sum())[REACH:-REACH]
 
 
+def _ratios(lines: list[Line]) -> np.ndarray:
+    return np.array([len(line.text) / max(1, line.tags) for line in lines], float)
+
+
 def content_lines(lines: list[Line]) -> np.ndarray:
     """Which lines belong to a region of dense text.
 
     The ratio of text to tags of each line is smoothed along the page; lines at or above
     the threshold form the regions.
     """
-    ratios = np.array([len(line.text) / max(1, line.tags) for line in lines], float)
+    ratios = _ratios(lines)
     smooth = _smoothed(ratios)
     return (smooth >= THRESHOLD * smooth.std()) & (ratios > 0)
 
 
+def _above(element: Element | None) -> Iterator[Element]:
+    """The element and all that it is in, from the inside."""
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def _text_lines(lines: list[Line]) -> np.ndarray:
+    """Which lines are text, not links: dense, of some length, or headings of such.
+
+    A line of much more text than others raises the threshold, but not above ``PROSE``.
+    """
+    smooth = _smoothed(_ratios(lines))
+    text = smooth >= min(THRESHOLD * smooth.std(), PROSE)
+    for i in range(len(lines) - 1, -1, -1):
+        if 2 * lines[i].linked > len(lines[i].text):
+            text[i] = False
+        elif lines[i].heading:
+            text[i] = text[i + 1 : i + 2 + REACH].any()
+    return text
+
+
+def _grown(best: Element, lines: list[Line], within: bool) -> set[int]:
+    """The elements (by ``id``) that hold the text that ``best`` is the most of.
+
+    From ``best`` up to the parent while all other lines there are text too; of the last
+    parent, what is next to ``best`` and is text. ``within`` keeps to the article.
+    """
+    if within and not (best.parent and best.parent.article):
+        return {id(best)}
+    text = _text_lines(lines)
+    path = [list(_above(line.inside))[::-1] for line in lines]
+    while best.parent is not None and (best.parent.article or not within):
+        parent = best.parent
+        depth = parent.depth
+        # The children of the parent, in page order; lines of its own are one each.
+        units: list[tuple[object, list[int]]] = []
+        for i, way in enumerate(path):
+            if len(way) <= depth or way[depth] is not parent:
+                continue
+            child = way[depth + 1] if len(way) > depth + 1 else lines[i]
+            if units and units[-1][0] is child:
+                units[-1][1].append(i)
+            else:
+                units.append((child, [i]))
+        at = [n for n, (child, _) in enumerate(units) if child is best]
+        fits = [child is best or all(text[i] for i in rows) for child, rows in units]
+        if not all(fits):
+            taken = {id(best)}
+            for step, n in ((-1, at[0] - 1), (1, at[-1] + 1)):
+                while 0 <= n < len(units) and fits[n]:
+                    taken.add(id(units[n][0]))
+                    n += step
+            return taken
+        best = parent
+    return {id(best)}
+
+
 def _whole_markup(html: str) -> str:
     """The page without a comment or tag that its end cuts off."""
     comment = html.rfind("<!--")
@@ -219,37 +293,28 @@ def main_text(html: str | None) -> str:
     content = content_lines(kept)
     # The regions say which element holds the main text: the deepest with most of it.
     total = 0
+    holders: dict[int, Element] = {}
     for line, dense in zip(kept, content, strict=True):
         size = len(line.text) if dense else 0
         total += size
-        element = line.inside
-        while element is not None:
+        for element in _above(line.inside):
             element.content += size
-            element = element.parent
-    holders: dict[int, Element] = {}
-    for line in kept:
-        element = line.inside
-        while element is not None:
             holders[id(element)] = element
-            element = element.parent
     articles = [e for e in holders.values() if e.tag in ARTICLE and e.content > 0]
     if articles:
         best = max(articles, key=lambda e: (e.content, e.depth))
     else:
-        enough = [e for e in holders.values() if e.content >= SHARE * total and e.tag in BLOCKS]
+        enough = [e for e in holders.values() if e.content >= SHARE * total and e.tag in CONTAINERS]
         best = max(enough, key=lambda e: e.depth, default=parser.open[0])
-
-    def inside(element: Element | None) -> bool:
-        while element is not None:
-            if element is best:
-                return True
-            element = element.parent
-        return False
+    taken = _grown(best, kept, bool(articles))
+    # A page may have its text in several articles, one after another.
+    taken |= {id(e) for e in articles if e.tag == best.tag and e.parent is best.parent and not e.teaser}
 
     return "\n".join(
         line.text
         for line in kept
-        if inside(line.inside) and (line.heading or not _in_header(line.inside))
+        if (id(line) in taken or not taken.isdisjoint(id(e) for e in _above(line.inside)))
+        and (line.heading or not _in_header(line.inside))
     )
 
 
@@ -270,8 +335,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     comments are dropped. Of the rest, the ratio of text to tags, smoothed by a Gaussian
     along the page, is cut at a threshold into regions of dense text, and these select
     the element that holds the main text: the ``article`` or ``main`` with most of it, or
-    else the deepest element with nearly all. All lines of that element are returned, in
-    page order, one on each line, with single spaces. Of a header inside an article, the
+    else the deepest container with nearly all, and what is beside it and belongs to the same
+    text: titles, leads, closing blocks, articles next to it. All lines are returned, in page order, one on each line, with single spaces. Of a header inside an article, the
     headings stay.
 
     A missing, empty or textless page gives an empty text. Broken markup is read as far as
