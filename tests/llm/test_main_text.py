@@ -130,3 +130,20 @@ def test_titles_leads_and_closing_blocks_stay(page, text):
     page, text = page.format(LONG), text.format(LONG.strip()).replace("|", "\n")
     assert main_text(page) == text
     assert main_text(f"<body>{LINKS}{page}{LINKS}<p>(c) Site</p></body>") == text
+
+
+def test_words_of_ids_do_not_drop_article_text():
+    kept = (
+        f"<section id=discussion><h2 id=related-work>Related work</h2><p>{LONG}</p></section>"
+        f"<h2 id=legal-form>Legal form</h2><div id=search-results-of-the-survey><p>It found some.</p></div>"
+        f"<div class=discussion><p>{LONG[:300]}</p></div>"
+    )
+    gone = (
+        "<div class=related><a href=/x>Some other story to read here</a></div><div class=search>Search this</div>"
+        "<div id=comments><p>What a great article, thank you so much for it!</p></div>"
+    )
+    got = main_text(f"<body>{LINKS}<article><h1>Title</h1><p>{LONG}</p>{kept}{gone}</article></body>")
+    want = ["Title", LONG, "Related work", LONG, "Legal form", "It found some.", LONG[:300]]
+    assert got.split("\n") == [t.strip() for t in want]
+    page = f"<div><h1>Title</h1><p>{LONG}</p><section id=discussion><h2 id=search>Search</h2><p>{LONG}</p></section></div>"
+    assert main_text(page).split("\n") == ["Title", LONG.strip(), "Search", LONG.strip()]

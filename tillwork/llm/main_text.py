@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -43,6 +44,10 @@ DROPPED_WORDS = frozenset(
     "search pagination pager paging toolbar skip hidden copyright legal disclaimer masthead "
     "outbrain taboola".split()
 )
+# Some of these words are also what an article may be about; there the density decides.
+DOUBTFUL_WORDS = frozenset(
+    "discussion form legal recommendations recommended related search social".split()
+)
 # After one of these a word says what stands beside an element, not what it is.
 BESIDE = frozenset("has with without no".split())
 # Only these words drop an article.
@@ -73,15 +78,27 @@ SHARE = 0.8
 PROSE = 20.0
 
 
-def _names(attrs: list[tuple[str, str | None]]) -> set[str]:
-    """The words of an element's class, id and role."""
+def _names(attrs: list[tuple[str, str | None]], keys: tuple[str, ...]) -> set[str]:
+    """The words of an element's class, id or role."""
     words = []
     for key, value in attrs:
-        if key in ("class", "id", "role"):
+        if key in keys:
             words += _WORD.findall((value or "").lower()) + [""]
     return {w for before, w in zip([""] + words, words, strict=False) if before not in BESIDE}
 
 
+def _by_id(tag: str, attrs: list[tuple[str, str | None]], within: bool) -> set[str]:
+    """The words of an element's id that say what it is.
+
+    The id of a heading is made from its text, as is that of a section ``within`` an
+    article; other ids there count only if they are one word.
+    """
+    if tag in HEADINGS or (within and tag == "section"):
+        return set()
+    words = _names(attrs, ("id",))
+    return set() if within and len(words - {""}) > 1 else words
+
+
 def _excluding(tag: str) -> frozenset[str]:
     if tag in ARTICLE:
         return REMARKS
@@ -97,6 +114,7 @@ class Element:
     content: int = 0  # characters of content lines inside
     depth: int = 0
     teaser: bool = False  # an article by its tag, something else by its words
+    doubtful: bool = False  # itself, by a word that the density has to confirm
     link: bool = False
 
 
@@ -122,6 +140,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open = [Element("html", None, False, False)]
         self.lines = [Line(self.open[0])]
+        self.doubtful = False
 
     def _break(self) -> None:
         self.lines.append(Line(self.open[-1]))
@@ -148,17 +167,23 @@ class Lines(HTMLParser):
                 if other in BLOCKS:
                     break
         parent = self.open[-1]
-        named = _names(attrs)
+        by_class, by_role = _names(attrs, ("class",)), _names(attrs, ("role",))
+        by_id = _by_id(tag, attrs, parent.article)
+        named = by_class | by_role | by_id
+        # Beside an article a class is meant as it says.
+        sure = by_role | (by_id - DOUBTFUL_WORDS) | (by_class - (DOUBTFUL_WORDS if parent.article else set()))
         article = tag in ARTICLE and not parent.dropped and REMARKS.isdisjoint(named)
         within = parent.article or article
         dropped = (
             parent.dropped
             or tag in DROPPED
             or (tag == "header" and not within)
-            or not _excluding(tag).isdisjoint(named)
+            or not _excluding(tag).isdisjoint(sure)
             or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         )
         element = Element(tag, parent, dropped, within, depth=parent.depth + 1)
+        element.doubtful = not dropped and not _excluding(tag).isdisjoint(named)
+        self.doubtful |= element.doubtful
         element.teaser = article and not DROPPED_WORDS.isdisjoint(named)
         element.link = parent.link or tag == "a"
         if tag in VOID:
@@ -166,7 +191,7 @@ class Lines(HTMLParser):
                 self._break()
             return
         self.open.append(element)
-        if tag in BLOCKS or dropped != parent.dropped:
+        if tag in BLOCKS or dropped != parent.dropped or element.doubtful:
             self._break()
             self.lines[-1].heading = tag in HEADINGS
 
@@ -232,6 +257,26 @@ def _text_lines(lines: list[Line]) -> np.ndarray:
     return text
 
 
+def _undoubted(lines: list[Line]) -> list[Line]:
+    """The lines without those of doubtful elements that are not dense.
+
+    Half of an element's characters must be in lines of text, and some line of it must be
+    such by itself, not by what is beside it.
+    """
+    smooth, ratios = _smoothed(_ratios(lines)), _ratios(lines)
+    floor = min(THRESHOLD * smooth.std(), PROSE)
+    inside = defaultdict(lambda: [0, 0, False])
+    for line, dense, ratio, text in zip(lines, smooth >= floor, ratios, _text_lines(lines), strict=True):
+        for element in _above(line.inside):
+            if element.doubtful:
+                sums = inside[id(element)]
+                sums[0] += len(line.text)
+                sums[1] += len(line.text) if text else 0
+                sums[2] |= bool(text and dense and ratio >= floor)
+    gone = {e for e, (size, dense, own) in inside.items() if not own or 2 * dense < size}
+    return [line for line in lines if gone.isdisjoint(id(e) for e in _above(line.inside))]
+
+
 def _grown(best: Element, lines: list[Line], within: bool) -> set[int]:
     """The elements (by ``id``) that hold the text that ``best`` is the most of.
 
@@ -288,6 +333,8 @@ def main_text(html: str | None) -> str:
     parser.close()
     lines = [line for line in parser.lines if line.text]
     kept = [line for line in lines if not line.inside.dropped]
+    if kept and parser.doubtful:
+        kept = _undoubted(kept)
     if not kept:
         return ""
     content = content_lines(kept)
@@ -332,7 +379,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     ``pages`` has ``page_id``, ``url`` and ``html``; other columns are not read. The page
     is parsed as a stream of events into lines, one for each block; lines in menus, page
     headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-    comments are dropped. Of the rest, the ratio of text to tags, smoothed by a Gaussian
+    comments are dropped. Words that an article may be about, or that its ids are made of,
+    drop only what is not dense. Of the rest, the ratio of text to tags, smoothed by a Gaussian
     along the page, is cut at a threshold into regions of dense text, and these select
     the element that holds the main text: the ``article`` or ``main`` with most of it, or
     else the deepest container with nearly all, and what is beside it and belongs to the same
