@@ -147,3 +147,11 @@ def test_words_of_ids_do_not_drop_article_text():
     assert got.split("\n") == [t.strip() for t in want]
     page = f"<div><h1>Title</h1><p>{LONG}</p><section id=discussion><h2 id=search>Search</h2><p>{LONG}</p></section></div>"
     assert main_text(page).split("\n") == ["Title", LONG.strip(), "Search", LONG.strip()]
+
+
+@pytest.mark.parametrize(
+    "before", ["<script>var a = '<!--';</script>", "<style>/* <!-- */</style>", "<p title='<!--'></p>"]
+)
+def test_a_comment_that_is_none(before):
+    assert main_text(f"{before}<article><p>text</p><p>more</p></article>") == "text\nmore"
+    assert main_text(f"{before}<article><p>text<!-- <p>c</p></article>") == "text"

@@ -314,10 +314,7 @@ def _grown(best: Element, lines: list[Line], within: bool) -> set[int]:
 
 
 def _whole_markup(html: str) -> str:
-    """The page without a comment or tag that its end cuts off."""
-    comment = html.rfind("<!--")
-    if comment >= 0 and html.find("-->", comment) < 0:
-        html = html[:comment]
+    """The page without a tag that its end cuts off."""
     tag = html.rfind("<")
     if tag > html.rfind(">") and _TAG.match(html, tag):
         html = html[:tag]
@@ -330,6 +327,9 @@ def main_text(html: str | None) -> str:
         return ""
     parser = Lines()
     parser.feed(_whole_markup(html))
+    # What the parser waits for the end of; in a script or an attribute it is none.
+    if parser.rawdata.startswith("<!--"):
+        parser.rawdata = ""
     parser.close()
     lines = [line for line in parser.lines if line.text]
     kept = [line for line in lines if not line.inside.dropped]
