@@ -18,6 +18,8 @@ COLUMNS = {
     "op8_nearest_neighbours": "query_id rank vec_id score",
     "op9_toxicity": "doc_id held_out score predicted",
     "op10_repeated_passages": "doc_id n_words n_removed kept_sha256",
+    "op12_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
 }
 
 
@@ -37,7 +39,7 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     cursor = con.execute(ORACLE[name])
     names = [c[0] for c in cursor.description]

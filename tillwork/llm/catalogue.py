@@ -13,6 +13,8 @@ from tillwork.llm.lm import lattice_scores
 from tillwork.llm.main_text import main_texts
 from tillwork.llm.mixture import mixture
 from tillwork.llm.near_dups import near_duplicates
+from tillwork.llm.negatives import hard_negatives
+from tillwork.llm.repair import damaged, repair
 from tillwork.llm.secret_scan import (
     ACCESS,
     ALLOWED,
@@ -93,6 +95,15 @@ def op10_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/embeddings.parquet")
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    return repair(damaged(spark.read.parquet(f"{d}/conversations.parquet")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_main_text": op2_main_text,
@@ -104,8 +115,11 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_repeated_passages": op10_repeated_passages,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
+
 def _spans_sql(kind: str, pattern: str, least: int, value: int) -> str:
     together = rf"(?s)(.*?)({pattern}|\z)".replace("'", "''")
     return f"""
@@ -246,4 +260,115 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (rid)""",
+    "op12_hard_negatives": """
+        WITH usable AS (
+            SELECT DISTINCT vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+                   CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id,
+               positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 5""",
+    "op13_conversation_repair": r"""
+        WITH filled AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' ||
+                       coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                       lambda c: CAST(ascii(c) AS BIGINT)) AS key
+            FROM conversations),
+        drawn AS (
+            SELECT *, xor(list_reduce(key, lambda c, b: list_reduce(range(8),
+                       lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+                       4294967295), 4294967295) % 20 AS draw FROM filled),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                   CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END
+                       AS text,
+                   unnest(range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM drawn),
+        placed AS (
+            SELECT *, row_number() OVER w AS place,
+                   lag(left(role, 1)) OVER w || left(role, 1) AS pair,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+                   row_number() OVER (PARTITION BY conv_id, role, text
+                                      ORDER BY turn NULLS FIRST, copy) > 1 AS again
+            FROM damaged
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        faulty AS (
+            SELECT *, body = '' AS blank, body <> '' AND again AS duplicate,
+                   body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated
+            FROM placed),
+        counted AS (
+            SELECT conv_id,
+                   coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (WHERE blank) AS blank,
+                   count(*) FILTER (WHERE duplicate) AS duplicate,
+                   count(*) FILTER (WHERE truncated) AS truncated,
+                   count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+                   list({'i': left(role, 1), 'go': blank OR duplicate,
+                         'more': CASE WHEN truncated THEN 3 ELSE 0 END} ORDER BY place) AS turns
+            FROM faulty GROUP BY conv_id),
+        -- The cheapest edits into each state of the grammar (nothing, s, u, a), row by row.
+        solved AS (
+            SELECT *, list_reduce(turns, lambda b, t: list_transform([list_transform([list_min([b[3],
+                    {'c': b[1].c + 3, 'a': b[1].a || 'I'}, {'c': b[2].c + 3, 'a': b[2].a || 'I'},
+                    {'c': b[4].c + 3, 'a': b[4].a || 'I'}])], lambda u: [b[1], b[2], u,
+                    list_min([b[4], {'c': u.c + 3, 'a': u.a || 'I'}])])[1]], lambda e: [
+                {'c': e[1].c + 4, 'a': e[1].a || 'D'},
+                list_min([{'c': e[2].c + 4, 'a': e[2].a || 'D'},
+                    {'c': CASE WHEN t.i = 's' AND NOT t.go THEN e[1].c + t.more ELSE 1000000000 END,
+                     'a': e[1].a || 'K'}]),
+                list_min([{'c': e[3].c + 4, 'a': e[3].a || 'D'}] || list_transform([1, 2, 4],
+                    lambda k: {'c': CASE WHEN t.go THEN 1000000000 ELSE e[k].c + t.more +
+                                    CASE WHEN t.i = 'u' THEN 0 ELSE 3 END END,
+                               'a': e[k].a || CASE WHEN t.i = 'u' THEN 'K' ELSE 'R' END})),
+                list_min([{'c': e[4].c + 4, 'a': e[4].a || 'D'},
+                    {'c': CASE WHEN t.go THEN 1000000000 ELSE e[3].c + t.more +
+                          CASE WHEN t.i = 'a' THEN 0 ELSE 3 END END,
+                     'a': e[3].a || CASE WHEN t.i = 'a' THEN 'K' ELSE 'R' END}])])[1],
+                [{'c': 0, 'a': ''}, {'c': 1000000000, 'a': ''}, {'c': 1000000000, 'a': ''},
+                 {'c': 1000000000, 'a': ''}]) AS b
+            FROM counted),
+        best AS (
+            SELECT *, list_min([b[1], b[4], {'c': b[3].c + 3, 'a': b[3].a || 'I'},
+                                {'c': b[2].c + 6, 'a': b[2].a || 'II'}]) AS way FROM solved),
+        letters AS (
+            SELECT *, row_number() OVER w AS k, sum(CASE edit WHEN 'I' THEN 0 ELSE 1 END)
+                   OVER (w ROWS UNBOUNDED PRECEDING) AS place
+            FROM (SELECT conv_id, unnest(string_split(way.a, '')) AS edit,
+                         unnest(range(length(way.a))) AS spot FROM best WHERE way.a <> '')
+            WINDOW w AS (PARTITION BY conv_id ORDER BY spot)),
+        left_over AS (
+            SELECT l.conv_id, l.k, l.edit, f.role, f.text,
+                   row_number() OVER (PARTITION BY l.conv_id ORDER BY l.k) AS n,
+                   max(CASE WHEN l.edit = 'K' AND left(f.role, 1) = 's' THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY l.conv_id) AS has_s
+            FROM letters l LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM l.conv_id
+                 AND f.place = l.place AND l.edit <> 'I'
+            WHERE l.edit <> 'D'),
+        lines AS (
+            SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role
+                       WHEN (n - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                       coalesce(text, ''), chr(10) ORDER BY n) AS repaired
+            FROM left_over GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+               coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, CAST(coalesce(way.c, 0) AS BIGINT) AS cost,
+               coalesce(way.a, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id""",
 }
