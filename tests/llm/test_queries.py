@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_nearest_neighbours": "query_id rank vec_id score",
     "op9_toxicity": "doc_id held_out score predicted",
     "op10_repeated_passages": "doc_id n_words n_removed kept_sha256",
+    "op11_repeated_bytes": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op12_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     "op13_conversation_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
 }

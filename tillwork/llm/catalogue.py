@@ -30,6 +30,7 @@ from tillwork.llm.secret_scan import (
     find_secrets,
 )
 from tillwork.llm.substrings import remove_repeats
+from tillwork.llm.suffixes import remove_repeated_bytes
 from tillwork.llm.toxicity import toxicity
 from tillwork.llm.url_rules import judge, labelled_urls, mine
 
@@ -95,6 +96,12 @@ def op10_repeated_passages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_repeated_bytes(spark: SparkSession, d: str) -> DataFrame:
+    return remove_repeated_bytes(_documents(spark, d), length=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     rows = spark.read.parquet(f"{d}/embeddings.parquet")
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
@@ -115,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_repeated_bytes": op11_repeated_bytes,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -260,6 +268,37 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (rid)""",
+    "op11_repeated_bytes": """
+        WITH split AS (
+            SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h
+            FROM documents),
+        strings AS (
+            -- Parts of 200 starts, as substr() counts from the beginning of what it is given.
+            SELECT rid, doc_id, 200 * k + j AS i, md5(substr(part, 2 * j + 1, 100)) AS s
+            FROM (SELECT rid, doc_id, k, part, unnest(range(length(part) // 2 - 49)) AS j
+                  FROM (SELECT rid, doc_id, k, substr(h, 400 * k + 1, 498) AS part
+                        FROM (SELECT *, unnest(range(length(h) // 400 + 1)) AS k FROM split)))),
+        first AS (SELECT s, min(doc_id) AS least FROM strings GROUP BY s),
+        repeated AS (SELECT rid, i FROM strings JOIN first USING (s) WHERE least < doc_id),
+        bytes AS (
+            SELECT rid, unnest(regexp_extract_all(h, '..')) AS b, unnest(range(length(h) // 2)) AS i
+            FROM split),
+        covered AS (
+            SELECT rid, b, i, coalesce(max(CASE WHEN r.i IS NOT NULL THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+                   0) AS gone
+            FROM bytes LEFT JOIN repeated r USING (rid, i)),
+        runs AS (
+            SELECT *, gone = 1 AND lag(gone, 1, 0) OVER (PARTITION BY rid ORDER BY i) = 0 AS begins
+            FROM covered),
+        kept AS (
+            SELECT rid, count(*) FILTER (WHERE gone = 1) AS n_removed,
+                   count(*) FILTER (WHERE begins) AS n_spans,
+                   string_agg(b, '' ORDER BY i) FILTER (WHERE gone = 0) AS h
+            FROM runs GROUP BY rid)
+        SELECT doc_id, length(split.h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
+        FROM split LEFT JOIN kept USING (rid)""",
     "op12_hard_negatives": """
         WITH usable AS (
             SELECT DISTINCT vec_id,

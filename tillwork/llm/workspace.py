@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwork.session import shared_folder
 
 
+# Shuffle files go when the write that made them has ended, not when the driver collects
+# its garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Workspace:
     """A new folder below ``spark.checkpoint.dir``.
 
     A table put here no longer depends on what it was made from, so a lost executor
-    costs only the tasks it was running.
+    costs only the tasks it was running. What its making shuffled is deleted at once.
     """
 
     def __init__(self, spark: SparkSession):
@@ -25,7 +30,15 @@ class Workspace:
     def put(self, df: DataFrame) -> DataFrame:
         self.tables += 1
         path = f"{self.folder}/{self.tables}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEAN_UP, None)
+        self.spark.conf.set(_CLEAN_UP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEAN_UP)
+            else:
+                self.spark.conf.set(_CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
