@@ -12,6 +12,7 @@ from tests.conftest import tuples
 from tillwork.model import MONEY_SUM
 from tillwork.operators.hot import hot_keys
 from tillwork.operators.ordered import (
+    cut,
     id_block,
     id_levels,
     next_value,
@@ -20,6 +21,7 @@ from tillwork.operators.ordered import (
     row_numbers,
     row_numbers_split,
     running_sum,
+    spread_blocks,
 )
 from tillwork.plans import sales
 
@@ -152,8 +154,8 @@ def test_numbers_with_a_hot_block(spark, min_rows):
     got = row_numbers_split(
         df,
         "n",
+        key="k",
         order_by=["k", "part"],
-        levels=[F.shiftright("k", 6), F.shiftright("k", 3)],
         finer=F.struct("k", F.shiftright("part", 2).alias("p")),
         min_rows=min_rows,
     )
@@ -183,6 +185,51 @@ def test_rank_keeps_rows_of_a_null_city(spark):
     assert dict(tuples(got, "id", "rank")) == {1: 2, 2: 1, 3: 1, 4: 1}
 
 
+def test_no_block_is_many_times_its_share_with_an_outlier(spark):
+    """2,000,000 dense ids, and one at 2^62."""
+    df = spark.range(2_000_000).union(spark.createDataFrame([(2**62,)], "id long"))
+    coarse, fine = id_levels(df, "id")
+    sizes = [r["count"] for r in df.groupBy(fine.alias("b")).count().collect()]
+    assert len(sizes) >= 40 and max(sizes) <= 2 * 2_000_001 / 64
+    assert df.select(coarse.alias("a")).distinct().count() <= 20
+    below_a_day = df.groupBy(spread_blocks(df, "id").alias("b")).count()
+    assert below_a_day.agg(F.max("count")).first()[0] <= 2**20
+
+
+CROWDED = {
+    # Half of all ids between two that are 2^40 apart, and those again in a range of 2^62.
+    "nested": "CASE WHEN id = 0 THEN -(1L << 62) WHEN id = 1 THEN 1L << 62 WHEN id = 2 THEN 1L << 40 ELSE id END",
+    "powers": "CAST(pow(2, id % 60) AS BIGINT) + id DIV 60",
+    "clusters": "(id % 97) * 1000000007 * 1000003 + id DIV 97",
+    "one side": "CASE WHEN id = 0 THEN -9223372036854775808 ELSE 9223372036854775807 - id END",
+    "repeated": "CASE WHEN id < 800000 THEN 77 ELSE id END",
+}
+
+
+@pytest.mark.parametrize("name", CROWDED)
+def test_blocks_of_crowded_ids(spark, name):
+    n = 1_200_000
+    df = spark.range(n).selectExpr(f"{CROWDED[name]} AS k", "id").cache()
+    blocks = cut(df, "k", lambda rows: 64)
+    share = -(-n // 64)
+    most = df.groupBy("k").count().agg(F.max("count")).first()[0]
+    found = df.select("k", blocks.block.alias("b"))
+    sizes = found.groupBy("b").agg(
+        F.count("b").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")
+    )
+    rows = sorted(tuples(sizes, "b", "n", "low", "high"))
+    assert rows[0][0] >= 0 and rows[-1][0] < blocks.blocks <= 200
+    assert max(r[1] for r in rows) == blocks.largest <= max(2 * share, most + share)
+    # Blocks are in order of the ids.
+    assert all(a[3] < b[2] for a, b in zip(rows, rows[1:]))
+    numbers = row_numbers_split(
+        df, "n", key="k", order_by=["k", "id"], finer=F.shiftright("id", 16), min_rows=100_000
+    )
+    wrong = numbers.selectExpr("n", "row_number() OVER (ORDER BY k, id) AS want").filter("n <> want")
+    assert wrong.isEmpty() and numbers.count() == n
+    df.unpersist()
+
+
 @pytest.mark.parametrize("ids", ["id", "xxhash64(id)", "id * 100000007", "id + 9000000000000000000"])
 def test_blocks_follow_rows_whatever_the_ids(spark, ids):
     """No block holds many times its share, and there are far fewer blocks than rows."""

@@ -12,6 +12,7 @@ shuffled once, need no join, and no task sees more than one group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -25,6 +26,11 @@ from tillwork.operators.hot import MIN_HOT_ROWS, hot_keys
 BLOCK_BITS = 20
 # Blocks for each shuffle partition, so that hashing them deals rows out evenly.
 BLOCKS_PER_PARTITION = 8
+# A table is cut into this many blocks at most; it is what the driver sees of the ids.
+MOST_BLOCKS = 2**16
+# Cells that the range of the ids, or of a crowded part of it, is counted in.
+CELLS = 2**12
+FINER_CELLS = 2**8
 
 _HEAD, _ROW, _TAIL = 0, 1, 2
 
@@ -34,37 +40,106 @@ def id_block(key: str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(key).cast("bigint"), bits)
 
 
-def _bits(low: int, high: int, blocks: int) -> int:
-    """Low bits of the ids to drop so that their range falls into about so many blocks."""
-    return min(max(0, ((high - low) // max(blocks, 1)).bit_length()), 63)
+def _looked_up(values: list[int], index: Column) -> Column:
+    """The value at a place of a fixed list, which the optimizer folds into an array."""
+    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), index)
 
 
-def _range(df: DataFrame, key: str) -> tuple[int, int, int]:
+def _pieces(low: int, high: int, most: int) -> int:
+    """Low bits to drop so that the ids from ``low`` to ``high`` give at most ``most`` values."""
+    bits = 0
+    while (high >> bits) - (low >> bits) >= most:
+        bits += 1
+    return bits
+
+
+@dataclass(frozen=True)
+class Cut:
+    """Blocks of an id: their number as a column, in id order, how many there are, and the
+    rows of the largest."""
+
+    block: Column
+    blocks: int
+    largest: int
+
+
+def cut(df: DataFrame, key: str, wanted: Callable[[int], int]) -> Cut:
+    """Cuts the order of whole-number ids into about ``wanted(rows)`` blocks of like size.
+
+    The rows are counted in cells of equal width over the range of the ids. Cells with more
+    rows than a block should have, as where ids crowd or one outlier stretches the range, are
+    counted again in finer cells over their own range, and so on; then neighbouring cells are
+    put together. Each count is one pass over the id column, and one is enough for ids that
+    are spread evenly. A table of at most one block's rows is not counted in cells at all. A
+    block has more than twice its share only if a single id has.
+    """
     low, high, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
-    return low or 0, high or 0, n
+    blocks = min(max(wanted(n), 1), MOST_BLOCKS)
+    ids = F.col(key).cast("bigint")
+    if blocks == 1:
+        return Cut(F.lit(0).cast("bigint"), 1, n)
+    bits = _pieces(low, high, CELLS if n > 2**BLOCK_BITS else blocks)
+    cell = F.shiftright(ids, bits) - F.lit(low >> bits)
+    if n <= 2**BLOCK_BITS:
+        return Cut(cell, (high >> bits) - (low >> bits) + 1, n)
+    number = (high >> bits) - (low >> bits) + 1
+    share = math.ceil(n / blocks)
+    while True:
+        counted = df.filter(ids.isNotNull()).groupBy(cell.alias("cell")).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(ids).alias("low"), F.max(ids).alias("high")
+        )
+        found = {r["cell"]: r for r in counted.collect()}  # at most one row for each cell
+        heavy = {c for c, r in found.items() if r["rows"] > share and r["low"] < r["high"]}
+        if not heavy:
+            break
+        firsts, drops, starts, next_ = [], [], [], 0
+        for c in range(number):
+            firsts.append(next_)
+            r = found.get(c)
+            if c in heavy:
+                pieces = max(4 * r["rows"] // share, min(FINER_CELLS, MOST_BLOCKS // len(heavy)))
+                drop = _pieces(r["low"], r["high"], pieces)
+                next_ += (r["high"] >> drop) - (r["low"] >> drop) + 1
+            else:
+                drop = 63
+                next_ += 1
+            drops.append(drop)
+            starts.append((r["low"] if r else 0) >> drop)
+        inside = F.call_function("shiftright", ids, _looked_up(drops, cell).cast("int"))
+        cell = _looked_up(firsts, cell) + inside - _looked_up(starts, cell)
+        number = next_
+    block_of, block, held, largest = [], 0, 0, 0
+    for c in range(number):
+        rows = found[c]["rows"] if c in found else 0
+        if held and held + rows > share:
+            block, held = block + 1, 0
+        held += rows
+        largest = max(largest, held)
+        block_of.append(block)
+    return Cut(_looked_up(block_of, cell), block + 1, largest)
 
 
 def spread_blocks(df: DataFrame, key: str) -> Column:
     """Blocks of whole-number ids, below a level such as a day, that follow the rows of
-    ``df`` and not its ids.
-
-    Ids with gaps, such as hashes or times, leave most blocks of a fixed width with one
-    row or none. The width comes from the number of rows and the range of ids, read in
-    one pass over the id column: one block for each 2^BLOCK_BITS rows, filled evenly by
-    ids spread over their range, however many rows of them lie in one day.
-    """
-    low, high, n = _range(df, key)
-    return id_block(key, _bits(low, high, n >> BLOCK_BITS))
+    ``df`` and not its ids: about one for each 2^BLOCK_BITS rows, however the ids lie."""
+    return cut(df, key, lambda n: math.ceil(n / 2**BLOCK_BITS)).block
 
 
 def id_levels(df: DataFrame, key: str) -> list[Column]:
-    """Levels for an order by one unique whole-number id: blocks as in ``spread_blocks``, but
-    some for each shuffle partition, and above them about the root of their number."""
-    low, high, n = _range(df, key)
+    """Levels for an order by one whole-number id: blocks as in ``spread_blocks``, but some for
+    each shuffle partition, and above them about the root of their number."""
+    return levels_of(_for_partitions(df, key))
+
+
+def _for_partitions(df: DataFrame, key: str) -> Cut:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fine = _bits(low, high, max(n >> BLOCK_BITS, min(BLOCKS_PER_PARTITION * partitions, n >> 10)))
-    above = ((high >> fine) - (low >> fine)).bit_length() // 2
-    return [id_block(key, min(fine + above, 63)), id_block(key, fine)]
+    some = BLOCKS_PER_PARTITION * partitions
+    return cut(df, key, lambda n: max(n >> BLOCK_BITS, min(some, n >> 10)))
+
+
+def levels_of(blocks: Cut) -> list[Column]:
+    """The blocks, and above them about the root of their number."""
+    return [F.shiftright(blocks.block, blocks.blocks.bit_length() // 2), blocks.block]
 
 
 @dataclass(frozen=True)
@@ -223,21 +298,26 @@ def row_numbers_split(
     df: DataFrame,
     out: str,
     *,
+    key: str,
     order_by: list[str | Column],
-    levels: list[Column],
     finer: Column,
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Like :func:`row_numbers`, for rows whose last level has no bound.
+    """Like :func:`row_numbers`, for an order that begins with a whole number which may repeat.
 
-    Only groups of that level found hot are cut further, by ``finer``. Each group
-    belongs to one group of the levels before it.
+    Blocks of ``key`` hold about the same number of rows, unless one value fills a block
+    alone. Only if the count of the blocks shows such a value, the blocks found hot are cut
+    further, by ``finer``.
     """
+    blocks = _for_partitions(df, key)
+    levels = levels_of(blocks)
+    if blocks.largest <= min_rows:
+        return row_numbers(df, out, order_by=order_by, levels=levels)
     blocked = df.withColumn("_block", levels[-1])
     hot = hot_keys(blocked, ["_block"], min_rows).withColumn("_hot", F.lit(True))
     marked = blocked.join(hot, "_block", "left")
-    cut = F.when(F.col("_hot"), finer)
-    return row_numbers(marked, out, order_by=order_by, levels=[*levels, cut]).drop(
+    further = F.when(F.col("_hot"), finer)
+    return row_numbers(marked, out, order_by=order_by, levels=[*levels, further]).drop(
         "_block", "_hot"
     )
 

@@ -127,8 +127,8 @@ def single_product_orders(spark: SparkSession, folder: str) -> DataFrame:
     lines = row_numbers_split(
         _table(spark, folder, "lineitem"),
         "order_id",
+        key="l_orderkey",
         order_by=_LINE_ORDER,
-        levels=[F.shiftright("l_orderkey", 24), F.shiftright("l_orderkey", 12)],
         finer=F.struct("l_orderkey", "l_linenumber", F.shiftright("l_partkey", 14).alias("parts")),
     )
     heads = _table(spark, folder, "orders")
