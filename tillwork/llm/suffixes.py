@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.llm.words import Rolling, minimizers, mixed, signed
+from tillwork.llm.words import Rolling, mixed, signed
 from tillwork.llm.workspace import Workspace, lists, map_batches
 from tillwork.operators.hot import spread
 
@@ -34,6 +34,33 @@ def _codes(raw: bytes) -> np.ndarray:
     return _CODES[np.frombuffer(raw, np.uint8)]
 
 
+def _owners(hashes: np.ndarray, span: int) -> np.ndarray:
+    """The anchor of each ``span`` consecutive hashes: the place of the least, the first of equals.
+
+    Places stand in the low bits, so that a minimum over doubling widths tells them; what is
+    left of a hash orders well enough, and alike wherever the hashes are the same.
+    """
+    bits = 20
+    low, step = np.uint64(2**bits - 1), 2**bits - span
+    out = []
+    for start in range(0, len(hashes) - span + 1, step):
+        part = hashes[start : start + step + span - 1]
+        least = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < span:
+            least = np.minimum(least[: width - span], least[span - width :])
+        out.append((least & low).astype(np.int64) + start)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Places of the first of equal neighbours."""
+    return np.flatnonzero(np.r_[True, values[1:] != values[:-1]][: len(values)])
+
+
 def _identity(raw: bytes) -> tuple[int, int]:
     """128 bits of a byte string, as two signed longs."""
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(raw), np.int64).tolist())
@@ -49,7 +76,8 @@ def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
             keys, sizes, grams = [], [], []
             for raw in rows["raw"]:
                 hashes = rolling.windows(_codes(raw), gram)
-                grams.append(signed(np.unique(hashes[minimizers(hashes, length - gram + 1)])))
+                owners = _owners(hashes, length - gram + 1)
+                grams.append(signed(np.unique(hashes[owners[_firsts(owners)]])))
                 keys.append(_identity(raw))
                 sizes.append(len(raw))
             return {
@@ -87,9 +115,8 @@ def _contexts(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 if _identity(raw) != (k1, k2):
                     continue  # another text of equal hash
                 hashes = rolling.windows(_codes(raw), gram)
-                spans = np.lib.stride_tricks.sliding_window_view(hashes, length - gram + 1)
-                anchors = spans.argmin(axis=1) + np.arange(len(spans))
-                first = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+                anchors = _owners(hashes, length - gram + 1)
+                first = _firsts(anchors)
                 last = np.r_[first[1:], len(anchors)] - 1
                 of_gram = signed(hashes)[anchors[first]]
                 wanted = np.isin(of_gram, np.array(repeated, np.int64))
@@ -170,7 +197,7 @@ class Strings:
         ``group`` does not decrease. The order that the hashes give is checked byte by byte;
         if a collision has misled it, the bytes are sorted instead.
         """
-        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
+        first = _firsts(group)
         size = np.diff(np.r_[first, len(group)])
         of = np.repeat(np.arange(len(first)), size)
         base, ends = first[of], (first + size)[of]
@@ -380,24 +407,29 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         F.min("doc_id").alias("doc_id"), F.first("x").alias("x"), F.first("grams").alias("grams")
     )
     texts = work.put(texts.withColumn("no", F.monotonically_increasing_id()))
+    keys = work.put(texts.select("no", "doc_id", "x", "k1", "k2"))
+    copies = work.put(
+        rows.select("doc_id", "x", "k1", "k2")
+        .distinct()
+        .join(keys.select("k1", "k2", F.col("doc_id").alias("first"), spread("k1", "k2")), ["k1", "k2"])
+        .filter("first < doc_id")
+        .select("doc_id", "x", "k1", "k2")
+    )
+    work.drop(rows)
     grams = texts.select("no", "doc_id", F.explode("grams").alias("gram"))
-    shared = (
+    shared = work.put(
         grams.groupBy("gram", spread("gram"))
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
         .filter("least < most")
         .select("gram")
     )
-    repeated = work.put(
-        grams.drop("doc_id")
-        .join(work.put(shared), "gram")
-        .groupBy("no")
-        .agg(F.collect_list("gram").alias("repeated"))
-    )
-    keys = texts.select("no", "doc_id", "x", "k1", "k2")
-    wanted = keys.join(repeated, "no")
+    repeated = grams.drop("doc_id").join(shared, "gram").groupBy("no")
+    wanted = work.put(keys.join(repeated.agg(F.collect_list("gram").alias("repeated")), "no"))
+    work.drop(texts, shared)
     # Rows that repeat both id and text are read once.
     once = named.groupBy("doc_id", "x").agg(F.first("raw").alias("raw"))
-    contexts = work.put(_contexts(once.join(work.put(wanted), ["doc_id", "x"]), length, gram))
+    contexts = work.put(_contexts(once.join(wanted, ["doc_id", "x"]), length, gram))
+    work.drop(wanted)
 
     # Of equal contexts those in later documents go as a whole; the others are sorted.
     alike = ["c1", "c2"]
@@ -436,19 +468,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         .join(keys, "no")
         .select("doc_id", "x", "k1", "k2", "spans")
     )
-    copies = (
-        rows.select("doc_id", "x", "k1", "k2")
-        .distinct()
-        .join(keys.select("k1", "k2", F.col("doc_id").alias("first"), spread("k1", "k2")), ["k1", "k2"])
-        .filter("first < doc_id")
-        .select("doc_id", "x", "k1", "k2", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    )
-    marks = (
+    copies = copies.withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    marks = work.put(
         spans.unionByName(copies)
         .groupBy("doc_id", "x")
         .agg(F.collect_list(F.struct("k1", "k2", "spans")).alias("marks"))
     )
-    marked = named.join(work.put(marks), ["doc_id", "x"], "left")
+    work.drop(contexts, firsts, found)
+    marked = named.join(marks, ["doc_id", "x"], "left")
     unnamed = docs.filter("doc_id IS NULL").withColumn(
         "marks", F.lit(None).cast(marks.schema["marks"].dataType)
     )

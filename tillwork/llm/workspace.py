@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwork.plans.versions import remove
 from tillwork.session import shared_folder
 
 
@@ -26,6 +27,7 @@ class Workspace:
         self.spark = spark
         self.folder = shared_folder(spark)
         self.tables = 0
+        self.paths: list[tuple[DataFrame, str]] = []
 
     def put(self, df: DataFrame) -> DataFrame:
         self.tables += 1
@@ -39,7 +41,15 @@ class Workspace:
                 self.spark.conf.unset(_CLEAN_UP)
             else:
                 self.spark.conf.set(_CLEAN_UP, before)
-        return self.spark.read.schema(df.schema).parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.paths.append((stored, path))
+        return stored
+
+    def drop(self, *stored: DataFrame) -> None:
+        """Deletes tables that nothing to come reads."""
+        for table, path in self.paths:
+            if any(table is s for s in stored):
+                remove(self.spark, path)
 
 
 def map_batches(
