@@ -1,5 +1,6 @@
 """The star, its metrics, and stored versions of both."""
 
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal as D
 
@@ -306,17 +307,164 @@ def test_a_refresh_does_not_undo_another(spark, tables, tmp_path, monkeypatch):
     publish.load_star(spark, warehouse, *tables)
     full = publish.read_star(spark, warehouse)
     publish.refresh_daily_sales(spark, daily, full)
-    compute = metrics.daily_sales
+    compute = metrics.daily_customer_sales
 
     def meanwhile(star_):
         monkeypatch.undo()
         publish.refresh_daily_sales(spark, daily, full)
         return compute(star_)
 
-    monkeypatch.setattr(metrics, "daily_sales", meanwhile)
+    monkeypatch.setattr(metrics, "daily_customer_sales", meanwhile)
     with pytest.raises(versions.ConcurrentUpdate):
         publish.refresh_daily_sales(spark, daily, full, [date(2025, 4, 1)])
     assert len(versions._switches(spark, daily)) == 2
+    monkeypatch.setattr(metrics, "daily_customer_sales", meanwhile)
+    with pytest.raises(versions.ConcurrentUpdate):
+        publish.add_daily_sales(spark, daily, full)
+    assert len(versions._switches(spark, daily)) == 3
+
+
+def test_a_number_that_is_taken_but_not_filled_is_a_conflict(spark, tables, tmp_path):
+    """B creates its switch, A wants to switch on the same base, B fills its own."""
+    warehouse, daily = f"{tmp_path}/w", f"{tmp_path}/d"
+    publish.load_star(spark, warehouse, *tables)
+    full = publish.read_star(spark, warehouse)
+    first = publish.refresh_daily_sales(spark, daily, full)
+    taken = tmp_path / "d" / "_published" / "000000000002"
+    taken.write_text("")
+    assert publish.current_version(spark, daily) == first
+    with pytest.raises(versions.ConcurrentUpdate):
+        publish.refresh_daily_sales(spark, daily, full, [date(2025, 4, 1)])
+    with pytest.raises(versions.ConcurrentUpdate):
+        publish.add_daily_sales(spark, daily, full)
+    # B's refresh, whatever it made, is what readers see.
+    theirs = publish.publish(spark, str(tmp_path / "other"), {"daily_sales": spark.range(3)})
+    (tmp_path / "other" / f"v={theirs}").rename(tmp_path / "d" / f"v={theirs}")
+    taken.write_text(theirs)
+    assert publish.current_version(spark, daily) == theirs
+    assert publish.read_daily_sales(spark, daily).count() == 3
+
+
+def test_a_switch_appears_whole_and_never_replaces_another(spark, tmp_path):
+    path = f"{tmp_path}/_published/000000000001"
+    assert versions._take(spark, path, "one")
+    assert not versions._take(spark, path, "two")
+    assert (tmp_path / "_published" / "000000000001").read_text() == "one"
+    # No draft is left, and none would be taken for a switch.
+    assert [p.name for p in (tmp_path / "_published").iterdir()] == ["000000000001"]
+    (tmp_path / "_published" / "_draft-x").write_text("three")
+    assert versions.last_version(spark, str(tmp_path)) == "one"
+
+
+def test_many_writers_at_once(spark, tmp_path):
+    """Threads that switch on the base they read: each success follows the one before."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path)
+    versions.switch(spark, root, "v0")
+
+    def update(n):
+        wins = 0
+        for i in range(10):
+            base = versions.last_version(spark, root)
+            try:
+                versions.switch(spark, root, f"{base}>{n}.{i}", based_on=base)
+                wins += 1
+            except versions.ConcurrentUpdate:
+                pass
+        return wins
+
+    with ThreadPoolExecutor(4) as pool:
+        wins = sum(pool.map(update, range(4)))
+    switches = versions._filled(spark, root)
+    assert len(switches) == wins + 1
+    for (_, _, later), (_, _, earlier) in zip(switches, switches[1:]):
+        assert later.startswith(f"{earlier}>") and ">" not in later[len(earlier) + 1 :]
+
+
+def test_the_current_version_stays_whatever_writers_leave_behind(spark, tmp_path):
+    root = str(tmp_path)
+    publish.publish(spark, root, {"a": spark.range(5)})
+    for n in (2, 3):
+        (tmp_path / "_published" / f"{n:012d}").write_text("")
+    assert versions.remove_old(spark, root, keep=2, older_than=-1) == 0
+    assert publish.read_table(spark, root, "a").count() == 5
+    publish.publish(spark, root, {"a": spark.range(6)})
+    assert publish.read_table(spark, root, "a").count() == 6
+
+
+def test_a_load_that_writes_for_long_is_left_alone(spark, tmp_path):
+    import os
+    import time
+
+    root = str(tmp_path)
+    publish.publish(spark, root, {"a": spark.range(5)})
+    writing = tmp_path / "v=slow" / "a" / "_temporary"
+    writing.mkdir(parents=True)
+    (writing / "part-0").write_text("x")
+    long_ago = time.time() - 100_000
+    for p in (tmp_path / "v=slow", tmp_path / "v=slow" / "a"):
+        os.utime(p, (long_ago, long_ago))
+    assert versions.remove_old(spark, root, keep=1, older_than=50_000) == 0
+    os.utime(writing / "part-0", (long_ago, long_ago))
+    assert versions.remove_old(spark, root, keep=1, older_than=50_000) == 1
+    assert not (tmp_path / "v=slow").exists()
+
+
+def _star_of(full, condition):
+    return replace(full, fact_orders=full.fact_orders.filter(condition))
+
+
+def test_late_orders_are_added(spark, tables, tmp_path, monkeypatch):
+    warehouse, daily = f"{tmp_path}/w", f"{tmp_path}/d"
+    publish.load_star(spark, warehouse, *tables)
+    full = publish.read_star(spark, warehouse)
+    monkeypatch.setattr(publish, "MOST_PARTS", 3)
+    n = F.pmod(F.xxhash64("order_id"), F.lit(7))
+    publish.refresh_daily_sales(spark, daily, _star_of(full, n == 0))
+    before = publish.read_daily_sales(spark, daily)
+    old_rows = sorted(tuples(before))
+    for k in range(1, 7):
+        publish.add_daily_sales(spark, daily, _star_of(full, n == k))
+        so_far = sorted(tuples(metrics.daily_sales(_star_of(full, n <= k))))
+        assert sorted(tuples(publish.read_daily_sales(spark, daily))) == so_far
+        # Whatever is removed, what the current version reads stays.
+        versions.remove_old(spark, daily, keep=1, older_than=-1)
+    parts = publish.read_table(spark, daily, "daily_parts").groupBy("month_key").count()
+    assert parts.agg(F.max("count")).first()[0] <= 3
+    nothing = _star_of(full, F.lit(False))
+    publish.add_daily_sales(spark, daily, nothing)
+    assert sorted(tuples(publish.read_daily_sales(spark, daily))) == so_far
+    # A month that is computed again after that has the customers of all its parts.
+    publish.refresh_daily_sales(spark, daily, full, [date(2025, 5, 1)])
+    publish.add_daily_sales(spark, daily, nothing)
+    assert sorted(tuples(publish.read_daily_sales(spark, daily))) == so_far
+    assert old_rows != so_far
+
+
+def test_adding_reads_the_late_rows_and_the_customers_of_their_months(spark, tables, tmp_path, monkeypatch):
+    warehouse, daily = f"{tmp_path}/w", f"{tmp_path}/d"
+    publish.load_star(spark, warehouse, *tables)
+    full = publish.read_star(spark, warehouse)
+    may = F.col("date_key").between(20250510, 20250512)
+    publish.refresh_daily_sales(spark, daily, _star_of(full, ~may))
+    read = []
+    real = publish._customer_sales
+    monkeypatch.setattr(publish, "_customer_sales", lambda s, r, like, parts: read.extend(parts) or real(s, r, like, parts))
+    publish.add_daily_sales(spark, daily, _star_of(full, may))
+    assert {month for month, _ in read} == {202505}
+    assert sorted(tuples(publish.read_daily_sales(spark, daily))) == sorted(tuples(metrics.daily_sales(full)))
+    fresh = publish.read_table(spark, daily, "daily_customers")
+    assert {r[0] for r in tuples(fresh.select("sale_date"))} <= {date(2025, 5, d) for d in (10, 11, 12)}
+
+
+def test_daily_sales_of_an_empty_star_can_be_added_to(spark, tables, shop_star, tmp_path):
+    publish.refresh_daily_sales(spark, str(tmp_path), _star_of(shop_star, F.lit(False)))
+    assert publish.read_daily_sales(spark, str(tmp_path)).count() == 0
+    publish.add_daily_sales(spark, str(tmp_path), shop_star)
+    assert sorted(tuples(publish.read_daily_sales(spark, str(tmp_path)))) == sorted(
+        tuples(metrics.daily_sales(shop_star))
+    )
 
 
 def test_old_and_failed_versions_are_removed(spark, tmp_path):

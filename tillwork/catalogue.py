@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.functions.calendar import date_key
 from tillwork.functions.casts import price, strict_date, whole_number
 from tillwork.functions.text import cell
 from tillwork.model import NUMBER_LIMITS, RAW_CUSTOMERS, STATUSES, Star
@@ -267,6 +269,29 @@ def _stored_daily_sales(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _incremental_daily_sales(spark: SparkSession, d: str) -> DataFrame:
+    """Early orders, then those of the rest in two deliveries that touch the same days."""
+    root = shared_folder(spark)
+    warehouse, daily = f"{root}/warehouse", f"{root}/daily"
+    publish.load_star(
+        spark,
+        warehouse,
+        fx.customers(spark, d),
+        fx.products(spark, d),
+        fx.single_product_orders(spark, d),
+    )
+    full = publish.read_star(spark, warehouse)
+    late = (F.col("date_key") >= date_key(F.lit(LATE_FROM))) | (F.col("order_id") % 5 == 0)
+
+    def of(condition: Column) -> Star:
+        return replace(full, fact_orders=full.fact_orders.filter(condition))
+
+    publish.refresh_daily_sales(spark, daily, of(~late))
+    publish.add_daily_sales(spark, daily, of(late & (F.col("order_id") % 2 == 0)))
+    publish.add_daily_sales(spark, daily, of(late & (F.col("order_id") % 2 == 1)))
+    return publish.read_daily_sales(spark, daily)
+
+
+def _daily_sales_of_changed_months(spark: SparkSession, d: str) -> DataFrame:
     root = shared_folder(spark)
     warehouse, daily = f"{root}/warehouse", f"{root}/daily"
     customers, products = fx.customers(spark, d), fx.products(spark, d)
@@ -482,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "views_in_sql": _views_in_sql,
     "daily_sales_stored": _stored_daily_sales,
     "daily_sales_incremental": _incremental_daily_sales,
+    "daily_sales_changed_months": _daily_sales_of_changed_months,
     "dq_customers_clean": lambda s, d: _customers_clean(s, d)[0],
     "dq_customers_rejected": lambda s, d: _customers_clean(s, d)[1],
     "dq_products_clean": lambda s, d: _products_clean(s, d)[0],

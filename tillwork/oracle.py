@@ -524,6 +524,7 @@ _BODIES: dict[str, str] = {
         ORDER BY total_spend DESC, customer_id LIMIT 10""",
     "daily_sales_stored": "SELECT * FROM daily",
     "daily_sales_incremental": "SELECT * FROM daily",
+    "daily_sales_changed_months": "SELECT * FROM daily",
     "dq_customers_clean": """
         SELECT CAST(customer_id AS BIGINT) AS customer_id, trim(full_name) AS full_name,
                trim(email) AS email, trim(city) AS city, CAST(signup_date AS DATE) AS signup_date

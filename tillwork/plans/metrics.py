@@ -131,6 +131,37 @@ def daily_sales(star: Star) -> DataFrame:
     )
 
 
+def daily_customer_sales(star: Star) -> DataFrame:
+    """Revenue and orders of each customer and day, which add up to ``daily_sales``.
+
+    Rows of several loads can be put together: ``days_of`` adds up what it is given, and a
+    customer who comes up in two of them still counts once.
+    """
+    return (
+        _dated(star)
+        .groupBy(F.col("full_date").alias("sale_date"), "customer_key")
+        .agg(
+            money_sum(F.col("total_amount")).alias("revenue"), F.count(F.lit(1)).alias("orders")
+        )
+    )
+
+
+def merged_sales(sales: DataFrame) -> DataFrame:
+    """``daily_customer_sales`` of several loads with one row for each customer and day."""
+    return sales.groupBy("sale_date", "customer_key").agg(
+        money_sum(F.col("revenue")).alias("revenue"), F.sum("orders").alias("orders")
+    )
+
+
+def days_of(sales: DataFrame) -> DataFrame:
+    """``daily_sales`` of the days in ``daily_customer_sales`` of any number of loads."""
+    return merged_sales(sales).groupBy("sale_date").agg(
+        money_sum(F.col("revenue")).alias("total_revenue"),
+        F.sum("orders").alias("order_count"),
+        F.count("customer_key").alias("unique_customers"),
+    )
+
+
 def kpi_summary(star: Star) -> DataFrame:
     """One row: revenue, buying customers, orders, best category and repeat rate.
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.model import COMPLETED, MONEY_SUM, Star
@@ -28,6 +28,7 @@ from tillwork.plans.versions import (
     ANY,
     current_folder,
     current_version,
+    note_uses,
     remove,
     switch,
 )
@@ -35,6 +36,9 @@ from tillwork.session import shared_folder
 
 Tables = dict[str, DataFrame]
 
+# Parts of a month's stored customer sales that late rows may add before they are put together.
+MOST_PARTS = 16
+
 
 def read_table(
     spark: SparkSession, root: str, name: str, columns: list[str] | None = None
@@ -46,7 +50,10 @@ def read_table(
 
 def read_tables(spark: SparkSession, root: str, names: list[str]) -> Tables:
     """Several tables of one load, the last published, even if another follows meanwhile."""
-    folder = current_folder(spark, root)
+    return read_tables_at(spark, current_folder(spark, root), names)
+
+
+def read_tables_at(spark: SparkSession, folder: str, names: list[str]) -> Tables:
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 
@@ -66,21 +73,26 @@ def _star_at(spark: SparkSession, folder: str) -> Star:
 def publish(
     spark: SparkSession,
     root: str,
-    tables: Tables,
+    tables: dict[str, DataFrame | Callable[[Tables], DataFrame]],
     *,
     check: Callable[[Tables], None] | None = None,
     partition_by: dict[str, str] | None = None,
     based_on: object = ANY,
+    version: str | None = None,
+    uses: set[str] | None = None,
 ) -> str:
     """Writes the tables as a new version, checks what was written, and switches to it.
 
-    The checks see the stored rows, so the work behind the tables is done once. With
-    ``based_on``, a version that the tables were made from, the switch fails if another
-    one is current by then.
+    A table may be a function of those before it, as they are stored. The checks see the
+    stored rows, so the work behind the tables is done once. With ``based_on``, a version that
+    the tables were made from, the switch fails if another one is current by then. ``uses``
+    names older versions whose files the new one goes on reading.
     """
-    version = uuid.uuid4().hex
+    version = version or uuid.uuid4().hex
     stored = {}
     for name, df in tables.items():
+        if callable(df):
+            df = df(stored)
         path = f"{root}/v={version}/{name}"
         column = (partition_by or {}).get(name)
         if column:
@@ -92,6 +104,7 @@ def publish(
         stored[name] = spark.read.schema(df.schema).parquet(path)
     if check:
         check(stored)
+    note_uses(spark, root, version, uses or set())
     switch(spark, root, version, based_on)
     return version
 
@@ -208,27 +221,83 @@ def row_counts(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+# The months of a version's daily sales and the versions whose files hold their customers.
+Parts = list[tuple[int, str]]
+
+
+def _month_of(day: str) -> Column:
+    return (F.year(day) * 100 + F.month(day)).alias("month_key")
+
+
+def _months(sales: DataFrame) -> list[int]:
+    """The months of some customer sales, at most one for each of the calendar's."""
+    return sorted(r["month_key"] for r in sales.select(_month_of("sale_date")).distinct().collect())
+
+
+def _customer_sales(spark: SparkSession, root: str, like: DataFrame, parts: Parts) -> DataFrame:
+    """The stored customer sales in ``parts``; ``like`` has the columns."""
+    paths = [f"{root}/v={version}/daily_customers/month_key={month}" for month, version in parts]
+    columns = [c for c in like.columns if c != "month_key"]
+    empty = like.select(*columns).limit(0)
+    return spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+
+
 def _publish_daily(
-    spark: SparkSession, root: str, daily: DataFrame, based_on: object = ANY
+    spark: SparkSession,
+    root: str,
+    sales: DataFrame,
+    daily: Callable[[DataFrame], DataFrame],
+    parts: Parts,
+    based_on: object = ANY,
 ) -> str:
+    """Stores ``sales``, then ``daily`` made from them; ``parts`` are those of older versions."""
+    version = uuid.uuid4().hex
+
+    def all_parts(t: Tables) -> DataFrame:
+        new = [(month, version) for month in _months(t["daily_customers"])]
+        return spark.createDataFrame(parts + new, "month_key int, version string").coalesce(1)
+
     def one_row_per_day(t: Tables) -> None:
         enforce(unique_violations(t["daily_sales"], "daily_sales", [["sale_date"]]))
 
-    return publish(spark, root, {"daily_sales": daily}, check=one_row_per_day, based_on=based_on)
+    return publish(
+        spark,
+        root,
+        {
+            "daily_customers": sales.withColumn("month_key", _month_of("sale_date")),
+            "daily_parts": all_parts,
+            "daily_sales": lambda t: daily(t["daily_customers"].drop("month_key")),
+        },
+        check=one_row_per_day,
+        partition_by={"daily_customers": "month_key"},
+        based_on=based_on,
+        version=version,
+        uses={v for _, v in parts},
+    )
+
+
+def _stored_daily(spark: SparkSession, root: str) -> tuple[str, DataFrame, Parts]:
+    version = current_version(spark, root)
+    tables = read_tables_at(spark, f"{root}/v={version}", ["daily_sales", "daily_parts"])
+    # One row for each month and part, of which there are at most MOST_PARTS a month.
+    parts = [(r["month_key"], r["version"]) for r in tables["daily_parts"].collect()]
+    return version, tables["daily_sales"], parts
 
 
 def refresh_daily_sales(
     spark: SparkSession, root: str, star: Star, months: list[date] | None = None
 ) -> str:
-    """Recomputes the stored daily sales below ``root``; readers keep the old rows until it is done.
+    """Computes the stored daily sales below ``root`` again; readers keep the old rows until then.
 
-    With ``months`` (any day of each) only the days of those months are computed
-    again, from the whole fact rows of the month, because distinct customers of
-    two loads cannot be added up. The other days are copied; there is one row a day. If
-    another refresh ends meanwhile, this one raises ``ConcurrentUpdate`` and changes nothing.
+    With ``months`` (any day of each) only the days of those months are computed again, from
+    the whole fact rows of the month, as when orders were changed or taken back. The other
+    days are copied, and their customers stay where they are stored; there is one row a day.
+    For orders that only came late, ``add_daily_sales`` does with less. If another refresh ends
+    meanwhile, this one raises ``ConcurrentUpdate`` and changes nothing.
     """
     if months is None:
-        return _publish_daily(spark, root, metrics.daily_sales(star))
+        sales = metrics.daily_customer_sales(star)
+        return _publish_daily(spark, root, sales, lambda s: metrics.days_of(s).orderBy("sale_date"), [])
     keys = sorted({m.year * 100 + m.month for m in months})
     fact = star.fact_orders if "month_key" in star.fact_orders.columns else _with_month(
         star.fact_orders
@@ -239,12 +308,46 @@ def refresh_daily_sales(
         dim_products=star.dim_products,
         dim_date=star.dim_date,
     )
-    version = current_version(spark, root)
-    stored = spark.read.parquet(f"{root}/v={version}/daily_sales")
-    month = F.year("sale_date") * 100 + F.month("sale_date")
-    kept = stored.filter(~month.isin(keys))
-    daily = kept.unionByName(metrics.daily_sales(touched))
-    return _publish_daily(spark, root, daily, based_on=version)
+    version, stored, parts = _stored_daily(spark, root)
+    kept = stored.filter(~_month_of("sale_date").isin(keys))
+    return _publish_daily(
+        spark,
+        root,
+        metrics.daily_customer_sales(touched),
+        lambda s: kept.unionByName(metrics.days_of(s)),
+        [p for p in parts if p[0] not in keys],
+        based_on=version,
+    )
+
+
+def add_daily_sales(spark: SparkSession, root: str, late: Star) -> str:
+    """Adds orders that came late to the stored daily sales below ``root``.
+
+    ``late.fact_orders`` has the new rows alone; rows that were added before count twice.
+    Distinct customers of two loads cannot be added up, so each day's customers are stored
+    beside its row. Only the late rows and the stored customers of the days they touch are
+    read, and only new customer rows are written: a month has several parts then. With
+    ``MOST_PARTS`` of them they are put together. If another refresh ends meanwhile, this one
+    raises ``ConcurrentUpdate`` and changes nothing.
+    """
+    version, stored, parts = _stored_daily(spark, root)
+    sales = metrics.daily_customer_sales(late)
+    months = _months(sales)
+    held = {m: [p for p in parts if p[0] == m] for m in months}
+    crowded = {m for m, of in held.items() if len(of) >= MOST_PARTS}
+    older = [p for m in months if m not in crowded for p in held[m]]
+    if crowded:
+        whole = _customer_sales(spark, root, sales, [p for m in crowded for p in held[m]])
+        sales = metrics.merged_sales(sales.unionByName(whole))
+
+    def daily(fresh: DataFrame) -> DataFrame:
+        days = fresh.select("sale_date").distinct()
+        before = _customer_sales(spark, root, fresh, older).join(days, "sale_date", "left_semi")
+        untouched = stored.join(days, "sale_date", "left_anti")
+        return untouched.unionByName(metrics.days_of(fresh.unionByName(before)))
+
+    rest = [p for p in parts if p[0] not in crowded]
+    return _publish_daily(spark, root, sales, daily, rest, based_on=version)
 
 
 def read_daily_sales(spark: SparkSession, root: str) -> DataFrame:

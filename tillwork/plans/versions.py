@@ -1,8 +1,12 @@
 """Which version of some stored tables readers see, and the removal of older ones.
 
 Below ``root`` each version has a folder of its own, ``v=<version>``. ``_published`` holds
-one small file for each switch, named by a running number that is taken by creating the
-file: of two writers that want the same number, one fails and looks again.
+one small file for each switch, named by a running number. A file is written under another
+name and then given its number, which fails if the number is taken: it appears whole or not
+at all, and of two writers that want the same number, one looks again. A file system has this
+by renaming without overwriting (HDFS), by hard links (local disks), or by a conditional
+write (object stores whose ``create`` takes ``fs.option.create.conditional.overwrite``). On a
+store without any of these, only one writer at a time is safe.
 """
 
 from __future__ import annotations
@@ -45,10 +49,16 @@ def _read(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def _filled(spark: SparkSession, root: str) -> list[tuple[int, str, str]]:
+    """The numbers, paths and versions of the switches that name one, last first."""
+    found = ((n, path, _read(spark, path)) for n, path in _switches(spark, root))
+    return [s for s in found if s[2]]
+
+
 def last_version(spark: SparkSession, root: str) -> str | None:
     """The version that readers see; None before the first."""
     for _, path in _switches(spark, root):
-        # Empty while its writer is between creating and filling it.
+        # Empty only if something other than ``switch`` made it.
         if version := _read(spark, path):
             return version
     return None
@@ -61,26 +71,91 @@ def current_version(spark: SparkSession, root: str) -> str:
     return version
 
 
+def _take(spark: SparkSession, path: str, content: str) -> bool:
+    """Makes a file of that content appear at once; false if the path is taken."""
+    fs, target = _path(spark, path)
+    draft = f"{path.rpartition('/')[0]}/_draft-{uuid.uuid4().hex}"
+    _, source = _path(spark, draft)
+    scheme = fs.getScheme()
+    if scheme not in ("file", "hdfs", "viewfs", "webhdfs"):
+        builder = fs.createFile(target).overwrite(False)
+        stream = builder.opt("fs.option.create.conditional.overwrite", "true").build()
+        stream.write(bytearray(content.encode()))
+        try:
+            stream.close()  # the object appears here, if the store still has none
+        except Py4JJavaError:
+            if fs.exists(target):
+                return False
+            raise
+        return True
+    stream = fs.create(source, False)
+    stream.write(bytearray(content.encode()))
+    stream.close()
+    try:
+        if scheme == "file":
+            _link(spark, fs, source, target)
+        else:
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                target.toUri(), spark._jsc.hadoopConfiguration()
+            )
+            none = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = none
+            context.rename(source, target, options)
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(source, False)
+    return True
+
+
+def _link(spark: SparkSession, fs, source, target) -> None:
+    """A hard link: unlike a rename on a local disk, it never replaces a file."""
+    paths = spark._jvm.java.nio.file.Paths
+    names = [
+        paths.get(fs.makeQualified(p).toUri().getPath(), spark._sc._gateway.new_array(spark._jvm.String, 0))
+        for p in (target, source)
+    ]
+    spark._jvm.java.nio.file.Files.createLink(*names)
+
+
 def switch(spark: SparkSession, root: str, version: str, based_on: object = ANY) -> None:
     """Makes ``version`` the one that readers see.
 
-    With ``based_on`` that must still be the current version; otherwise the last writer wins.
+    With ``based_on`` that must still be the current version, and no number after its own may
+    be taken, not even by a file without content. Otherwise the last writer wins.
     """
     while True:
         switches = _switches(spark, root)
-        if based_on is not ANY and last_version(spark, root) != based_on:
-            raise ConcurrentUpdate(f"{root}: {based_on} is no longer the current version")
+        if based_on is not ANY:
+            newest = _read(spark, switches[0][1]) if switches else None
+            if newest != based_on:
+                raise ConcurrentUpdate(f"{root}: {based_on} is no longer the current version")
         number = switches[0][0] + 1 if switches else 1
-        fs, p = _path(spark, f"{root}/_published/{number:012d}")
-        try:
-            stream = fs.create(p, False)
-        except Py4JJavaError as e:
-            if "AlreadyExists" not in e.java_exception.getClass().getName() and not fs.exists(p):
-                raise
-            continue
-        stream.write(bytearray(version.encode()))
-        stream.close()
+        if _take(spark, f"{root}/_published/{number:012d}", version):
+            return
+
+
+def _uses_path(root: str, version: str) -> str:
+    return f"{root}/v={version}/_uses"
+
+
+def note_uses(spark: SparkSession, root: str, version: str, uses: set[str]) -> None:
+    """Notes that a version reads files of others, which must stay as long as it does."""
+    if not uses:
         return
+    fs, p = _path(spark, _uses_path(root, version))
+    stream = fs.create(p, True)
+    stream.write(bytearray("\n".join(sorted(uses)).encode()))
+    stream.close()
+
+
+def uses(spark: SparkSession, root: str, version: str) -> set[str]:
+    path = _uses_path(root, version)
+    fs, p = _path(spark, path)
+    return set(_read(spark, path).split()) if fs.exists(p) else set()
 
 
 def publish_files(spark: SparkSession, root: str, write: Callable[[str], None]) -> str:
@@ -105,23 +180,44 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _last_change(spark: SparkSession, path: str) -> int:
+    """When the folder or anything in it changed last, in milliseconds."""
+    fs, p = _path(spark, path)
+    last = fs.getFileStatus(p).getModificationTime()
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        last = max(last, files.next().getModificationTime())
+    return last
+
+
 def remove_old(spark: SparkSession, root: str, keep: int = 2, older_than: float = 86_400) -> int:
     """Deletes all versions but the last ``keep`` and those changed in ``older_than`` seconds.
 
-    That covers what failed loads left behind. Returns the number of versions deleted.
+    What readers see always stays, and so do versions that a kept one reads; switches that
+    name no version do not count as kept ones.
+    A version counts as changed when any of its files was, so a load that writes for long is
+    left alone. What failed loads left behind goes too. Returns the number of versions
+    deleted.
     """
     if keep < 1:
         raise ValueError("the current version stays")
-    switches = _switches(spark, root)
-    kept = {_read(spark, path) for _, path in switches[:keep]}
-    fs, p = _path(spark, root)
     limit = (time.time() - older_than) * 1000
+    filled = _filled(spark, root)
+    kept = {version for _, _, version in filled[:keep]}
+    kept |= {other for version in kept for other in uses(spark, root, version)}
+    numbers = {n for n, _, _ in filled[:keep]}
+    fs, p = _path(spark, root)
     gone = 0
     for status in fs.listStatus(p) if fs.exists(p) else []:
-        name = status.getPath().getName()
-        if name.startswith("v=") and name[2:] not in kept and status.getModificationTime() < limit:
-            fs.delete(status.getPath(), True)
+        name, path = status.getPath().getName(), status.getPath().toString()
+        if not name.startswith("v=") or name[2:] in kept or status.getModificationTime() >= limit:
+            continue
+        if _last_change(spark, path) < limit:
+            remove(spark, path)
             gone += 1
-    for _, path in switches[keep:]:
-        remove(spark, path)
+    last = max(numbers, default=0)
+    for n, path in _switches(spark, root):
+        # An empty one after the last may be a writer's that is about to fill it.
+        if n not in numbers and (n < last or _last_change(spark, path) < limit):
+            remove(spark, path)
     return gone
