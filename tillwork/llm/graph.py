@@ -15,13 +15,15 @@ def _least(links: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Ties each node's larger neighbours to the least of its neighbours and itself."""
+    """Ties each node's larger neighbours to the least of its neighbours and itself.
+
+    A link may come out several times; the small-star step counts it once.
+    """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (
         both.join(_least(both), "u")
         .filter("v > u")
         .select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
-        .distinct()
     )
 
 
@@ -33,9 +35,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least).select("u", F.col("least").alias("v")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.min("u")).first()
+def _put(edges: DataFrame, work: Workspace) -> tuple[DataFrame, dict]:
+    """The stored links, and what tells them from others."""
+    return work.put_observed(
+        edges, n=F.count(F.lit(1)), links=F.bit_xor(F.xxhash64("u", "v")), least=F.min("u")
     )
 
 
@@ -46,11 +49,11 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     node with itself are ignored. The steps alternate until neither changes a link; the
     number of rounds grows with the logarithm of the number of nodes.
     """
-    edges = work.put(edges.select("u", "v").filter("u <> v").distinct())
-    state = _state(edges)
-    while state[0]:
-        edges = work.put(_small_star(_large_star(edges)))
-        before, state = state, _state(edges)
+    edges, state = _put(edges.select("u", "v").filter("u <> v").distinct(), work)
+    while state["n"]:
+        old, before = edges, state
+        edges, state = _put(_small_star(_large_star(edges)), work)
+        work.drop(old)
         if state == before:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -77,6 +77,7 @@ def _signed(docs: DataFrame, shingle: int, minima: int) -> DataFrame:
                 minimum.append(signature(hashes) if len(hashes) else np.empty(0, np.int32))
             return {
                 "doc_id": rows["doc_id"],
+                "x": rows["x"],
                 "n_shingles": sizes,
                 "class": sets,
                 "minima": lists(minimum, pa.int32()),
@@ -84,7 +85,7 @@ def _signed(docs: DataFrame, shingle: int, minima: int) -> DataFrame:
 
         return convert
 
-    schema = "doc_id long, n_shingles long, class binary, minima array<int>"
+    schema = "doc_id long, x long, n_shingles long, class binary, minima array<int>"
     return map_batches(docs, schema, make)
 
 
@@ -167,13 +168,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """
     bands, rows = bands_for(percent)
     work = Workspace(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("x")
+    )
     signed_rows = work.put(_signed(docs, shingle, bands * rows))
     classes = work.put(
         signed_rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "x")).alias("of"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("minima").alias("minima"),
         )
@@ -186,9 +190,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         .select("bucket")
     )
     members = work.put(buckets.join(shared, "bucket"))
-    wanted = members.select("class", "doc_id").distinct()
+    # One text of each class, found by id and text: an id may have many.
+    wanted = (
+        members.select("class")
+        .distinct()
+        .join(classes.select("class", "of"), "class")
+        .select("class", "of.doc_id", "of.x")
+    )
     sets = work.put(
-        _sets(docs.join(wanted, "doc_id").select("class", "text"), shingle).dropDuplicates(["class"])
+        _sets(docs.join(wanted, ["doc_id", "x"]).select("class", "text"), shingle).dropDuplicates(
+            ["class"]
+        )
     )
 
     # Rows with one set are linked even if the set is all they share.
@@ -202,14 +214,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     centres = work.put(_centres(members))
     central = members.join(centres, "bucket").filter("class <> centre")
     central = work.put(central.select(*_ordered("class", "centre")).distinct())
-    links = work.put(_linked(central, classes, sets, percent))
-    groups = components(links, work)
+    groups = components(copies.unionByName(_linked(central, classes, sets, percent)), work)
     apart = work.put(_in_two_buckets(_still_open(members, groups)))
     large = _large_bucket_pairs(apart, _references(apart, members, centres), sets, percent)
     pairs = _small_bucket_pairs(apart).unionByName(large)
     pairs = work.put(pairs.distinct().join(central, ["a", "b"], "left_anti"))
-    edges = copies.unionByName(links).unionByName(_linked(pairs, classes, sets, percent))
-    groups = components(edges, work)
+    groups = _joined(groups, _linked(pairs, classes, sets, percent), work)
     component = F.coalesce("component", "doc_id")
     return signed_rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id",
@@ -219,6 +229,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
 
 
+def _joined(groups: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
+    """The components that ``groups`` and further links make: only the links are followed again,
+    each between the components that its ends are in."""
+    for end in ("u", "v"):
+        of = groups.select(F.col("node").alias(end), "component")
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    above = components(links, work)
+    of = above.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    moved = groups.join(of, "component", "left").select(
+        "node", F.coalesce("above", "component").alias("component")
+    )
+    return work.put(moved.unionByName(above))
+
+
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from tillwork.plans.versions import remove
 from tillwork.session import shared_folder
@@ -29,6 +29,12 @@ class Workspace:
         self.tables = 0
         self.paths: list[tuple[DataFrame, str]] = []
 
+    def put_observed(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+        """A table, and measures of its rows that are taken while it is written."""
+        seen = Observation()
+        stored = self.put(df.observe(seen, *[m.alias(n) for n, m in measures.items()]))
+        return stored, seen.get
+
     def put(self, df: DataFrame) -> DataFrame:
         self.tables += 1
         path = f"{self.folder}/{self.tables}"
