@@ -4,12 +4,19 @@ import random
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import tuples
 from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
 from tillwork.plans import cleaning
-from tillwork.sources.feeds import read_feed, with_file_ids
+from tillwork.plans.cleaning import (
+    clean_customers,
+    clean_orders,
+    clean_payments,
+    clean_products,
+)
+from tillwork.sources.feeds import positioned, read_feed, with_file_ids
 
 
 def _feed(spark, columns, rows):
@@ -243,3 +250,51 @@ def test_repeated_ids_and_long_texts_are_rejected(spark):
         "0": "quantity must be positive",
         "3": "duplicate order_id",
     }
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_equal_rows_without_a_place_of_their_own(spark, setting, partitions):
+    """Out of a shuffle, rows stand elsewhere each time; still exactly one of equal ones stays."""
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.shuffle.partitions", str(partitions))
+    n = 400
+
+    def shuffled(rows):
+        # rand() without a seed deals the rows anew at every evaluation.
+        return rows.repartition(partitions, F.expr("rand()"))
+
+    twice = spark.range(n).selectExpr("id DIV 2 AS i")
+    customers = shuffled(
+        twice.selectExpr("string(i) AS customer_id", "'A' AS full_name", "concat('c', i, '@x.org') AS email", "'T' AS city", "'' AS signup_date")
+    )
+    products = shuffled(
+        twice.selectExpr("string(i) AS product_id", "'P' AS title", "'C' AS category", "'1.00' AS price")
+    )
+    good_customers, bad_customers = clean_customers(customers)
+    good_products, bad_products = clean_products(products)
+    orders = shuffled(
+        twice.selectExpr("string(i) AS order_id", "string(i) AS customer_id", "string(i) AS product_id", "'1' AS quantity", "'2025-01-01' AS order_date", "'pending' AS status")
+    )
+    good_orders, bad_orders = clean_orders(orders, good_customers, good_products)
+    payments = shuffled(
+        twice.selectExpr("string(i) AS payment_id", "string(i) AS order_id", "'2025-01-01' AS payment_date", "'1.00' AS amount", "'card' AS method")
+    )
+    good_payments, bad_payments = clean_payments(payments, good_orders)
+    for good, bad, key in (
+        (good_customers, bad_customers, "customer_id"),
+        (good_products, bad_products, "product_id"),
+        (good_orders, bad_orders, "order_id"),
+        (good_payments, bad_payments, "payment_id"),
+    ):
+        assert sorted(r[0] for r in tuples(good.select(key))) == list(range(n // 2))
+        assert sorted(int(r[0]) for r in tuples(bad.select(key))) == list(range(n // 2))
+        assert all(f"duplicate {key}" in r[0] for r in tuples(bad.select("rejection_reason")))
+
+
+def test_a_written_position_is_kept_and_given_once(spark, tmp_path):
+    df = spark.range(10).repartition(3)
+    placed = positioned(df, str(tmp_path))
+    assert positioned(placed) is placed
+    assert sorted(tuples(placed)) == sorted(tuples(placed))
+    assert len({r[1] for r in tuples(placed)}) == 10
+    assert len(list(tmp_path.iterdir())) == 1

@@ -330,7 +330,8 @@ def _csv_customers(spark: SparkSession, d: str) -> DataFrame:
     path = f"{shared_folder(spark)}/customers_raw"
     raw = fx.customers_raw(spark, d).withColumn("_n", F.col("customer_id").cast("bigint"))
     # Files in id order, so that position and id agree on which email came first.
-    raw.repartitionByRange("_n").sortWithinPartitions("_n").drop("_n").write.option(
+    ordered = raw.repartitionByRange("_n").sortWithinPartitions("_n")
+    ordered.drop("_n", feeds.POSITION).write.option(
         "header", True
     ).csv(path)
     feed = feeds.read_feed(spark, path, RAW_CUSTOMERS, position=True)

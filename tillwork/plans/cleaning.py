@@ -25,7 +25,7 @@ from tillwork.model import (
     TEXT_LIMITS,
 )
 from tillwork.operators.hot import spread
-from tillwork.sources.feeds import POSITION
+from tillwork.sources.feeds import POSITION, positioned
 
 # Rows without a usable key take no part in the search for duplicates. They get one
 # of this many join keys, none of which can be a key.
@@ -58,12 +58,13 @@ def dead_letter(*rejects: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejects)
 
 
-def _position(raw: DataFrame, key: Column) -> Column:
-    """What orders the rows of a feed: the place ``read_feed`` attached, else the id and then
-    the order in which the rows are read, which is fixed for files."""
+def _placed(raw: DataFrame, key: Column) -> tuple[DataFrame, Column]:
+    """A feed and what orders its rows: the place it came with, else the id and then a number
+    that is written before it is used, as several passes must agree on it."""
     if POSITION in raw.columns:
-        return F.col(POSITION).alias("_pos")
-    return F.struct(key.alias("id"), F.monotonically_increasing_id().alias("row")).alias("_pos")
+        return raw, F.col(POSITION).alias("_pos")
+    placed = F.struct(key.alias("id"), F.col(POSITION).alias("row"))
+    return positioned(raw), placed.alias("_pos")
 
 
 def _firsts(parsed: DataFrame, key: Column, good: Column) -> DataFrame:
@@ -100,11 +101,13 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
     """Of several good rows with the same id, the first is accepted; of those left with the
     same email, whatever its case, again the first.
 
-    First means by the position ``read_feed`` attached, else by the customer id and the
-    order of reading. A row rejected for another reason reserves neither.
+    First means by the position ``read_feed`` attached, else by the customer id and a number
+    given to the rows, which are written for that. A row rejected for another reason reserves
+    neither.
     """
     key = whole_number(cell(F.col("customer_id")))
     signup_text = cell(F.col("signup_date"))
+    raw, place = _placed(raw, key)
     parsed = raw.select(
         _raw(RAW_CUSTOMERS),
         F.struct(
@@ -114,7 +117,7 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
             cell(F.col("city")).alias("city"),
             strict_date(signup_text).alias("signup_date"),
         ).alias("typed"),
-        _position(raw, key),
+        place,
         signup_text.alias("_signup"),
     )
     email = F.col("typed.email")
@@ -150,6 +153,7 @@ def annotate_products(raw: DataFrame) -> DataFrame:
     with the same id, the first is accepted, as for customers."""
     price_text = cell(F.col("price"))
     key = whole_number(cell(F.col("product_id")))
+    raw, place = _placed(raw, key)
     parsed = raw.select(
         _raw(RAW_PRODUCTS),
         F.struct(
@@ -158,7 +162,7 @@ def annotate_products(raw: DataFrame) -> DataFrame:
             cell(F.col("category")).alias("category"),
             price(price_text).alias("price"),
         ).alias("typed"),
-        _position(raw, key),
+        place,
         number(price_text).alias("_amount"),
     )
     amount, cents = F.col("_amount"), F.col("typed.price")
@@ -197,6 +201,7 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
     """
     customer = whole_number(cell(F.col("customer_id")))
     product = whole_number(cell(F.col("product_id")))
+    raw, place = _placed(raw, whole_number(cell(F.col("order_id"))))
     parsed = raw.select(
         _raw(RAW_ORDERS),
         F.struct(
@@ -207,7 +212,7 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
             strict_date(cell(F.col("order_date"))).alias("order_date"),
             cell(F.col("status")).alias("status"),
         ).alias("typed"),
-        _position(raw, whole_number(cell(F.col("order_id")))),
+        place,
         customer.alias("_customer"),
         product.alias("_product"),
     )
@@ -256,6 +261,7 @@ def annotate_payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
     key = whole_number(cell(F.col("payment_id").cast("string")))
     order = whole_number(cell(F.col("order_id")))
     cells = [F.col(c).cast("string").alias(c) for c in RAW_PAYMENTS]
+    raw, place = _placed(raw, key)
     parsed = raw.select(
         F.struct(*cells).alias("raw"),
         F.struct(
@@ -265,7 +271,7 @@ def annotate_payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
             price(amount_text).alias("amount"),
             cell(F.col("method")).alias("method"),
         ).alias("typed"),
-        _position(raw, key),
+        place,
         number(amount_text).alias("_amount"),
         order.alias("_order"),
     )

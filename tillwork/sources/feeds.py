@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.text import null_words
+from tillwork.session import shared_folder
 
 POSITION = "_position"
 
@@ -47,6 +49,21 @@ def read_feed(
     )
 
 
+def positioned(raw: DataFrame, folder: str | None = None) -> DataFrame:
+    """``raw`` with the column ``POSITION``, which it keeps if it has one.
+
+    Rows that come out of a shuffle have no place of their own: each time they are computed
+    they may stand elsewhere. So they are numbered and written once, to ``folder`` or a new one
+    all executors share, and read from there.
+    """
+    if POSITION in raw.columns:
+        return raw
+    path = f"{folder or shared_folder(raw.sparkSession)}/{uuid.uuid4().hex}"
+    numbered = raw.withColumn(POSITION, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    return raw.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
 def with_file_ids(feed: DataFrame, id_column: str) -> DataFrame:
     """Numbers the rows 1, 2, 3 ... in file order, for feeds that carry no id.
 

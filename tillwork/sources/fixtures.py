@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwork.model import PRICE
 from tillwork.operators.ordered import row_numbers_split
+from tillwork.sources.feeds import POSITION
 
 # Naming the columns spares a job that would read the file footers for them.
 _SCHEMAS = {
@@ -143,7 +144,7 @@ def single_product_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """A customer feed as text, with faults at fixed remainders of the key."""
+    """A customer feed as text in order of the key, with faults at fixed remainders of it."""
     customer = _table(spark, folder, "customer")
     nation = _table(spark, folder, "nation")
     key = F.col("c_custkey")
@@ -164,6 +165,7 @@ def customers_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(spot == 15, "2024-1-5")
         .otherwise("2024-01-15")
         .alias("signup_date"),
+        key.alias(POSITION),
     )
 
 
@@ -179,6 +181,7 @@ def products_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 50 == 9, "0")
         .otherwise(F.col("p_retailprice").cast(PRICE).cast("string"))
         .alias("price"),
+        key.alias(POSITION),
     )
 
 
@@ -204,6 +207,7 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(_order_date().cast("string"))
         .alias("order_date"),
         F.when(key % 20 == 9, "shipped").otherwise(_header_status()).alias("status"),
+        key.alias(POSITION),
     )
 
 
@@ -224,6 +228,7 @@ def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("o_totalprice").cast(PRICE).cast("string"))
         .alias("amount"),
         F.when(spot == 9, "").when(key % 100 == 41, F.repeat(method, F.lit(20))).otherwise(method).alias("method"),
+        key.alias(POSITION),
     )
 
 
@@ -253,12 +258,14 @@ def repeated_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.concat(F.lit("c"), c.cast("string"), F.lit("@"), "_copy", F.lit(".org")).alias("email"),
             F.lit("Town").alias("city"),
             F.lit(None).cast("string").alias("signup_date"),
+            (2 * c + F.col("_copy")).alias(POSITION),
         ),
         "products": _twice(part, "p_partkey").select(
             _text_id("p_partkey").alias("product_id"),
             F.when(again, F.concat("p_name", F.lit(" again"))).otherwise(long_title).alias("title"),
             F.lit("things").alias("category"),
             F.when(p % 100 == 51, "0.004").otherwise("1.50").alias("price"),
+            (2 * p + F.col("_copy")).alias(POSITION),
         ),
         "orders": _twice(_table(spark, folder, "orders"), "o_orderkey").select(
             _text_id("o_orderkey").alias("order_id"),
@@ -267,5 +274,6 @@ def repeated_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.when(again, "9").otherwise("1").alias("quantity"),
             _order_date().cast("string").alias("order_date"),
             F.lit("pending").alias("status"),
+            (2 * o + F.col("_copy")).alias(POSITION),
         ),
     }
