@@ -436,7 +436,12 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
     firsts = work.put(
         contexts.groupBy(*alike, spread(*alike)).agg(F.min("doc_id").alias("least")).drop("_spread")
     )
-    later = contexts.join(firsts, alike).filter("least < doc_id")
+    later = work.put(
+        contexts.select("no", "doc_id", *alike, "places", F.length("context").alias("high"))
+        .join(firsts, alike)
+        .filter("least < doc_id")
+        .select("no", "places", F.lit(0).alias("low"), "high")
+    )
     own = contexts.join(firsts, alike).filter("least = doc_id")
     several = (
         contexts.select("gram", *alike)
@@ -453,14 +458,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
             "no long, places array<int>, low int, high int, doc_id long, string binary",
         )
     )
+    work.drop(contexts, firsts)
     # The parts of a gram are merged: which string stands in an earlier document elsewhere.
     pending = found.filter("string IS NOT NULL")
     merged = pending.groupBy("string", spread("string")).agg(F.min("doc_id").alias("least"))
     elsewhere = pending.join(merged.select("string", "least"), "string").filter("least < doc_id")
     span = F.struct("places", "low", "high").alias("span")
     spans = (
-        later.select("no", "places", F.lit(0).alias("low"), F.length("context").alias("high"))
-        .unionByName(found.filter("string IS NULL").select("no", "places", "low", "high"))
+        later.unionByName(found.filter("string IS NULL").select("no", "places", "low", "high"))
         .unionByName(elsewhere.select("no", "places", "low", "high"))
         .select("no", span)
         .groupBy("no")
@@ -474,7 +479,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         .groupBy("doc_id", "x")
         .agg(F.collect_list(F.struct("k1", "k2", "spans")).alias("marks"))
     )
-    work.drop(contexts, firsts, found)
+    work.drop(later, found)
     marked = named.join(marks, ["doc_id", "x"], "left")
     unnamed = docs.filter("doc_id IS NULL").withColumn(
         "marks", F.lit(None).cast(marks.schema["marks"].dataType)
