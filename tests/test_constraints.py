@@ -65,3 +65,35 @@ def test_enforce(orders):
     k.enforce(k.null_violations(orders, "o", ["customer_id"]))
     with pytest.raises(k.ConstraintError, match=r"o: not null \(order_id\): 2"):
         k.enforce(k.null_violations(orders, "o", ["order_id", "customer_id"]))
+
+
+def test_several_keys_take_one_pass(orders):
+    keys = [["order_id"], ["customer_id"], ["order_id", "customer_id"], ["quantity"]]
+    got = k.unique_violations(orders, "o", keys)
+    assert dict(tuples(got, "subject", "violations")) == {
+        "order_id": 1,
+        "customer_id": 1,
+        "order_id, customer_id": 0,
+        "quantity": 0,
+    }
+    for key in keys:
+        assert tuples(k.unique_violations(orders, "o", [key])) == tuples(
+            got.filter(F.col("subject") == ", ".join(key))
+        )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+
+
+def test_samples_name_rows_of_every_broken_rule(orders):
+    rules = k.not_null(["order_id", "quantity"]) + k.checks({"positive": F.col("quantity") > 0})
+    got = k.rule_samples(orders, "o", rules, "customer_id")
+    assert tuples(got) == [
+        ("o", "not null", "order_id", 2, 10, 10),
+        ("o", "not null", "quantity", 1, 12, 12),
+        ("o", "check", "positive", 2, 10, 11),
+    ]
+    seen = orders.agg(*[c.alias(n) for n, c in k.measures(orders, rules).items()]).first().asDict()
+    lines = k.broken_rules("o", rules, seen)
+    assert seen["rows"] == 5 and len(lines) == 3
+    assert lines[2].startswith("o: check (positive): 2 such as order_id=None, customer_id=10")
+    assert "; order_id=1, customer_id=11, quantity=0, status=lost" in lines[2]

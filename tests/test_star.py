@@ -119,6 +119,10 @@ def test_load_is_verified_and_repeatable(spark, tables, tmp_path):
         == metrics.kpi_summary(stored).first()["total_revenue"]
     )
     assert checked["dim_customers"]["completed_revenue"] is None
+    # What was counted while writing is what stands there.
+    assert sorted(tuples(publish.load_summary(spark, root))) == sorted(
+        tuple(r) for r in checked.values()
+    )
     months = stored.fact_orders.select("month_key").distinct().count()
     orders = tables[2].select(F.trunc("order_date", "MM"))
     assert months == orders.distinct().count()
@@ -146,7 +150,15 @@ def test_a_bad_load_leaves_the_published_one(spark, tables, tmp_path, fault):
     }[fault]
     if fault == "repeated parent":
         customers = customers.unionByName(customers.filter("customer_id = 3"))
-    with pytest.raises((star.IntegrityError, ConstraintError)):
+    message = {
+        "customer": r"customer_key: 1 \(orders 7 to 7\)",
+        "product": r"not null \(unit_price\): 1 such as order_key=7",
+        "status": r"check \(status is known\): 1 such as .*order_id=7, .*status=lost",
+        "empty": "there are no orders",
+        "repeated id": r"unique \(order_id\): 1",
+        "repeated parent": r"dim_customers: unique \(customer_id\): 1",
+    }[fault]
+    with pytest.raises((star.IntegrityError, ConstraintError), match=message):
         publish.load_star(spark, root, customers, products, bad)
     assert publish.current_version(spark, root) == version
 
@@ -471,7 +483,7 @@ def test_old_and_failed_versions_are_removed(spark, tmp_path):
     root = str(tmp_path)
     kept = [publish.publish(spark, root, {"a": spark.range(n)}) for n in range(5)][-2:]
 
-    def fails(tables):
+    def fails(tables, rows):
         raise ConstraintError("bad")
 
     with pytest.raises(ConstraintError):

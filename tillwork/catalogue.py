@@ -235,6 +235,22 @@ def _unresolved(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _unresolved_rows(spark: SparkSession, d: str) -> DataFrame:
+    return star.unresolved_rows(
+        star.build_star(
+            fx.customers(spark, d), fx.products(spark, d), _orders_typed(spark, d)
+        )
+    )
+
+
+def _rule_samples(spark: SparkSession, d: str) -> DataFrame:
+    rules = constraints.not_null(["customer_id", "product_id", "quantity", "order_date"])
+    rules += constraints.checks(
+        {"quantity > 0": F.col("quantity") > 0, "status is known": F.col("status").isin(*STATUSES)}
+    )
+    return constraints.rule_samples(_orders_typed(spark, d), "orders", rules, "order_id")
+
+
 def _row_counts(spark: SparkSession, d: str) -> DataFrame:
     operational = {
         "products": fx.products(spark, d),
@@ -258,7 +274,7 @@ def _loaded(spark: SparkSession, d: str) -> str:
 
 
 def _load_verification(spark: SparkSession, d: str) -> DataFrame:
-    return publish.verify(publish.read_star(spark, _loaded(spark, d)).tables())
+    return publish.load_summary(spark, _loaded(spark, d))
 
 
 def _stored_daily_sales(spark: SparkSession, d: str) -> DataFrame:
@@ -314,8 +330,7 @@ def _operational_load(spark: SparkSession, d: str) -> DataFrame:
     publish.load_operational(
         spark, root, fx.customers_raw(spark, d), fx.products_raw(spark, d), fx.orders_raw(spark, d)
     )
-    names = ["customers", "products", "orders", "dead_letter"]
-    return publish.row_counts(publish.read_tables(spark, root, names))
+    return publish.load_summary(spark, root).select("tbl", "row_count")
 
 
 def _load_with_payments(spark: SparkSession, d: str) -> DataFrame:
@@ -493,6 +508,7 @@ QUERIES: dict[str, Query] = {
         _orders_clean(s, d)[0], _products_clean(s, d)[0], dense_keys=True
     ),
     "star_unresolved_keys": _unresolved,
+    "star_unresolved_rows": _unresolved_rows,
     "star_constraints": _star_rules,
     "v01_monthly_revenue": lambda s, d: metrics.monthly_revenue(fixture_star(s, d)),
     "v02_category_performance": lambda s, d: metrics.category_performance(fixture_star(s, d)),
@@ -524,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "dq_payments_load": _load_with_payments,
     "dq_operational_load": _operational_load,
     "dq_constraints_nulls": _nulls,
+    "dq_constraints_samples": _rule_samples,
     "dq_constraints_unique": _unique,
     "dq_constraints_check": _checks,
     "dq_constraints_fk": _foreign_keys,

@@ -477,6 +477,14 @@ _BODIES: dict[str, str] = {
         UNION ALL SELECT 'product_key', count(*) FROM typed_orders
         WHERE product_id NOT IN (SELECT product_id FROM products_v)
         UNION ALL SELECT 'date_key', count(*) FROM typed_orders WHERE order_date IS NULL""",
+    "star_unresolved_rows": """
+        SELECT 'customer_key' AS key, count(*) AS rows, min(order_id) AS first_order,
+               max(order_id) AS last_order FROM typed_orders
+        WHERE customer_id NOT IN (SELECT customer_id FROM customers_v)
+        UNION ALL SELECT 'product_key', count(*), min(order_id), max(order_id) FROM typed_orders
+        WHERE product_id NOT IN (SELECT product_id FROM products_v)
+        UNION ALL SELECT 'date_key', count(*), min(order_id), max(order_id) FROM typed_orders
+        WHERE order_date IS NULL""",
     "v01_monthly_revenue": "SELECT * FROM monthly",
     "v02_category_performance": "SELECT * FROM by_category",
     "v03_customer_summary": "SELECT * FROM by_customer",
@@ -579,6 +587,25 @@ _BODIES: dict[str, str] = {
         + _nulls_of("products", "typed_products", _NULLS["products"])
         + _nulls_of("orders", "typed_orders", _NULLS["orders"])
     ),
+    "dq_constraints_samples": _union(
+        [
+            f"""SELECT 'orders' AS tbl, '{rule}' AS rule, '{subject}' AS subject,
+                       count(*) AS violations, min(order_id) AS first, max(order_id) AS last
+                FROM typed_orders WHERE {broken}"""
+            for rule, subject, broken in [
+                ("not null", "customer_id", "customer_id IS NULL"),
+                ("not null", "product_id", "product_id IS NULL"),
+                ("not null", "quantity", "quantity IS NULL"),
+                ("not null", "order_date", "order_date IS NULL"),
+                ("check", "quantity > 0", "quantity <= 0"),
+                (
+                    "check",
+                    "status is known",
+                    "status NOT IN ('completed', 'pending', 'returned', 'cancelled')",
+                ),
+            ]
+        ]
+    ),
     "dq_constraints_unique": _union(
         [
             _unique_of("customers", "typed_customers", "customer_id"),

@@ -57,6 +57,50 @@ def row_violations(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     return counts.select(F.inline(F.array(*found)))
 
 
+def rule_samples(df: DataFrame, table: str, rules: list[Rule], key: str) -> DataFrame:
+    """``row_violations`` with the least and greatest ``key`` of the rows that break each rule.
+
+    One pass counts and names them, whatever their number."""
+    named = F.col(key)
+    counts = df.agg(
+        *[
+            F.struct(
+                F.lit(table).alias("tbl"),
+                F.lit(kind).alias("rule"),
+                F.lit(subject).alias("subject"),
+                F.count_if(broken).alias("violations"),
+                F.min(F.when(broken, named)).alias("first"),
+                F.max(F.when(broken, named)).alias("last"),
+            ).alias(f"_{n}")
+            for n, (kind, subject, broken) in enumerate(rules)
+        ]
+    )
+    return counts.select(F.inline(F.array(*counts.columns)))
+
+
+def measures(df: DataFrame, rules: list[Rule]) -> dict[str, Column]:
+    """What one pass over ``df`` tells: its rows, how many break each rule, and two of those."""
+    row = F.struct(*df.columns)
+    out = {"rows": F.count(F.lit(1))}
+    for n, (_, _, broken) in enumerate(rules):
+        out[f"broken_{n}"] = F.count_if(broken)
+        out[f"first_{n}"] = F.min(F.when(broken, row))
+        out[f"last_{n}"] = F.max(F.when(broken, row))
+    return out
+
+
+def broken_rules(table: str, rules: list[Rule], seen: dict) -> list[str]:
+    """A line for each rule that rows of the table break, with the first and last of them."""
+    lines = []
+    for n, (kind, subject, _) in enumerate(rules):
+        if seen[f"broken_{n}"]:
+            rows = [seen[f"first_{n}"], seen[f"last_{n}"]]
+            rows = rows[: min(seen[f"broken_{n}"], 2)]
+            named = "; ".join(", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in rows)
+            lines.append(f"{table}: {kind} ({subject}): {seen[f'broken_{n}']} such as {named}")
+    return lines
+
+
 def null_violations(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return row_violations(df, table, not_null(columns))
 
@@ -80,17 +124,38 @@ def _repeated(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def unique_violations(df: DataFrame, table: str, keys: list[list[str]]) -> DataFrame:
-    """For each key, the number of its values that occur more than once."""
-    parts = [
-        _repeated(df, key).agg(
+    """For each key, the number of its values that occur more than once.
+
+    Several keys are counted in one pass, grouped by each of them in turn.
+    """
+    names = [", ".join(key) for key in keys]
+    if len(keys) == 1:
+        groups = [F.lit(True)]
+        counted = _repeated(df, keys[0])
+    else:
+        columns = list(dict.fromkeys(c for key in keys for c in key))
+        # The bits of grouping_id(), highest first, are set for columns outside the key.
+        numbers = [int("".join("01"[c not in key] for c in columns), 2) for key in keys]
+        counted = (
+            df.groupingSets([[F.col(c) for c in key] for key in keys], *columns)
+            .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+            .filter(F.col("_n") > 1)
+        )
+        groups = [
+            reduce(Column.__and__, [F.col(c).isNotNull() for c in key], F.col("_set") == number)
+            for key, number in zip(keys, numbers, strict=True)
+        ]
+    counts = counted.agg(*[F.count_if(group).alias(f"_{n}") for n, group in enumerate(groups)])
+    found = [
+        F.struct(
             F.lit(table).alias("tbl"),
             F.lit("unique").alias("rule"),
-            F.lit(", ".join(key)).alias("subject"),
-            F.count(F.lit(1)).alias("violations"),
+            F.lit(name).alias("subject"),
+            F.col(f"_{n}").alias("violations"),
         )
-        for key in keys
+        for n, name in enumerate(names)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return counts.select(F.inline(F.array(*found)))
 
 
 def unique_violation_rows(df: DataFrame, key: list[str]) -> DataFrame:
@@ -124,39 +189,36 @@ def foreign_key_violation_rows(
     return _orphans(df, column, parent, parent_key)
 
 
-def operational_violations(
+def operational_rules() -> dict[str, list[Rule]]:
+    """The rules about single rows of the operational tables."""
+    order_checks = {
+        "quantity > 0": F.col("quantity") > 0,
+        "status is known": F.col("status").isin(*STATUSES),
+    }
+    return {
+        "customers": not_null(["customer_id", "full_name", "email", "city"])
+        + widths(TEXT_LIMITS["customers"]),
+        "products": not_null(["product_id", "title", "category", "price"])
+        + widths(TEXT_LIMITS["products"], NUMBER_LIMITS["products"]),
+        "orders": not_null(
+            ["order_id", "customer_id", "product_id", "quantity", "order_date", "status"]
+        )
+        + checks(order_checks)
+        + widths(TEXT_LIMITS["orders"]),
+        "payments": not_null(["payment_id", "order_id", "payment_date", "amount", "method"])
+        + checks({"amount > 0": F.col("amount") > 0})
+        + widths(TEXT_LIMITS["payments"], NUMBER_LIMITS["payments"]),
+    }
+
+
+def operational_key_violations(
     customers: DataFrame,
     products: DataFrame,
     orders: DataFrame,
     payments: DataFrame | None = None,
 ) -> DataFrame:
-    """All constraints of the operational tables."""
-    order_checks = {
-        "quantity > 0": F.col("quantity") > 0,
-        "status is known": F.col("status").isin(*STATUSES),
-    }
+    """Repeated and unknown keys of the operational tables."""
     parts = [
-        row_violations(
-            customers,
-            "customers",
-            not_null(["customer_id", "full_name", "email", "city"])
-            + widths(TEXT_LIMITS["customers"]),
-        ),
-        row_violations(
-            products,
-            "products",
-            not_null(["product_id", "title", "category", "price"])
-            + widths(TEXT_LIMITS["products"], NUMBER_LIMITS["products"]),
-        ),
-        row_violations(
-            orders,
-            "orders",
-            not_null(
-                ["order_id", "customer_id", "product_id", "quantity", "order_date", "status"]
-            )
-            + checks(order_checks)
-            + widths(TEXT_LIMITS["orders"]),
-        ),
         unique_violations(customers, "customers", [["customer_id"], ["email"]]),
         unique_violations(products, "products", [["product_id"]]),
         unique_violations(orders, "orders", [["order_id"]]),
@@ -165,52 +227,62 @@ def operational_violations(
     ]
     if payments is not None:
         parts += [
-            row_violations(
-                payments,
-                "payments",
-                not_null(["payment_id", "order_id", "payment_date", "amount", "method"])
-                + checks({"amount > 0": F.col("amount") > 0})
-                + widths(TEXT_LIMITS["payments"], NUMBER_LIMITS["payments"]),
-            ),
             unique_violations(payments, "payments", [["payment_id"]]),
             foreign_key_violations(payments, "payments", "order_id", orders),
         ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def star_violations(star: Star, fact_keys: list[list[str]]) -> DataFrame:
-    """All constraints of the star but its foreign keys, which ``star.unresolved_keys`` counts."""
-    customers, products, days = star.dim_customers, star.dim_products, star.dim_date
-    known = {"status is known": F.col("status").isin(*STATUSES)}
+def _with_rows(tables: dict[str, DataFrame], rules: dict[str, list[Rule]], keys: DataFrame) -> DataFrame:
+    parts = [row_violations(df, name, rules[name]) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, [*parts, keys])
+
+
+def operational_violations(
+    customers: DataFrame,
+    products: DataFrame,
+    orders: DataFrame,
+    payments: DataFrame | None = None,
+) -> DataFrame:
+    """All constraints of the operational tables."""
+    tables = {"customers": customers, "products": products, "orders": orders}
+    if payments is not None:
+        tables["payments"] = payments
+    keys = operational_key_violations(customers, products, orders, payments)
+    return _with_rows(tables, operational_rules(), keys)
+
+
+def star_rules(star: Star) -> dict[str, list[Rule]]:
+    """The rules about single rows of the star."""
+    facts = [c for c in star.fact_orders.columns if not c.endswith("_key")]
+    return {
+        "dim_customers": not_null(["customer_key", "customer_id", "full_name", "email", "city"])
+        + widths(TEXT_LIMITS["customers"]),
+        "dim_products": not_null(["product_key", "product_id", "title", "category", "price"])
+        + widths(TEXT_LIMITS["products"], NUMBER_LIMITS["products"]),
+        "dim_date": not_null(star.dim_date.columns),
+        "fact_orders": not_null(facts)
+        + checks({"status is known": F.col("status").isin(*STATUSES)})
+        + widths(TEXT_LIMITS["orders"], NUMBER_LIMITS["fact_orders"]),
+    }
+
+
+def star_key_violations(star: Star, fact_keys: list[list[str]]) -> DataFrame:
+    """Repeated keys of the star; its foreign keys are for ``star.unresolved_keys``."""
     parts = [
-        row_violations(
-            customers,
-            "dim_customers",
-            not_null(["customer_key", "customer_id", "full_name", "email", "city"])
-            + widths(TEXT_LIMITS["customers"]),
-        ),
-        row_violations(
-            products,
-            "dim_products",
-            not_null(["product_key", "product_id", "title", "category", "price"])
-            + widths(TEXT_LIMITS["products"], NUMBER_LIMITS["products"]),
-        ),
-        row_violations(days, "dim_date", not_null(days.columns)),
-        row_violations(
-            star.fact_orders,
-            "fact_orders",
-            not_null([c for c in star.fact_orders.columns if not c.endswith("_key")])
-            + checks(known)
-            + widths(TEXT_LIMITS["orders"], NUMBER_LIMITS["fact_orders"]),
-        ),
-        unique_violations(customers, "dim_customers", [["customer_key"], ["customer_id"]]),
-        unique_violations(products, "dim_products", [["product_key"], ["product_id"]]),
-        unique_violations(days, "dim_date", [["date_key"], ["full_date"]]),
+        unique_violations(star.dim_customers, "dim_customers", [["customer_key"], ["customer_id"]]),
+        unique_violations(star.dim_products, "dim_products", [["product_key"], ["product_id"]]),
+        unique_violations(star.dim_date, "dim_date", [["date_key"], ["full_date"]]),
         unique_violations(star.fact_orders, "fact_orders", fact_keys),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def star_violations(star: Star, fact_keys: list[list[str]]) -> DataFrame:
+    """All constraints of the star but its foreign keys, which ``star.unresolved_keys`` counts."""
+    return _with_rows(star.tables(), star_rules(star), star_key_violations(star, fact_keys))
+
+
 def enforce(violations: DataFrame) -> None:
     """Raises if a rule is broken; there is one row per rule, so this collects few."""
     broken = violations.filter(F.col("violations") > 0).collect()

@@ -12,15 +12,21 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.model import COMPLETED, MONEY_SUM, Star
 from tillwork.plans import cleaning, metrics
 from tillwork.plans.constraints import (
+    ConstraintError,
+    Rule,
+    broken_rules,
     enforce,
-    operational_violations,
-    star_violations,
+    measures,
+    operational_key_violations,
+    operational_rules,
+    star_key_violations,
+    star_rules,
     unique_violations,
 )
 from tillwork.plans.star import build_star, check_star
@@ -75,7 +81,8 @@ def publish(
     root: str,
     tables: dict[str, DataFrame | Callable[[Tables], DataFrame]],
     *,
-    check: Callable[[Tables], None] | None = None,
+    rules: dict[str, list[Rule]] | None = None,
+    check: Callable[[Tables, dict[str, int]], None] | None = None,
     partition_by: dict[str, str] | None = None,
     based_on: object = ANY,
     version: str | None = None,
@@ -83,32 +90,62 @@ def publish(
 ) -> str:
     """Writes the tables as a new version, checks what was written, and switches to it.
 
-    A table may be a function of those before it, as they are stored. The checks see the
-    stored rows, so the work behind the tables is done once. With ``based_on``, a version that
-    the tables were made from, the switch fails if another one is current by then. ``uses``
-    names older versions whose files the new one goes on reading.
+    A table may be a function of those before it, as they are stored. Rows are counted, and
+    the ``rules`` about single rows checked, while a table is written; ``load_summary`` has the
+    counts. ``check`` is for what takes more than one row: it sees the stored tables and their
+    numbers of rows, so the work behind the tables is done once. With ``based_on``, a version
+    that the tables were made from, the switch fails if another one is current by then.
+    ``uses`` names older versions whose files the new one goes on reading.
     """
     version = version or uuid.uuid4().hex
-    stored = {}
+    stored, rows, broken, summary = {}, {}, [], []
     for name, df in tables.items():
         if callable(df):
             df = df(stored)
         path = f"{root}/v={version}/{name}"
         column = (partition_by or {}).get(name)
-        if column:
-            # Rebalancing keeps files per partition few and splits a hot partition.
-            df.hint("rebalance", column).write.partitionBy(column).parquet(path)
-        else:
-            df.write.parquet(path)
+        own = (rules or {}).get(name, [])
+        seen = Observation()
+        noted = measures(df, own) | {"revenue": _completed_revenue(df)}
+        # Rebalancing keeps files per partition few and splits a hot partition.
+        dealt = df.hint("rebalance", column) if column else df
+        writer = dealt.observe(seen, *[m.alias(n) for n, m in noted.items()]).write
+        (writer.partitionBy(column) if column else writer).parquet(path)
         # An empty partitioned table has no file that could tell its schema.
         stored[name] = spark.read.schema(df.schema).parquet(path)
+        found = seen.get
+        rows[name] = found["rows"]
+        summary.append((name, found["rows"], found["revenue"]))
+        broken += broken_rules(name, own, found)
+    if broken:
+        raise ConstraintError("; ".join(broken))
     if check:
-        check(stored)
+        check(stored, rows)
+    counts = spark.createDataFrame(summary, _SUMMARY).coalesce(1)
+    counts.write.parquet(f"{root}/v={version}/{SUMMARY}")
     note_uses(spark, root, version, uses or set())
     switch(spark, root, version, based_on)
     return version
 
 
+# The counts of a version's tables, taken while they were written.
+SUMMARY = "_summary"
+_SUMMARY = f"tbl string, row_count long, completed_revenue {MONEY_SUM}"
+
+
+def _completed_revenue(df: DataFrame) -> Column:
+    """The revenue of completed orders; null for tables that have none."""
+    if not {"status", "total_amount"} <= set(df.columns):
+        return F.lit(None).cast(MONEY_SUM)
+    completed = F.when(F.col("status") == COMPLETED, F.col("total_amount"))
+    return F.coalesce(F.sum(completed).cast(MONEY_SUM), F.lit(0).cast(MONEY_SUM))
+
+
+def load_summary(spark: SparkSession, root: str) -> DataFrame:
+    """``verify`` of the current version's tables, as counted while they were written."""
+    return spark.read.schema(_SUMMARY).parquet(f"{current_folder(spark, root)}/{SUMMARY}")
+
+
 def load_operational(
     spark: SparkSession,
     root: str,
@@ -144,13 +181,12 @@ def load_operational(
         *[cleaning.rejected(df, name) for name, df in feeds.items()]
     )
 
-    def check(t: Tables) -> None:
-        enforce(
-            operational_violations(t["customers"], t["products"], t["orders"], t.get("payments"))
-        )
+    def check(t: Tables, rows: dict[str, int]) -> None:
+        keyed = t["customers"], t["products"], t["orders"], t.get("payments")
+        enforce(operational_key_violations(*keyed))
 
     try:
-        return publish(spark, root, tables, check=check)
+        return publish(spark, root, tables, rules=operational_rules(), check=check)
     finally:
         remove(spark, work)
 
@@ -178,37 +214,36 @@ def load_star(
 
     keys = [["order_id"], ["order_key"]] if dense_keys else [["order_id"]]
 
-    def check(t: Tables) -> None:
+    def check(t: Tables, rows: dict[str, int]) -> None:
         stored = Star(
             fact_orders=t["fact_orders"],
             dim_customers=t["dim_customers"],
             dim_products=t["dim_products"],
             dim_date=t["dim_date"],
         )
-        check_star(stored)
-        enforce(star_violations(stored, keys))
+        check_star(stored, rows["fact_orders"])
+        enforce(star_key_violations(stored, keys))
 
     return publish(
-        spark, root, tables, check=check, partition_by={"fact_orders": "month_key"}
+        spark,
+        root,
+        tables,
+        rules=star_rules(star),
+        check=check,
+        partition_by={"fact_orders": "month_key"},
     )
 
 
 def verify(tables: Tables) -> DataFrame:
     """Rows per stored table and, beside the fact, its completed revenue."""
-    nothing = F.lit(0).cast(MONEY_SUM)
-    completed = F.when(F.col("status") == COMPLETED, F.col("total_amount"))
-    parts = []
-    for name, df in tables.items():
-        revenue = F.lit(None).cast(MONEY_SUM)
-        if name == "fact_orders":
-            revenue = F.coalesce(F.sum(completed).cast(MONEY_SUM), nothing)
-        parts.append(
-            df.agg(
-                F.lit(name).alias("tbl"),
-                F.count(F.lit(1)).alias("row_count"),
-                revenue.alias("completed_revenue"),
-            )
+    parts = [
+        df.agg(
+            F.lit(name).alias("tbl"),
+            F.count(F.lit(1)).alias("row_count"),
+            _completed_revenue(df).alias("completed_revenue"),
         )
+        for name, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -257,7 +292,7 @@ def _publish_daily(
         new = [(month, version) for month in _months(t["daily_customers"])]
         return spark.createDataFrame(parts + new, "month_key int, version string").coalesce(1)
 
-    def one_row_per_day(t: Tables) -> None:
+    def one_row_per_day(t: Tables, rows: dict[str, int]) -> None:
         enforce(unique_violations(t["daily_sales"], "daily_sales", [["sale_date"]]))
 
     return publish(

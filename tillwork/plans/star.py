@@ -86,15 +86,23 @@ def build_star(
 
 
 def _rows_without(fact: DataFrame, key: str, dim: DataFrame) -> DataFrame:
-    # Counted per key first: one row for each key meets the dimension.
-    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    # Reduced per key first: one row for each key meets the dimension.
+    per_key = fact.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("order_id").alias("_first"),
+        F.max("order_id").alias("_last"),
+    )
     return per_key.join(dim.select(key), key, "left_anti").agg(
-        F.lit(key).alias("key"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")
+        F.lit(key).alias("key"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.min("_first").alias("first_order"),
+        F.max("_last").alias("last_order"),
     )
 
 
-def unresolved_keys(star: Star) -> DataFrame:
-    """Fact rows per key column whose key is null or in no dimension row."""
+def unresolved_rows(star: Star) -> DataFrame:
+    """Fact rows per key column whose key is null or in no dimension row: how many, and the
+    first and last of their order ids."""
     fact = star.fact_orders
     return (
         _rows_without(fact, "customer_key", star.dim_customers)
@@ -103,11 +111,23 @@ def unresolved_keys(star: Star) -> DataFrame:
     )
 
 
-def check_star(star: Star) -> None:
-    """Raises unless the fact has rows and each of their keys is in its dimension."""
-    if star.fact_orders.isEmpty():
+def unresolved_keys(star: Star) -> DataFrame:
+    """Fact rows per key column whose key is null or in no dimension row."""
+    return unresolved_rows(star).select("key", "rows")
+
+
+def check_star(star: Star, rows: int | None = None) -> None:
+    """Raises unless the fact has rows and each of their keys is in its dimension.
+
+    ``rows`` is the number of fact rows where that is known already.
+    """
+    if star.fact_orders.isEmpty() if rows is None else not rows:
         raise IntegrityError("there are no orders")
     # Three rows, one per key.
-    problems = {r["key"]: r["rows"] for r in unresolved_keys(star).collect() if r["rows"]}
+    problems = [r for r in unresolved_rows(star).collect() if r["rows"]]
     if problems:
-        raise IntegrityError(f"fact rows whose key is in no dimension row: {problems}")
+        lines = [
+            f"{r['key']}: {r['rows']} (orders {r['first_order']} to {r['last_order']})"
+            for r in problems
+        ]
+        raise IntegrityError(f"fact rows whose key is in no dimension row: {'; '.join(lines)}")
