@@ -442,15 +442,19 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         .filter("least < doc_id")
         .select("no", "places", F.lit(0).alias("low"), "high")
     )
-    own = contexts.join(firsts, alike).filter("least = doc_id")
-    several = (
-        contexts.select("gram", *alike)
-        .groupBy("gram", spread("gram"))
-        .agg(F.min(F.struct(*alike)).alias("a"), F.max(F.struct(*alike)).alias("z"), F.count("*").alias("n"))
+    own = work.put(
+        contexts.join(firsts, alike)
+        .filter("least = doc_id")
+        .select("gram", "c2", "no", "doc_id", "off", "context", "places")
+    )
+    work.drop(contexts, firsts)
+    several = work.put(
+        own.groupBy("gram", spread("gram"))
+        .agg(F.min("c2").alias("a"), F.max("c2").alias("z"), F.count(F.lit(1)).alias("n"))
         .filter("a <> z")
         .select("gram", F.ceil(F.col("n") / RUN).cast("long").alias("parts"))
     )
-    dealt = own.join(work.put(several), "gram").withColumn("part", F.pmod("c2", "parts"))
+    dealt = own.join(several, "gram").withColumn("part", F.pmod("c2", "parts"))
     ordered = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part")
     found = work.put(
         ordered.select("gram", "part", "parts", "no", "doc_id", "off", "context", "places").mapInArrow(
@@ -458,7 +462,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
             "no long, places array<int>, low int, high int, doc_id long, string binary",
         )
     )
-    work.drop(contexts, firsts)
+    work.drop(own)
     # The parts of a gram are merged: which string stands in an earlier document elsewhere.
     pending = found.filter("string IS NOT NULL")
     merged = pending.groupBy("string", spread("string")).agg(F.min("doc_id").alias("least"))
