@@ -25,7 +25,9 @@ from tillwork.operators.hot import spread
 # Suffixes of one gram that are sorted at once; more are dealt to several runs.
 RUN = 50_000
 # Suffixes for which a task sorts several runs together.
-_CHUNK = 50_000
+_CHUNK = 25_000
+# Text that a task works on at once.
+_BYTES = 8 * 2**20
 # A random number for each byte, so that hashes of like strings are unlike.
 _CODES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -92,7 +94,7 @@ def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
         return convert
 
     schema = "doc_id long, x long, k1 long, k2 long, n_bytes long, grams array<long>"
-    return map_batches(docs, schema, make)
+    return map_batches(docs, schema, make, _BYTES)
 
 
 def _contexts(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -142,7 +144,7 @@ def _contexts(texts: DataFrame, length: int, gram: int) -> DataFrame:
         "no long, doc_id long, gram long, c1 long, c2 long, off int, context binary, "
         "places array<int>"
     )
-    return map_batches(texts, schema, make)
+    return map_batches(texts, schema, make, _BYTES)
 
 
 class Strings:
@@ -372,7 +374,7 @@ def _cut(docs: DataFrame) -> DataFrame:
         return convert
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    return map_batches(docs, schema, make)
+    return map_batches(docs, schema, make, _BYTES)
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) -> DataFrame:

@@ -59,21 +59,33 @@ class Workspace:
 
 
 def map_batches(
-    df: DataFrame, schema: str, make: Callable[[], Callable[[dict[str, list]], dict[str, object]]]
+    df: DataFrame,
+    schema: str,
+    make: Callable[[], Callable[[dict[str, list]], dict[str, object]]],
+    most_bytes: int | None = None,
 ) -> DataFrame:
     """Turns each Arrow batch of ``df`` into rows of ``schema``, inside the tasks.
 
     ``make`` is called once for each task and gives the function from columns (lists)
-    to columns (lists, arrays or numpy arrays). Spark bounds a batch by rows and bytes.
+    to columns (lists, arrays or numpy arrays). Spark bounds a batch by rows and bytes; where
+    the work takes many times the size of its input, ``most_bytes`` has it done in parts of
+    about that size.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     target = to_arrow_schema(_parse_datatype_string(schema))
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            rows = n if not most_bytes else max(1, n * most_bytes // max(batch.nbytes, 1))
+            for start in range(0, n, max(rows, 1)):
+                yield batch.slice(start, rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = make()
-        for batch in batches:
+        for batch in parts(batches):
             out = convert({n: batch.column(n).to_pylist() for n in batch.schema.names})
             yield pa.RecordBatch.from_arrays(
                 [
