@@ -1,13 +1,18 @@
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from llm_fixtures import documents, edges, prose, table, tuples  # noqa: F401
 from pyspark.sql import functions as F
 
 from tillwork.llm import secret_scan
 from tillwork.llm.catalogue import QUERIES
+from tillwork.llm.scans import running, shifted
 from tillwork.llm.secret_scan import find_secrets, highest_entropy, without_secrets
 
 ASSIGN = re.compile(
@@ -129,3 +134,45 @@ def test_no_python(documents):
 def test_empty_table(documents):
     assert tuples(find_secrets(documents([]))) == []
     assert without_secrets(documents([])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["abcd" * 250_000, "0123" * 250_000, "a-1-" * 250_000 + "a", "abc/" * 250_000 + "d",
+     "example" + "aB3" * 300_000, "01234567-89ab-4def-8123-456789abcdef " * 28_000],
+)
+def test_allowed_forms_of_any_length(spark, text):
+    """Millions of characters that may not be taken apart by recursion."""
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert find_secrets(df).selectExpr("size(spans)").first()[0] in (0, 1)
+    kept = without_secrets(df).selectExpr("length(text)").first()[0]
+    assert kept in (len(text), len("[secret]")) or "def" in text
+
+
+def test_a_hundred_thousand_spans_in_one_text(spark):
+    import time
+
+    text = "token=abcdef1 Zx81Kq0LmP93vB7tRw2Y5 é " * 50_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.time()
+    spans = find_secrets(df).first()["spans"]
+    assert len(spans) == 100_000
+    for i in (0, 1, 777, 99_998, 99_999):
+        begin = (i // 2) * 38 + (0 if i % 2 == 0 else 14)
+        assert (spans[i]["start"], spans[i]["end"]) == (begin, begin + (13 if i % 2 == 0 else 21))
+    assert without_secrets(df).first()["text"] == "[secret] [secret] é " * 50_000
+    assert time.time() - started < 90
+
+
+@given(st.lists(st.integers(0, 50), max_size=600))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+def test_running_values(spark, values):
+    df = spark.createDataFrame([(values,)], "v array<int>").select(
+        running(F.col("v"), lambda a, b: a + b).alias("sums"),
+        running(F.col("v"), F.greatest).alias("most"),
+        shifted(F.col("v"), 7).alias("moved"),
+    )
+    sums, most, moved = df.first()
+    assert sums == list(itertools.accumulate(values))
+    assert most == list(itertools.accumulate(values, max))
+    assert moved == ([7] + values)[: len(values)]

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwork.llm.scans import let, running, shifted
+
 # Fixed patterns; a match shorter than its least length is dropped.
 ASSIGN = (
     r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -36,38 +38,82 @@ ALLOWED = (
 )
 
 _SPAN = "struct<at:int,rank:int,end:int,hit:string>"
+_NO_SPANS = f"array<{_SPAN}>"
+_FAR = 2**31 - 1
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
 
 
 def _spans(text: Column, kind: str, pattern: str, least: int, value: int) -> Column:
     """Leftmost matches that do not overlap, as spans in code points.
 
     Each match is taken together with the gap before it, and the end of the text counts
-    as a last match, so the text is passed once and the lengths add up to places.
-    ``value`` is the group whose length counts, 2 for the whole match.
+    as a last match, so the lengths add up to places. ``value`` is the group whose length
+    counts, 2 for the whole match. A text without a match is only searched.
     """
     together = F.lit(rf"(?s)(.*?)({pattern}|\z)")
+    groups = [1, 2] if value == 2 else [1, 2, value]
+
+    def placed(parts: Column) -> Column:
+        lengths = F.transform(parts, lambda p: F.length(p["gap"]) + F.length(p["hit"]))
+        spans = F.zip_with(
+            parts,
+            running(lengths, _sum),
+            lambda p, end: F.struct(
+                (end - F.length(p["hit"])).alias("at"),
+                F.lit(KINDS.index(kind)).alias("rank"),
+                end.alias("end"),
+                p["hit"].alias("hit"),
+                F.length(p[f"g{value}"]).alias("size"),
+            ),
+        )
+        long = F.filter(spans, lambda s: s["size"] >= least)
+        return F.transform(long, lambda s: F.struct(s["at"], s["rank"], s["end"], s["hit"]).cast(_SPAN))
+
+    names = {1: "gap", 2: "hit", value: "hit" if value == 2 else f"g{value}"}
     parts = F.arrays_zip(
-        F.regexp_extract_all(text, together, F.lit(1)).alias("gap"),
-        F.regexp_extract_all(text, together, F.lit(2)).alias("hit"),
-        F.regexp_extract_all(text, together, F.lit(value)).alias("value"),
+        *[F.regexp_extract_all(text, together, F.lit(g)).alias(names[g]) for g in groups]
     )
+    if value == 2:
+        parts = F.transform(
+            parts, lambda p: F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), p["hit"].alias("g2"))
+        )
+    found = let(parts, placed)
+    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(_NO_SPANS))
 
-    def step(state: Column, part: Column) -> Column:
-        at = state["place"] + F.length(part["gap"])
-        end = at + F.length(part["hit"])
-        span = F.struct(
-            at.alias("at"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), part["hit"]
-        ).cast(_SPAN)
-        spans = F.when(
-            F.length(part["value"]) >= least, F.concat(state["spans"], F.array(span))
-        ).otherwise(state["spans"])
-        return F.struct(end.alias("place"), spans.alias("spans"))
-
-    none = F.array().cast(f"array<{_SPAN}>")
-    found = F.aggregate(
-        parts, F.struct(F.lit(0).alias("place"), none.alias("spans")), step, lambda s: s["spans"]
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(none)
+
+def _apart(candidates: Column, base: Column) -> Column:
+    """The candidates that overlap no span of ``base``.
+
+    In order of start, a candidate overlaps if a base span at or before its start reaches into
+    it, or if the next base span starts in it.
+    """
+
+    def of(spans: Column) -> Column:
+        is_base = lambda s: s["rank"] < KINDS.index("entropy")
+        reach = running(
+            F.transform(spans, lambda s: F.when(is_base(s), s["end"]).otherwise(0)), F.greatest
+        )
+        starts = F.transform(
+            F.reverse(spans), lambda s: F.when(is_base(s), s["at"]).otherwise(_FAR)
+        )
+        together = F.arrays_zip(
+            spans.alias("span"),
+            reach.alias("reach"),
+            F.reverse(running(starts, F.least)).alias("next"),
+        )
+        free = F.filter(
+            together,
+            lambda z: ~is_base(z["span"])
+            & (z["reach"] <= z["span"]["at"])
+            & (z["next"] >= z["span"]["end"]),
+        )
+        return F.transform(free, lambda z: z["span"])
+
+    several = (F.size(candidates) > 0) & (F.size(base) > 0)
+    return F.when(several, let(F.array_sort(F.concat(base, candidates)), of)).otherwise(candidates)
 
 
 def _weight(count: Column) -> Column:
@@ -76,55 +122,83 @@ def _weight(count: Column) -> Column:
     return F.element_at(F.array(*[F.lit(w) for w in table]), count + 1)
 
 
+# Counts of up to a window's length take five bits; so many of them share a long.
+_COUNT_BITS, _SHARED = 5, 12
+_WORDS = -(-len(ALPHABET) // _SHARED)
+
+
+def _shift(direction: str, value: Column, bits: Column) -> Column:
+    return F.call_function(f"shift{direction}", value, bits)
+
+
 def highest_entropy(candidate: Column) -> Column:
     """The most bits a character has in any window of a candidate string.
 
-    The window slides by one character at a time and keeps the count of each symbol. Its
-    entropy is log2(n) - sum(c * log2(c)) / n, of which only the terms of the symbol that
-    leaves and the one that enters change.
+    The window slides by one character at a time and keeps the count of each symbol, several
+    to a number. Its entropy is log2(n) - sum(c * log2(c)) / n, of which only the terms of the
+    symbol that leaves and the one that enters change.
     """
-    symbols = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-
-    def step(state: Column, place: Column) -> Column:
-        enters = F.element_at(state["symbols"], place)
-        leaves = F.when(place > WINDOW, F.element_at(state["symbols"], F.greatest(place - WINDOW, F.lit(1)))).otherwise(0)
-        counts = state["counts"]
-        c_in = F.element_at(counts, enters)
-        c_out = F.element_at(counts, F.greatest(leaves, F.lit(1)))
-        change = F.when(leaves == enters, 0.0).otherwise(
-            _weight(c_in + 1)
-            - _weight(c_in)
-            + F.when(leaves > 0, _weight(F.greatest(c_out - 1, F.lit(0))) - _weight(c_out)).otherwise(0.0)
+
+    def at(char: Column) -> Column:
+        place = F.instr(F.lit(ALPHABET), char) - 1
+        bits = (place % _SHARED) * _COUNT_BITS
+        return F.struct(F.floor(place / _SHARED).cast("int").alias("word"), bits.alias("bits"))
+
+    def count(state: Column, symbol: Column) -> Column:
+        word = state["w0"]
+        for k in range(1, _WORDS):
+            word = F.when(symbol["word"] == k, state[f"w{k}"]).otherwise(word)
+        return _shift("right", word, symbol["bits"]).bitwiseAND(2**_COUNT_BITS - 1).cast("int")
+
+    def one(symbol: Column, k: int) -> Column:
+        unit = _shift("left", F.lit(1).cast("bigint"), symbol["bits"])
+        return F.when(symbol["word"] == k, unit).otherwise(F.lit(0).cast("bigint"))
+
+    def step(state: Column, place: Column, symbols: Column) -> Column:
+        enters = F.element_at(symbols, place)
+        full = place > WINDOW
+        leaves = F.element_at(symbols, F.greatest(place - WINDOW, F.lit(1)))
+        c_in, c_out = count(state, enters), count(state, leaves)
+        lost = F.when(full, _weight(F.greatest(c_out - 1, F.lit(0))) - _weight(c_out)).otherwise(0.0)
+        change = F.when(full & (leaves == enters), 0.0).otherwise(
+            _weight(c_in + 1) - _weight(c_in) + lost
         )
         total = state["total"] + change
-        return F.struct(
-            state["symbols"].alias("symbols"),
-            F.transform(
-                counts,
-                lambda v, i: v
-                + F.when(i + 1 == enters, 1).otherwise(0)
-                - F.when(i + 1 == leaves, 1).otherwise(0),
-            ).alias("counts"),
-            total.alias("total"),
-            F.when(place >= WINDOW, F.least(state["least"], total)).otherwise(state["least"]).alias("least"),
-        )
+        words = [
+            (state[f"w{k}"] + one(enters, k) - F.when(full, one(leaves, k)).otherwise(0)).alias(f"w{k}")
+            for k in range(_WORDS)
+        ]
+        least = F.when(place >= WINDOW, F.least(state["least"], total)).otherwise(state["least"])
+        return F.struct(*words, total.alias("total"), least.alias("least"))
 
     start = F.struct(
-        symbols.alias("symbols"),
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
+        *[F.lit(0).cast("bigint").alias(f"w{k}") for k in range(_WORDS)],
         F.lit(0.0).alias("total"),
         F.lit(WINDOW * math.log2(WINDOW)).alias("least"),
     )
-    least = F.aggregate(
-        F.sequence(F.lit(1), F.length(candidate)), start, step, lambda s: s["least"]
+    least = let(
+        F.transform(F.split(candidate, ""), at),
+        lambda symbols: F.aggregate(
+            F.sequence(F.lit(1), F.size(symbols)),
+            start,
+            lambda state, place: step(state, place, symbols),
+            lambda s: s["least"],
+        ),
     )
     return F.lit(math.log2(WINDOW)) - least / WINDOW
 
 
+def _without_recursion(pattern: str) -> str:
+    """A repeated group at the end of a pattern, written so that Java's matcher takes each turn
+    for good. Nothing that it matches otherwise is lost, as each turn begins with a sign that
+    the one before cannot hold; and a text of any length takes no stack."""
+    return pattern.replace(")*$", ")*+$")
+
+
 def _is_random(hit: Column) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOWED:
-        allowed = allowed | F.regexp_like(hit, F.lit(pattern))
+        allowed = allowed | F.regexp_like(hit, F.lit(_without_recursion(pattern)))
     is_hex = F.regexp_like(hit, F.lit("^([0-9a-f]+|[0-9A-F]+)$"))
     bits = F.when(is_hex, HEX_BITS).otherwise(MIXED_BITS)
     return ~allowed & (highest_entropy(hit) > bits)
@@ -143,12 +217,9 @@ def _scanned(docs: DataFrame) -> DataFrame:
         ).alias("base"),
         _spans(text, "entropy", CANDIDATE, 1, 2).alias("candidates"),
     )
-    apart = F.filter(
-        "candidates",
-        lambda c: ~F.exists("base", lambda b: (b["at"] < c["end"]) & (c["at"] < b["end"])),
-    )
-    random = F.filter(apart, lambda c: _is_random(c["hit"]))
-    added = F.when(F.size("candidates") > 0, random).otherwise(F.col("candidates"))
+    found = found.withColumn("apart", _apart(F.col("candidates"), F.col("base")))
+    random = F.filter("apart", lambda c: _is_random(c["hit"]))
+    added = F.when(F.size("apart") > 0, random).otherwise(F.col("apart"))
     named = F.transform(
         F.array_sort(F.concat("base", added)),
         lambda s: F.struct(
@@ -169,7 +240,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     strings of ``WINDOW`` or more characters some window of which has a high entropy for
     its character class, unless they are on the allow-list or overlap a span of the other
     kinds. One row for each input row; a missing or empty text has no spans. A text of
-    any length is searched as a whole, in one pass for each kind.
+    any length, with any number of spans, is searched as a whole, in a few passes for each kind.
     """
     return _scanned(docs).select("row.doc_id", "spans")
 
@@ -183,23 +254,29 @@ def as_text(spans: Column) -> Column:
 
 
 def _redacted(text: Column, spans: Column, mark: str) -> Column:
-    """The text with ``mark`` in place of each span; spans that overlap get one mark."""
-
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["place"] + 1, span["start"] - state["place"])
-        follows = F.concat(state["out"], gap, F.lit(mark))
-        return F.struct(
-            F.when(span["start"] >= state["place"], follows).otherwise(state["out"]).alias("out"),
-            F.greatest(state["place"], span["end"]).alias("place"),
+    """The text with ``mark`` in place of each span; spans that overlap get one mark.
+
+    The text is taken apart into characters, as to find a place in it means to count from its
+    beginning.
+    """
+
+    def piece(chars: Column, start: Column, end: Column) -> Column:
+        return F.array_join(F.slice(chars, start + 1, F.greatest(end - start, F.lit(0))), "")
+
+    def put_together(z: Column) -> Column:
+        kept = F.zip_with(
+            z["spans"],
+            shifted(z["ends"], 0),
+            lambda s, done: F.when(
+                s["start"] >= done, F.concat(piece(z["chars"], done, s["start"]), F.lit(mark))
+            ).otherwise(""),
         )
+        rest = piece(z["chars"], F.get(z["ends"], F.size(z["ends"]) - 1), F.size(z["chars"]))
+        return F.concat(F.array_join(kept, ""), rest)
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("place"))
-    return F.aggregate(
-        spans,
-        start,
-        step,
-        lambda s: F.concat(s["out"], F.substring(text, s["place"] + 1, F.length(text))),
-    )
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    parts = F.struct(F.split(text, "").alias("chars"), spans.alias("spans"), ends.alias("ends"))
+    return let(parts, put_together)
 
 
 def without_secrets(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
