@@ -12,7 +12,8 @@ WRITING = {
     name
     for name in QUERIES
     if name.startswith(("src_", "sink_", "daily_sales_"))
-    or name in ("n03_load_verification", "dq_operational_load", "dq_payments_load")
+    or name.endswith("_load")
+    or name in ("n03_load_verification", "star_refused_loads", "v05_daily_sales_of_a_quarter")
 }
 
 

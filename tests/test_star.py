@@ -516,3 +516,48 @@ def test_payments_are_loaded_and_go_with_their_orders(spark, tables, tmp_path):
     publish.load_operational(spark, root, customers, products, orders)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         publish.read_table(spark, root, "payments")
+
+
+def test_a_filter_on_days_prunes_the_months_of_the_fact(spark, tables, tmp_path):
+    publish.load_star(spark, str(tmp_path), *tables)
+    full = publish.read_star(spark, str(tmp_path))
+    quarter = metrics.of_days(full, (F.col("year") == 2025) & (F.col("quarter") == 2))
+    daily = metrics.daily_sales(quarter)
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "month_key" in plan
+    want = [r for r in tuples(metrics.daily_sales(full)) if r[0].month in (4, 5, 6)]
+    assert tuples(daily) == want and want
+
+    def files_read(df):
+        df.collect()
+        found, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+        while nodes:
+            node = nodes.pop()
+            if "Adaptive" in node.nodeName():
+                nodes.append(node.executedPlan())
+            if "QueryStage" in node.nodeName():
+                nodes.append(node.plan())
+            if "order_id" in node.simpleString(1000) and node.metrics().contains("numFiles"):
+                found += node.metrics().get("numFiles").get().value()
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+        return found
+
+    def only_facts(s):
+        return s.fact_orders.select("order_id")
+
+    months = full.fact_orders.select("month_key").distinct().count()
+    assert files_read(only_facts(quarter)) == 3 < months <= files_read(only_facts(full))
+    # The other metrics are of these days, too.
+    assert tuples(metrics.category_performance(quarter)) != tuples(metrics.category_performance(full))
+    assert metrics.monthly_revenue(quarter).count() == 3
+
+
+def test_a_dead_letter_is_published_only_if_there_is_one(spark, tmp_path):
+    rejects = spark.createDataFrame([("1", "customers")], "customer_id string, source_table string")
+    root = str(tmp_path)
+    assert sinks.write_dead_letter(rejects.filter("false"), root) is None
+    assert versions.last_version(spark, root) is None and not list(tmp_path.glob("v=*"))
+    first = sinks.write_dead_letter(rejects, root)
+    assert sinks.write_dead_letter(rejects.filter("false"), root) is None
+    assert versions.current_folder(spark, root) == first

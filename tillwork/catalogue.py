@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.calendar import date_key
 from tillwork.functions.casts import price, strict_date, whole_number
-from tillwork.functions.text import cell
+from tillwork.functions.text import NULL_WORDS, cell
 from tillwork.model import NUMBER_LIMITS, RAW_CUSTOMERS, STATUSES, Star
 from tillwork.operators.ordered import row_numbers, spread_blocks
 from tillwork.plans import (
@@ -71,6 +71,13 @@ def _orders_clean(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return cleaning.clean_orders(fx.orders_raw(spark, d), customers, products)
 
 
+def _broken_parents(spark: SparkSession, d: str) -> DataFrame:
+    """What becomes of orders whose customer or product id is no number."""
+    customers, products = _customers_clean(spark, d)[0], _products_clean(spark, d)[0]
+    feed = fx.broken_parents_raw(spark, d)
+    return cleaning.clean_orders(feed, customers, products)[1]
+
+
 def _payments_clean(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return cleaning.clean_payments(fx.payments_raw(spark, d), fx.order_headers(spark, d))
 
@@ -353,6 +360,59 @@ def _csv_customers(spark: SparkSession, d: str) -> DataFrame:
     return cleaning.clean_customers(feed)[0]
 
 
+def _null_words(spark: SparkSession, d: str) -> DataFrame:
+    """Customers from CSV files in which words stand for "no value", in turn."""
+    path = f"{shared_folder(spark)}/customers_raw"
+    words = F.array(*[F.lit(w) for w in NULL_WORDS])
+    key = F.col("customer_id").cast("bigint")
+    word = F.element_at(words, (key % len(NULL_WORDS) + 1).cast("int"))
+    raw = fx.customers_raw(spark, d).withColumns(
+        {
+            "city": F.when(key % 3 == 1, word).otherwise(F.col("city")),
+            "signup_date": F.when(key % 3 == 2, word).otherwise(F.col("signup_date")),
+        }
+    )
+    # Cells go to the file as they are, spaces too.
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.drop(feeds.POSITION).write.option("header", True).options(**kept).csv(path)
+    return feeds.read_feed(spark, path, RAW_CUSTOMERS)
+
+
+def _refused_loads(spark: SparkSession, d: str) -> DataFrame:
+    """Loads that break a rule of the star, and what readers see after each of them."""
+    root = shared_folder(spark)
+    customers, products = fx.customers(spark, d), fx.products(spark, d)
+    heads = fx.payments(spark, d).select("order_id")
+    orders = fx.order_headers(spark, d).join(heads, "order_id").select(
+        "order_id", "customer_id", F.lit(1).cast("bigint").alias("product_id"),
+        F.lit(1).alias("quantity"), "order_date", "status",
+    )
+    publish.load_star(spark, root, customers, products, orders)
+    bad = {
+        "no orders": (customers, products, orders.filter("false")),
+        "unknown customer": (customers.filter("customer_id % 7 <> 3"), products, orders),
+        "unknown product": (customers, products.filter("product_id <> 1"), orders),
+        "repeated order": (customers, products, orders.unionByName(orders)),
+    }
+    seen = []
+    for name, tables in bad.items():
+        try:
+            publish.load_star(spark, root, *tables)
+            refused = False
+        except (star.IntegrityError, constraints.ConstraintError):
+            refused = True
+        summary = publish.load_summary(spark, root).filter("tbl = 'fact_orders'")
+        seen.append(summary.select(F.lit(name).alias("load"), F.lit(refused).alias("refused"), "row_count"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+def _sales_of_a_quarter(spark: SparkSession, d: str) -> DataFrame:
+    """Daily sales of one quarter of a stored star, whose other months are not read."""
+    full = publish.read_star(spark, _loaded(spark, d))
+    quarter = (F.col("year") == 1996) & (F.col("quarter") == 2)
+    return metrics.daily_sales(metrics.of_days(full, quarter))
+
+
 def _file_order_ids(spark: SparkSession, d: str) -> DataFrame:
     """Products written as CSV files without ids, which they get back from file order."""
     path = f"{shared_folder(spark)}/products"
@@ -532,6 +592,7 @@ QUERIES: dict[str, Query] = {
     "dq_payments_clean": lambda s, d: _payments_clean(s, d)[0],
     "dq_payments_rejected": lambda s, d: _payments_clean(s, d)[1],
     "dq_orders_clean": lambda s, d: _orders_clean(s, d)[0],
+    "dq_orders_broken_parents": _broken_parents,
     "dq_orders_rejected": lambda s, d: _orders_clean(s, d)[1],
     "dq_dead_letter": _dead_letter,
     "dq_reason_counts": lambda s, d: cleaning.reason_counts(_dead_letter(s, d)),
@@ -555,6 +616,9 @@ QUERIES: dict[str, Query] = {
     "ordered_dense_numbers": _dense_payment_numbers,
     "src_csv_customers": _csv_customers,
     "src_file_order_ids": _file_order_ids,
+    "src_csv_null_words": _null_words,
+    "star_refused_loads": _refused_loads,
+    "v05_daily_sales_of_a_quarter": _sales_of_a_quarter,
     "sink_dead_letter_csv": _dead_letter_csv,
     "sink_report": _report_files,
     "sink_report_revenue_by_category": partial(_report_files, section="revenue_by_category"),

@@ -6,6 +6,9 @@ cents, so that it does not depend on how an engine divides.
 
 from __future__ import annotations
 
+from tillwork.model import STATUSES
+from tillwork.plans import generate
+
 _HEADER_STATUS = (
     "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'cancelled' END"
 )
@@ -207,23 +210,12 @@ def _cleaning(customers: str, products: str, orders: str, prefix: str) -> dict[s
     }
 
 
-_FIRST = "Amna Bilal Daniyal Farah Hina Junaid Kiran Omar Rabia"
-_LAST = "Akram Dar Ghani Jamil Kazmi Lodhi Nadeem Rana Tariq"
-_THINGS = "Lamp Kettle Cushion Serum Candle Basket Blanket Teapot"
-_LOOKS = "Plain Bright Folding Woven Light Sturdy Round"
-_CITIES = (
-    "Karachi Lahore Islamabad Rawalpindi Faisalabad Multan Peshawar Quetta Sialkot Sargodha "
-    "Hyderabad Gujranwala"
-)
-
-
 def _draw(key: str, salt: str) -> str:
     return f"CAST(concat('0x', left(md5(concat('{salt}:', CAST({key} AS VARCHAR))), 15)) AS BIGINT)"
 
 
-def _pick(key: str, salt: str, values: str) -> str:
+def _pick(key: str, salt: str, words: tuple[str, ...]) -> str:
     """One of the words, by a draw."""
-    words = values.split()
     listed = ", ".join(f"'{w}'" for w in words)
     return f"(ARRAY[{listed}])[{_draw(key, '42' + salt)} % {len(words)} + 1]"
 
@@ -533,6 +525,17 @@ _BODIES: dict[str, str] = {
     "daily_sales_stored": "SELECT * FROM daily",
     "daily_sales_incremental": "SELECT * FROM daily",
     "daily_sales_changed_months": "SELECT * FROM daily",
+    "v05_daily_sales_of_a_quarter": """
+        SELECT * FROM daily WHERE year(sale_date) = 1996 AND quarter(sale_date) = 2""",
+    "star_refused_loads": """
+        SELECT load, true AS refused, (SELECT count(*) FROM heads_v) AS row_count
+        FROM (VALUES ('no orders'), ('unknown customer'), ('unknown product'),
+                     ('repeated order')) AS cases(load)""",
+    "src_csv_null_words": f"""
+        SELECT customer_id, nullif(full_name, '') AS full_name, nullif(email, '') AS email,
+               CASE WHEN CAST(customer_id AS BIGINT) % 3 <> 1 THEN city END AS city,
+               CASE WHEN CAST(customer_id AS BIGINT) % 3 <> 2 THEN signup_date END AS signup_date
+        FROM customers_raw""",
     "dq_customers_clean": """
         SELECT CAST(customer_id AS BIGINT) AS customer_id, trim(full_name) AS full_name,
                trim(email) AS email, trim(city) AS city, CAST(signup_date AS DATE) AS signup_date
@@ -563,6 +566,27 @@ _BODIES: dict[str, str] = {
                CAST(product_id AS BIGINT) AS product_id, CAST(quantity AS INTEGER) AS quantity,
                CAST(order_date AS DATE) AS order_date, status
         FROM ok_orders WHERE why = ''""",
+    "dq_orders_broken_parents": f"""
+        SELECT order_id, customer_id, product_id, quantity, order_date, status,
+               'orders' AS source_table, why AS rejection_reason
+        FROM (SELECT *, concat_ws('; ',
+                CASE WHEN quantity = 'two' THEN 'invalid quantity'
+                     WHEN CAST(quantity AS BIGINT) <= 0 THEN 'quantity must be positive' END,
+                CASE WHEN status NOT IN {_STATUS_LIST} THEN 'invalid status' END,
+                CASE WHEN try_cast(order_date AS DATE) IS NULL THEN 'invalid order_date' END,
+                CASE WHEN k % 10 IN (1, 2, 3) THEN 'invalid customer_id'
+                     WHEN trim(customer_id) NOT IN (SELECT customer_id FROM ok_customers
+                          WHERE why = '') THEN 'customer_id not found' END,
+                CASE WHEN k % 15 = 1 THEN 'invalid product_id'
+                     WHEN product_id NOT IN (SELECT product_id FROM ok_products WHERE why = '')
+                     THEN 'product_id not found' END) AS why
+              FROM (SELECT order_id, quantity, order_date, status, k,
+                           CASE WHEN k % 10 = 1 THEN '' WHEN k % 10 = 2 THEN 'c' || customer_id
+                                WHEN k % 10 = 3 THEN customer_id || '.5'
+                                ELSE ' ' || customer_id END AS customer_id,
+                           CASE WHEN k % 15 = 1 THEN 'none' ELSE product_id END AS product_id
+                    FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM orders_raw)))
+        WHERE why <> ''""",
     "dq_orders_rejected": """
         SELECT order_id, customer_id, product_id, quantity, order_date, status,
                'orders' AS source_table, why AS rejection_reason
@@ -767,15 +791,15 @@ _BODIES: dict[str, str] = {
                concat(lower(first), '.', CAST(id AS VARCHAR), '@example.com') AS email, city,
                CAST(DATE '2002-01-01' - CAST({_draw("id", "42since")} % 366 AS INTEGER) AS DATE)
                    AS signup_date
-        FROM (SELECT c_custkey AS id, {_pick("c_custkey", "first", _FIRST)} AS first,
-                     {_pick("c_custkey", "last", _LAST)} AS last,
-                     {_pick("c_custkey", "home", _CITIES)} AS city
+        FROM (SELECT c_custkey AS id, {_pick("c_custkey", "first", generate.FIRST_NAMES)} AS first,
+                     {_pick("c_custkey", "last", generate.LAST_NAMES)} AS last,
+                     {_pick("c_custkey", "home", generate.CITIES)} AS city
               FROM customer) AS made(id, first, last, city)""",
     "gen_products": f"""
         SELECT p_partkey AS product_id,
-               concat({_pick("p_partkey", "look", _LOOKS)}, ' ',
-                      {_pick("p_partkey", "thing", _THINGS)}) AS title,
-               {_pick("p_partkey", "kind", "beauty fragrances furniture groceries")} AS category,
+               concat({_pick("p_partkey", "look", generate.LOOKS)}, ' ',
+                      {_pick("p_partkey", "thing", generate.THINGS)}) AS title,
+               {_pick("p_partkey", "kind", generate.CATEGORIES)} AS category,
                CAST(CAST(500 + {_draw("p_partkey", "42cents")} % 49501 AS DECIMAL(10,0)) / 100
                     AS DECIMAL(10,2)) AS price
         FROM part""",
@@ -787,7 +811,7 @@ _BODIES: dict[str, str] = {
                CAST({_draw("o_orderkey", "42units")} % 5 + 1 AS INTEGER) AS quantity,
                CAST(DATE '2002-01-01' - CAST({_draw("o_orderkey", "42when")} % 181 AS INTEGER)
                     AS DATE) AS order_date,
-               {_pick("o_orderkey", "state", "completed pending returned cancelled")} AS status
+               {_pick("o_orderkey", "state", STATUSES)} AS status
         FROM orders""",
     "views_in_sql": """
         SELECT city, count(*) AS customers, CAST(sum(order_count) AS BIGINT) AS orders,

@@ -30,6 +30,8 @@ from tillwork.sources.feeds import POSITION, positioned
 # Rows without a usable key take no part in the search for duplicates. They get one
 # of this many join keys, none of which can be a key.
 _FILLERS = 4096
+# Repeated keys that may become part of a plan.
+_FEW = 10_000
 
 
 def _raw(columns: Sequence[str]) -> Column:
@@ -67,9 +69,21 @@ def _placed(raw: DataFrame, key: Column) -> tuple[DataFrame, Column]:
     return positioned(raw), placed.alias("_pos")
 
 
+def _settled(few: DataFrame) -> DataFrame:
+    """A table that usually has few rows or none, looked at before the plan is made.
+
+    Up to ``_FEW`` rows become part of the plan: then Spark knows the size of a join's side,
+    and leaves out a join with none. A larger table stays as it is.
+    """
+    rows = few.limit(_FEW + 1).collect()
+    if len(rows) > _FEW:
+        return few
+    return few.sparkSession.createDataFrame(rows, few.schema)
+
+
 def _firsts(parsed: DataFrame, key: Column, good: Column) -> DataFrame:
     """The first good row of each key that several rows have."""
-    return (
+    return _settled(
         parsed.filter(key.isNotNull())
         .select(key.alias("_key"), "_pos", good.alias("_good"))
         .groupBy("_key", spread("_key"))

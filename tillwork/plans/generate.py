@@ -15,27 +15,13 @@ from pyspark.sql import functions as F
 from tillwork.model import PRICE, STATUSES
 from tillwork.operators.ordered import id_levels, row_numbers
 
-# The places and categories of the sample shop.
-CITIES = (
-    "Karachi",
-    "Lahore",
-    "Islamabad",
-    "Rawalpindi",
-    "Faisalabad",
-    "Multan",
-    "Peshawar",
-    "Quetta",
-    "Sialkot",
-    "Sargodha",
-    "Hyderabad",
-    "Gujranwala",
-)
-CATEGORIES = ("beauty", "fragrances", "furniture", "groceries")
-
-_FIRST_NAMES = ("Amna", "Bilal", "Daniyal", "Farah", "Hina", "Junaid", "Kiran", "Omar", "Rabia")
-_LAST_NAMES = ("Akram", "Dar", "Ghani", "Jamil", "Kazmi", "Lodhi", "Nadeem", "Rana", "Tariq")
-_THINGS = ("Lamp", "Kettle", "Cushion", "Serum", "Candle", "Basket", "Blanket", "Teapot")
-_LOOKS = ("Plain", "Bright", "Folding", "Woven", "Light", "Sturdy", "Round")
+# Names of the made-up shop.
+CITIES = ("Ashford", "Brackwater", "Corley", "Dunmere", "Eastholm", "Fennick", "Greywell")
+CATEGORIES = ("lighting", "kitchen", "bedding", "storage", "wellness")
+FIRST_NAMES = ("Ada", "Bram", "Cleo", "Dario", "Edda", "Falk", "Greta", "Hugo", "Iris")
+LAST_NAMES = ("Abbot", "Barlow", "Crane", "Dalton", "Ellery", "Finch", "Garrow", "Hale")
+THINGS = ("Lamp", "Kettle", "Cushion", "Serum", "Candle", "Basket", "Blanket", "Teapot")
+LOOKS = ("Plain", "Bright", "Folding", "Woven", "Light", "Sturdy", "Round")
 
 
 # The shares of faulty rows in the sample shop's feeds.
@@ -209,8 +195,8 @@ def make_customers(ids: DataFrame, *, today: date, seed: str = "42") -> DataFram
     ``spark.range(1, 301)`` gives the ids of the sample shop.
     """
     key = F.col("id")
-    first = _pick(key, f"{seed}first", _FIRST_NAMES)
-    last = _pick(key, f"{seed}last", _LAST_NAMES)
+    first = _pick(key, f"{seed}first", FIRST_NAMES)
+    last = _pick(key, f"{seed}last", LAST_NAMES)
     return ids.select(
         key.alias("customer_id"),
         F.concat_ws(" ", first, last).alias("full_name"),
@@ -227,7 +213,7 @@ def make_products(ids: DataFrame, *, seed: str = "42") -> DataFrame:
     key = F.col("id")
     cents = 500 + draw(key, f"{seed}cents") % 49_501
     title = F.concat_ws(
-        " ", _pick(key, f"{seed}look", _LOOKS), _pick(key, f"{seed}thing", _THINGS)
+        " ", _pick(key, f"{seed}look", LOOKS), _pick(key, f"{seed}thing", THINGS)
     )
     return ids.select(
         key.alias("product_id"),

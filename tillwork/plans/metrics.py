@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -16,11 +17,36 @@ def _completed(star: Star) -> DataFrame:
     return star.fact_orders.filter(F.col("status") == COMPLETED)
 
 
-def _dated(star: Star) -> DataFrame:
+def _days(star: Star, columns: list[str]) -> tuple[DataFrame, list[str]]:
+    """The days to join the fact with, and the columns to join on.
+
+    A stored fact lies in a folder for each month. Joined on the month as well, it is read
+    from the months of the days alone: Spark prunes the folders by the days that are left
+    after any condition on them.
+    """
+    keys = ["date_key"]
+    days = star.dim_date.select("date_key", *columns)
+    if "month_key" in star.fact_orders.columns:
+        keys.append("month_key")
+        days = days.withColumn("month_key", F.expr("date_key div 100").cast("int"))
     # A date dimension has one row per calendar day, fewer than four million over
     # the whole range of the date type, so it can always be broadcast.
-    days = F.broadcast(star.dim_date.select("date_key", "full_date"))
-    return _completed(star).join(days, "date_key")
+    return F.broadcast(days), keys
+
+
+def _dated(star: Star) -> DataFrame:
+    days, keys = _days(star, ["full_date"])
+    return _completed(star).join(days, keys)
+
+
+def of_days(star: Star, condition: Column) -> Star:
+    """The star of some days: those whose calendar columns fulfil ``condition``.
+
+    Every metric of it is of these days alone, and reads no other months of a stored fact.
+    """
+    dates = replace(star, dim_date=star.dim_date.filter(condition))
+    days, keys = _days(dates, [])
+    return replace(dates, fact_orders=star.fact_orders.join(days, keys, "left_semi"))
 
 
 def monthly_revenue(star: Star) -> DataFrame:
@@ -102,10 +128,10 @@ def customer_summary(
 def repeat_customers(star: Star, *, ordered: bool = True) -> DataFrame:
     """Customers with two or more completed orders, and the repeat rate on each row."""
     totals = customer_summary(star, ordered=False)
-    # The condition holds for every row. It makes the rate read the same columns of
-    # the fact as the customers do, so both share one scan and one shuffle.
-    every = totals.filter((F.col("order_count") > 0) | F.col("total_spend").isNotNull())
-    rate = every.agg(percent_2(F.count_if(F.col("order_count") >= 2), F.count(F.lit(1)))).scalar()
+    # Counted by their spend, which every buyer has: so the rate reads the same columns of
+    # the fact as the customers do, and both share one scan and one shuffle.
+    buyers = F.count("total_spend")
+    rate = totals.agg(percent_2(F.count_if(F.col("order_count") >= 2), buyers)).scalar()
     repeaters = totals.filter(F.col("order_count") >= 2).select(
         "customer_id",
         "full_name",

@@ -6,7 +6,8 @@ with ``versions.current_folder``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tillwork.model import Star
 from tillwork.plans import metrics
@@ -22,14 +23,20 @@ def _sections(sections: dict[str, DataFrame], folder: str, fmt: str) -> None:
         target.save(f"{folder}/report={name}")
 
 
-def write_dead_letter(rejects: DataFrame, root: str) -> str:
-    """CSV with headers, one folder per source table; cells stay as they came, spaces too."""
+def write_dead_letter(rejects: DataFrame, root: str) -> str | None:
+    """CSV with headers, one folder per source table; cells stay as they came, spaces too.
 
-    def write(folder: str) -> None:
+    Without rejects nothing is published, and None is returned.
+    """
+
+    def write(folder: str) -> bool:
         options = {"header": True, "escape": '"'} | {
             f"ignore{side}WhiteSpace": False for side in ("Leading", "Trailing")
         }
-        rejects.write.options(**options).partitionBy("source_table").csv(folder)
+        seen = Observation()
+        counted = rejects.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.options(**options).partitionBy("source_table").csv(folder)
+        return seen.get["rows"] > 0
 
     return publish_files(rejects.sparkSession, root, write)
 

@@ -158,14 +158,20 @@ def uses(spark: SparkSession, root: str, version: str) -> set[str]:
     return set(_read(spark, path).split()) if fs.exists(p) else set()
 
 
-def publish_files(spark: SparkSession, root: str, write: Callable[[str], None]) -> str:
+def publish_files(
+    spark: SparkSession, root: str, write: Callable[[str], object]
+) -> str | None:
     """Runs ``write`` on a new folder and switches to it; returns the folder.
 
-    Readers of the folder before it are not disturbed, and keep it if ``write`` fails.
+    If ``write`` returns False, there is nothing to publish: the folder goes again, and None
+    is returned. Readers of the folder before it are not disturbed, and keep it if ``write``
+    fails.
     """
     version = uuid.uuid4().hex
     folder = f"{root}/v={version}"
-    write(folder)
+    if write(folder) is False:
+        remove(spark, folder)
+        return None
     switch(spark, root, version)
     return folder
 

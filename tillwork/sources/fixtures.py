@@ -232,6 +232,21 @@ def payments_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def broken_parents_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """An order feed some of whose customer and product ids are no whole numbers."""
+    raw = orders_raw(spark, folder)
+    key = F.col(POSITION)
+    return raw.withColumns(
+        {
+            "customer_id": F.when(key % 10 == 1, "")
+            .when(key % 10 == 2, F.concat(F.lit("c"), "customer_id"))
+            .when(key % 10 == 3, F.concat("customer_id", F.lit(".5")))
+            .otherwise(F.concat(F.lit(" "), "customer_id")),
+            "product_id": F.when(key % 15 == 1, "none").otherwise(F.col("product_id")),
+        }
+    )
+
+
 def _twice(df: DataFrame, key: str) -> DataFrame:
     """Rows at fixed remainders of the key come twice, with ``_copy`` 0 and 1."""
     copies = F.when(F.col(key) % 50 == 21, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
