@@ -79,3 +79,12 @@ def test_minimizers_are_picked_alike_in_equal_runs(prose):
         here = {p - 13 for p in minimizers(a, 10).tolist()} & set(range(at, at + 10))
         there = set(minimizers(b, 10).tolist()) & set(range(at, at + 10))
         assert here & there
+
+
+def test_many_rows_of_one_id(documents, prose):
+    """Copies of one row, and many texts under one id that share passages with others."""
+    shared = prose(60)
+    rows = [(5, shared)] * 2_000 + [(3, f"{prose(4)} {shared}")]
+    rows += [(7, f"{prose(3)} {shared} {prose(i % 9)}") for i in range(300)]
+    rows += [(8, f"{' '.join(shared.split()[:52])}  {prose(2)}"), (8, shared.replace(" ", "  "))]
+    check(documents, rows)

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from llm_fixtures import documents, edges, prose, table, tuples  # noqa: F401
 
-from tillwork.llm.toxicity import Terms, learn, toxicity, without_toxic
+from tillwork.llm.toxicity import Terms, fit, learn, toxicity, without_toxic
 
 SCHEMA = "doc_id long, quality int, toxic int"
 SF = "/root/testdata/sf0.1"
@@ -91,3 +91,22 @@ def test_without_labels(documents, table, prose):
     one_class = [(n, 1, 0) for n in range(9)]
     assert [r[3] for r in tuples(toxicity(docs, table(one_class, SCHEMA)))] == [0, 0]
     assert tuples(toxicity(documents([]), table(one_class, SCHEMA))) == []
+
+
+def test_a_labelled_id_with_many_rows_is_one_example(spark, documents, monkeypatch):
+    """Whatever an id's rows, the task that learns gets one of them."""
+    from tillwork.llm import toxicity as module
+
+    seen = []
+    real = module._trained
+
+    def spy(rows, terms):
+        seen.append(rows.count())
+        return real(rows, terms)
+
+    monkeypatch.setattr(module, "_trained", spy)
+    rows = [(i, f"w{i % 7} {'bad' if i % 2 else 'good'} x{i}") for i in range(200)]
+    rows += [(3, f"bad w{i}") for i in range(5_000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    fit(documents(rows), labels, sample=50)
+    assert seen and seen[0] <= 130

@@ -42,6 +42,7 @@ def _anchored(docs: DataFrame, half: int, window: int) -> DataFrame:
                 picked.append(signed(np.unique(halves[at])))
             return {
                 "doc_id": rows["doc_id"],
+                "x": rows["x"],
                 "k1": [k[0] for k in keys],
                 "k2": [k[1] for k in keys],
                 "n_words": counts,
@@ -50,7 +51,7 @@ def _anchored(docs: DataFrame, half: int, window: int) -> DataFrame:
 
         return convert
 
-    schema = "doc_id long, k1 long, k2 long, n_words long, picked array<long>"
+    schema = "doc_id long, x long, k1 long, k2 long, n_words long, picked array<long>"
     return map_batches(docs, schema, make)
 
 
@@ -150,17 +151,20 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
         raise ValueError("a window has two words or more")
     half = window // 2
     work = Workspace(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    # A text is found again by its id and hash: an id may have many.
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("x")
+    )
     named = docs.filter(F.col("doc_id").isNotNull())
 
     rows = work.put(_anchored(named, half, window).filter(F.col("n_words") >= window))
     # Copies of one word sequence are looked at once, under the smallest id.
     texts = work.put(
         rows.groupBy("k1", "k2").agg(
-            F.min("doc_id").alias("doc_id"), F.first("picked").alias("picked")
-        )
+            F.min(F.struct("doc_id", "x")).alias("of"), F.first("picked").alias("picked")
+        ).select("k1", "k2", "of.doc_id", "of.x", "picked")
     )
-    halves = texts.select("doc_id", "k1", "k2", F.explode("picked").alias("half"))
+    halves = texts.select("doc_id", "x", "k1", "k2", F.explode("picked").alias("half"))
     shared = (
         halves.groupBy("half", spread("half"))
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
@@ -169,18 +173,16 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     )
     extended = (
         halves.join(shared, "half")
-        .groupBy("doc_id", "k1", "k2")
+        .groupBy("doc_id", "x", "k1", "k2")
         .agg(F.collect_list("half").alias("repeated"))
     )
-    windows = work.put(
-        _windows(
-            work.put(
-                named.join(extended, "doc_id").select("doc_id", "k1", "k2", "text", "repeated")
-            ),
-            half,
-            window,
-        )
+    # Rows that repeat both id and text are read once.
+    once = named.groupBy("doc_id", "x").agg(F.first("text").alias("text"))
+    found = work.put(
+        once.join(work.put(extended), ["doc_id", "x"]).select("doc_id", "k1", "k2", "text", "repeated")
     )
+    windows = work.put(_windows(found, half, window))
+    work.drop(found)
     first = (
         windows.groupBy("h1", "h2", spread("h1", "h2"))
         .agg(F.min("doc_id").alias("least"))
@@ -205,13 +207,15 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
             F.lit(None).cast("array<array<int>>").alias("starts"),
         )
     )
+    same = rows.select("doc_id", "x", "k1", "k2").distinct()
     marks = (
         repeated.unionByName(copies)
-        .groupBy("doc_id")
+        .join(same, ["doc_id", "k1", "k2"])
+        .groupBy("doc_id", "x")
         .agg(F.collect_list(F.struct("k1", "k2", "starts")).alias("marks"))
     )
-    marked = named.join(work.put(marks), "doc_id", "left")
+    marked = named.join(work.put(marks), ["doc_id", "x"], "left")
     unnamed = docs.filter(F.col("doc_id").isNull()).withColumn(
         "marks", F.lit(None).cast(marks.schema["marks"].dataType)
     )
-    return _cut(marked.unionByName(unnamed), window)
+    return _cut(marked.unionByName(unnamed).select("doc_id", "text", "marks"), window)

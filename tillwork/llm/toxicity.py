@@ -149,9 +149,10 @@ def _term_rows(docs: DataFrame, known: np.ndarray | None = None) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learns from about ``sample`` labelled rows of each class, or from all if fewer.
+    """Learns from about ``sample`` labelled ids of each class, or from all if fewer.
 
-    Rows are chosen by a hash of their id, so the model depends on the rows alone. Held-out
+    Ids are chosen by their hash, and of an id with several texts the one of least hash, so the
+    model depends on the rows alone. Held-out
     ids, null ids and null labels are not learned from; an id with several labels is toxic
     if one says so.
     """
@@ -171,9 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # Bounded by ``sample``, so small enough for every task.
     chosen = work.put(given.filter(draw < share))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    rows = work.put(
-        _term_rows(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("of")))
-    )
+    # One text of each id, so that the sample is bounded by rows, too.
+    first = F.min(F.struct(F.xxhash64("text").alias("place"), "text", "toxic")).alias("row")
+    examples = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).groupBy("of")
+    rows = work.put(_term_rows(examples.agg(first).select("row.text", "row.toxic")))
     n1, n0 = (rows.filter(F.col("toxic") == c).count() for c in (1, 0))
     with_term = F.col("with1") + F.col("with0")
 
