@@ -177,7 +177,8 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
         .agg(F.collect_list("half").alias("repeated"))
     )
     # Rows that repeat both id and text are read once.
-    once = named.groupBy("doc_id", "x").agg(F.first("text").alias("text"))
+    again = not rows.groupBy("doc_id", "x").count().filter("count > 1").isEmpty()
+    once = named.groupBy("doc_id", "x").agg(F.first("text").alias("text")) if again else named
     found = work.put(
         once.join(work.put(extended), ["doc_id", "x"]).select("doc_id", "k1", "k2", "text", "repeated")
     )

@@ -25,7 +25,7 @@ from tillwork.operators.hot import spread
 # Suffixes of one gram that are sorted at once; more are dealt to several runs.
 RUN = 50_000
 # Suffixes for which a task sorts several runs together.
-_CHUNK = 25_000
+_CHUNK = 8_000
 # Text that a task works on at once.
 _BYTES = 8 * 2**20
 # A random number for each byte, so that hashes of like strings are unlike.
@@ -156,13 +156,19 @@ class Strings:
         rolling = Rolling(303)
         self.sums = rolling.sums(_CODES[self.raw])
         self.inverses = rolling.inverses
+        padded = np.r_[self.raw, np.zeros(8, np.uint8)]
+        windows = np.lib.stride_tricks.sliding_window_view(padded, 8)
+        # The eight bytes from each place on, as a number that orders like them.
+        self.heads = windows.reshape(-1).view(">u8").astype(np.uint64)
 
     def _hash(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         return (self.sums[at + size] - self.sums[at]) * self.inverses[at]
 
     def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """The length of the common extension from ``a`` and ``b``, up to ``most``."""
-        low, high = np.zeros(len(a), np.int64), most.astype(np.int64)
+        whole = self._hash(a, most) == self._hash(b, most)
+        low = np.where(whole, most, 0).astype(np.int64)
+        high = np.where(whole, most, most - 1).astype(np.int64)
         while True:
             open_ = np.flatnonzero(low < high)
             if not len(open_):
@@ -174,14 +180,24 @@ class Strings:
             high[open_[~same]] = middle[~same] - 1
 
     def less(self, a, a_end, b, b_end, or_equal: np.ndarray) -> np.ndarray:
-        """Whether the string from ``a`` to ``a_end`` comes before that of ``b``."""
-        n, m = a_end - a, b_end - b
+        """Whether the string from ``a`` to ``a_end`` comes before that of ``b``.
+
+        Eight bytes settle most; the common extension of the others is searched for.
+        """
+        x, y = self.heads[a], self.heads[b]
+        out = x < y
+        rest = np.flatnonzero((x == y) | (a_end - a < 8) | (b_end - b < 8))
+        if not len(rest):
+            return out
+        a, b, or_equal = a[rest], b[rest], or_equal[rest]
+        n, m = a_end[rest] - a, b_end[rest] - b
         most = np.minimum(n, m)
         k = self.common(a, b, most)
         inside = k < most
         x = self.raw[np.where(inside, a + k, 0)]
         y = self.raw[np.where(inside, b + k, 0)]
-        return np.where(inside, x < y, (n < m) | ((n == m) & or_equal))
+        out[rest] = np.where(inside, x < y, (n < m) | ((n == m) & or_equal))
+        return out
 
     def words(self, at: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The strings as rows of big-endian words, zeros behind, for an exact comparison."""
@@ -253,7 +269,7 @@ def _neighbours(strings: Strings, at, end, group, order) -> np.ndarray:
     return out
 
 
-def _repeats(rows: dict[str, list], length: int) -> Iterator[tuple[int, int, int, bool]]:
+def _repeats(rows: dict[str, list], length: int, gram: int) -> Iterator[tuple[int, int, int, bool]]:
     """The strings of each context that another of its run holds for a smaller document.
 
     Yields the context, the first and one past the last byte they cover. For runs that are a
@@ -264,9 +280,10 @@ def _repeats(rows: dict[str, list], length: int) -> Iterator[tuple[int, int, int
     off, doc = np.array(rows["off"], np.int64), np.array(rows["doc_id"], np.int64)
     keys = np.array([rows["gram"], rows["part"]], np.int64)
     run = np.cumsum(np.r_[False, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-    anchors = starts + off
-    order = strings.sort(anchors, ends, run)
-    reach = _neighbours(strings, anchors, ends, run, order)
+    # All suffixes of a run begin with its gram, so they are compared behind it.
+    behind = starts + off + gram
+    order = strings.sort(behind, ends, run)
+    reach = gram + _neighbours(strings, behind, ends, run, order)
     # A string that starts s bytes into its context goes on for length - (off - s) behind the
     # anchor, where it must agree with a neighbour.
     count = np.clip(np.minimum(ends - starts - length + 1, off + reach - length + 1), 0, None)
@@ -304,23 +321,26 @@ _SORTED = {"no": pa.int64(), "places": pa.list_(pa.int32()), "low": pa.int32(),
            "doc_id": pa.int64(), "string": pa.binary()}
 
 
-def _sorter(length: int, chunk: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sorter(length: int, gram: int, chunk: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """From contexts in order of gram and part to what goes of them, whole runs at a time."""
     schema = pa.schema(list(_SORTED.items()))
 
     def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
-        rows = {n: table.column(n).to_pylist() for n in table.column_names}
-        out = {n: [] for n in _SORTED}
-        for i, low, high in _repeats(rows, length):
-            pending = high < 0
-            out["no"].append(rows["no"][i])
-            out["places"].append(rows["places"][i])
-            out["low"].append(low)
-            out["high"].append(low + length if pending else high)
-            out["doc_id"].append(rows["doc_id"][i])
-            out["string"].append(rows["context"][i][low : low + length] if pending else None)
-        return pa.RecordBatch.from_pydict(out, schema)
+        table = pa.Table.from_batches(held).combine_chunks()
+        names = ("gram", "part", "parts", "doc_id", "off", "context")
+        rows = {n: table.column(n).to_pylist() for n in names}
+        spans = list(_repeats(rows, length, gram))
+        at, low, high = (np.array([s[k] for s in spans], np.int64) for k in range(3))
+        pending = high < 0
+        strings = [
+            rows["context"][i][start : start + length] if end < 0 else None
+            for i, start, end in spans
+        ]
+        of = table.take(pa.array(at))
+        columns = [of.column(n).combine_chunks() for n in ("no", "places")]
+        columns += [pa.array(v, pa.int32()) for v in (low, np.where(pending, low + length, high))]
+        columns += [of.column("doc_id").combine_chunks(), pa.array(strings, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -404,6 +424,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
     named = docs.filter("doc_id IS NOT NULL")
 
     rows = work.put(_anchored(named.filter(F.length("raw") >= length), length, gram))
+    again = not rows.groupBy("doc_id", "x").count().filter("count > 1").isEmpty()
     # Copies of one text are looked at once, under the smallest id.
     texts = rows.groupBy("k1", "k2").agg(
         F.min("doc_id").alias("doc_id"), F.first("x").alias("x"), F.first("grams").alias("grams")
@@ -429,7 +450,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
     wanted = work.put(keys.join(repeated.agg(F.collect_list("gram").alias("repeated")), "no"))
     work.drop(texts, shared)
     # Rows that repeat both id and text are read once.
-    once = named.groupBy("doc_id", "x").agg(F.first("raw").alias("raw"))
+    once = named.groupBy("doc_id", "x").agg(F.first("raw").alias("raw")) if again else named
     contexts = work.put(_contexts(once.join(wanted, ["doc_id", "x"]), length, gram))
     work.drop(wanted)
 
@@ -460,7 +481,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
     ordered = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part")
     found = work.put(
         ordered.select("gram", "part", "parts", "no", "doc_id", "off", "context", "places").mapInArrow(
-            _sorter(length, _CHUNK),
+            _sorter(length, gram, _CHUNK),
             "no long, places array<int>, low int, high int, doc_id long, string binary",
         )
     )
