@@ -13,7 +13,7 @@ WRITING = {
     for name in QUERIES
     if name.startswith(("src_", "sink_", "daily_sales_"))
     or name.endswith("_load")
-    or name in ("n03_load_verification", "star_refused_loads", "v05_daily_sales_of_a_quarter")
+    or name in ("n03_load_verification", "star_refused_loads", "views_stored", "v05_daily_sales_of_a_quarter")
 }
 
 

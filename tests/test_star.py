@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import tuples
 from tillwork.model import RAW_CUSTOMERS, RAW_ORDERS, RAW_PAYMENTS, RAW_PRODUCTS
-from tillwork.plans import generate, metrics, publish, sinks, star, versions
+from tillwork.plans import generate, metrics, publish, sinks, star, versions, views
 from tillwork.plans.constraints import ConstraintError
 from tillwork.sources.feeds import read_feed, with_file_ids
 
@@ -561,3 +561,49 @@ def test_a_dead_letter_is_published_only_if_there_is_one(spark, tmp_path):
     first = sinks.write_dead_letter(rejects, root)
     assert sinks.write_dead_letter(rejects.filter("false"), root) is None
     assert versions.current_folder(spark, root) == first
+
+
+def test_stored_views_show_one_version_whole(spark, tables, tmp_path):
+    root, daily = f"{tmp_path}/w", f"{tmp_path}/d"
+    customers, products, orders = tables
+    first = publish.load_star(spark, root, *tables)
+    old = publish.read_star(spark, root)
+    publish.refresh_daily_sales(spark, daily, old)
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    assert views.store_views(spark, root, database="shop", as_of=TODAY) == first
+    views.store_daily_sales_view(spark, daily, database="shop")
+
+    def shown():
+        names = ["monthly_revenue", "category_performance", "customer_summary", "repeat_customers"]
+        return [tuples(spark.table(f"shop.vw_{n}")) for n in names]
+
+    def metrics_of(star_):
+        return [
+            tuples(metrics.monthly_revenue(star_)),
+            tuples(metrics.category_performance(star_)),
+            tuples(metrics.customer_summary(star_, TODAY)),
+            tuples(metrics.repeat_customers(star_)),
+        ]
+
+    want = metrics_of(old)
+    schemas = [metrics.monthly_revenue(old), metrics.category_performance(old),
+               metrics.customer_summary(old, TODAY), metrics.repeat_customers(old)]
+    for name, df in zip(("monthly_revenue", "category_performance", "customer_summary", "repeat_customers"), schemas):
+        assert spark.table(f"shop.vw_{name}").dtypes == df.dtypes
+    assert shown() == want
+    for _ in range(2):
+        second = publish.load_star(spark, root, customers, products, orders.filter("order_id % 2 = 0"))
+    # Other versions are published and old ones removed: the views show what they showed.
+    versions.remove_old(spark, root, keep=1, older_than=-1)
+    assert shown() == want
+    assert views.view_version(spark, "shop.vw_repeat_customers") == first
+    assert tuples(spark.table("shop.mvw_daily_sales")) == tuples(metrics.daily_sales(old))
+    # Another session with the same catalogue sees them, too.
+    other = spark.newSession()
+    assert tuples(other.table("shop.vw_monthly_revenue")) == want[0]
+    views.store_views(spark, root, database="shop", as_of=TODAY)
+    assert views.view_version(spark, "shop.vw_monthly_revenue") == second
+    assert shown() == metrics_of(publish.read_star(spark, root)) != want
+    versions.remove_old(spark, root, keep=1, older_than=-1)
+    assert not (tmp_path / "w" / f"v={first}").exists()
+    spark.sql("DROP DATABASE shop CASCADE")

@@ -25,6 +25,8 @@ from tillwork.plans import (
     sales,
     sinks,
     star,
+    versions,
+    views,
 )
 from tillwork.session import shared_folder
 from tillwork.sources import feeds
@@ -487,6 +489,25 @@ def _views_in_sql(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _stored_views(spark: SparkSession, d: str) -> DataFrame:
+    """The same of stored views, after another version was published and old ones removed."""
+    root = _loaded(spark, d)
+    views.store_views(spark, root, as_of=AS_OF)
+    few = fx.single_product_orders(spark, d).filter("order_id % 3 = 1")
+    for _ in range(2):
+        publish.load_star(spark, root, fx.customers(spark, d), fx.products(spark, d), few)
+    versions.remove_old(spark, root, keep=1, older_than=-1)
+    return spark.sql(
+        """
+        SELECT s.city, count(*) AS customers, sum(s.order_count) AS orders,
+               count(r.customer_id) AS repeaters, max(s.days_since_last_order) AS longest_pause
+        FROM default.vw_customer_summary s
+        LEFT JOIN default.vw_repeat_customers r USING (customer_id)
+        GROUP BY s.city
+        """
+    )
+
+
 def _ids(df: DataFrame, name: str) -> DataFrame:
     return df.select(F.col(name).alias("id"))
 
@@ -582,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "chart_category": lambda s, d: metrics.chart_series(fixture_star(s, d))["category_revenue"],
     "chart_top10": lambda s, d: metrics.chart_series(fixture_star(s, d))["top_customers"],
     "views_in_sql": _views_in_sql,
+    "views_stored": _stored_views,
     "daily_sales_stored": _stored_daily_sales,
     "daily_sales_incremental": _incremental_daily_sales,
     "daily_sales_changed_months": _daily_sales_of_changed_months,

@@ -158,6 +158,20 @@ def uses(spark: SparkSession, root: str, version: str) -> set[str]:
     return set(_read(spark, path).split()) if fs.exists(p) else set()
 
 
+def pin(spark: SparkSession, root: str, name: str, version: str) -> None:
+    """Keeps a version until another one is pinned under the same name."""
+    fs, p = _path(spark, f"{root}/_pinned/{name}")
+    stream = fs.create(p, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+
+
+def pinned(spark: SparkSession, root: str) -> set[str]:
+    fs, p = _path(spark, f"{root}/_pinned")
+    files = [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return {_read(spark, path) for path in files}
+
+
 def publish_files(
     spark: SparkSession, root: str, write: Callable[[str], object]
 ) -> str | None:
@@ -199,8 +213,8 @@ def _last_change(spark: SparkSession, path: str) -> int:
 def remove_old(spark: SparkSession, root: str, keep: int = 2, older_than: float = 86_400) -> int:
     """Deletes all versions but the last ``keep`` and those changed in ``older_than`` seconds.
 
-    What readers see always stays, and so do versions that a kept one reads; switches that
-    name no version do not count as kept ones.
+    What readers see always stays, and so do pinned versions and those that a kept one reads;
+    switches that name no version do not count as kept ones.
     A version counts as changed when any of its files was, so a load that writes for long is
     left alone. What failed loads left behind goes too. Returns the number of versions
     deleted.
@@ -210,6 +224,7 @@ def remove_old(spark: SparkSession, root: str, keep: int = 2, older_than: float
     limit = (time.time() - older_than) * 1000
     filled = _filled(spark, root)
     kept = {version for _, _, version in filled[:keep]}
+    kept |= pinned(spark, root)
     kept |= {other for version in kept for other in uses(spark, root, version)}
     numbers = {n for n, _, _ in filled[:keep]}
     fs, p = _path(spark, root)
