@@ -77,7 +77,8 @@ def cut(df: DataFrame, key: str, wanted: Callable[[int], int]) -> Cut:
     blocks = min(max(wanted(n), 1), MOST_BLOCKS)
     ids = F.col(key).cast("bigint")
     if blocks == 1:
-        return Cut(F.lit(0).cast("bigint"), 1, n)
+        # By sign: a constant would leave the joins over blocks without a key.
+        return Cut(F.shiftright(ids, 63), 1, n)
     bits = _pieces(low, high, CELLS if n > 2**BLOCK_BITS else blocks)
     cell = F.shiftright(ids, bits) - F.lit(low >> bits)
     if n <= 2**BLOCK_BITS:

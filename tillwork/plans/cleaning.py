@@ -25,6 +25,7 @@ from tillwork.model import (
     TEXT_LIMITS,
 )
 from tillwork.operators.hot import spread
+from tillwork.operators.members import mark_members
 from tillwork.sources.feeds import POSITION, positioned
 
 # Rows without a usable key take no part in the search for duplicates. They get one
@@ -201,12 +202,6 @@ def annotate_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def _known(parents: DataFrame, key: str, name: str) -> DataFrame:
-    """The ids of ``parents``, each once."""
-    ids = parents.select(F.col(key).alias(name))
-    return ids.withColumn("_spread", spread(name)).distinct().drop("_spread")
-
-
 def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Rejecting a parent rejects its orders: ``customers`` and ``products`` are accepted rows.
 
@@ -235,11 +230,8 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
     bad_status = ~F.col("typed.status").isin(*STATUSES)
     bad_date = F.col("typed.order_date").isNull()
     good = ~_any([bad_quantity, bad_status, bad_date])
-    buyers = _known(customers, "customer_id", "_customer")
-    items = _known(products, "product_id", "_product")
-    known = parsed.join(buyers.withColumn("_buyer", F.lit(True)), "_customer", "left").join(
-        items.withColumn("_item", F.lit(True)), "_product", "left"
-    )
+    known = mark_members(parsed, "_customer", customers, "customer_id", "_buyer")
+    known = mark_members(known, "_product", products, "product_id", "_item")
     # Joined last: the joins with the parents, which may be uneven, read the feed itself.
     id_text = F.col("typed.order_id").cast("string")
     known = _mark_later(known, _firsts(parsed, id_text, good), id_text, "_again")
@@ -294,8 +286,7 @@ def annotate_payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
     no_method = F.col("typed.method") == ""
     long = _too_long("payments")
     good = ~_any([cents.isNull(), cents <= 0, bad_date, no_method, *long.values()])
-    paid = _known(orders, "order_id", "_order").withColumn("_found", F.lit(True))
-    known = parsed.join(paid, "_order", "left")
+    known = mark_members(parsed, "_order", orders, "order_id", "_found")
     id_text = F.col("typed.payment_id").cast("string")
     known = _mark_later(known, _firsts(parsed, id_text, good), id_text, "_again")
     return known.select(
