@@ -439,14 +439,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         .select("doc_id", "x", "k1", "k2")
     )
     work.drop(rows)
-    grams = texts.select("no", "doc_id", F.explode("grams").alias("gram"))
+    grams = texts.select("no", F.explode("grams").alias("gram"))
     shared = work.put(
-        grams.groupBy("gram", spread("gram"))
-        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .filter("least < most")
+        grams.groupBy("gram")
+        .agg(F.count(F.lit(1)).alias("texts"))
+        .filter("texts > 1")
         .select("gram")
     )
-    repeated = grams.drop("doc_id").join(shared, "gram").groupBy("no")
+    repeated = grams.join(shared, "gram").groupBy("no")
     wanted = work.put(keys.join(repeated.agg(F.collect_list("gram").alias("repeated")), "no"))
     work.drop(texts, shared)
     # Rows that repeat both id and text are read once.
@@ -456,23 +456,21 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
 
     # Of equal contexts those in later documents go as a whole; the others are sorted.
     alike = ["c1", "c2"]
-    firsts = work.put(
-        contexts.groupBy(*alike, spread(*alike)).agg(F.min("doc_id").alias("least")).drop("_spread")
-    )
-    later = work.put(
-        contexts.select("no", "doc_id", *alike, "places", F.length("context").alias("high"))
-        .join(firsts, alike)
-        .filter("least < doc_id")
-        .select("no", "places", F.lit(0).alias("low"), "high")
-    )
-    own = work.put(
-        contexts.join(firsts, alike)
-        .filter("least = doc_id")
-        .select("gram", "c2", "no", "doc_id", "off", "context", "places")
+    firsts = work.put(contexts.groupBy(*alike).agg(F.min("doc_id").alias("least")))
+    late = F.col("least") < F.col("doc_id")
+    judged = work.put(
+        contexts.join(firsts, alike).select(
+            *["gram", "c2", "no", "doc_id", "off", "places"],
+            late.alias("late"),
+            F.length("context").alias("size"),
+            F.when(~late, F.col("context")).alias("context"),
+        )
     )
     work.drop(contexts, firsts)
+    later = judged.filter("late").select("no", "places", F.lit(0).alias("low"), F.col("size").alias("high"))
+    own = judged.filter("NOT late")
     several = work.put(
-        own.groupBy("gram", spread("gram"))
+        own.groupBy("gram")
         .agg(F.min("c2").alias("a"), F.max("c2").alias("z"), F.count(F.lit(1)).alias("n"))
         .filter("a <> z")
         .select("gram", F.ceil(F.col("n") / RUN).cast("long").alias("parts"))
@@ -485,7 +483,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
             "no long, places array<int>, low int, high int, doc_id long, string binary",
         )
     )
-    work.drop(own)
+    work.drop(several)
     # The parts of a gram are merged: which string stands in an earlier document elsewhere.
     pending = found.filter("string IS NOT NULL")
     merged = pending.groupBy("string", spread("string")).agg(F.min("doc_id").alias("least"))
@@ -506,7 +504,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         .groupBy("doc_id", "x")
         .agg(F.collect_list(F.struct("k1", "k2", "spans")).alias("marks"))
     )
-    work.drop(later, found)
+    work.drop(judged, found)
     marked = named.join(marks, ["doc_id", "x"], "left")
     unnamed = docs.filter("doc_id IS NULL").withColumn(
         "marks", F.lit(None).cast(marks.schema["marks"].dataType)
