@@ -113,7 +113,7 @@ def mine(
 
 
 def _mined_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The distinct token lists that some mined rule fits.
+    """The distinct token lists that some mined rule fits, with ``hit``.
 
     The rules are an inverted index under one token each, the one that the fewest URLs
     have, so a very common token is looked up only for rules made of such tokens.
@@ -129,7 +129,9 @@ def _mined_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
         .select(F.col("tokens").alias("rule"), F.col("by.token").alias("token"))
     )
     fits = F.size(F.array_intersect("rule", "tokens")) == F.size("rule")
-    return shown.join(index, "token").filter(fits).select("tokens").distinct()
+    found = shown.join(index, "token").filter(fits)
+    # Shuffled once more, so that a join can split the rows of a list that very many URLs have.
+    return found.groupBy("tokens", spread("tokens")).agg(F.lit(True).alias("hit")).drop("_spread")
 
 
 def judge(urls: DataFrame, mined: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -156,8 +158,7 @@ def judge(urls: DataFrame, mined: DataFrame, rules: tuple[Rule, ...] = RULES) ->
         fits = within & F.startswith("path", F.lit(rule.path))
         name = F.when(fits, rule.name).otherwise(name)
         verdict = F.when(fits, rule.verdict).otherwise(verdict)
-    hits = _mined_hits(rows, mined).select("tokens", F.lit(True).alias("hit"))
-    return rows.join(hits, "tokens", "left").select(
+    return rows.join(_mined_hits(rows, mined), "tokens", "left").select(
         "page_id",
         "host",
         "path",
