@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from tillwork.llm import graph
 from tillwork.llm.graph import components
 from tillwork.llm.near_dups import SMALL_BUCKET, near_duplicates, one_of_each
 from tillwork.llm.words import words
@@ -96,7 +97,9 @@ def test_one_of_each_group_stays(documents, prose):
     assert ids == Counter([None, None, 1, 2, 3, 4, 5, 6, 8, 9, 20])
 
 
-def test_components(spark, prose):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components(spark, prose, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW", few)
     draw = prose.draw
     links = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(170)]
     links += [(n, n + 1) for n in range(400, 520)] + [(600, n) for n in range(601, 700)] + [(7, 7)]

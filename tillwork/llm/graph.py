@@ -35,6 +35,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least).select("u", F.col("least").alias("v")).distinct()
 
 
+# Links that one task handles at once; a task for each partition of so few costs more.
+FEW = 100_000
+
+
 def _put(edges: DataFrame, work: Workspace) -> tuple[DataFrame, dict]:
     """The stored links, and what tells them from others."""
     return work.put_observed(
@@ -47,12 +51,14 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
 
     The least node of a component is left out, as are nodes without links. Links of a
     node with itself are ignored. The steps alternate until neither changes a link; the
-    number of rounds grows with the logarithm of the number of nodes.
+    number of rounds grows with the logarithm of the number of nodes. Up to ``FEW`` links stay
+    in one partition, so that a step takes one task and no shuffle.
     """
     edges, state = _put(edges.select("u", "v").filter("u <> v").distinct(), work)
     while state["n"]:
         old, before = edges, state
-        edges, state = _put(_small_star(_large_star(edges)), work)
+        few = edges.coalesce(1) if state["n"] <= FEW else edges
+        edges, state = _put(_small_star(_large_star(few)), work)
         work.drop(old)
         if state == before:
             break

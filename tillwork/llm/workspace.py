@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,7 +28,7 @@ class Workspace:
         self.spark = spark
         self.folder = shared_folder(spark)
         self.tables = 0
-        self.paths: list[tuple[DataFrame, str]] = []
+        self.paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
     def put_observed(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
         """A table, and measures of its rows that are taken while it is written."""
@@ -48,14 +49,13 @@ class Workspace:
             else:
                 self.spark.conf.set(_CLEAN_UP, before)
         stored = self.spark.read.schema(df.schema).parquet(path)
-        self.paths.append((stored, path))
+        self.paths[stored] = path
         return stored
 
     def drop(self, *stored: DataFrame) -> None:
         """Deletes tables that nothing to come reads."""
-        for table, path in self.paths:
-            if any(table is s for s in stored):
-                remove(self.spark, path)
+        for table in stored:
+            remove(self.spark, self.paths[table])
 
 
 def map_batches(
