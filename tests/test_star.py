@@ -292,6 +292,32 @@ def test_analytics_files(spark, tables, shop_star, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def _counted(spark, fact):
+    """The fact with a status that counts how often a row is built."""
+    built = spark.sparkContext.accumulator(0)
+
+    def same(status):
+        built.add(1)
+        return status
+
+    return fact.withColumn("status", F.udf(same, "string")("status")), built
+
+
+def test_analytics_files_build_the_fact_once(spark, shop_star, tmp_path):
+    fact, built = _counted(spark, shop_star.fact_orders)
+    sinks.write_analytics(replace(shop_star, fact_orders=fact), str(tmp_path / "a"))
+    assert built.value == 500
+
+
+def test_a_load_builds_the_orders_once(spark, tables, tmp_path):
+    orders, built = _counted(spark, tables[2])
+    days = orders.withColumn("order_date", F.when(F.col("status").isNotNull(), F.col("order_date")))
+    publish.load_star(spark, str(tmp_path), *tables[:2], days)
+    stored = publish.read_star(spark, str(tmp_path)).dim_date
+    assert sorted(tuples(stored)) == sorted(tuples(star.dim_date(tables[2])))
+    assert built.value == 500
+
+
 def test_two_writers_and_a_reader_across_a_switch(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
 

@@ -6,13 +6,16 @@ with ``versions.current_folder``.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillwork.model import Star
+from tillwork.model import COMPLETED, Star
 from tillwork.plans import metrics
 from tillwork.plans.star import IntegrityError
-from tillwork.plans.versions import publish_files
+from tillwork.plans.versions import publish_files, remove
+from tillwork.session import shared_folder, staged
 
 
 def _sections(sections: dict[str, DataFrame], folder: str, fmt: str) -> None:
@@ -55,15 +58,37 @@ def write_kpis(kpis: DataFrame, root: str) -> str:
 def write_analytics(star: Star, root: str) -> str:
     """The KPI row as JSON and the chart series as CSV, published together; stops if there
     is nothing to show."""
-    kpis = metrics.kpi_summary(star)
-    row = kpis.first()
-    if not row["total_orders"]:
-        raise IntegrityError("the star has no completed orders")
-    spark = kpis.sparkSession
-
-    def write(folder: str) -> None:
-        one = spark.createDataFrame([row], kpis.schema).coalesce(1)
-        one.write.json(f"{folder}/summary_stats")
-        _sections(metrics.chart_series(star), f"{folder}/charts", "csv")
-
-    return publish_files(spark, root, write)
+    spark = star.fact_orders.sparkSession
+    work = shared_folder(spark)
+    try:
+        sold = _sold(star, work)
+        kpis = metrics.kpi_summary(sold)
+        row = kpis.first()
+        if not row["total_orders"]:
+            raise IntegrityError("the star has no completed orders")
+
+        def write(folder: str) -> None:
+            one = spark.createDataFrame([row], kpis.schema).coalesce(1)
+            one.write.json(f"{folder}/summary_stats")
+            _sections(metrics.chart_series(sold), f"{folder}/charts", "csv")
+
+        return publish_files(spark, root, write)
+    finally:
+        remove(spark, work)
+
+
+def _sold(star: Star, folder: str) -> Star:
+    """The star with what the metrics read of its fact, and its days, written below ``folder``.
+
+    A star that is not stored is made of joins over all orders, which each metric would do
+    again.
+    """
+    read = ["customer_key", "product_key", "date_key", "month_key"]
+    read += ["quantity", "unit_price", "total_amount", "status"]
+    fact = star.fact_orders.filter(F.col("status") == COMPLETED)
+    fact = fact.select(*[c for c in read if c in fact.columns])
+    return replace(
+        star,
+        fact_orders=staged(fact, f"{folder}/fact_orders"),
+        dim_date=staged(star.dim_date, f"{folder}/dim_date"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution does three jobs for this library: it splits skewed join
 # partitions, merges small shuffle partitions, and turns a join into a broadcast
@@ -66,3 +66,10 @@ def shared_folder(spark: SparkSession, base: str | None = None) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse')}/_staging"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read from there, so that the work behind it is done once
+    however many passes follow."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
