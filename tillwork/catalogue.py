@@ -28,7 +28,7 @@ from tillwork.plans import (
     versions,
     views,
 )
-from tillwork.session import shared_folder
+from tillwork.session import shared_folder, staged
 from tillwork.sources import feeds
 from tillwork.sources import fixtures as fx
 
@@ -491,11 +491,14 @@ def _views_in_sql(spark: SparkSession, d: str) -> DataFrame:
 
 def _stored_views(spark: SparkSession, d: str) -> DataFrame:
     """The same of stored views, after another version was published and old ones removed."""
-    root = _loaded(spark, d)
+    root = shared_folder(spark)
+    customers, products = fx.customers(spark, d), fx.products(spark, d)
+    orders = staged(fx.single_product_orders(spark, d), f"{shared_folder(spark)}/orders")
+    publish.load_star(spark, root, customers, products, orders)
     views.store_views(spark, root, as_of=AS_OF)
-    few = fx.single_product_orders(spark, d).filter("order_id % 3 = 1")
+    few = orders.filter("order_id % 3 = 1")
     for _ in range(2):
-        publish.load_star(spark, root, fx.customers(spark, d), fx.products(spark, d), few)
+        publish.load_star(spark, root, customers, products, few)
     versions.remove_old(spark, root, keep=1, older_than=-1)
     return spark.sql(
         """

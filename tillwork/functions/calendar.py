@@ -12,6 +12,12 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def day_of_key(key: Column) -> Column:
+    """The date that a whole number YYYYMMDD stands for."""
+    month = F.pmod(F.floor(key / 100), F.lit(100))
+    return F.make_date(F.floor(key / 10_000), month, F.pmod(key, F.lit(100)))
+
+
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 

@@ -78,6 +78,12 @@ def rule_samples(df: DataFrame, table: str, rules: list[Rule], key: str) -> Data
     return counts.select(F.inline(F.array(*counts.columns)))
 
 
+def any_broken(rules: list[Rule]) -> Column:
+    """How many rows break a rule, in one measure."""
+    nothing = F.lit(False)
+    return F.count_if(reduce(Column.__or__, [F.coalesce(b, nothing) for _, _, b in rules], nothing))
+
+
 def measures(df: DataFrame, rules: list[Rule]) -> dict[str, Column]:
     """What one pass over ``df`` tells: its rows, how many break each rule, and two of those."""
     row = F.struct(*df.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.functions.calendar import calendar_parts, date_key
+from tillwork.functions.calendar import calendar_parts, date_key, day_of_key
 from tillwork.model import LINE_AMOUNT, PRICE, Star
 from tillwork.operators.ordered import id_levels, row_numbers
 
@@ -44,6 +44,11 @@ def dim_date(orders: DataFrame) -> DataFrame:
     return days.select(*calendar_parts(F.col("_day")))
 
 
+def dim_date_of(fact: DataFrame) -> DataFrame:
+    """``dim_date`` of the orders in a fact, found by its keys alone."""
+    return dim_date(fact.select(day_of_key(F.col("date_key")).alias("order_date")))
+
+
 def fact_orders(orders: DataFrame, products: DataFrame, *, dense_keys: bool = False) -> DataFrame:
     """One row per order, priced at the current product price.
 
