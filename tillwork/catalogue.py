@@ -320,7 +320,7 @@ def _daily_sales_of_changed_months(spark: SparkSession, d: str) -> DataFrame:
     root = shared_folder(spark)
     warehouse, daily = f"{root}/warehouse", f"{root}/daily"
     customers, products = fx.customers(spark, d), fx.products(spark, d)
-    orders = fx.single_product_orders(spark, d)
+    orders = staged(fx.single_product_orders(spark, d), f"{root}/orders")
     early = orders.filter(F.col("order_date") < F.lit(LATE_FROM))
     late = orders.filter(F.col("order_date") >= F.lit(LATE_FROM))
     publish.load_star(spark, warehouse, customers, products, early)
