@@ -115,3 +115,18 @@ def test_components(spark, prose, monkeypatch, few):
         parent[y] = x
     got = components(spark.createDataFrame(links, "u long, v long"), Workspace(spark))
     assert dict(tuples(got)) == {n: find(n) for n in parent if find(n) != n}
+
+
+def test_no_step_reads_its_input_many_times(documents, prose, monkeypatch):
+    """The driver holds a step's plan anew after each of its stages."""
+    leaves, put = [], Workspace.put
+
+    def counted(self, df):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return put(self, df)
+
+    monkeypatch.setattr(Workspace, "put", counted)
+    base = prose(60)
+    rows = [(n, edited(prose, base, n % 9)) for n in range(2 * SMALL_BUCKET)]
+    assert Counter(tuples(near_duplicates(documents(rows), 3, 85))) == expected(rows, 3, 85)
+    assert max(leaves) <= 12, str(leaves)

@@ -216,7 +216,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     central = work.put(central.select(*_ordered("class", "centre")).distinct())
     groups = components(copies.unionByName(_linked(central, classes, sets, percent)), work)
     apart = work.put(_in_two_buckets(_still_open(members, groups)))
-    large = _large_bucket_pairs(apart, _references(apart, members, centres), sets, percent)
+    # Each step is written: the next read it several times, and one plan of all of them, which
+    # the driver holds anew after every stage, takes hundreds of megabytes there.
+    references = work.put(_references(apart, members, centres))
+    around = work.put(_around(apart, references, sets))
+    first = work.put(_prefixes(around, percent))
+    work.drop(around)
+    large = work.put(_large_bucket_pairs(first, percent))
+    work.drop(first)
     pairs = _small_bucket_pairs(apart).unionByName(large)
     pairs = work.put(pairs.distinct().join(central, ["a", "b"], "left_anti"))
     groups = _joined(groups, _linked(pairs, classes, sets, percent), work)
@@ -318,17 +325,8 @@ def _references(apart: DataFrame, members: DataFrame, centres: DataFrame) -> Dat
     )
 
 
-def _large_bucket_pairs(
-    apart: DataFrame, references: DataFrame, sets: DataFrame, percent: int
-) -> DataFrame:
-    """Candidates among the classes of larger buckets, none of the similar ones left out.
-
-    Among the classes with one reference, every set is put in the same order: first what the
-    reference lacks, by how many of them hold it, rarest first, then the rest. Two sets that are similar enough share an
-    element among the first few, and what follows their first common one must still be long
-    enough. A near copy with many words of its own begins with those, which it shares with
-    few, and what it has in common with the whole group comes too late to count.
-    """
+def _around(apart: DataFrame, references: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of the classes of larger buckets, cut by what their reference holds too."""
     around = (
         apart.filter(F.col("size") > SMALL_BUCKET)
         .join(references, "bucket")
@@ -337,7 +335,7 @@ def _large_bucket_pairs(
         .join(sets, "class")
         .join(sets.select(F.col("class").alias("centre"), F.col("hashes").alias("middle")), "centre")
     )
-    around = around.select(
+    return around.select(
         "centre",
         "class",
         "group",
@@ -345,6 +343,20 @@ def _large_bucket_pairs(
         F.array_except("hashes", "middle").alias("own"),
         F.array_sort(F.array_intersect("hashes", "middle")).alias("common"),
     )
+
+
+def _at_least(n: Column, percent: int) -> Column:
+    """The least overlap of a set of ``n`` with one that is similar enough."""
+    return F.ceil(n * percent / 100)
+
+
+def _prefixes(around: DataFrame, percent: int) -> DataFrame:
+    """The first elements of each set, as many as a similar set may have its first common one in.
+
+    Among the classes with one reference, every set is put in the same order: first what the
+    reference lacks, by how many of them hold it, rarest first, then the rest. ``left`` counts
+    the elements from here on.
+    """
     owned = around.select("centre", "class", F.explode("own").alias("token"))
     keys = ["centre", "token"]
     held = owned.groupBy(*keys, spread(*keys)).agg(F.count(F.lit(1)).alias("held"))
@@ -353,11 +365,9 @@ def _large_bucket_pairs(
         .groupBy("centre", "class")
         .agg(F.sort_array(F.collect_list(F.struct("held", "token")))["token"].alias("ranked"))
     )
-    # The overlap of two similar sets, over the sum of their sizes, is at least p / (100 + p).
-    p, n = percent, F.col("n")
-    at_least = F.ceil(n * p / 100)
+    n = F.col("n")
     order = F.concat(F.coalesce("ranked", F.array().cast("array<long>")), F.col("common"))
-    first = (
+    return (
         around.join(ranked, ["centre", "class"], "left")
         .select("centre", "class", "group", "n", order.alias("order"))
         .select(
@@ -365,11 +375,25 @@ def _large_bucket_pairs(
             "class",
             "group",
             "n",
-            F.posexplode(F.slice("order", F.lit(1), (n - at_least + 1).cast("int"))),
+            F.posexplode(
+                F.slice("order", F.lit(1), (n - _at_least(n, percent) + 1).cast("int"))
+            ),
         )
         .select("centre", "class", "group", "n", F.col("col").alias("token"), (n - F.col("pos")).alias("left"))
     )
-    # ``left``: elements from here on. In the smaller set of a pair fewer places count.
+
+
+def _large_bucket_pairs(first: DataFrame, percent: int) -> DataFrame:
+    """Candidates among the classes of larger buckets, none of the similar ones left out.
+
+    ``first`` holds the first elements of their sets. Two sets that are similar enough share an
+    element among those, and what follows their first common one must still be long
+    enough. A near copy with many words of its own begins with those, which it shares with
+    few, and what it has in common with the whole group comes too late to count.
+    """
+    # The overlap of two similar sets, over the sum of their sizes, is at least p / (100 + p).
+    p, n, keys = percent, F.col("n"), ["centre", "token"]
+    # In the smaller set of a pair fewer places count.
     shorter = first.filter((100 + p) * F.col("left") >= 2 * p * n).select(
         "centre",
         "token",
@@ -380,14 +404,14 @@ def _large_bucket_pairs(
     )
     least = shorter.groupBy(*keys, spread(*keys)).agg(F.min("m").alias("least"))
     longer = first.join(least.select(*keys, "least"), keys).filter(
-        (100 + p) * F.col("left") >= p * (n + F.greatest("least", at_least))
+        (100 + p) * F.col("left") >= p * (n + F.greatest("least", _at_least(n, p)))
     )
     similar_sizes = (F.col("m") <= n) & (100 * F.col("m") >= p * n)
     enough = (100 + p) * F.least("left", "its_left") >= p * (n + F.col("m"))
     pairs = longer.join(shorter, keys).filter(
         (F.col("class") != F.col("other")) & (F.col("group") != F.col("its")) & similar_sizes & enough
     )
-    return pairs.select(*_ordered("class", "other"))
+    return pairs.select(*_ordered("class", "other")).distinct()
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
