@@ -298,3 +298,40 @@ def test_a_written_position_is_kept_and_given_once(spark, tmp_path):
     assert sorted(tuples(placed)) == sorted(tuples(placed))
     assert len({r[1] for r in tuples(placed)}) == 10
     assert len(list(tmp_path.iterdir())) == 1
+
+
+def test_unique_ids_are_hashed_and_leave_the_feed_in_place(spark, monkeypatch):
+    """No sort of all rows to find repeated ids, and no join with none."""
+    plans, settled = [], cleaning._settled
+
+    def seen(few):
+        plans.append(few._jdf.queryExecution().executedPlan().toString())
+        return settled(few)
+
+    monkeypatch.setattr(cleaning, "_settled", seen)
+    rows = [(str(i), "T", "c", "1.00") for i in range(20)]
+    annotated = cleaning.annotate_products(_feed(spark, RAW_PRODUCTS, rows))
+    assert len(plans) == 1 and "SortAggregate" not in plans[0]
+    assert "Join" not in annotated._jdf.queryExecution().optimizedPlan().toString()
+    assert annotated.filter("reasons = ''").count() == 20
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_first_good_row_of_an_id_in_a_feed_without_places(spark, monkeypatch, few):
+    monkeypatch.setattr(cleaning, "_FEW", few)
+    rows = [
+        ("7", "", "c", "1.00"), ("7", "A", "c", "2.00"), ("07", "B", "c", "3.00"),
+        ("8", "", "c", "1.00"), ("8", "", "c", "2.00"), ("9", "C", "c", "4.00"),
+        ("x", "D", "c", "5.00"), ("x", "E", "c", "5.00"),
+    ]
+    feed = _feed(spark, RAW_PRODUCTS, rows).coalesce(1)
+    good, bad = clean_products(feed)
+    assert sorted(tuples(good.select("product_id", "title"))) == [(7, "A"), (9, "C")]
+    assert sorted(tuples(bad.select("product_id", "price", "rejection_reason"))) == [
+        ("07", "3.00", "duplicate product_id"),
+        ("7", "1.00", "missing title"),
+        ("8", "1.00", "missing title"),
+        ("8", "2.00", "missing title"),
+        ("x", "5.00", "invalid product_id"),
+        ("x", "5.00", "invalid product_id"),
+    ]

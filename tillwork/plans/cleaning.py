@@ -61,13 +61,14 @@ def dead_letter(*rejects: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejects)
 
 
-def _placed(raw: DataFrame, key: Column) -> tuple[DataFrame, Column]:
+def _placed(raw: DataFrame, key: Column) -> tuple[DataFrame, Column, str]:
     """A feed and what orders its rows: the place it came with, else the id and then a number
-    that is written before it is used, as several passes must agree on it."""
+    that is written before it is used, as several passes must agree on it. Last, the part of
+    it that orders the rows of one id."""
     if POSITION in raw.columns:
-        return raw, F.col(POSITION).alias("_pos")
+        return raw, F.col(POSITION).alias("_pos"), "_pos"
     placed = F.struct(key.alias("id"), F.col(POSITION).alias("row"))
-    return positioned(raw), placed.alias("_pos")
+    return positioned(raw), placed.alias("_pos"), "_pos.row"
 
 
 def _settled(few: DataFrame) -> DataFrame:
@@ -79,18 +80,31 @@ def _settled(few: DataFrame) -> DataFrame:
     rows = few.limit(_FEW + 1).collect()
     if len(rows) > _FEW:
         return few
-    return few.sparkSession.createDataFrame(rows, few.schema)
+    # Of rows made from a list Spark does not know how many there are: it would shuffle the
+    # feed to join it with none.
+    return few.sparkSession.createDataFrame(rows, few.schema) if rows else few.limit(0)
 
 
-def _firsts(parsed: DataFrame, key: Column, good: Column) -> DataFrame:
-    """The first good row of each key that several rows have."""
+def _firsts(parsed: DataFrame, key: Column, good: Column, place: str = "_pos") -> DataFrame:
+    """The first good row of each key that several rows have; the keys as text.
+
+    ``place`` is what orders the rows of one key. Ids are grouped as numbers, and by a number if
+    the place has one: texts and structs would have all rows sorted, not hashed.
+    """
+    first = F.col("_first")
+    if place != "_pos":
+        in_full = F.struct(F.col("_key").alias("id"), first.alias("row"))
+        first = F.when(first.isNotNull(), in_full).alias("_first")
     return _settled(
         parsed.filter(key.isNotNull())
-        .select(key.alias("_key"), "_pos", good.alias("_good"))
+        .select(key.alias("_key"), F.col(place).alias("_place"), good.alias("_good"))
         .groupBy("_key", spread("_key"))
-        .agg(F.min(F.when(F.col("_good"), F.col("_pos"))).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.min(F.when(F.col("_good"), F.col("_place"))).alias("_first"),
+            F.count(F.lit(1)).alias("_n"),
+        )
         .filter(F.col("_n") > 1)
-        .select("_key", "_first")
+        .select(F.col("_key").cast("string").alias("_key"), first)
     )
 
 
@@ -122,7 +136,7 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
     """
     key = whole_number(cell(F.col("customer_id")))
     signup_text = cell(F.col("signup_date"))
-    raw, place = _placed(raw, key)
+    raw, place, row = _placed(raw, key)
     parsed = raw.select(
         _raw(RAW_CUSTOMERS),
         F.struct(
@@ -143,8 +157,9 @@ def annotate_customers(raw: DataFrame) -> DataFrame:
     bad_key = F.col("typed.customer_id").isNull()
     long = _too_long("customers")
     good = ~_any([no_name, no_city, bad_signup, bad_key, ~usable, *long.values()])
-    id_text, email_text = F.col("typed.customer_id").cast("string"), F.when(usable, F.lower(email))
-    marked = _mark_later(parsed, _firsts(parsed, id_text, good), id_text, "_again")
+    ids, email_text = F.col("typed.customer_id"), F.when(usable, F.lower(email))
+    firsts = _firsts(parsed, ids, good, row)
+    marked = _mark_later(parsed, firsts, ids.cast("string"), "_again")
     reserving = _firsts(marked, email_text, good & ~F.col("_again"))
     marked = _mark_later(marked, reserving, email_text, "_used")
     return marked.select(
@@ -168,7 +183,7 @@ def annotate_products(raw: DataFrame) -> DataFrame:
     with the same id, the first is accepted, as for customers."""
     price_text = cell(F.col("price"))
     key = whole_number(cell(F.col("product_id")))
-    raw, place = _placed(raw, key)
+    raw, place, row = _placed(raw, key)
     parsed = raw.select(
         _raw(RAW_PRODUCTS),
         F.struct(
@@ -185,8 +200,8 @@ def annotate_products(raw: DataFrame) -> DataFrame:
     bad_key = F.col("typed.product_id").isNull()
     long = _too_long("products")
     good = ~_any([no_title, no_category, bad_key, cents.isNull(), cents <= 0, *long.values()])
-    id_text = F.col("typed.product_id").cast("string")
-    marked = _mark_later(parsed, _firsts(parsed, id_text, good), id_text, "_again")
+    ids = F.col("typed.product_id")
+    marked = _mark_later(parsed, _firsts(parsed, ids, good, row), ids.cast("string"), "_again")
     return marked.select(
         "raw",
         "typed",
@@ -210,7 +225,7 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
     """
     customer = whole_number(cell(F.col("customer_id")))
     product = whole_number(cell(F.col("product_id")))
-    raw, place = _placed(raw, whole_number(cell(F.col("order_id"))))
+    raw, place, row = _placed(raw, whole_number(cell(F.col("order_id"))))
     parsed = raw.select(
         _raw(RAW_ORDERS),
         F.struct(
@@ -233,8 +248,8 @@ def annotate_orders(raw: DataFrame, customers: DataFrame, products: DataFrame) -
     known = mark_members(parsed, "_customer", customers, "customer_id", "_buyer")
     known = mark_members(known, "_product", products, "product_id", "_item")
     # Joined last: the joins with the parents, which may be uneven, read the feed itself.
-    id_text = F.col("typed.order_id").cast("string")
-    known = _mark_later(known, _firsts(parsed, id_text, good), id_text, "_again")
+    ids = F.col("typed.order_id")
+    known = _mark_later(known, _firsts(parsed, ids, good, row), ids.cast("string"), "_again")
     return known.select(
         "raw",
         "typed",
@@ -267,7 +282,7 @@ def annotate_payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
     key = whole_number(cell(F.col("payment_id").cast("string")))
     order = whole_number(cell(F.col("order_id")))
     cells = [F.col(c).cast("string").alias(c) for c in RAW_PAYMENTS]
-    raw, place = _placed(raw, key)
+    raw, place, row = _placed(raw, key)
     parsed = raw.select(
         F.struct(*cells).alias("raw"),
         F.struct(
@@ -287,8 +302,8 @@ def annotate_payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
     long = _too_long("payments")
     good = ~_any([cents.isNull(), cents <= 0, bad_date, no_method, *long.values()])
     known = mark_members(parsed, "_order", orders, "order_id", "_found")
-    id_text = F.col("typed.payment_id").cast("string")
-    known = _mark_later(known, _firsts(parsed, id_text, good), id_text, "_again")
+    ids = F.col("typed.payment_id")
+    known = _mark_later(known, _firsts(parsed, ids, good, row), ids.cast("string"), "_again")
     return known.select(
         "raw",
         "typed",
