@@ -7,7 +7,9 @@ from hypothesis import strategies as st
 
 from llm_fixtures import documents, edges, prose, table, tuples  # noqa: F401
 from tillwork.llm import suffixes
-from tillwork.llm.suffixes import Strings, remove_repeated_bytes
+from tillwork.llm.suffixes import Strings, _anchors, _groups, _without, remove_repeated_bytes
+from tillwork.llm.words import Rolling
+from tillwork.llm.workspace import Workspace
 
 
 def expected(rows, length):
@@ -55,6 +57,57 @@ def test_parts_of_a_very_common_gram(documents, prose, monkeypatch, run):
     check(documents, rows)
 
 
+@pytest.mark.parametrize("run", [1, 7, 50_000])
+def test_equal_contexts_in_several_parts(documents, prose, monkeypatch, run):
+    """Copies of a context are dealt to parts as well, and still only the first one stays."""
+    monkeypatch.setattr(suffixes, "RUN", run)
+    monkeypatch.setattr(suffixes, "_CHUNK", 3)
+    passage = prose(40)
+    rows = [(i, f"{prose(3)}{passage}{prose(i % 4)}") for i in range(50, 20, -1)]
+    rows += [(22, f"{passage} {prose(2)}"), (60, f"{passage}{passage}"), (21, passage[30:90])]
+    check(documents, rows)
+
+
+def test_context_bytes_are_written_and_shuffled_once(documents, prose, monkeypatch):
+    """The strings around the anchors are the bulk of the job; they are kept in one table only."""
+    staged, real = [], Workspace.put
+
+    def spy(self, df):
+        staged.append(df.columns)
+        return real(self, df)
+
+    monkeypatch.setattr(Workspace, "put", spy)
+    shared = prose(40)
+    check(documents, [(i, f"{prose(9)}{shared}{prose(i)}") for i in range(12)])
+    assert sum("context" in columns for columns in staged) == 1
+
+
+@given(st.integers(1, 60), st.lists(st.tuples(st.integers(0, 59), st.integers(1, 60)), min_size=1))
+@settings(max_examples=200, deadline=None)
+def test_spans_that_overlap_or_touch_are_one_run(size, pairs):
+    raw = bytes(range(size))
+    spans = [(a % size, min(a % size + n, size)) for a, n in pairs]
+    gone = [any(a <= i < b for a, b in spans) for i in range(size)]
+    runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+    kept = bytes(b for b, g in zip(raw, gone) if not g)
+    assert _without(raw, np.array([(a << 32) | b for a, b in spans], np.int64)) == (runs, kept)
+
+
+@pytest.mark.parametrize("together", [1, 300, 2**16])
+def test_anchors_of_texts_hashed_together(monkeypatch, prose, together):
+    """Texts laid end to end have the anchors they have alone, and none across their ends."""
+    monkeypatch.setattr(suffixes, "_TOGETHER", together)
+    raws = [t.encode() for t in (prose(30), "", "x" * 49, "x" * 50, prose(3), prose(80), "y" * 120, "")]
+    rolling = Rolling(18)
+    alone = [(n, *row) for n, raw in enumerate(raws) for row in zip(*_anchors([raw], rolling, 50, 18)[1:])]
+    joint = []
+    for start, end in _groups([len(r) for r in raws]):
+        text, *rest = _anchors(raws[start:end], rolling, 50, 18)
+        joint += zip(text + start, *rest)
+    assert [tuple(map(int, r)) for r in joint] == [tuple(map(int, r)) for r in alone]
+    assert {int(r[0]) for r in joint} == {n for n, raw in enumerate(raws) if len(raw) >= 50}
+
+
 def test_edges(documents, prose):
     check(documents, edges(prose))
 

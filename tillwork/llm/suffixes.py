@@ -19,15 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.llm.words import Rolling, mixed, signed
-from tillwork.llm.workspace import Workspace, lists, map_batches
+from tillwork.llm.workspace import Workspace, map_batches
 from tillwork.operators.hot import spread
 
-# Suffixes of one gram that are sorted at once; more are dealt to several runs.
+# Contexts of one gram that are sorted at once; more are dealt to several runs.
 RUN = 50_000
-# Suffixes for which a task sorts several runs together.
-_CHUNK = 8_000
-# Text that a task works on at once.
+# Contexts for which a task sorts several runs together.
+_CHUNK = 16_000
+# Text that a task works on at once, and that is hashed together.
 _BYTES = 8 * 2**20
+_TOGETHER = 2**16
 # A random number for each byte, so that hashes of like strings are unlike.
 _CODES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -68,6 +69,40 @@ def _identity(raw: bytes) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(raw), np.int64).tolist())
 
 
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about ``_TOGETHER`` bytes; a longer one is alone."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > _TOGETHER:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _anchors(raws: list[bytes], rolling: Rolling, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Each text's anchors in order, from one pass over all texts.
+
+    Returns the text, the first and the last of the strings that have the anchor, its place,
+    all counted in that text, and the hash of its gram.
+    """
+    ends = np.cumsum([len(r) for r in raws])
+    hashes = rolling.windows(_codes(b"".join(raws)), gram)
+    owners = _owners(hashes, length - gram + 1)
+    inside = np.ones(len(owners), bool)
+    for end in ends.tolist():  # no string goes on in the next text
+        inside[max(end - length + 1, 0) : end] = False
+    starts = np.flatnonzero(inside)
+    owners = owners[starts]
+    first = _firsts(owners)
+    last = np.r_[first[1:], len(owners)][: len(first)] - 1
+    at = owners[first]
+    text = np.searchsorted(ends, at, side="right")
+    begin = np.r_[0, ends][text]
+    return text, starts[first] - begin, starts[last] - begin, at - begin, signed(hashes)[at]
+
+
 def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """Identity, size and the hashes of the anchor grams of each text."""
 
@@ -75,20 +110,25 @@ def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
         rolling = Rolling(gram)
 
         def convert(rows):
-            keys, sizes, grams = [], [], []
-            for raw in rows["raw"]:
-                hashes = rolling.windows(_codes(raw), gram)
-                owners = _owners(hashes, length - gram + 1)
-                grams.append(signed(np.unique(hashes[owners[_firsts(owners)]])))
-                keys.append(_identity(raw))
-                sizes.append(len(raw))
+            raws = rows["raw"]
+            sizes = [len(r) for r in raws]
+            grams, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for start, end in _groups(sizes):
+                text, *_, of_gram = _anchors(raws[start:end], rolling, length, gram)
+                order = np.lexsort((of_gram, text))
+                text, of_gram = text[order], of_gram[order]
+                new = np.r_[True, (text[1:] != text[:-1]) | (of_gram[1:] != of_gram[:-1])]
+                new = new[: len(text)]
+                grams.append(of_gram[new])
+                counts.append(np.bincount(text[new], minlength=end - start))
+            keys = [_identity(raw) for raw in raws]
             return {
                 "doc_id": rows["doc_id"],
                 "x": rows["x"],
                 "k1": [k[0] for k in keys],
                 "k2": [k[1] for k in keys],
                 "n_bytes": sizes,
-                "grams": lists(grams, pa.int64()),
+                "grams": _listed(np.concatenate(grams), np.concatenate(counts), pa.int64()),
             }
 
         return convert
@@ -97,46 +137,64 @@ def _anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return map_batches(docs, schema, make, _BYTES)
 
 
+def _listed(flat: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """An Arrow list column of consecutive parts of ``flat``."""
+    ends = np.r_[0, np.cumsum(sizes)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
+
+
 def _contexts(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """What lies around each anchor whose gram is in ``repeated``.
 
     A context is all the strings of ``length`` bytes that have the anchor, taken together.
     Its identity counts the anchor's offset in it. A text has one row for each, with its places.
     """
-    names = ("no", "doc_id", "gram", "c1", "c2", "off", "context")
 
     def make():
         rolling = Rolling(gram)
 
         def convert(rows):
-            out = {n: [] for n in names}
-            places = []
-            for no, doc_id, k1, k2, raw, repeated in zip(
-                *[rows[n] for n in ("no", "doc_id", "k1", "k2", "raw", "repeated")], strict=True
-            ):
-                if _identity(raw) != (k1, k2):
-                    continue  # another text of equal hash
-                hashes = rolling.windows(_codes(raw), gram)
-                anchors = _owners(hashes, length - gram + 1)
-                first = _firsts(anchors)
-                last = np.r_[first[1:], len(anchors)] - 1
-                of_gram = signed(hashes)[anchors[first]]
-                wanted = np.isin(of_gram, np.array(repeated, np.int64))
-                found: dict[bytes, int] = {}
-                for a, b, p, g in zip(
-                    *[v[wanted].tolist() for v in (first, last, anchors[first], of_gram)], strict=True
-                ):
-                    context = raw[a : b + length]
-                    key = xxhash.xxh3_128_digest(bytes([p - a]) + context)
-                    at = found.setdefault(key, len(places))
-                    if at < len(places):
-                        places[at].append(a)
-                        continue
-                    places.append([a])
-                    c1, c2 = np.frombuffer(key, np.int64).tolist()
-                    for name, value in zip(names, (no, doc_id, g, c1, c2, p - a, context), strict=True):
-                        out[name].append(value)
-            return out | {"places": pa.array(places, pa.list_(pa.int32()))}
+            held = [
+                row
+                for row in zip(*[rows[n] for n in ("no", "doc_id", "k1", "k2", "raw", "repeated")], strict=True)
+                if _identity(row[4]) == row[2:4]  # not another text of equal hash
+            ]
+            none = np.empty(0, np.int64)
+            out = {n: [none] for n in ("no", "doc_id", "gram", "off", "places", "sizes")}
+            contexts, identities = [], []
+            for start, end in _groups([len(row[4]) for row in held]):
+                part = held[start:end]
+                raws = [row[4] for row in part]
+                text, first, last, at, of_gram = _anchors(raws, rolling, length, gram)
+                # A gram is repeated for all texts or none.
+                repeated = np.concatenate([np.array(row[5], np.int64) for row in part])
+                wanted = np.isin(of_gram, repeated)
+                text, first, last, at, of_gram = [v[wanted] for v in (text, first, last, at, of_gram)]
+                off = at - first
+                slots: dict[tuple[int, bytes], int] = {}
+                slot = []
+                for t, a, b, p in zip(*[v.tolist() for v in (text, first, last + length, off)], strict=True):
+                    context = raws[t][a:b]
+                    key = xxhash.xxh3_128_digest(context, p)
+                    n = len(slots)
+                    own = slots.setdefault((t, key), n)
+                    slot.append(own)
+                    if own == n:
+                        contexts.append(context)
+                        identities.append(key)
+                slot = np.array(slot, np.int64)
+                new = np.unique(slot, return_index=True)[1]
+                text = text[new]
+                out["no"].append(np.array([row[0] for row in part], np.int64)[text])
+                out["doc_id"].append(np.array([row[1] for row in part], np.int64)[text])
+                out["gram"].append(of_gram[new])
+                out["off"].append(off[new])
+                out["places"].append(first[np.argsort(slot, kind="stable")])
+                out["sizes"].append(np.bincount(slot))
+            flat = {n: np.concatenate(v) for n, v in out.items()}
+            c1, c2 = np.frombuffer(b"".join(identities), np.int64).reshape(-1, 2).T
+            places = _listed(flat.pop("places"), flat.pop("sizes"), pa.int32())
+            return flat | {"c1": c1, "c2": c2, "context": contexts, "places": places}
 
         return convert
 
@@ -269,17 +327,18 @@ def _neighbours(strings: Strings, at, end, group, order) -> np.ndarray:
     return out
 
 
-def _repeats(rows: dict[str, list], length: int, gram: int) -> Iterator[tuple[int, int, int, bool]]:
+def _repeats(
+    rows: dict[str, np.ndarray | list[bytes]], length: int, gram: int
+) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
     """The strings of each context that another of its run holds for a smaller document.
 
-    Yields the context, the first and one past the last byte they cover. For runs that are a
-    part of a gram's, also each string that has none: the context, its start, -1.
+    Returns the contexts, the first and one past the last byte they cover. For runs that are a
+    part of a gram's, also each string that has none: the contexts and the starts.
     """
     strings = Strings(rows["context"])
     starts, ends = strings.starts[:-1], strings.starts[1:]
-    off, doc = np.array(rows["off"], np.int64), np.array(rows["doc_id"], np.int64)
-    keys = np.array([rows["gram"], rows["part"]], np.int64)
-    run = np.cumsum(np.r_[False, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+    off, doc = rows["off"].astype(np.int64), rows["doc_id"]
+    run, parts = rows["run"], rows["parts"]
     # All suffixes of a run begin with its gram, so they are compared behind it.
     behind = starts + off + gram
     order = strings.sort(behind, ends, run)
@@ -307,18 +366,33 @@ def _repeats(rows: dict[str, list], length: int, gram: int) -> Iterator[tuple[in
     np.minimum.at(low, owner[gone], s[gone])
     np.maximum.at(high, owner[gone], s[gone])
     # A context is so short that its removed strings overlap.
-    for i in np.flatnonzero(high >= 0).tolist():
-        yield i, int(low[i]), int(high[i]) + length
-    several = np.flatnonzero(np.array(rows["parts"], np.int64) > 1).tolist()
-    known = set(zip(owner[gone].tolist(), s[gone].tolist())) if several else ()
-    for i in several:
-        for start in range(int(ends[i] - starts[i]) - length + 1):
-            if (i, start) not in known:
-                yield i, start, -1
-
-
-_SORTED = {"no": pa.int64(), "places": pa.list_(pa.int32()), "low": pa.int32(), "high": pa.int32(),
-           "doc_id": pa.int64(), "string": pa.binary()}
+    cut = np.flatnonzero(high >= 0)
+    several = np.flatnonzero(parts > 1)
+    count = (ends - starts)[several] - length + 1
+    at = np.repeat(several, count)
+    s_at = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+    known = np.isin(at * _MOST + s_at, owner[gone] * _MOST + s[gone])
+    return (cut, low[cut], high[cut] + length), (at[~known], s_at[~known])
+
+
+# More than a context has bytes.
+_MOST = 2**10
+_SORTED = {"no": pa.int64(), "spans": pa.list_(pa.int64()), "doc_id": pa.int64(), "string": pa.binary()}
+# A span is one long: its first byte, and one past the last in the low half.
+_HALF = 32
+
+
+def _late(rows: dict[str, np.ndarray]) -> np.ndarray:
+    """Whether an equal context of the same run stands in an earlier document."""
+    key = rows["c1"] + rows["run"] * np.int64(0x9E3779B97F4A7C1)
+    order = np.argsort(key, kind="stable")
+    same = [rows[n][order] for n in ("c1", "c2", "run")]
+    new = np.r_[True, np.any([v[1:] != v[:-1] for v in same], axis=0)]
+    doc = rows["doc_id"][order]
+    least = np.minimum.reduceat(doc, np.flatnonzero(new))
+    out = np.empty(len(order), bool)
+    out[order] = least[np.cumsum(new) - 1] < doc
+    return out
 
 
 def _sorter(length: int, gram: int, chunk: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -327,20 +401,44 @@ def _sorter(length: int, gram: int, chunk: int) -> Callable[[Iterator[pa.RecordB
 
     def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
-        names = ("gram", "part", "parts", "doc_id", "off", "context")
-        rows = {n: table.column(n).to_pylist() for n in names}
-        spans = list(_repeats(rows, length, gram))
-        at, low, high = (np.array([s[k] for s in spans], np.int64) for k in range(3))
-        pending = high < 0
-        strings = [
-            rows["context"][i][start : start + length] if end < 0 else None
-            for i, start, end in spans
-        ]
-        of = table.take(pa.array(at))
-        columns = [of.column(n).combine_chunks() for n in ("no", "places")]
-        columns += [pa.array(v, pa.int32()) for v in (low, np.where(pending, low + length, high))]
-        columns += [of.column("doc_id").combine_chunks(), pa.array(strings, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        names = ("gram", "part", "parts", "doc_id", "off", "c1", "c2")
+        rows = {n: table.column(n).to_numpy() for n in names}
+        keys = np.array([rows["gram"], rows["part"]])
+        rows["run"] = np.cumsum(np.r_[False, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        # Of equal contexts those in later documents go as a whole; the others are sorted.
+        late = _late(rows)
+        left = np.bincount(rows["run"][~late], minlength=len(late))[rows["run"]]
+        own = np.flatnonzero(~late & ((left > 1) | (rows["parts"] > 1)))
+        late = np.flatnonzero(late)
+        whole = table.column("size").to_numpy()[late].astype(np.int64)
+        none = np.empty(0, np.int64)
+        cut, low, high, open_, start = [none] * 5
+        contexts = []
+        if len(own):
+            contexts = table.column("context").take(pa.array(own)).to_pylist()
+            (cut, low, high), (open_, start) = _repeats(
+                {n: rows[n][own] for n in ("run", "parts", "doc_id", "off")} | {"context": contexts},
+                length,
+                gram,
+            )
+        strings = [contexts[i][a : a + length] for i, a in zip(open_.tolist(), start.tolist(), strict=True)]
+        at = np.concatenate([late, own[cut], own[open_]])
+        low = np.concatenate([np.zeros(len(late), np.int64), low, start])
+        high = np.concatenate([whole, high, start + length])
+        of = table.select(["no", "doc_id", "places"]).take(pa.array(at)).combine_chunks()
+        places = of.column("places").combine_chunks()
+        sizes = places.value_lengths().to_numpy()
+        flat = places.flatten().to_numpy().astype(np.int64)
+        spans = (flat + np.repeat(low, sizes) << _HALF) | (flat + np.repeat(high, sizes))
+        return pa.RecordBatch.from_arrays(
+            [
+                of.column("no").combine_chunks(),
+                _listed(spans, sizes, pa.int64()),
+                of.column("doc_id").combine_chunks(),
+                pa.array([None] * (len(at) - len(strings)) + strings, pa.binary()),
+            ],
+            schema=schema,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -367,6 +465,15 @@ def _sorter(length: int, gram: int, chunk: int) -> Callable[[Iterator[pa.RecordB
     return run
 
 
+def _without(raw: bytes, spans: np.ndarray) -> tuple[int, bytes]:
+    """The number of runs that ``spans`` make together, and the bytes outside them."""
+    spans = np.sort(spans)
+    first, end = spans >> _HALF, np.maximum.accumulate(spans & (2**_HALF - 1))
+    apart = first[1:] > end[:-1]
+    gaps = zip(np.r_[0, end[:-1][apart], end[-1]].tolist(), [*first[np.r_[True, apart]].tolist(), len(raw)], strict=True)
+    return int(apart.sum()) + 1, b"".join([raw[a:b] for a, b in gaps])
+
+
 def _cut(docs: DataFrame) -> DataFrame:
     """Texts without the bytes that ``marks`` cover."""
 
@@ -375,20 +482,17 @@ def _cut(docs: DataFrame) -> DataFrame:
             out = {"doc_id": rows["doc_id"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
             for raw, marks in zip(rows["raw"], rows["marks"], strict=True):
                 own = _identity(raw) if marks else None
-                mine = [m for m in marks or () if (m["k1"], m["k2"]) == own]
-                change = np.zeros(len(raw) + 1, np.int64)
-                for m in mine:
-                    if m["spans"] is None:  # a copy as a whole
-                        change[0] += 1
-                    for span in m["spans"] or ():
-                        places = np.array(span["places"], np.int64)
-                        np.add.at(change, places + span["low"], 1)
-                        np.add.at(change, places + span["high"], -1)
-                gone = np.cumsum(change)[:-1] > 0
+                mine = [m["spans"] for m in marks or () if (m["k1"], m["k2"]) == own]
+                if not mine:
+                    runs, kept = 0, raw
+                elif any(spans is None for spans in mine):  # a copy as a whole
+                    runs, kept = 1, b""
+                else:
+                    runs, kept = _without(raw, np.concatenate([np.array(m, np.int64) for m in mine]))
                 out["n_bytes"].append(len(raw))
-                out["n_removed"].append(int(gone.sum()))
-                out["n_spans"].append(int((gone & ~np.r_[False, gone[:-1]]).sum()))
-                out["kept"].append(np.frombuffer(raw, np.uint8)[~gone].tobytes())
+                out["n_removed"].append(len(raw) - len(kept))
+                out["n_spans"].append(runs)
+                out["kept"].append(kept)
             return out
 
         return convert
@@ -411,8 +515,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
     A missing or empty text has no bytes. A row without an id is returned whole and never
     makes others shorter. Rows that repeat an id do not count against each other; different
     texts under one id are judged one by one. Any number of rows may share a string or a whole
-    text: copies are looked at once, equal contexts of an anchor once, and the strings around a
-    very common gram are sorted in parts of ``RUN`` contexts and merged by a shuffle.
+    text: copies are looked at once, equal contexts of a run once, and the strings around a
+    very common gram are sorted in parts of about ``RUN`` contexts and merged by a shuffle.
     """
     if not 1 <= gram < length <= 255:
         raise ValueError("a gram is shorter than a string, and a string has 255 bytes at most")
@@ -454,45 +558,37 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
     contexts = work.put(_contexts(once.join(wanted, ["doc_id", "x"]), length, gram))
     work.drop(wanted)
 
-    # Of equal contexts those in later documents go as a whole; the others are sorted.
-    alike = ["c1", "c2"]
-    firsts = work.put(contexts.groupBy(*alike).agg(F.min("doc_id").alias("least")))
-    late = F.col("least") < F.col("doc_id")
-    judged = work.put(
-        contexts.join(firsts, alike).select(
-            *["gram", "c2", "no", "doc_id", "off", "places"],
-            late.alias("late"),
-            F.length("context").alias("size"),
-            F.when(~late, F.col("context")).alias("context"),
-        )
-    )
-    work.drop(contexts, firsts)
-    later = judged.filter("late").select("no", "places", F.lit(0).alias("low"), F.col("size").alias("high"))
-    own = judged.filter("NOT late")
-    several = work.put(
-        own.groupBy("gram")
-        .agg(F.min("c2").alias("a"), F.max("c2").alias("z"), F.count(F.lit(1)).alias("n"))
-        .filter("a <> z")
+    # At most one gram for each RUN contexts, so few enough to be sent to all tasks.
+    hot = (
+        contexts.groupBy("gram")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > RUN)
         .select("gram", F.ceil(F.col("n") / RUN).cast("long").alias("parts"))
     )
-    dealt = own.join(several, "gram").withColumn("part", F.pmod("c2", "parts"))
+    dealt = (
+        contexts.join(F.broadcast(hot), "gram", "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+        .withColumn("part", F.pmod(F.xxhash64("no", "c2"), "parts"))
+        .withColumn("size", F.length("context"))
+    )
     ordered = dealt.repartition("gram", "part").sortWithinPartitions("gram", "part")
     found = work.put(
-        ordered.select("gram", "part", "parts", "no", "doc_id", "off", "context", "places").mapInArrow(
-            _sorter(length, gram, _CHUNK),
-            "no long, places array<int>, low int, high int, doc_id long, string binary",
+        ordered.select(
+            *["gram", "part", "parts", "no", "doc_id", "off", "c1", "c2", "size", "context", "places"]
+        ).mapInArrow(
+            _sorter(length, gram, _CHUNK), "no long, spans array<long>, doc_id long, string binary"
         )
     )
-    work.drop(several)
+    work.drop(contexts)
     # The parts of a gram are merged: which string stands in an earlier document elsewhere.
     pending = found.filter("string IS NOT NULL")
     merged = pending.groupBy("string", spread("string")).agg(F.min("doc_id").alias("least"))
     elsewhere = pending.join(merged.select("string", "least"), "string").filter("least < doc_id")
-    span = F.struct("places", "low", "high").alias("span")
     spans = (
-        later.unionByName(found.filter("string IS NULL").select("no", "places", "low", "high"))
-        .unionByName(elsewhere.select("no", "places", "low", "high"))
-        .select("no", span)
+        found.filter("string IS NULL")
+        .select("no", "spans")
+        .unionByName(elsewhere.select("no", "spans"))
+        .select("no", F.explode("spans").alias("span"))
         .groupBy("no")
         .agg(F.collect_list("span").alias("spans"))
         .join(keys, "no")
@@ -504,7 +600,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 18) ->
         .groupBy("doc_id", "x")
         .agg(F.collect_list(F.struct("k1", "k2", "spans")).alias("marks"))
     )
-    work.drop(judged, found)
+    work.drop(found)
     marked = named.join(marks, ["doc_id", "x"], "left")
     unnamed = docs.filter("doc_id IS NULL").withColumn(
         "marks", F.lit(None).cast(marks.schema["marks"].dataType)
